@@ -54,11 +54,33 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[dict]], sch
         for b in batches:
             if b.num_rows:
                 for cols in fn(b):
-                    yield pa.RecordBatch.from_arrays([pa.array(cols[f.name], type=f.type) for f in arrow], schema=arrow)
+                    yield to_batch(cols, arrow)
 
     return df.mapInArrow(run, schema)
 
 
+def arrow_fold(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: T.StructType) -> DataFrame:
+    """mapInArrow where fn turns the batches of a partition into dicts of columns."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    arrow = to_arrow_schema(schema)
+
+    def run(batches):
+        for cols in fn(b for b in batches if b.num_rows):
+            yield to_batch(cols, arrow)
+
+    return df.mapInArrow(run, schema)
+
+
+def to_batch(cols: dict, schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([cols[f.name] if isinstance(cols[f.name], pa.Array) else pa.array(cols[f.name], type=f.type) for f in schema], schema=schema)
+
+
+def int_lists(values: np.ndarray, starts: np.ndarray) -> pa.ListArray:
+    """values, cut before each of starts (the first is 0)."""
+    return pa.ListArray.from_arrays(pa.array(np.append(starts, len(values)).astype(np.int32)), pa.array(values.astype(np.int32)))
+
+
 def ids_and_texts(b: pa.RecordBatch, key: str = "doc_id", text: str = "text") -> tuple[list, list[str]]:
     return b.column(key).to_pylist(), [x or "" for x in b.column(text).to_pylist()]
 

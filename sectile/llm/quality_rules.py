@@ -83,7 +83,7 @@ def fit(voted: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     patterns = voted.groupBy("votes").agg(F.count(F.lit(1)).cast("double").alias("n"))  # 3 ** 8 rows at most
     gathered = patterns.agg(F.sort_array(F.collect_list(F.struct("votes", "n"))).alias("p"))
     # a rule that abstains says nothing; prior votes in proportion to the rows keep the classes in their roles
-    prior = f"{PRIOR} * n"
+    prior = f"{PRIOR} * greatest(n, 1D)"
     good = "aggregate(z, 0D, (a, x) -> a + CASE WHEN x.votes[r] = {0} THEN x.n * x.q ELSE 0D END)"
     bad = "aggregate(z, 0D, (a, x) -> a + CASE WHEN x.votes[r] = {0} THEN x.n * (1D - x.q) ELSE 0D END)"
     in_good = f"ln(({good.format('v')} + {prior} * CASE WHEN v < 0 THEN 0.02D ELSE 0.98D END) / ({good.format('1')} + {good.format('-1')} + {prior}))"

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, mixing, near_dedup, quality_rules, token_counts
+from . import bpe, mixing, near_dedup, quality_rules, suffix_dedup, token_counts
 from .common import table
 
 
@@ -21,6 +21,10 @@ def op6_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.positions(table(spark, sf_dir, "documents"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.report(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.score(table(spark, sf_dir, "documents"))
 
@@ -29,6 +33,6 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), limit=2048)
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op5_minhash_near_dedup, op6_pfair_mixing, op8_quality_rules, op9_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op5_minhash_near_dedup, op6_pfair_mixing, op7_suffix_dedup, op8_quality_rules, op9_token_counts)}
 
 ORACLE_SQL: dict[str, str] = {}
