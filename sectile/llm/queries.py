@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, mixing, near_dedup, quality_classifier, quality_rules, suffix_dedup, token_counts, topk
+from . import bpe, chat, mixing, near_dedup, ngram_lm, quality_classifier, quality_rules, suffix_dedup, token_counts, topk
 from .common import table
 
 
@@ -21,6 +21,10 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify(table(spark, sf_dir, "documents"))
 
 
+def op4_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.score(table(spark, sf_dir, "documents"))
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.classes(table(spark, sf_dir, "documents"))
 
@@ -49,6 +53,6 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.render(chat.messages(events)))
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_exact_topk, op3_quality_classifier, op5_minhash_near_dedup, op6_pfair_mixing, op7_suffix_dedup, op8_quality_rules, op9_token_counts, op10_chat_formatting)}
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_exact_topk, op3_quality_classifier, op4_ngram_lm, op5_minhash_near_dedup, op6_pfair_mixing, op7_suffix_dedup, op8_quality_rules, op9_token_counts, op10_chat_formatting)}
 
 ORACLE_SQL: dict[str, str] = {}
