@@ -110,7 +110,7 @@ def unpack(data: bytes, dtype) -> np.ndarray:
 
 
 def squeeze(text: bytes) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(text)
+    return zstandard.ZstdCompressor(level=3).compress(text)
 
 
 def unsqueeze(data: bytes) -> bytes:

@@ -37,7 +37,7 @@ from .common import arrow_fold, arrow_map, bucket_count, cut, int_lists, mix, on
 LENGTH, GRAM = 50, 16
 WINDOW = LENGTH - GRAM + 1
 #: Text bytes whose anchors are found at once; anchors and suffixes that a task holds before it sends; text bytes for each bucket.
-SLAB, HELD_ANCHORS, HELD_SUFFIXES, BUCKET = 1 << 20, 1_200_000, 60_000, 10 << 20
+SLAB, HELD_ANCHORS, HELD_SUFFIXES, BUCKET = 1 << 20, 800_000, 30_000, 10 << 20
 #: Bytes kept around an anchor: before it, and from it on.
 BEFORE = LENGTH - GRAM
 WIDTH = BEFORE + LENGTH
@@ -175,8 +175,8 @@ class Suffixes:
     def lead(self) -> np.ndarray:
         return _words_at(self.around.reshape(-1), np.arange(len(self.p)) * WIDTH + BEFORE)
 
-    def judged(self) -> tuple[np.ndarray, dict]:
-        """Rows with a string that no smaller document here has, and the runs of strings that go."""
+    def judged(self) -> tuple[np.ndarray, tuple]:
+        """Rows with a string that no smaller document here has; documents, marks, first and last starts of the strings that go."""
         n = (self.hi - self.lo + 1).astype(np.int64)
         row = np.repeat(np.arange(len(n)), n)
         start = self.lo.astype(np.int64)[row] + np.arange(len(row)) - (np.cumsum(n) - n)[row]
@@ -185,7 +185,7 @@ class Suffixes:
         r, s = row[gone], start[gone]
         new = _first_of_runs(r, s)
         last = np.append(new[1:], len(r)) - 1 if len(r) else new
-        return stays, by_document(self.doc[r[new]], self.mark[r[new]], s[new], s[last])
+        return stays, (self.doc[r[new]], self.mark[r[new]], s[new].astype(np.int32), s[last].astype(np.int32))
 
 
 def _first_of_runs(row: np.ndarray, s: np.ndarray) -> np.ndarray:
@@ -199,22 +199,36 @@ def by_document(doc: np.ndarray, mark: np.ndarray, lo: np.ndarray, hi: np.ndarra
     return {"id": doc[first], "mark": mark[first], "lo": int_lists(lo, first), "hi": int_lists(hi, first)}
 
 
-def around(text: bytes, p: np.ndarray) -> np.ndarray:
+def around(text: bytes, p: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """The bytes around each anchor that its strings need; zeros elsewhere."""
     padded = np.zeros(len(text) + WIDTH, np.uint8)
     padded[BEFORE : BEFORE + len(text)] = np.frombuffer(text, np.uint8)
-    return padded[p[:, None] + np.arange(WIDTH)]
+    at = np.arange(WIDTH)
+    needed = (at >= (lo - p + BEFORE)[:, None]) & (at < (hi - p + WIDTH)[:, None])
+    return padded[p[:, None] + at] * needed
 
 
 _L, _I, _B = T.LongType(), T.IntegerType(), T.BinaryType()
 _PACKED = T.StructType([T.StructField("id", _L), T.StructField("mark", _L), T.StructField("z", _B)])
 _SENT = T.StructType([T.StructField("bucket", _I), T.StructField("direct", T.BooleanType()), T.StructField("h", _B), T.StructField("doc", _B), T.StructField("pos", _B)])
 _FOUND = T.StructType([T.StructField("id", _L), T.StructField("pos", T.ArrayType(_I))])
+_TO = T.StructType([T.StructField("to", _I), *(T.StructField(x, _B) for x in ("doc", "mark", "lo", "hi"))])
 _RUNS = T.StructType([T.StructField("id", _L), T.StructField("mark", _L), T.StructField("lo", T.ArrayType(_I)), T.StructField("hi", T.ArrayType(_I))])
-_MOVED = T.StructType([T.StructField("bucket", _I), T.StructField("n", _I), T.StructField("around", _B), *(T.StructField(x, _B) for x in ("doc", "mark", "p", "lo", "hi")), T.StructField("runs", T.ArrayType(_RUNS))])
+_MOVED = T.StructType([T.StructField("bucket", _I), T.StructField("n", _I), T.StructField("around", _B), *(T.StructField(x, _B) for x in ("doc", "mark", "p", "lo", "hi"))])
+
+
+def _dealt(buckets: int, doc: np.ndarray, *columns: np.ndarray) -> tuple[list[int], list[list[bytes]]]:
+    """Buckets of documents, and for each the packed columns of its rows: few rows, whatever the number of documents."""
+    to = (mix(doc.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+    o = np.lexsort((columns[0], doc, to))
+    edge = np.searchsorted(to[o], np.arange(buckets + 1))
+    full = np.flatnonzero(np.diff(edge))
+    return full.tolist(), [[pack(c[o[edge[i] : edge[i + 1]]]) for i in full] for c in (doc, *columns)]
 
 
 def _mark(text: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "little", signed=True)
+    """Tells different texts under one id apart (16 bits)."""
+    return int.from_bytes(hashlib.blake2b(text, digest_size=2).digest(), "little")
 
 
 def _rows(b: pa.RecordBatch) -> tuple[list[int], list[bytes]]:
@@ -232,16 +246,16 @@ def _squeezed(rows: DataFrame) -> DataFrame:
 
 
 def _shared_anchors(rows: DataFrame, buckets: int) -> DataFrame:
-    """(id, anchors of the text whose 16 bytes another text has too), a few rows for each text."""
+    """(id, anchors of the text whose 16 bytes another text has too)."""
 
-    def packed(h, doc, pos, task):
+    def packed(h, doc, pos):
         o = np.argsort(h)
         h, doc, pos = h[o], doc[o], pos[o]
         first = _first_of(h)
         size = np.diff(np.append(first, len(h)))
         many = np.repeat(np.minimum.reduceat(doc, first) != np.maximum.reduceat(doc, first), size)
-        here = np.lexsort((pos[many], doc[many]))
-        yield {"bucket": [task % buckets], "direct": [True], "h": [b""], "doc": [pack(doc[many][here])], "pos": [pack(pos[many][here])]}
+        to, (there, at) = _dealt(buckets, doc[many], pos[many])
+        yield {"bucket": to, "direct": [True] * len(to), "h": [b""] * len(to), "doc": there, "pos": at}
         once = first[many[first]]  # one row stands for all of them
         doc = doc.copy()
         doc[once] = _MANY
@@ -261,9 +275,7 @@ def _shared_anchors(rows: DataFrame, buckets: int) -> DataFrame:
         }
 
     def gather(batches):
-        from pyspark import TaskContext
-
-        held, n, task = [], 0, TaskContext.get().partitionId()
+        held, n = [], 0
         for b in batches:
             ids, texts = _rows(b)
             k, p, _, _ = anchors(texts)
@@ -278,25 +290,19 @@ def _shared_anchors(rows: DataFrame, buckets: int) -> DataFrame:
                 held.append((h[o], doc[o], pos[o]))
                 n += len(o)
             if n >= HELD_ANCHORS:
-                yield from packed(*map(np.concatenate, zip(*held)), task)
+                yield from packed(*map(np.concatenate, zip(*held)))
                 held, n = [], 0
         if n:
-            yield from packed(*map(np.concatenate, zip(*held)), task)
-
-    def lists(doc, pos):
-        o = np.lexsort((pos, doc))
-        first = _first_of(doc[o])
-        return {"id": doc[o][first], "pos": int_lists(pos[o], first)}
+            yield from packed(*map(np.concatenate, zip(*held)))
 
     def match(batches):
         held = []
         for b in batches:
-            for direct, h, doc, pos in zip(*(b.column(i).to_pylist() for i in range(1, 5))):
-                doc, pos = unpack(doc, np.int64), unpack(pos, np.int32)
+            for bucket, direct, h, doc, pos in zip(*(b.column(i).to_pylist() for i in range(5))):
                 if direct:
-                    if len(doc):
-                        yield lists(doc, pos)
+                    yield {"to": [bucket], "doc": [doc], "mark": [None], "lo": [pos], "hi": [None]}
                 else:
+                    doc, pos = unpack(doc, np.int64), unpack(pos, np.int32)
                     wide = np.zeros((len(doc), 8), np.uint8)
                     wide[:, :6] = unpack(h, "V6").view(np.uint8).reshape(-1, 6)
                     held.append((wide.view("<u8").reshape(-1), doc, pos))
@@ -309,9 +315,19 @@ def _shared_anchors(rows: DataFrame, buckets: int) -> DataFrame:
             size = np.diff(np.append(first, len(h)))
             found = np.repeat(np.minimum.reduceat(doc, first) != np.maximum.reduceat(doc, first), size) & (doc != _MANY)
             if found.any():
-                yield lists(doc[found], pos[found])
+                to, (doc, pos) = _dealt(buckets, doc[found], pos[found])
+                yield {"to": to, "doc": doc, "mark": [None] * len(to), "lo": pos, "hi": [None] * len(to)}
 
-    return arrow_fold(arrow_fold(rows, gather, _SENT).repartition(buckets, "bucket"), match, _FOUND)
+    def lists(batches):
+        held = [(unpack(doc, np.int64), unpack(pos, np.int32)) for b in batches for doc, pos in zip(b.column("doc").to_pylist(), b.column("lo").to_pylist())]
+        if held:
+            doc, pos = map(np.concatenate, zip(*held))
+            o = np.lexsort((pos, doc))
+            first = _first_of(doc[o])
+            yield {"id": doc[o][first], "pos": int_lists(pos[o], first)}
+
+    matched = arrow_fold(arrow_fold(rows, gather, _SENT).repartition(buckets, "bucket"), match, _TO)
+    return arrow_fold(matched.repartition(buckets, "to"), lists, _FOUND)
 
 
 def _splitters(rows: DataFrame, n_docs: int, buckets: int) -> np.ndarray:
@@ -348,7 +364,7 @@ def repeated_runs(rows: DataFrame) -> DataFrame:
     def sent(parts):
         all_ = Suffixes.joined(parts)
         stays, runs = all_.judged()
-        empty = {"bucket": [], "n": [], "around": [], "doc": [], "mark": [], "p": [], "lo": [], "hi": [], "runs": []}
+        empty = {"bucket": [], "n": [], "around": [], "doc": [], "mark": [], "p": [], "lo": [], "hi": []}
         s = all_.take(stays)
         lead = s.lead()
         s, to = s.take(o := np.argsort(lead)), np.searchsorted(splitters, lead[o], side="right")
@@ -360,11 +376,9 @@ def repeated_runs(rows: DataFrame) -> DataFrame:
             empty["around"].append(squeeze(part.around.tobytes()))
             for x in ("doc", "mark", "p", "lo", "hi"):
                 empty[x].append(pack(getattr(part, x)))
-            empty["runs"].append([])
-        if len(runs["id"]):
-            each = [dict(zip(("id", "mark", "lo", "hi"), x)) for x in zip(runs["id"].tolist(), runs["mark"].tolist(), runs["lo"].to_pylist(), runs["hi"].to_pylist())]
-            for x, v in (("bucket", int(runs["id"][0]) % max(1, buckets)), ("n", 0), ("around", b""), ("doc", b""), ("mark", b""), ("p", b""), ("lo", b""), ("hi", b""), ("runs", each)):
-                empty[x].append(v)
+        to, columns = _dealt(buckets, *runs)
+        for x, v in (("bucket", to), ("n", [0] * len(to)), ("around", [None] * len(to)), ("p", [None] * len(to)), *zip(("doc", "mark", "lo", "hi"), columns)):
+            empty[x] += v
         if empty["n"]:
             yield empty
 
@@ -378,7 +392,7 @@ def repeated_runs(rows: DataFrame) -> DataFrame:
                 o = np.isin(p, np.array(want, np.int64))
                 p, lo, hi = p[o], lo[o], hi[o]
                 if len(p):
-                    held.append(Suffixes(around(text, p), np.full(len(p), i), np.full(len(p), m), p.astype(np.int32), lo.astype(np.int32), hi.astype(np.int32)))
+                    held.append(Suffixes(around(text, p, lo, hi), np.full(len(p), i), np.full(len(p), m), p.astype(np.int32), lo.astype(np.int32), hi.astype(np.int32)))
                     n += len(p)
                 if n >= HELD_SUFFIXES:
                     yield from sent(held)
@@ -389,19 +403,32 @@ def repeated_runs(rows: DataFrame) -> DataFrame:
     def bucket(batches):
         held = []
         for b in batches:
-            for n, text, doc, mark, p, lo, hi, runs in zip(*(b.column(i).to_pylist() for i in range(1, 9))):
-                if n:
+            for to, n, text, doc, mark, p, lo, hi in zip(*(b.column(i).to_pylist() for i in range(8))):
+                if not n:
+                    yield {"to": [to], "doc": [doc], "mark": [mark], "lo": [lo], "hi": [hi]}
+                else:
                     raw = np.frombuffer(unsqueeze(text), np.uint8).reshape(n, WIDTH)
                     held.append(Suffixes(raw, unpack(doc, np.int64), unpack(mark, np.int64), unpack(p, np.int32), unpack(lo, np.int32), unpack(hi, np.int32)))
-                if runs:
-                    yield {x: [r[x] for r in runs] for x in ("id", "mark", "lo", "hi")}
         if held:
-            _, runs = Suffixes.joined(held).judged()
-            if len(runs["id"]):
-                yield runs
+            every = Suffixes.joined(held)
+            del held
+            lead = every.lead()
+            order = np.argsort(lead)
+            edge = np.append(_first_of(lead[order]), len(order))  # equal strings have equal leading bytes
+            at = 0
+            while at < len(order):
+                to = int(edge[max(np.searchsorted(edge, at + HELD_SUFFIXES, side="right") - 1, np.searchsorted(edge, at, side="right"))])
+                _, runs = every.take(order[at:to]).judged()
+                yield dict(zip(_TO.names, ((d := _dealt(buckets, *runs))[0], *d[1])))
+                at = to
+
+    def gathered(batches):
+        held = [tuple(unpack(x, k) for x, k in zip(row, (np.int64, np.int64, np.int32, np.int32))) for b in batches for row in zip(*(b.column(i).to_pylist() for i in range(1, 5)))]
+        if held:
+            yield by_document(*map(np.concatenate, zip(*held)))
 
     moved = arrow_fold(near, cut_out, _MOVED).repartition(buckets, "bucket")
-    return cut(arrow_fold(moved, bucket, _RUNS)).unionByName(whole)
+    return cut(arrow_fold(arrow_fold(moved, bucket, _TO).repartition(buckets, "to"), gathered, _RUNS)).unionByName(whole)
 
 
 def spans_of(lo: list, hi: list) -> tuple[np.ndarray, np.ndarray]:
