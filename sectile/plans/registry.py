@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from . import base, q_joins, q_windows
+
+QUERIES = base.QUERIES
+ORACLE_SQL = base.ORACLE_SQL
