@@ -33,8 +33,13 @@ def morton(x: Column, y: Column, z: Column, bits: int) -> Column:
 
 
 def size_text(n: Column) -> Column:
-    """Bytes in words."""
-    return F.when(n >= 1 << 30, F.format_string("%.1f GB", n / float(1 << 30))).when(n >= 1 << 20, F.format_string("%.1f MB", n / float(1 << 20))).when(n >= 1 << 10, F.format_string("%.1f kB", n / float(1 << 10))).otherwise(F.format_string("%d B", n.cast("long")))
+    """Bytes in words, tenths cut off."""
+
+    def tenths(unit: int) -> Column:
+        return F.floor(n / float(unit) * 10) / 10.0
+
+    big = F.when(n >= 1 << 30, F.format_string("%.1f GB", tenths(1 << 30))).when(n >= 1 << 20, F.format_string("%.1f MB", tenths(1 << 20)))
+    return big.when(n >= 1 << 10, F.format_string("%.1f kB", tenths(1 << 10))).otherwise(F.format_string("%d B", n.cast("long")))
 
 
 def to_grey(v: Column, lo: Column, hi: Column) -> Column:

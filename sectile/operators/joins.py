@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .cuts import cut
+
 
 def required_left(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
     """Left rows with their right row and the flag `unmatched`; the right side has one row for each key at most."""
@@ -109,16 +111,14 @@ def nearest_two(a: DataFrame, b: DataFrame, id_: str, vector: str, ratio: float,
 def components(edges: DataFrame, nodes: DataFrame, a: str, b: str, node: str) -> DataFrame:
     """(node, component): the smallest node connected to each. Labels hop to the neighbours' and then to the label's own
     label, so the rounds grow with the logarithm of the diameter; each is checkpointed."""
-    spark = edges.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/sectile-checkpoints")
-    both = edges.select(F.col(a).alias("_u"), F.col(b).alias("_v")).unionByName(edges.select(F.col(b).alias("_u"), F.col(a).alias("_v"))).distinct().checkpoint()
-    labels = nodes.select(F.col(node).alias("_v"), F.col(node).alias("_l")).distinct().checkpoint()
+    both = edges.select(F.col(a).alias("_u"), F.col(b).alias("_v")).unionByName(edges.select(F.col(b).alias("_u"), F.col(a).alias("_v"))).distinct()
+    both, labels = cut(both), cut(nodes.select(F.col(node).alias("_v"), F.col(node).alias("_l")).distinct())
     while True:
         near = both.join(labels, "_v").groupBy(F.col("_u").alias("_v")).agg(F.min("_l").alias("_m"))
         step = labels.join(near, "_v", "left").select("_v", F.least("_l", F.coalesce("_m", "_l")).alias("_n"), "_l")
         jump = step.select(F.col("_v").alias("_n"), F.col("_n").alias("_nn"))
-        new = step.join(jump, "_n", "left").select("_v", F.coalesce("_nn", "_n").alias("_x"), "_l").checkpoint()
+        new = step.join(jump, "_n", "left").select("_v", F.coalesce("_nn", "_n").alias("_x"), "_l")
+        new = cut(new)
         changed = new.filter("_x <> _l").limit(1).count()
         labels = new.select("_v", F.col("_x").alias("_l"))
         if not changed:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import base, q_joins, q_windows
+from . import base, q_aggregates, q_joins, q_scalars, q_windows
 
 QUERIES = base.QUERIES
 ORACLE_SQL = base.ORACLE_SQL
