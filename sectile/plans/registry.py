@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from . import base, q_aggregates, q_joins, q_scalars, q_windows
+from . import base, q_aggregates, q_core, q_joins, q_scalars, q_windows
 
 QUERIES = base.QUERIES
 ORACLE_SQL = base.ORACLE_SQL
+
+
+def entry(spark, sf_dir: str):
+    """The flagship query: display levels."""
+    return QUERIES["display_levels"](spark, sf_dir)
