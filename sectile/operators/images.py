@@ -1,0 +1,249 @@
+"""Image kernels on arrays, for pandas functions over blocks; NumPy only."""
+
+from __future__ import annotations
+
+import numpy as np
+
+
+def gaussian(a: np.ndarray, sigma: float) -> np.ndarray:
+    """Separable blur, edges reflected."""
+    r = max(1, int(4 * sigma + 0.5))
+    k = np.exp(-0.5 * (np.arange(-r, r + 1) / sigma) ** 2)
+    k /= k.sum()
+    out = a.astype(float)
+    for axis in range(a.ndim):
+        pad = [(0, 0)] * a.ndim
+        pad[axis] = (r, r)
+        p = np.pad(out, pad, mode="symmetric") if out.shape[axis] > r else np.pad(out, pad, mode="edge")
+        out = sum(w * np.take(p, range(i, i + a.shape[axis]), axis) for i, w in enumerate(k))
+    return out
+
+
+def box_mean(a: np.ndarray, size: int) -> np.ndarray:
+    """Mean of a centred square window, edges reflected, by running sums."""
+    out = a.astype(float)
+    for axis in range(a.ndim):
+        pad = [(0, 0)] * a.ndim
+        pad[axis] = (size // 2 + 1, (size - 1) // 2)
+        c = np.cumsum(np.pad(out, pad, mode="symmetric"), axis)
+        n = out.shape[axis]
+        out = (np.take(c, range(size, size + n), axis) - np.take(c, range(n), axis)) / size
+    return out
+
+
+def local_contrast(a: np.ndarray, size: int = 32) -> np.ndarray:
+    m = box_mean(a, size)
+    return np.sqrt(np.maximum(box_mean(a.astype(float) ** 2, size) - m * m, 0))
+
+
+def dilated(mask: np.ndarray, n: int = 1) -> np.ndarray:
+    out = mask.copy()
+    for _ in range(n):
+        p = np.pad(out, 1)
+        out = p[1:-1, 1:-1] | p[:-2, 1:-1] | p[2:, 1:-1] | p[1:-1, :-2] | p[1:-1, 2:]
+    return out
+
+
+def eroded(mask: np.ndarray, n: int = 1) -> np.ndarray:
+    return ~dilated(~mask, n)
+
+
+def opened(mask: np.ndarray, n: int = 1) -> np.ndarray:
+    return dilated(eroded(mask, n), n)
+
+
+def labelled(mask: np.ndarray) -> tuple[np.ndarray, int]:
+    """Connected parts (4 neighbours), numbered by their first pixel; labels spread along rows and columns until they rest."""
+    lab = np.where(mask, np.arange(1, mask.size + 1).reshape(mask.shape), 0)
+    while True:
+        old = lab.copy()
+        for axis in (0, 1):
+            for flip in (False, True):
+                v = np.flip(lab, axis) if flip else lab
+                v = np.moveaxis(v, axis, 0)
+                for i in range(1, v.shape[0]):
+                    both = (v[i] > 0) & (v[i - 1] > 0)
+                    v[i][both] = np.minimum(v[i], v[i - 1])[both]
+        if (lab == old).all():
+            break
+    names, out = np.unique(lab, return_inverse=True)
+    out = out.reshape(mask.shape)
+    return (out if names[0] == 0 else out + 1), len(names) - (names[0] == 0)
+
+
+def without_small(mask: np.ndarray, least: int) -> np.ndarray:
+    lab, n = labelled(mask)
+    size = np.bincount(lab.reshape(-1), minlength=n + 1)
+    size[0] = 0
+    return size[lab] >= least
+
+
+def background(a: np.ndarray, texture: float, dark: float, sigma: float = 2.0, least: int = 64) -> np.ndarray:
+    """Smooth or dark areas without tissue: little texture after a high pass, opened, large enough, grown by a pixel."""
+    high = a - gaussian(a, sigma)
+    rms = np.sqrt(gaussian(high * high, sigma))
+    return dilated(without_small(opened((rms < texture) | (a <= dark)), least))
+
+
+def equalised(a: np.ndarray, grid: int = 8, limit: float = 2.0, empty: int = 0) -> np.ndarray:
+    """Contrast-limited adaptive equalisation of 8-bit values; empty pixels keep their value and do not count."""
+    h, w = a.shape
+    ys, xs = np.linspace(0, h, grid + 1).astype(int), np.linspace(0, w, grid + 1).astype(int)
+    maps = np.zeros((grid, grid, 256))
+    for i in range(grid):
+        for j in range(grid):
+            t = a[ys[i] : ys[i + 1], xs[j] : xs[j + 1]]
+            t = t[t != empty]
+            hist = np.bincount(t, minlength=256).astype(float)
+            top = max(1.0, limit * hist.sum() / 256)
+            over = np.maximum(hist - top, 0).sum()
+            cum = (np.minimum(hist, top) + over / 256).cumsum()
+            maps[i, j] = 255 * cum / cum[-1] if cum[-1] > 0 else np.arange(256)
+    cy = np.clip((np.arange(h) + 0.5) / h * grid - 0.5, 0, grid - 1)
+    cx = np.clip((np.arange(w) + 0.5) / w * grid - 0.5, 0, grid - 1)
+    y0, x0 = np.minimum(cy.astype(int), grid - 2 if grid > 1 else 0), np.minimum(cx.astype(int), grid - 2 if grid > 1 else 0)
+    y1, x1 = np.minimum(y0 + 1, grid - 1), np.minimum(x0 + 1, grid - 1)
+    fy, fx = (cy - y0)[:, None], (cx - x0)[None]
+    v = [[maps[yy[:, None], xx[None], a] for xx in (x0, x1)] for yy in (y0, y1)]
+    out = (1 - fy) * ((1 - fx) * v[0][0] + fx * v[0][1]) + fy * ((1 - fx) * v[1][0] + fx * v[1][1])
+    return np.where(a == empty, a, np.clip(np.rint(out), 0, 255)).astype(np.uint8)
+
+
+def warped(a: np.ndarray, map_y: np.ndarray, map_x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bilinear samples at (map_y, map_x), and where these lie inside."""
+    h, w = a.shape
+    inside = (map_y >= 0) & (map_y <= h - 1) & (map_x >= 0) & (map_x <= w - 1)
+    y, x = np.clip(map_y, 0, h - 1), np.clip(map_x, 0, w - 1)
+    y0, x0 = np.minimum(y.astype(int), max(h - 2, 0)), np.minimum(x.astype(int), max(w - 2, 0))
+    y1, x1 = np.minimum(y0 + 1, h - 1), np.minimum(x0 + 1, w - 1)
+    fy, fx = y - y0, x - x0
+    return (1 - fy) * ((1 - fx) * a[y0, x0] + fx * a[y0, x1]) + fy * ((1 - fx) * a[y1, x0] + fx * a[y1, x1]), inside
+
+
+def affine_warp(a: np.ndarray, t: np.ndarray, shape: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """The image moved by the 2 x 3 transform t (x, y), sampled backwards."""
+    inv = np.linalg.inv(np.vstack((t, [0, 0, 1])))
+    yy, xx = np.mgrid[: shape[0], : shape[1]].astype(float)
+    return warped(a, inv[1, 0] * xx + inv[1, 1] * yy + inv[1, 2], inv[0, 0] * xx + inv[0, 1] * yy + inv[0, 2])
+
+
+def phase_shift(a: np.ndarray, b: np.ndarray) -> tuple[int, int, float]:
+    """Whole shift (dy, dx) that moves b onto a, and the height of the peak: windowed phase correlation."""
+    w = np.outer(np.hanning(a.shape[0]), np.hanning(a.shape[1]))
+    f = np.fft.rfft2((a - a.mean()) * w) * np.conj(np.fft.rfft2((b - b.mean()) * w))
+    c = np.fft.irfft2(f / np.maximum(np.abs(f), 1e-12), a.shape)
+    y, x = np.unravel_index(int(c.argmax()), c.shape)
+    return (int(y) - a.shape[0] * (y > a.shape[0] // 2), int(x) - a.shape[1] * (x > a.shape[1] // 2), float(c.max()))
+
+
+def template_match(a: np.ndarray, t: np.ndarray) -> tuple[int, int, float]:
+    """Best place of template t in a by normalised correlation (FFT sums)."""
+    t = t - t.mean()
+    n = t.size
+    shape = [i + j - 1 for i, j in zip(a.shape, t.shape)]
+
+    def full(x, y):
+        return np.fft.irfft2(np.fft.rfft2(x, shape) * np.fft.rfft2(y[::-1, ::-1], shape), shape)
+
+    rows, cols = slice(t.shape[0] - 1, a.shape[0]), slice(t.shape[1] - 1, a.shape[1])
+    ones = np.ones_like(t)
+    s, s2 = full(a, ones)[rows, cols], full(a.astype(float) ** 2, ones)[rows, cols]
+    c = full(a, t)[rows, cols] / np.sqrt(np.maximum((s2 - s * s / n) * (t * t).sum(), 1e-9))
+    y, x = np.unravel_index(int(c.argmax()), c.shape)
+    return int(y), int(x), float(c[y, x])
+
+
+def keypoints(a: np.ndarray, k: int, sigma: float = 2.0, size: int = 8) -> tuple[np.ndarray, np.ndarray]:
+    """The k strongest blobs (difference of Gaussians) as (x, y), and normalised 8 x 8 patches around them as descriptors."""
+    d = np.abs(gaussian(a, sigma) - gaussian(a, 1.6 * sigma))
+    r = size
+    top = d[1:-1, 1:-1]
+    peak = np.ones_like(top, bool)
+    for dy in (-1, 0, 1):
+        for dx in (-1, 0, 1):
+            if dy or dx:
+                peak &= top >= d[1 + dy : d.shape[0] - 1 + dy, 1 + dx : d.shape[1] - 1 + dx]
+    y, x = np.nonzero(peak)
+    y, x = y + 1, x + 1
+    ok = (y >= r) & (y < a.shape[0] - r) & (x >= r) & (x < a.shape[1] - r)
+    y, x = y[ok], x[ok]
+    o = np.lexsort((x, y, -d[y, x]))[:k]
+    y, x = y[o], x[o]
+    s = gaussian(a, 1.0)
+    i = np.arange(-r, r, 2)
+    patch = s[y[:, None, None] + i[None, :, None], x[:, None, None] + i[None, None, :]].reshape(len(y), -1)
+    patch -= patch.mean(1, keepdims=True) if len(y) else 0
+    norm = np.linalg.norm(patch, axis=1, keepdims=True)
+    return np.column_stack((x, y)).astype(float), patch / np.maximum(norm, 1e-9)
+
+
+def ratio_matches(a: np.ndarray, b: np.ndarray, ratio: float = 0.8) -> np.ndarray:
+    """Index pairs whose nearest descriptor is clearly nearer than the second."""
+    if len(a) == 0 or len(b) < 2:
+        return np.zeros((0, 2), int)
+    d = np.sqrt(np.maximum((a * a).sum(1)[:, None] + (b * b).sum(1) - 2 * a @ b.T, 0))
+    two = np.argpartition(d, 1, axis=1)[:, :2]
+    v = np.take_along_axis(d, two, 1)
+    o = np.argsort(v, axis=1, kind="stable")
+    two, v = np.take_along_axis(two, o, 1), np.take_along_axis(v, o, 1)
+    ok = v[:, 0] < ratio * v[:, 1]
+    return np.column_stack((np.flatnonzero(ok), two[ok, 0]))
+
+
+def destriped(a: np.ndarray, sigma: float = 2.0, levels: int = 4) -> np.ndarray:
+    """Vertical stripes damped: in each octave's horizontal detail, low vertical frequencies are cut off."""
+    out, low = np.zeros(a.shape), a.astype(float)
+    for k in range(levels):
+        smooth = gaussian(low, 2.0**k)
+        detail = low - smooth
+        f = np.fft.rfft(detail, axis=0)
+        f *= (1 - np.exp(-0.5 * (np.arange(f.shape[0]) / sigma) ** 2))[:, None]
+        out += np.fft.irfft(f, a.shape[0], axis=0)
+        low = smooth
+    return out + low
+
+
+def elastic_field(points: np.ndarray, shift: np.ndarray, shape: tuple[int, int], step: int, stiffness: float = 1.0, rounds: int = 200) -> np.ndarray:
+    """A grid of shifts [gy, gx, 2] that follows shifts at points and bends little: conjugate gradients on data and membrane terms."""
+    gy, gx = shape[0] // step + 2, shape[1] // step + 2
+    u, v = points[:, 0] / step, points[:, 1] / step
+    x0, y0 = np.clip(u.astype(int), 0, gx - 2), np.clip(v.astype(int), 0, gy - 2)
+    fx, fy = u - x0, v - y0
+    at = np.column_stack((y0 * gx + x0, y0 * gx + x0 + 1, (y0 + 1) * gx + x0, (y0 + 1) * gx + x0 + 1))
+    w = np.column_stack(((1 - fy) * (1 - fx), (1 - fy) * fx, fy * (1 - fx), fy * fx))
+
+    def normal(f):
+        r = (w[:, :, None] * f[at]).sum(1)
+        out = np.zeros_like(f)
+        np.add.at(out, at.reshape(-1), (w[:, :, None] * r[:, None]).reshape(-1, 2))
+        g = f.reshape(gy, gx, 2)
+        l = np.zeros_like(g)
+        d = np.diff(g, axis=0)
+        l[:-1] -= d
+        l[1:] += d
+        d = np.diff(g, axis=1)
+        l[:, :-1] -= d
+        l[:, 1:] += d
+        return out + stiffness * l.reshape(-1, 2) + 1e-6 * f
+
+    b = np.zeros((gy * gx, 2))
+    np.add.at(b, at.reshape(-1), (w[:, :, None] * shift[:, None]).reshape(-1, 2))
+    f = np.zeros_like(b)
+    r = b - normal(f)
+    p, rs = r.copy(), (r * r).sum(0)
+    for _ in range(rounds):
+        q = normal(p)
+        alpha = rs / np.maximum((p * q).sum(0), 1e-30)
+        f += alpha * p
+        r -= alpha * q
+        new = (r * r).sum(0)
+        if new.max() < 1e-12:
+            break
+        p = r + new / np.maximum(rs, 1e-30) * p
+        rs = new
+    return f.reshape(gy, gx, 2)
+
+
+def field_at(field: np.ndarray, points: np.ndarray, step: int) -> np.ndarray:
+    y, x = points[:, 1] / step, points[:, 0] / step
+    return np.column_stack([warped(field[..., k], y, x)[0] for k in (0, 1)])

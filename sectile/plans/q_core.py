@@ -26,15 +26,15 @@ sm AS (SELECT *, median(lo_raw) OVER w AS lo, median(hi_raw) OVER w AS hi, media
 ju AS (SELECT *, median((p50 - m) / (hi - lo)) OVER (PARTITION BY z) * (hi - lo) AS jump FROM sm), lv AS (SELECT z, tile, lo + jump AS lo, hi + jump AS hi, lo_raw, hi_raw FROM ju)"""
 
 
-@query(_LEVELS + " SELECT z, tile, round(lo, 7) AS lo, round(hi, 7) AS hi FROM lv")
+@query(_LEVELS + " SELECT z, tile, round(lo + 1e-8, 5) AS lo, round(hi + 1e-8, 5) AS hi FROM lv")
 def display_levels(t):
     """The flagship: for every slice and tile the display window that keeps brightness steady."""
-    return lv.levels(stats(t), "z", "tile", "block").select("z", "tile", r("lo", 7).alias("lo"), r("hi", 7).alias("hi"))
+    return lv.levels(stats(t), "z", "tile", "block").select("z", "tile", r(F.col("lo") + 1e-8, 5).alias("lo"), r(F.col("hi") + 1e-8, 5).alias("hi"))
 
 
-@query(_LEVELS + " SELECT z, tile, round(lo_raw, 7) AS lo_raw, round(hi_raw, 7) AS hi_raw FROM lv")
+@query(_LEVELS + " SELECT z, tile, round(lo_raw + 1e-8, 5) AS lo_raw, round(hi_raw + 1e-8, 5) AS hi_raw FROM lv")
 def nu28_start_windows(t):
-    return lv.start_windows(stats(t)).select("z", "tile", r("lo_raw", 7).alias("lo_raw"), r("hi_raw", 7).alias("hi_raw"))
+    return lv.start_windows(stats(t)).select("z", "tile", r(F.col("lo_raw") + 1e-8, 5).alias("lo_raw"), r(F.col("hi_raw") + 1e-8, 5).alias("hi_raw"))
 
 
 _MAPS = "SELECT z, tile, 1 + (ascii(tile) % 5 + z % 7) / 50.0::DOUBLE AS g, (z % 11) * 10.0::DOUBLE AS o FROM lv WHERE z % 5 = 0 AND tile <> 'N'"

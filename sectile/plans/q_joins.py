@@ -90,9 +90,9 @@ def jn10_bracket(t):
     return j.bracketed(*_sampled(t), "x", "v", ["p"])
 
 
-@query(_LERP + " SELECT p, x, round(CASE WHEN x0 IS NULL THEN v1 WHEN x1 IS NULL OR x0 = x1 THEN v0 ELSE v0 + (v1 - v0) * (x - x0) / (x1 - x0) END, 5) AS v FROM v")
+@query(_LERP + " SELECT p, x, round(CASE WHEN x0 IS NULL THEN v1 WHEN x1 IS NULL OR x0 = x1 THEN v0 ELSE v0 + (v1 - v0) * (x - x0) / (x1 - x0) END + 1e-7, 5) AS v FROM v")
 def jn11_lerp(t):
-    return j.interpolated(*_sampled(t), "x", "v", ["p"]).select("p", "x", r("v", 5).alias("v"))
+    return j.interpolated(*_sampled(t), "x", "v", ["p"]).select("p", "x", r(F.col("v") + 1e-7, 5).alias("v"))
 
 
 @query("WITH p AS (SELECT l_suppkey AS k, l_orderkey AS id, l_linenumber AS ln, l_partkey AS lo, l_partkey + 40 AS hi FROM lineitem), c AS (SELECT DISTINCT l_suppkey AS k, l_partkey AS cut FROM lineitem WHERE l_quantity = 50) SELECT DISTINCT k, id, ln, lo FROM p WHERE EXISTS (SELECT 1 FROM c WHERE c.k = p.k AND lo < cut AND hi >= cut)")

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from ..operators import windows as w
 from .base import micros, query, r
 
-_HOUR = F.date_trunc("hour", "ts")
 _CLOCK = "SELECT event_id, user_id, event_type, value, ts, epoch_us(ts) AS us FROM events"
 
 
@@ -17,7 +16,7 @@ def clock(t):
 
 @query("SELECT event_id, CAST(dense_rank() OVER (ORDER BY ts) - 1 AS BIGINT) AS z FROM events")
 def wn1_slice_index(t):
-    return w.global_index(t("events").select("event_id", "ts"), "ts", _HOUR).select("event_id", "z")
+    return w.global_index(t("events").select("event_id", "ts"), "ts", F.date_trunc("hour", "ts")).select("event_id", "z")
 
 
 _SEGMENTS = f"""WITH c AS ({_CLOCK}), s AS (SELECT *, CASE WHEN event_type IS DISTINCT FROM lag(event_type) OVER o THEN 1 ELSE 0 END AS new FROM c WINDOW o AS (PARTITION BY user_id ORDER BY us)),
