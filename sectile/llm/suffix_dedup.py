@@ -355,7 +355,8 @@ def repeated_runs(rows: DataFrame) -> DataFrame:
     splitters = _splitters(rows, size[1], buckets)
     texts = _squeezed(rows)
     marks = cut(arrow_map(rows, lambda b: iter([{"id": (r := _rows(b))[0], "digest": [hashlib.blake2b(t, digest_size=16).digest() for t in r[1]], "mark": [_mark(t) for t in r[1]], "n": [len(t) for t in r[1]]}]), T.StructType([T.StructField("id", _L), T.StructField("digest", _B), T.StructField("mark", _L), T.StructField("n", _I)])))
-    copies = marks.join(marks.groupBy("digest").agg(F.min("id").alias("least")), "digest")
+    least = cut(marks.groupBy("digest").agg(F.min("id").alias("least")))  # on its own, so that the join can be split where copies are many
+    copies = marks.join(least, "digest")
     whole = copies.filter(f"id > least AND n >= {LENGTH}").select("id", "mark", F.array(F.lit(0)).alias("lo"), F.array(F.col("n") - LENGTH).alias("hi")).distinct()
     first = copies.filter("id = least").select("id", "mark").distinct()
     wanted = found.groupBy("id").agg(F.flatten(F.collect_list("pos")).alias("pos")).join(first, "id")
