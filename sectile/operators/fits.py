@@ -294,3 +294,53 @@ def spread_out(df: DataFrame, by: list[str], x: str, y: str, k: int) -> DataFram
         return pdf.iloc[chosen]
 
     return df.groupBy(*by).applyInPandas(run, df.schema)
+
+
+def placed_boxes(df: DataFrame, by: list[str], width: str, height: str, size: int, k: int, seed: int = 0) -> DataFrame:
+    """k random boxes of one size that do not overlap, inside each width x height; the seed and the key fix them."""
+    kinds = ", ".join(f"{c} {dict(df.dtypes)[c]}" for c in by)
+
+    def run(key, pdf):
+        import zlib
+
+        rng = np.random.default_rng([seed, zlib.crc32(repr(key).encode())])
+        w, h, out = int(pdf[width].iloc[0]), int(pdf[height].iloc[0]), []
+        for _ in range(200 * k):
+            if len(out) == k or w < size or h < size:
+                break
+            x, y = int(rng.integers(0, w - size + 1)), int(rng.integers(0, h - size + 1))
+            if all(abs(x - a) >= size or abs(y - b) >= size for a, b in out):
+                out.append((x, y))
+        return pd.DataFrame([(*key, i, *p) for i, p in enumerate(out)])
+
+    return df.groupBy(*by).applyInPandas(run, f"{kinds}, i long, x long, y long")
+
+
+def spacings(pairs: DataFrame, prior: float = 0.05):
+    """Spacing of neighbouring slices from measured distances d of pairs (z_a, z_b) with weight w: nominal 1, held by the prior.
+
+    Spark sums the pairs; the driver solves one small dense system of normal equations banded by the pairs' reach."""
+    s = pairs.groupBy("z_a", "z_b").agg(F.sum("w").alias("w"), (F.sum(F.col("w") * F.col("d")) / F.sum("w")).alias("d")).toPandas()  # a row for each pair of slices
+    lo, hi = int(s["z_a"].min()), int(s["z_b"].max())
+    n, reach = hi - lo, int((s["z_b"] - s["z_a"]).max())
+    diag, rhs = np.zeros((reach, n)), np.zeros((n, 1))
+    for a, b, w, d in zip(s["z_a"] - lo, s["z_b"] - lo, s["w"], s["d"]):
+        for i in range(a, b):
+            diag[: b - i, i] += w
+            rhs[i] += w * d
+    diag[0] += prior * max(float(s["w"].median()), 1e-9)
+    rhs += prior * max(float(s["w"].median()), 1e-9)
+    x = solve_banded(diag, rhs)[:, 0]
+    return pairs.sparkSession.createDataFrame([(lo + i, float(v)) for i, v in enumerate(x)], "z long, spacing double")
+
+
+def merged_segment(places: DataFrame, segment: list[str], tile: str, most: float) -> DataFrame:
+    """Median place of each tile, the smallest corner of a segment at 0, and whether the segment may be fixed: no slice is
+    farther than `most` from the medians."""
+    from pyspark.sql import Window as W
+
+    m = places.groupBy(*segment, tile).agg(F.median("tx").alias("_x"), F.median("ty").alias("_y"))
+    far = places.join(m, [*segment, tile]).groupBy(*segment).agg(F.max(F.hypot(F.col("tx") - F.col("_x"), F.col("ty") - F.col("_y"))).alias("_d"))
+    w = W.partitionBy(*segment)
+    out = m.join(far, segment).withColumn("mode", F.when(F.col("_d") <= most, "fixed").otherwise("slice"))
+    return out.select(*segment, tile, "mode", (F.col("_x") - F.min("_x").over(w)).alias("tx"), (F.col("_y") - F.min("_y").over(w)).alias("ty"))

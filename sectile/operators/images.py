@@ -247,3 +247,20 @@ def elastic_field(points: np.ndarray, shift: np.ndarray, shape: tuple[int, int],
 def field_at(field: np.ndarray, points: np.ndarray, step: int) -> np.ndarray:
     y, x = points[:, 1] / step, points[:, 0] / step
     return np.column_stack([warped(field[..., k], y, x)[0] for k in (0, 1)])
+
+
+def per_image(df, by: list[str], y: str, x: str, v: str, fn, schema: str):
+    """fn(image) -> array of the same shape or rows of a pandas frame, for each image of pixel rows; one image is one task's unit."""
+    import pandas as pd
+
+    def run(key, pdf):
+        a = pdf.pivot(index=y, columns=x, values=v).sort_index().sort_index(axis=1).to_numpy(float)
+        out = fn(a)
+        if isinstance(out, np.ndarray):
+            yy, xx = np.mgrid[: out.shape[0], : out.shape[1]]
+            out = pd.DataFrame({y: yy.reshape(-1), x: xx.reshape(-1), v: out.reshape(-1)})
+        for name, k in zip(reversed(by), reversed(key)):
+            out.insert(0, name, k)
+        return out
+
+    return df.groupBy(*by).applyInPandas(run, schema)

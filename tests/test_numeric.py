@@ -153,3 +153,45 @@ def test_contrast_and_stripes(rng):
     striped = clean + rng.normal(0, 3, 128)[None]
     left = images.destriped(striped) - clean
     assert np.std(left.mean(0) - images.gaussian(left.mean(0), 4)) < 0.5 * 3
+
+
+def test_spacings_and_boxes(spark, rng):
+    s = 1 + rng.uniform(-0.3, 0.3, 30)
+    at = np.concatenate(([0], s.cumsum()))
+    rows = [(i, j, float(at[j] - at[i]), 1.0) for i in range(31) for j in range(i + 1, min(31, i + 4))]
+    got = {r.z: r.spacing for r in fits.spacings(spark.createDataFrame(rows, "z_a long, z_b long, d double, w double"), 1e-6).collect()}
+    assert np.allclose([got[i] for i in range(30)], s, atol=1e-3)
+    df = spark.createDataFrame([(k, 100, 60) for k in range(5)], "k long, w long, h long")
+    once, again = (sorted(map(tuple, fits.placed_boxes(df, ["k"], "w", "h", 20, 4).collect())) for _ in range(2))
+    assert once == again and len(once) == 20
+    for k in range(5):
+        b = [(x, y) for kk, _, x, y in once if kk == k]
+        assert all(0 <= x <= 80 and 0 <= y <= 40 for x, y in b)
+        assert all(abs(x - u) >= 20 or abs(y - v) >= 20 for i, (x, y) in enumerate(b) for u, v in b[:i])
+
+
+def test_images_by_key_equal_the_kernel(spark, rng):
+    a = rng.normal(size=(3, 12, 10))
+    rows = [(z, y, x, float(a[z, y, x])) for z in range(3) for y in range(12) for x in range(10)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame([(int(z), int(y), int(x), float(v)) for z, y, x, v in rows], "z long, y long, x long, v double")
+    out = images.per_image(df, ["z"], "y", "x", "v", lambda p: images.local_contrast(p, 4), "z long, y long, x long, v double").collect()
+    got = np.zeros(a.shape)
+    for r in out:
+        got[r.z, r.y, r.x] = r.v
+    assert np.allclose(got, [images.local_contrast(p, 4) for p in a])
+
+
+def test_same_result_for_any_number_of_partitions(spark):
+    import __spark_entry__ as e
+
+    d, names = "/root/testdata/sf0.001", ("wn4_gaps", "nu4_robust_relation", "display_levels", "jn11_lerp")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        seen = []
+        for n in ("1", "7"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            seen.append([sorted(map(str, e.queries()[q](spark, d).collect())) for q in names])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert seen[0] == seen[1]
