@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -36,10 +38,25 @@ def ensure_checkpoints(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
 
 
+_WRITTEN: list[tuple[SparkSession, str]] = []
+
+
+def _remove_written() -> None:
+    """The tables of cut() go when the driver's Python ends, if its Spark is still there."""
+    for spark, path in _WRITTEN:
+        with contextlib.suppress(Exception):
+            p = spark._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+atexit.register(_remove_written)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write df once to the shared folder and go on from there; survives the loss of any executor."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/sectile-{uuid.uuid4().hex}"
+    _WRITTEN.append((spark, path))
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
