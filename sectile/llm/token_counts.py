@@ -29,7 +29,7 @@ from .bpe import byte_letters
 from .common import arrow_map, ids_and_texts, only, small_batches
 
 #: Characters of a chunk; states and words that a worker remembers at most.
-CHUNK, STATES, WORDS = 1 << 14, 150_000, 500_000
+CHUNK, STATES, WORDS = 1 << 14, 300_000, 1_000_000
 
 
 class Transducer:
@@ -42,9 +42,10 @@ class Transducer:
         self.reset()
 
     def reset(self) -> None:
-        #: For each state: transitions, closing transitions; last token, tokens so far, state before, last character.
-        self.next: list[dict] = [{}]
-        self.close: list[dict] = [{}]
+        #: Transitions (state, character) -> (state, change), closing transitions -> change, under one number each.
+        self.next: dict[int, tuple[int, int]] = {}
+        self.close: dict[int, int] = {}
+        #: For each state: last token, tokens so far, state before, last character.
         self.info: list[tuple] = [(None, 0, -1, "")]
 
     def merged(self, symbols: list[str]) -> list[str]:
@@ -102,27 +103,25 @@ class Transducer:
 
     def count(self, word: str) -> int:
         """Tokens of one word (byte letters, not empty): the sum of what its transitions carry."""
-        if len(self.next) > STATES:
+        if len(self.info) > STATES:
             self.reset()
-        if len(self.agree) > 8 * STATES:
+        if len(self.agree) > 4 * STATES:
             self.agree.clear()
         state = total = 0
         for char in word[:-1]:
-            step = self.next[state].get(char)
+            edge = state << 10 | ord(char)  # byte letters are below 512
+            step = self.next.get(edge)
             if step is None:
                 last, count = self._follow(state, char, False)
-                step = len(self.next), count - self.info[state][1]
-                self.next.append({})
-                self.close.append({})
+                step = self.next[edge] = len(self.info), count - self.info[state][1]
                 self.info.append((last, count, state, char))
-                self.next[state][char] = step
             state, change = step
             total += change
         char = word[-1]
-        change = self.close[state].get(char)
+        edge = state << 10 | ord(char)
+        change = self.close.get(edge)
         if change is None:
-            change = self._follow(state, char, True)[1] - self.info[state][1]
-            self.close[state][char] = change
+            change = self.close[edge] = self._follow(state, char, True)[1] - self.info[state][1]
         return total + change
 
 
