@@ -264,3 +264,40 @@ def per_image(df, by: list[str], y: str, x: str, v: str, fn, schema: str):
         return out
 
     return df.groupBy(*by).applyInPandas(run, schema)
+
+
+def tissue_score(a: np.ndarray, cell: int, contrast: int = 8) -> np.ndarray:
+    """For each cell: how much it looks like even tissue; high local contrast, few values far from the cell's median."""
+    h, w = a.shape[0] // cell, a.shape[1] // cell
+    c = a[: h * cell, : w * cell].reshape(h, cell, w, cell).transpose(0, 2, 1, 3).reshape(h, w, -1)
+    lc = local_contrast(a, contrast)[: h * cell, : w * cell].reshape(h, cell, w, cell).mean((1, 3))
+    med = np.median(c, 2, keepdims=True)
+    mad = 1.4826 * np.median(np.abs(c - med), 2, keepdims=True)
+    odd = (np.abs(c - med) > 3 * np.maximum(mad, 1e-9)).mean(2)
+    return lc / np.maximum(lc.max(), 1e-9) * (1 - odd)
+
+
+def cell_features(a: np.ndarray, cell: int) -> np.ndarray:
+    """Rotation- and gain-invariant numbers of each cell: quantile spread ratios and gradient energy at three scales, [h, w, 8]."""
+    h, w = a.shape[0] // cell, a.shape[1] // cell
+
+    def cells(x):
+        return x[: h * cell, : w * cell].reshape(h, cell, w, cell).transpose(0, 2, 1, 3).reshape(h, w, -1)
+
+    q = np.quantile(cells(a), [0.05, 0.25, 0.5, 0.75, 0.95], axis=2)
+    span = np.maximum(q[4] - q[0], 1e-9)
+    out = [(q[3] - q[1]) / span, (q[2] - q[0]) / span, (q[4] - q[2]) / span]
+    for s in (1.0, 2.0, 4.0):
+        gy, gx = np.gradient(gaussian(a, s))
+        out.append(np.sqrt(cells(gx * gx + gy * gy).mean(2)) / span)
+    out += [cells(local_contrast(a, 4)).mean(2) / span, cells(local_contrast(a, 16)).mean(2) / span]
+    return np.stack(out, -1)
+
+
+def raw_classes(a: np.ndarray, dark: float, texture: float, saturated: float) -> np.ndarray:
+    """0 off the sample, 1 resin (smooth), 2 tissue (textured), 3 saturated."""
+    lc = local_contrast(a, 8)
+    out = np.where(lc < texture, 1, 2)
+    out[box_mean(a, 5) <= dark] = 0
+    out[a >= saturated] = 3
+    return out.astype(np.uint8)

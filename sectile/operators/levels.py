@@ -77,3 +77,14 @@ def adaptive(samples: DataFrame, by: list[str], x: str, v: str, sigma: Column, r
             ok = ok & (lo <= hi)
             best = F.when(ok, F.col(f"e{i}")).otherwise(best)
     return est.select(*by, F.col("_x").alias(x), best.alias("smooth"))
+
+
+def reference_windows(stats: DataFrame, z: str, median: str, contrast: str, m_ref: float, c_ref: float, half: float, by=()) -> DataFrame:
+    """Windows that give every slice the reference's brightness and contrast, smoothed over positions within `half`.
+
+    Width W = 255 c / c_ref; the reference median falls on m_ref of 255, so L = m - m_ref W / 255 and H = L + W."""
+    d = stats.withColumn("_w", 255 * F.col(contrast) / c_ref)
+    d = windows.range_median(d, "_w", z, half, by, "W")
+    d = d.withColumn("_l", F.col(median) - m_ref * F.col("W") / 255)
+    d = windows.range_median(d, "_l", z, half, by, "L")
+    return d.withColumn("H", F.col("L") + F.col("W")).drop("_w", "_l")

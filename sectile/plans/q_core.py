@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as s
 
+from ..operators import aggregates as a
 from ..operators import joins as j
 from ..operators import levels as lv
 from ..operators import windows as w
@@ -281,3 +282,35 @@ def nu20_field_weights(t):
     return t("supplier").select(F.col("s_suppkey").alias("z"), r(s.ease(u)).alias("w"), r(s.ease(u) * F.col("s_acctbal"), 4).alias("dx"))
 
 
+
+
+@query(f"WITH s AS (SELECT z, tile, p50 AS m, p95 - p5 AS c FROM ({_STATS})), a AS (SELECT *, median(255 * c / 90000.0) OVER o AS W FROM s WINDOW o AS (PARTITION BY tile ORDER BY z RANGE BETWEEN 6 PRECEDING AND 6 FOLLOWING)), b AS (SELECT *, median(m - 140.0 * W / 255) OVER o AS L FROM a WINDOW o AS (PARTITION BY tile ORDER BY z RANGE BETWEEN 6 PRECEDING AND 6 FOLLOWING)) SELECT z, tile, round(W + 1e-8, 5) AS w, round(L + 1e-8, 5) AS lo FROM b")
+def nu29_reference_windows(t):
+    d = stats(t).select("z", "tile", F.col("p50").alias("m"), (F.col("p95") - F.col("p5")).alias("c"))
+    return lv.reference_windows(d, "z", "m", "c", 140.0, 90000.0, 6, ["tile"]).select("z", "tile", r(F.col("W") + 1e-8, 5).alias("w"), r(F.col("L") + 1e-8, 5).alias("lo"))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey, s_acctbal AS tx, s_suppkey / 2.0::DOUBLE AS ty FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_quantity > 48")
+def src9_transform_lookup(t):
+    k = t("supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_acctbal").alias("tx"), (F.col("s_suppkey") / 2.0).alias("ty"))
+    return t("lineitem").filter("l_quantity > 48").join(k, "l_suppkey").select("l_orderkey", "l_linenumber", "l_partkey", "tx", "ty")
+
+
+@query("WITH m AS (SELECT l_suppkey AS z, l_linenumber AS tile, CAST(max(l_partkey) % 3 AS BIGINT) AS code FROM lineitem WHERE l_tax > 0.04 GROUP BY 1, 2) SELECT s_suppkey AS z, p_partkey % 7 + 1 AS tile, p_partkey, coalesce(code, 0) AS code FROM part JOIN supplier ON p_partkey % 100 = s_suppkey LEFT JOIN m ON m.z = s_suppkey AND m.tile = p_partkey % 7 + 1")
+def src14_mask_lookup(t):
+    m = t("lineitem").filter("l_tax > 0.04").groupBy(F.col("l_suppkey").alias("z"), F.col("l_linenumber").cast("long").alias("tile")).agg((F.max("l_partkey") % 3).alias("code"))
+    p = t("part").join(t("supplier"), F.col("p_partkey") % 100 == F.col("s_suppkey")).select(F.col("s_suppkey").alias("z"), (F.col("p_partkey") % 7 + 1).alias("tile"), "p_partkey")
+    return p.join(m, ["z", "tile"], "left").select("z", "tile", "p_partkey", F.coalesce("code", F.lit(0)).alias("code"))
+
+
+@query("SELECT o_orderkey || ',' || o_orderstatus || ',' || printf('%.3f', o_totalprice) || ',' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS line FROM orders")
+def snk2_csv_rows(t):
+    return t("orders").select(F.concat_ws(",", "o_orderkey", "o_orderstatus", F.format_string("%.3f", "o_totalprice"), F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")).alias("line"))
+
+
+@query("WITH o AS (SELECT o_orderkey AS k, o_custkey AS x, CAST(length(o_orderstatus) AS DOUBLE) AS y, o_orderpriority AS g FROM orders), n AS (SELECT k, x * 2 + k % 3 AS u, y + 5.0 AS v FROM o WHERE k % 7 <> 0) SELECT g, count(*) AS n, round(avg(u - x), 6) AS tx, round(avg(v - y), 6) AS ty FROM o JOIN n USING (k) GROUP BY 1")
+def jn16_append_fit(t):
+    o = t("orders").select(F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("x"), F.length("o_orderstatus").cast("double").alias("y"), F.col("o_orderpriority").alias("g"))
+    n = o.filter("k % 7 <> 0").select("k", (F.col("x") * 2 + F.col("k") % 3).alias("u"), (F.col("y") + 5.0).alias("v"))
+    j_ = o.join(n, "k")
+    return a.translation(j_, ["g"], "x", "y", "u", "v").join(j_.groupBy("g").agg(F.count(F.lit(1)).alias("n")), "g").select("g", "n", r("tx").alias("tx"), r("ty").alias("ty"))

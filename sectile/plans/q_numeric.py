@@ -147,3 +147,28 @@ def jn19_template(t):
         return pd.DataFrame({"py": [y], "px": [x], "score": [s]})
 
     return images.per_image(blocks(t), ["z"], "y", "x", "v", run, "z long, py long, px long, score double")
+
+
+@query()
+def im4_tissue_score(t):
+    def run(p):
+        s = images.tissue_score(p, 5)
+        yy, xx = np.mgrid[: s.shape[0], : s.shape[1]]
+        return pd.DataFrame({"cy": yy.reshape(-1), "cx": xx.reshape(-1), "score": s.reshape(-1)})
+
+    return images.per_image(blocks(t), ["z"], "y", "x", "v", run, "z long, cy long, cx long, score double")
+
+
+@query()
+def im5_cell_features(t):
+    def run(p):
+        f = images.cell_features(p, 8)
+        yy, xx = np.mgrid[: f.shape[0], : f.shape[1]]
+        return pd.DataFrame({"cy": yy.reshape(-1), "cx": xx.reshape(-1), "features": list(f.reshape(-1, f.shape[2]))})
+
+    return images.per_image(blocks(t), ["z"], "y", "x", "v", run, "z long, cy long, cx long, features array<double>")
+
+
+@query()
+def im19_raw_classes(t):
+    return images.per_image(blocks(t), ["z"], "y", "x", "v", lambda p: images.raw_classes(p, 60.0, 12.0, 200.0).astype(float), _PIXELS)

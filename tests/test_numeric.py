@@ -195,3 +195,17 @@ def test_same_result_for_any_number_of_partitions(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert seen[0] == seen[1]
+
+
+def test_cells_and_classes(rng):
+    a = np.full((64, 64), 100.0)
+    a[:, 32:] += rng.normal(0, 20, (64, 32))
+    a[:16] = 10
+    a[60:, 60:] = 255
+    s = images.tissue_score(a, 8)
+    assert s[4:, 5:7].min() > s[4:, :3].max()
+    b = images.gaussian(rng.normal(size=(64, 64)), 1.5)
+    f, g = images.cell_features(b, 8), images.cell_features(np.rot90(3 * b + 7), 8)
+    assert np.allclose(np.rot90(f)[2:6, 2:6], g[2:6, 2:6], atol=0.1)
+    c = images.raw_classes(a, 30, 6, 250)
+    assert (c[:10] == 0).all() and (c[30:50, :20] == 1).mean() > 0.95 and (c[30:50, 40:58] == 2).mean() > 0.95 and (c[60:, 60:] == 3).all()
