@@ -344,3 +344,87 @@ def merged_segment(places: DataFrame, segment: list[str], tile: str, most: float
     w = W.partitionBy(*segment)
     out = m.join(far, segment).withColumn("mode", F.when(F.col("_d") <= most, "fixed").otherwise("slice"))
     return out.select(*segment, tile, "mode", (F.col("_x") - F.min("_x").over(w)).alias("tx"), (F.col("_y") - F.min("_y").over(w)).alias("ty"))
+
+
+def shared_linear(points: DataFrame, pair: list[str], by: list[str]) -> DataFrame:
+    """One round of a frame fit: linear part a, b, c, d common to all pairs of a key, each pair with its own shift.
+
+    Points x, y -> u, v are centred in their pair; the 2 x 2 normal equations are sums over the key."""
+    from pyspark.sql import Window as W
+
+    w = W.partitionBy(*by, *pair)
+    p = points
+    for n in "xyuv":
+        p = p.withColumn(f"_{n}", F.col(n) - F.avg(n).over(w))
+    s = p.groupBy(*by).agg(*[F.sum(F.col(f"_{i}") * F.col(f"_{j}")).alias(i + j) for i, j in ("xx", "xy", "yy", "xu", "yu", "xv", "yv")])
+    det = F.col("xx") * F.col("yy") - F.col("xy") * F.col("xy")
+    out = {"a": ("xu", "yy", "yu", "xy"), "b": ("yu", "xx", "xu", "xy"), "c": ("xv", "yy", "yv", "xy"), "d": ("yv", "xx", "xv", "xy")}
+    return s.select(*by, *[((F.col(p_) * F.col(q) - F.col(r_) * F.col(t)) / det).alias(n) for n, (p_, q, r_, t) in out.items()])
+
+
+def patch_gains(bins: DataFrame, by: list[str], grid: int, smooth: float = 0.3, prior: float = 0.02) -> DataFrame:
+    """Log gains of the patches of each tile from bins (a, pa, b, pb, gain, w): value_a = gain value_b there.
+
+    Patches of a tile that touch like to agree; all gains have mean 1."""
+    kinds = ", ".join(f"{c} {dict(bins.dtypes)[c]}" for c in by)
+
+    def run(key, pdf):
+        pdf = pdf.sort_values(["a", "pa", "b", "pb"])
+        tiles = sorted({*pdf["a"], *pdf["b"]})
+        n, k = len(tiles) * grid * grid, grid * grid
+        at = {t: i * k for i, t in enumerate(tiles)}
+        rows, y = [], []
+
+        def row(plus, minus, w, value):
+            m = np.zeros(n)
+            m[plus] += w
+            if minus is not None:
+                m[minus] -= w
+            rows.append(m)
+            y.append(w * value)
+
+        top = np.sqrt(pdf["w"].max())
+        for a, pa, b, pb, gain, w in zip(pdf["a"], pdf["pa"], pdf["b"], pdf["pb"], pdf["gain"], pdf["w"]):
+            row(at[a] + pa, at[b] + pb, np.sqrt(w), -np.log(gain))
+        for t in tiles:
+            for i in range(k):
+                if (i + 1) % grid:
+                    row(at[t] + i, at[t] + i + 1, smooth * top, 0)
+                if i + grid < k:
+                    row(at[t] + i, at[t] + i + grid, smooth * top, 0)
+                row(at[t] + i, None, prior * top, 0)
+        rows.append(np.full(n, 100 * top / n))
+        y.append(0)
+        g = np.linalg.lstsq(np.array(rows), np.array(y), rcond=None)[0]
+        return pd.DataFrame([(*key, t, i, float(np.exp(g[at[t] + i]))) for t in tiles for i in range(k)])
+
+    return bins.groupBy(*by).applyInPandas(run, f"{kinds}, tile string, patch long, gain double")
+
+
+def window_affines(matches: DataFrame, by: list[str], prior: float = 1e-3) -> DataFrame:
+    """Affine transforms of the tiles of a window that bring matched points (a, b, xa, ya, xb, yb, w) together.
+
+    All tiles are pulled a little towards the identity, the first one strongly."""
+    kinds = ", ".join(f"{c} {dict(matches.dtypes)[c]}" for c in by)
+
+    def run(key, pdf):
+        pdf = pdf.sort_values(["a", "b", "xa", "ya"])
+        tiles = sorted({*pdf["a"], *pdf["b"]})
+        at = {t: 3 * i for i, t in enumerate(tiles)}
+        n = 3 * len(tiles)
+        scale = max(1.0, float(np.abs(pdf[["xa", "ya", "xb", "yb"]].to_numpy()).max()))
+        m, rhs = np.zeros((n, n)), np.zeros((n, 2))
+        for a, b, xa, ya, xb, yb, w in zip(*(pdf[c] for c in ("a", "b", "xa", "ya", "xb", "yb", "w"))):
+            i = np.r_[at[a] : at[a] + 3, at[b] : at[b] + 3]
+            v = np.array([xa / scale, ya / scale, 1, -xb / scale, -yb / scale, -1])
+            m[np.ix_(i, i)] += w * np.outer(v, v)
+        weight = prior * max(float(pdf["w"].sum()) / len(tiles), 1e-9)
+        for t in tiles:
+            k = weight * (1e6 if t == tiles[0] else 1)
+            for j, want in enumerate(((scale, 0), (0, scale), (0, 0))):
+                m[at[t] + j, at[t] + j] += k
+                rhs[at[t] + j] += k * np.array(want)
+        x = np.linalg.solve(m, rhs)
+        return pd.DataFrame([(*key, t, *(float(c) for c in (x[at[t], 0] / scale, x[at[t] + 1, 0] / scale, x[at[t] + 2, 0], x[at[t], 1] / scale, x[at[t] + 1, 1] / scale, x[at[t] + 2, 1]))) for t in tiles])
+
+    return matches.groupBy(*by).applyInPandas(run, f"{kinds}, tile string, a double, b double, tx double, c double, d double, ty double")

@@ -78,3 +78,10 @@ def bilinear(df: DataFrame, grid: DataFrame, x: str, y: str, gx: str, gy: str, v
     e = d.withColumn("_k", F.explode(node)).withColumns({"_gx": F.col("_k.gx"), "_gy": F.col("_k.gy")})
     g = grid.select(F.col(gx).cast("long").alias("_gx"), F.col(gy).cast("long").alias("_gy"), F.col(value).alias("_v"))
     return e.join(g, ["_gx", "_gy"]).groupBy(*df.columns).agg(F.sum(F.col("_k.wx") * F.col("_k.wy") * F.col("_v")).alias(value))
+
+
+def composited(df: DataFrame, by: list[str], depth: str, alpha: str, v: str) -> DataFrame:
+    """Layers seen from the front: each counts by its alpha times what the nearer ones let through."""
+    w = W.partitionBy(*by).orderBy(depth).rowsBetween(W.unboundedPreceding, -1)
+    seen = F.coalesce(F.exp(F.sum(F.log(1 - F.col(alpha))).over(w)), F.lit(1.0))
+    return df.withColumn("_t", seen).groupBy(*by).agg(F.sum(F.col("_t") * F.col(alpha) * F.col(v)).alias(v), F.sum(F.col("_t") * F.col(alpha)).alias("cover"))

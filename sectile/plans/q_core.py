@@ -314,3 +314,31 @@ def jn16_append_fit(t):
     n = o.filter("k % 7 <> 0").select("k", (F.col("x") * 2 + F.col("k") % 3).alias("u"), (F.col("y") + 5.0).alias("v"))
     j_ = o.join(n, "k")
     return a.translation(j_, ["g"], "x", "y", "u", "v").join(j_.groupBy("g").agg(F.count(F.lit(1)).alias("n")), "g").select("g", "n", r("tx").alias("tx"), r("ty").alias("ty"))
+
+
+@query("WITH b AS (SELECT p_partkey % 4 AS scale, p_partkey AS shard FROM part), r AS (SELECT string_split(url, '/') AS f FROM pages), d AS (SELECT CAST(page_id % 4 AS BIGINT) AS scale, page_id AS shard, max_by(length(url), page_id) AS n FROM pages GROUP BY 1, 2) SELECT b.scale, b.shard FROM b WHERE NOT EXISTS (SELECT 1 FROM d WHERE d.scale = b.scale AND d.shard = b.shard AND n % 2 = 0)")
+def snk10_export_todo(t):
+    done = t("pages").groupBy((F.col("page_id") % 4).alias("scale"), F.col("page_id").alias("shard")).agg(F.max_by(F.length("url"), "page_id").alias("n")).filter("n % 2 = 0")
+    return t("part").select((F.col("p_partkey") % 4).alias("scale"), F.col("p_partkey").alias("shard")).join(done, ["scale", "shard"], "left_anti")
+
+
+@query("WITH l AS (SELECT o_orderkey AS file, length(o_orderpriority) AS size, epoch_us(o_orderdate) AS mtime FROM orders), c AS (SELECT file, size, mtime + CASE WHEN file % 9 = 0 THEN 1 ELSE 0 END AS mtime FROM l WHERE file % 5 <> 0) SELECT l.file FROM l WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.file = l.file AND c.size = l.size AND c.mtime = l.mtime)")
+def src6_headers_to_read(t):
+    l = t("orders").select(F.col("o_orderkey").alias("file"), F.length("o_orderpriority").alias("size"), F.unix_micros(F.col("o_orderdate").cast("timestamp")).alias("mtime"))
+    cache = l.filter("file % 5 <> 0").withColumn("mtime", F.col("mtime") + (F.col("file") % 9 == 0).cast("int"))
+    return l.join(cache, ["file", "size", "mtime"], "left_anti").select("file")
+
+
+@query("SELECT o_orderkey FROM orders LEFT JOIN customer ON o_custkey = c_custkey AND c_acctbal > 5000 WHERE c_acctbal IS NULL OR c_acctbal < 9000")
+def mi19_layer_rows(t):
+    c = t("customer").filter("c_acctbal > 5000").select(F.col("c_custkey").alias("o_custkey"), "c_acctbal")
+    return t("orders").join(c, "o_custkey", "left").filter("c_acctbal IS NULL OR c_acctbal < 9000").select("o_orderkey")
+
+
+@query("WITH e AS (SELECT label % 2 AS g, label AS pr, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y, embedding[3]::DOUBLE AS u, embedding[4]::DOUBLE AS v FROM embeddings), c AS (SELECT g, x - avg(x) OVER w AS x, y - avg(y) OVER w AS y, u - avg(u) OVER w AS u, v - avg(v) OVER w AS v FROM e WINDOW w AS (PARTITION BY pr)), s AS (SELECT g, sum(x*x) AS xx, sum(x*y) AS xy, sum(y*y) AS yy, sum(x*u) AS xu, sum(y*u) AS yu, sum(x*v) AS xv, sum(y*v) AS yv FROM c GROUP BY 1) SELECT g, round((xu*yy - yu*xy) / (xx*yy - xy*xy), 6) AS a, round((yu*xx - xu*xy) / (xx*yy - xy*xy), 6) AS b, round((xv*yy - yv*xy) / (xx*yy - xy*xy), 6) AS c, round((yv*xx - xv*xy) / (xx*yy - xy*xy), 6) AS d FROM s")
+def nu14_shared_linear(t):
+    from ..operators.fits import shared_linear
+
+    e = F.col("embedding")
+    p = t("embeddings").select((F.col("label") % 2).alias("g"), F.col("label").alias("pr"), *[e[i].cast("double").alias(n) for i, n in enumerate("xyuv")])
+    return shared_linear(p, ["pr"], ["g"]).select("g", *[r(n).alias(n) for n in "abcd"])

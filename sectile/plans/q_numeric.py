@@ -172,3 +172,20 @@ def im5_cell_features(t):
 @query()
 def im19_raw_classes(t):
     return images.per_image(blocks(t), ["z"], "y", "x", "v", lambda p: images.raw_classes(p, 60.0, 12.0, 200.0).astype(float), _PIXELS)
+
+
+@query()
+def nu24_patch_gains(t):
+    from ..operators.joins import pairs_within
+
+    l = t("lineitem").select((F.col("l_suppkey") % 10).alias("z"), "l_orderkey", F.col("l_linenumber").alias("tile"), (F.col("l_partkey") % 4).alias("p"), F.col("l_extendedprice").alias("v"))
+    m = l.groupBy("z", "tile", "p").agg(F.median("v").alias("v"), F.count(F.lit(1)).alias("n"))
+    q = pairs_within(m, ["z"], ["tile"], ["p", "v", "n"]).filter("tile_b = tile_a + 1")
+    b = q.select("z", F.col("tile_a").cast("string").alias("a"), F.col("p_a").alias("pa"), F.col("tile_b").cast("string").alias("b"), F.col("p_b").alias("pb"), (F.col("v_a") / F.col("v_b")).alias("gain"), (F.col("n_a") + F.col("n_b")).cast("double").alias("w"))
+    return fits.patch_gains(b, ["z"], 2)
+
+
+@query()
+def nu17_window_affines(t):
+    l = t("lineitem").select((F.col("l_suppkey") % 10).alias("z"), F.col("l_linenumber").cast("string").alias("a"), (F.col("l_linenumber") + 1).cast("string").alias("b"), F.col("l_quantity").alias("xa"), (F.col("l_partkey") % 97).cast("double").alias("ya"), (F.col("l_quantity") + F.col("l_tax")).alias("xb"), (F.col("l_partkey") % 97 - F.col("l_discount")).alias("yb"), F.lit(1.0).alias("w"))
+    return fits.window_affines(l, ["z"])

@@ -209,3 +209,22 @@ def test_cells_and_classes(rng):
     assert np.allclose(np.rot90(f)[2:6, 2:6], g[2:6, 2:6], atol=0.1)
     c = images.raw_classes(a, 30, 6, 250)
     assert (c[:10] == 0).all() and (c[30:50, :20] == 1).mean() > 0.95 and (c[30:50, 40:58] == 2).mean() > 0.95 and (c[60:, 60:] == 3).all()
+
+
+def test_patches_and_windows_recover(spark, rng):
+    true = {("a", 0): 1.1, ("a", 1): 1.0, ("b", 0): 0.9, ("b", 1): 1.0, ("a", 2): 1.05, ("a", 3): 1.0, ("b", 2): 0.95, ("b", 3): 1.0}
+    rows = [(0, "a", p, "b", q, true["b", q] / true["a", p], 1000.0) for p in range(4) for q in range(4)]
+    df = spark.createDataFrame(rows, "z long, a string, pa long, b string, pb long, gain double, w double")
+    got = {(r.tile, r.patch): r.gain for r in fits.patch_gains(df, ["z"], 2, smooth=0.01, prior=1e-3).collect()}
+    for (p, q) in ((("a", 0), ("b", 0)), (("a", 1), ("b", 3))):
+        assert got[p] / got[q] == pytest.approx(true[p] / true[q], rel=0.02)
+    t = {"a": np.array([[1.0, 0, 0], [0, 1, 0]]), "b": np.array([[1.02, 0.01, 4], [-0.02, 0.99, -3]]), "c": np.array([[0.99, 0.0, 9], [0.01, 1.01, 2]])}
+    inv = {k: np.linalg.inv(np.vstack((m, [0, 0, 1])))[:2] for k, m in t.items()}
+    rows = []
+    for a, b in (("a", "b"), ("b", "c"), ("a", "c")):
+        for p in rng.uniform(0, 100, (30, 2)):
+            u, v = fits.moved(inv[a], p[None])[0], fits.moved(inv[b], p[None])[0]
+            rows.append((0, a, b, *map(float, (*u, *v)), 1.0))
+    out = fits.window_affines(spark.createDataFrame(rows, "z long, a string, b string, xa double, ya double, xb double, yb double, w double"), ["z"], 1e-7).collect()
+    for r in out:
+        assert np.allclose([r.a, r.b, r.tx, r.c, r.d, r.ty], t[r.tile].reshape(-1), atol=0.02)
