@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from . import quality_rules
 from .common import arrow_map, cut, ids_and_texts, only, small_batches, span_hashes, word_spans
 
-BUCKETS, TRAIN, STEPS = 1 << 16, 4000, 150
+BUCKETS, TRAIN, STEPS = 1 << 16, 3000, 120
 _SIGNS = 16  # buckets at the end, for signs of repetition
 
 
@@ -35,19 +35,20 @@ def _hashed(text: bytes) -> np.ndarray:
     h = span_hashes(raw, *word_spans(raw))
     stutter = int((h[1:] == h[:-1]).sum()) * 8 // max(1, len(h))
     distinct = len(np.unique(h)) * 7 // max(1, len(h))
-    signs = np.repeat([BUCKETS - 1 - stutter, BUCKETS - 9 - distinct], max(1, len(tri) // 20))
+    signs = np.repeat([BUCKETS - 1 - stutter, BUCKETS - 9 - distinct], max(1, len(tri) // 4))
     return np.concatenate((tri % np.uint32(BUCKETS - _SIGNS), signs)).astype(np.int64)
 
 
 def _fitted(rows: list) -> tuple[np.ndarray, float]:
     """Weights and bias of a logistic regression on soft labels, by gradient steps with a step size for each bucket."""
-    doc = np.concatenate([np.full(len(r[1]), i) for i, r in enumerate(rows)])
-    at = np.concatenate([np.asarray(r[1], np.int64) for r in rows])
-    share = np.concatenate([np.asarray(r[2], np.float64) for r in rows])
+    doc = np.concatenate([np.full(len(r[1]), i, np.int32) for i, r in enumerate(rows)])
+    at = np.concatenate([np.asarray(r[1], np.int32) for r in rows])
+    share = np.concatenate([np.asarray(r[2], np.float32) for r in rows])
     y = np.array([r[0] for r in rows])
     common = np.bincount(at, share, BUCKETS) / len(rows)
     scale = 1 / np.sqrt(common + 1e-4)
-    x = share * scale[at]
+    x = (share * scale[at]).astype(np.float32)
+    del share
     weight = np.where(y >= 0.5, 0.5 / max(1.0, (y >= 0.5).sum()), 0.5 / max(1.0, (y < 0.5).sum()))
     w, bias, grown, grown_b = np.zeros(BUCKETS), 0.0, np.full(BUCKETS, 1e-8), 1e-8
     for _ in range(STEPS):
