@@ -41,17 +41,32 @@ def ensure_checkpoints(spark: SparkSession) -> None:
 _WRITTEN: list[tuple[SparkSession, str]] = []
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def _remove_written() -> None:
     """The tables of cut() go when the driver's Python ends, if its Spark is still there."""
     for spark, path in _WRITTEN:
         with contextlib.suppress(Exception):
-            p = spark._jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+            _remove(spark, path)
 
 
 atexit.register(_remove_written)
 
 
+def only_last(make: Callable[[], DataFrame]) -> DataFrame:
+    """cut(make()), after which the tables that make() wrote on the way are removed."""
+    mark = len(_WRITTEN)
+    out = cut(make())
+    between = _WRITTEN[mark:-1]
+    del _WRITTEN[mark:-1]
+    for spark, path in between:
+        _remove(spark, path)
+    return out
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write df once to the shared folder and go on from there; survives the loss of any executor."""
     spark = df.sparkSession
