@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_fold, arrow_map, bucket_count, cut, int_lists, mix, only, pack, small_batches, squeeze, unpack, unsqueeze
+from .common import arrow_fold, arrow_map, bucket_count, cut, int_lists, mix, only, only_last, pack, small_batches, squeeze, unpack, unsqueeze
 
 LENGTH, GRAM = 50, 16
 WINDOW = LENGTH - GRAM + 1
@@ -349,6 +349,10 @@ def _splitters(rows: DataFrame, n_docs: int, buckets: int) -> np.ndarray:
 
 def repeated_runs(rows: DataFrame) -> DataFrame:
     """(id, mark, lo, hi): runs of starts of 50-byte strings that go. rows: (id, text), ids not null."""
+    return only_last(lambda: _repeated_runs(rows))
+
+
+def _repeated_runs(rows: DataFrame) -> DataFrame:
     size = rows.agg(F.sum(F.octet_length("text")), F.count(F.lit(1))).first()
     buckets = bucket_count(size[0] or 0, BUCKET)
     found = cut(_shared_anchors(rows, buckets))
@@ -429,7 +433,7 @@ def repeated_runs(rows: DataFrame) -> DataFrame:
             yield by_document(*map(np.concatenate, zip(*held)))
 
     moved = arrow_fold(near, cut_out, _MOVED).repartition(buckets, "bucket")
-    return cut(arrow_fold(arrow_fold(moved, bucket, _TO).repartition(buckets, "to"), gathered, _RUNS)).unionByName(whole)
+    return arrow_fold(arrow_fold(moved, bucket, _TO).repartition(buckets, "to"), gathered, _RUNS).unionByName(whole)
 
 
 def spans_of(lo: list, hi: list) -> tuple[np.ndarray, np.ndarray]:
