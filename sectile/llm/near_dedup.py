@@ -8,10 +8,11 @@ word within a band of diagonals as wide as the allowed edits; 1 - edits / longer
 
 Exact copies are merged first, by digest, so a group of copies is one text from there on. A bucket holds texts of one
 band value and similar length. A text is compared with the smallest of its buckets' leaders (smallest ids), then with
-those that are still of another class; where classes of a bucket still differ, its next LEADERS classes get leaders too.
-So a group of any size costs a few comparisons for each text. Texts of one bucket that are alike, but of which neither is
-like a leader it meets, stay apart; the README has the recall measured against brute force. Classes are connected
-components, found by alternating large-star and small-star steps, each written to the shared folder.
+those that are still of another class. Where classes of a bucket still differ, more of its texts become leaders, LEADERS in
+the first round and twice as many in each next one, until every two texts of the bucket are of one class or have been
+compared. So a group of like texts of any size costs a few comparisons for each text; unlike texts of a bucket cost a
+comparison for each pair. Classes are connected components, found by alternating large-star and small-star steps, each
+written to the shared folder.
 
 Defined results: a null text counts as empty; texts without words are alike only if they are equal; rows with the same
 key are one document; a null key has a null class; texts of one to four words are one k-mer; an empty table gives an
@@ -31,7 +32,7 @@ from pyspark.sql import types as T
 from .common import arrow_map, cut, ids_and_texts, mix, only, only_last, pack, small_batches, span_hashes, unpack, word_spans
 
 K, BANDS, TAKEN, SIMILARITY = 5, 20, 3, 0.8
-#: Further leaders of a bucket whose classes differ.
+#: Further leaders of a bucket whose classes differ, in the first round.
 LEADERS = 4
 _C = mix(np.arange(1, 400, dtype=np.uint64))
 _ODD = _C | np.uint64(1)
@@ -254,15 +255,24 @@ def _classes(docs: DataFrame, key: str, text: str) -> DataFrame:
     first_links = _verified(led.groupBy("id").agg(F.min("l").alias("l")).select(F.col("id").alias("a"), F.col("l").alias("b")), words)
     found = cut(components(first_links.unionByName(twice)))
     found = merged(_verified(pairs(classed(classed(led.select("id", "l").distinct(), "id", "c"), "l", "d").filter("c <> d"), "id", "l"), words))
-    # in buckets in which classes differ, leaders of other classes
-    mine = classed(shared.select("id", "n", *key_, "l"), "id", "c")
-    mixed = mine.groupBy(*key_).agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select(*key_)
-    mine = cut(mine.join(mixed, key_))
-    had = mine.filter("id = l").select(*key_, "c").distinct()
-    heads = mine.join(had, [*key_, "c"], "left_anti").groupBy(*key_, "c").agg(F.min(F.struct("id", "n")).alias("h"))
-    heads = heads.withColumn("_r", F.row_number().over(W.partitionBy(*key_).orderBy("h.id"))).filter(F.col("_r") <= LEADERS)
-    heads = heads.select(*key_, F.col("h.id").alias("l"), F.col("h.n").alias("ln"), F.col("c").alias("lc"))
-    found = merged(_verified(pairs(mine.drop("l").join(heads, key_).filter((F.col("c") != F.col("lc")) & close("n", "ln")), "id", "l"), words))
+    # in buckets in which classes differ, further leaders, until no two texts of different classes are left that have not met
+    rest, n_leaders = shared.filter("id <> l").select("id", "n", *key_), LEADERS
+    while True:
+        mine = cut(classed(rest, "id", "c"))
+        sizes = mine.groupBy(*key_, "c").agg(F.count(F.lit(1)).alias("_c"), F.min("id").alias("_h"))
+        mixed = sizes.groupBy(*key_).agg(F.count(F.lit(1)).alias("_k")).filter("_k > 1").select(*key_)
+        mine = cut(mine.join(sizes, [*key_, "c"]).join(mixed, key_, "left_semi"))
+        if mine.isEmpty():
+            break
+        # the first texts of the classes, then all texts, of rare classes first: a bucket is done when one class is left
+        turn = W.partitionBy(*key_).orderBy(F.col("id") != F.col("_h"), "_c", "c", "id")
+        lead = cut(mine.withColumn("_r", F.row_number().over(turn)).filter(F.col("_r") <= n_leaders).select(*key_, F.col("id").alias("l"), F.col("n").alias("ln"), F.col("c").alias("lc")))
+        spread = n_leaders // LEADERS  # parts of a bucket, so that a task has no more pairs for a text where leaders are many
+        dealt = lead.withColumn("_p", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
+        met = mine.withColumn("_p", F.pmod(F.xxhash64("id"), F.lit(spread)).cast("int")).join(dealt, [*key_, "_p"]).filter((F.col("c") != F.col("lc")) & close("n", "ln"))
+        found = merged(_verified(pairs(met, "id", "l"), words))
+        rest = mine.join(lead.select(*key_, F.col("l").alias("id")), [*key_, "id"], "left_anti").select("id", "n", *key_)
+        n_leaders *= 2
     final = member.withColumnRenamed("id", "_id").withColumnRenamed("rep", "id").join(found, "id", "left").select(F.col("_id").alias("id"), F.coalesce("class_id", "id").alias("class_id")).distinct()
     out = docs.select(key).distinct().withColumn("id", F.col(key).cast("long")).join(final, "id", "left")
     out = out.select(key, "class_id")

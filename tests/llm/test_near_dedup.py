@@ -63,6 +63,34 @@ def test_classes_against_brute_force(spark):
     assert sorted(r.doc_id for r in kept) == sorted(set(got.values()))
 
 
+def crowded():
+    """Texts over one long passage, all unlike each other, and behind them pairs that meet in the crowded buckets only."""
+    r = random.Random(11)
+    common = [f"c{i}" for i in range(70)]
+    own = [[f"t{d}x{i}" for i in range(30)] for d in range(60)]
+    twins = [[f"u{d}x{i}" if i % 2 else w for i, w in enumerate(words)] for d, words in enumerate(own[40:])]
+    texts = [" ".join(common + words) for words in own[:40]]
+    behind = [" ".join(common + words) for words in own[40:] + twins]
+    r.shuffle(behind)
+    return texts + behind
+
+
+def test_alike_texts_behind_many_unlike_leaders(spark):
+    texts = crowded()
+    got = {r.doc_id: r.class_id for r in nd.classes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    h, first = nd.hashed_words(texts)
+    bands = nd.sketch(h, first)
+    want = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if (bands[i] == bands[j]).any() and nd.alike(h[first[i] : first[i + 1]], h[first[j] : first[j + 1]]):
+                want[i] = want[j]
+    buckets = [np.unique(column, return_counts=True)[1].max() for column in bands.T]
+    assert max(buckets) > 3 * (nd.LEADERS + 1)
+    assert sum(i != c for i, c in enumerate(want)) > 10
+    assert got == dict(enumerate(want))
+
+
 def test_repeated_rows_null_keys_and_no_rows(spark):
     df = spark.createDataFrame([(1, "a b c"), (1, "a b c"), (None, "a b c"), (2, None)], "doc_id long, text string")
     got = sorted((r.doc_id or -1, r.class_id) for r in nd.classes(df).collect())
