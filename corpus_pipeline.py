@@ -2,6 +2,9 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a table; all but the last return the columns of documents. run()
 writes each stage's rows to the shared folder and goes on from there, so a lost executor costs one stage at most.
+
+The order of rows does not outlive a table, so the mixture stage also writes the places of its rows, and the last stage
+adds them: (slot, start_byte) of a row of the result is its place in the mixture.
 """
 
 from __future__ import annotations
@@ -13,6 +16,9 @@ from pyspark.sql import functions as F
 from sectile.llm import bpe, mixing, near_dedup, quality_rules, suffix_dedup
 from sectile.llm.common import cut, table
 
+#: Places that the mixture stage wrote, for the stage after it.
+_PLACES: dict[tuple[str, str], DataFrame] = {}
+
 
 def by_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep(docs)
@@ -28,11 +34,16 @@ def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def in_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    places = mixing.positions(docs).select("doc_id", "source", "n_bytes", "slot", "start_byte")
+    _PLACES[spark.sparkContext.applicationId, sf_dir] = cut(places)
     return mixing.mixed(docs)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    places = _PLACES.get((spark.sparkContext.applicationId, sf_dir))
+    if places is None:
+        raise ValueError("the mixture stage has not run on this folder")
+    return bpe.round_trip(mixing.with_places(docs, places), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, also=["slot", "start_byte"])
 
 
 STAGES = [

@@ -14,6 +14,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import struct
+from collections.abc import Sequence
 from pathlib import Path
 
 import numpy as np
@@ -160,11 +161,11 @@ def decode(coded: DataFrame, vocabulary: str, pattern: str, key: str = "doc_id",
     return arrow_map(coded, run, T.StructType([coded.schema[key], T.StructField("content", T.BinaryType())]))
 
 
-def round_trip(docs: DataFrame, vocabulary: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: n_tokens, ids_sha256, decoded_sha256. One pass, no shuffle; a text is encoded and its ids decoded again."""
+def round_trip(docs: DataFrame, vocabulary: str, pattern: str, key: str = "doc_id", text: str = "text", also: Sequence[str] = ()) -> DataFrame:
+    """Per row: n_tokens, ids_sha256, decoded_sha256 and the columns `also`. One pass, no shuffle; a text is encoded and its ids decoded again."""
     small_batches(docs.sparkSession)
     make = _maker(docs.sparkSession, vocabulary, pattern)
-    docs = only(docs, key, text)
+    docs = only(docs, key, text, *also)
 
     def run(b):
         bpe = make()
@@ -175,7 +176,7 @@ def round_trip(docs: DataFrame, vocabulary: str, pattern: str, key: str = "doc_i
             "n_tokens": [len(x) // 4 for x in coded],
             "ids_sha256": [hashlib.sha256(x).hexdigest() for x in coded],
             "decoded_sha256": [hashlib.sha256(bpe.decode(x)).hexdigest() for x in coded],
-        }
+        } | {c: b.column(c) for c in also}
 
-    schema = T.StructType([docs.schema[key], T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())])
+    schema = T.StructType([docs.schema[key], T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType()), *[docs.schema[c] for c in also]])
     return arrow_map(docs, run, schema)

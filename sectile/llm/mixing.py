@@ -88,3 +88,14 @@ def mixed(docs: DataFrame, targets: dict[str, float] | None = None, block_bytes:
     n = docs.sparkSession.conf.get("spark.sql.shuffle.partitions")
     out = placed(docs, targets, block_bytes, key, source, text)
     return out.repartitionByRange(int(n), "_slot", "_start").sortWithinPartitions("_slot", "_start").select(*docs.columns)
+
+
+def with_places(docs: DataFrame, places: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
+    """docs with slot and start_byte of their positions(). Rows of one key, source and size take their places in turn."""
+    same = [key, "_source", "_bytes"]
+    have = {"_source": F.coalesce(F.col(source).cast("string"), F.lit("")), "_bytes": F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1}
+    rows = docs.drop("slot", "start_byte").withColumns(have).withColumn("_turn", F.row_number().over(W.partitionBy(*same).orderBy(text)))
+    turn = F.row_number().over(W.partitionBy("_k", "_s", "_b").orderBy("start_byte"))
+    at = places.select(F.col(key).alias("_k"), F.col("source").alias("_s"), F.col("n_bytes").alias("_b"), "slot", "start_byte").withColumn("_t", turn)
+    met = F.col(key).eqNullSafe(F.col("_k")) & (F.col("_source") == F.col("_s")) & (F.col("_bytes") == F.col("_b")) & (F.col("_turn") == F.col("_t"))
+    return rows.join(at, met, "left").drop("_source", "_bytes", "_turn", "_k", "_s", "_b", "_t")

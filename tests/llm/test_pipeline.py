@@ -6,7 +6,7 @@ import public_tokenizers as P
 import tiktoken
 
 import corpus_pipeline as cp
-from sectile.llm import bpe, queries
+from sectile.llm import bpe, mixing, queries
 from sectile.llm.common import cut, table
 
 D = "/root/testdata/sf0.001"
@@ -66,6 +66,45 @@ def test_rows_against_brute_force(spark):
     assert got == brute(docs)
 
 
+def test_rows_carry_their_places_in_the_mixture(spark):
+    """Bytes before a row within its source by the order of digests, and slots by a plain earliest deadline first."""
+    docs = table(spark, D, "documents")
+    for _, stage in cp.STAGES[:-1]:
+        docs = cut(stage(spark, docs, D))
+    size, start, rows = {}, {}, docs.select("doc_id", "source", "text").collect()
+    for r in sorted(rows, key=lambda r: hashlib.md5(str(r.doc_id).encode()).hexdigest()):
+        start[r.doc_id] = size.get(r.source, 0)
+        size[r.source] = start[r.doc_id] + len(r.text.encode()) + 1
+    period = max(mixing.PERIOD, mixing.PERIOD_PER_SOURCE * len(size))
+    weight = {s: max(1, int(n**0.5 * 1000)) for s, n in size.items()}
+    whole = {s: 1 + w * (period - len(size)) // sum(weight.values()) for s, w in weight.items()}
+    rest = sorted(size, key=lambda s: (-(weight[s] * (period - len(size)) % sum(weight.values())), s))
+    share = {s: whole[s] + (s in rest[: period - sum(whole.values())]) for s in size}
+    slot, done = {}, dict.fromkeys(size, 0)
+    for t in range(period):
+        ready = [(-(-(done[s] + 1) * period // share[s]), s) for s in size if done[s] * period // share[s] <= t]
+        if ready:
+            s = min(ready)[1]
+            slot[s, done[s]] = t
+            done[s] += 1
+
+    def at(r):
+        turn, k = divmod(start[r.doc_id] // mixing.BLOCK_BYTES, share[r.source])
+        return turn * period + slot[r.source, k]
+
+    want = sorted((r.doc_id, at(r), start[r.doc_id]) for r in rows)
+    got = sorted((r.doc_id, r.slot, r.start_byte) for r in cp.run(spark, D).collect())
+    assert got == want and len({s for _, s, _ in want}) > 1
+
+
+def test_places_of_repeated_rows(spark):
+    df = spark.createDataFrame([(1, "a", "xx"), (1, "a", "xx"), (2, None, None), (None, "", ""), (None, "", "")], "doc_id long, source string, text string")
+    rows = mixing.with_places(df, mixing.positions(df, block_bytes=2)).collect()
+    assert len(rows) == 5 and all(r.slot is not None for r in rows)
+    assert sorted(r.start_byte for r in rows if r.doc_id == 1) == [0, 3]
+    assert sorted(r.start_byte for r in rows if r.doc_id is None) in ([0, 1], [0, 2], [1, 2])
+
+
 def test_stages_keep_the_columns(spark):
     docs = table(spark, D, "documents")
     n = docs.count()
