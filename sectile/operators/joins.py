@@ -89,8 +89,10 @@ def differences(a: DataFrame, b: DataFrame, key: str, checks: list[str]) -> Data
 
 
 def same_rows(new: DataFrame, old: DataFrame, columns: list[str], frame: str) -> DataFrame:
-    """New rows equal to an old row in all columns (nulls equal): new frame -> smallest old frame."""
-    a, b = new.alias("a"), old.alias("b")
+    """New rows equal to an old row in all columns (nulls equal): new frame -> smallest old frame.
+
+    Old rows that are equal are one row before the join, so a new row meets one row at most."""
+    a, b = new.alias("a"), old.groupBy(*columns).agg(F.min(frame).alias(frame)).alias("b")
     same = reduce(lambda x, y: x & y, [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in columns])
     return a.join(b, same).groupBy(F.col(f"a.{frame}").alias("frame")).agg(F.min(f"b.{frame}").alias("old_frame"))
 

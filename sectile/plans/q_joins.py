@@ -137,6 +137,13 @@ def jn18_reusable_rows(t):
     return j.same_rows(f.filter("frame % 97 = 0"), f.filter("frame % 89 = 0"), ["q", "d", "x"], "frame")
 
 
+@query("WITH f AS (SELECT l_orderkey * 10 + l_linenumber AS frame, l_quantity AS q, l_discount AS d, CASE WHEN l_tax > 0 THEN l_tax END AS x, l_linestatus AS s FROM lineitem), o AS (SELECT q, d, x, min(frame) AS old_frame FROM f WHERE s IS DISTINCT FROM 'O' GROUP BY ALL) SELECT f.frame, min(old_frame) AS old_frame FROM f JOIN o ON f.q IS NOT DISTINCT FROM o.q AND f.d IS NOT DISTINCT FROM o.d AND f.x IS NOT DISTINCT FROM o.x WHERE f.s = 'O' GROUP BY 1")
+def jn18_reusable_rows_whole(t):
+    """Open rows are the new ones, all others the old ones."""
+    f = t("lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("frame"), F.col("l_quantity").alias("q"), F.col("l_discount").alias("d"), F.expr("CASE WHEN l_tax > 0 THEN l_tax END").alias("x"), F.col("l_linestatus").eqNullSafe("O").alias("new"))
+    return j.same_rows(f.filter("new"), f.filter("NOT new"), ["q", "d", "x"], "frame")
+
+
 _EDGES = "SELECT DISTINCT l_suppkey AS s, l_partkey AS p FROM lineitem WHERE l_quantity = 50 AND l_discount = 0.1"
 
 
