@@ -217,6 +217,12 @@ def mi24_window_fraction(t):
     return p.window_fraction(i, [], "x", "y", "v", 2).select("y", "x", r("fraction").alias("fraction"))
 
 
+@query(f"WITH i AS (SELECT y, x, CASE WHEN v > 130 THEN 1 ELSE 0 END AS v FROM ({_IMG})), s AS (SELECT y, x, sum(v) OVER r AS s, count(*) OVER r AS n FROM i WINDOW r AS (PARTITION BY y ORDER BY x RANGE BETWEEN 2 PRECEDING AND 2 FOLLOWING)) SELECT y, x, round(sum(s) OVER c / sum(n) OVER c, 6) AS fraction FROM s WINDOW c AS (PARTITION BY x ORDER BY y RANGE BETWEEN 2 PRECEDING AND 2 FOLLOWING)")
+def mi24_window_fraction_whole(t):
+    i = image(t).withColumn("v", (F.col("v") > 130).cast("int"))
+    return p.window_fraction(i, [], "x", "y", "v", 2).select("y", "x", r("fraction").alias("fraction"))
+
+
 @query(f"WITH i AS ({_VOL}), h AS (SELECT z, y, x, lag(v) OVER r - 2 * v + lead(v) OVER r AS h FROM i WINDOW r AS (PARTITION BY z, y ORDER BY x)), k AS (SELECT z, lag(h) OVER c - 2 * h + lead(h) OVER c AS k FROM h WINDOW c AS (PARTITION BY z, x ORDER BY y)) SELECT z, round(sqrt(pi() / 2) / 6 * avg(abs(k)), 6) AS noise FROM k WHERE k IS NOT NULL GROUP BY 1")
 def nu37_laplacian_noise(t):
     i = image(t).select(F.floor(F.col("y") / 25).alias("z"), (F.col("y") % 25).alias("y"), "x", "v")

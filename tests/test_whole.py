@@ -19,3 +19,15 @@ def test_all_rows_are_asked_for_reuse(spark):
                 want[frame] = min(old[same], want.get(frame, old[same]))
     got = {r.frame: r.old_frame for r in e.queries()["jn18_reusable_rows_whole"](spark, D).collect()}
     assert got == want and len(want) > 100
+
+
+def test_window_fraction_of_the_whole_image(spark):
+    from sectile.plans.q_scalars import image
+
+    d = D.replace("0.001", "0.01")
+    v = {(r.y, r.x): r.v > 130 for r in image(lambda name: spark.read.parquet(f"{d}/{name}.parquet")).collect()}
+    got = {(r.y, r.x): r.fraction for r in e.queries()["mi24_window_fraction_whole"](spark, d).collect()}
+    assert got.keys() == v.keys() and max(y for y, _ in got) >= 80
+    for y, x in v:
+        near = [v[a, b] for a in range(y - 2, y + 3) for b in range(x - 2, x + 3) if (a, b) in v]
+        assert abs(got[y, x] - np.mean(near)) < 1e-6
