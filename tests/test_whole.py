@@ -31,3 +31,21 @@ def test_window_fraction_of_the_whole_image(spark):
     for y, x in v:
         near = [v[a, b] for a in range(y - 2, y + 3) for b in range(x - 2, x + 3) if (a, b) in v]
         assert abs(got[y, x] - np.mean(near)) < 1e-6
+
+
+def test_components_over_all_edges(spark, tmp_path):
+    r = np.random.default_rng(3)
+    edges = [(int(s), int(p)) for s, p in zip(r.integers(0, 60, 70), r.integers(0, 90, 70))] + [(100 + i // 2, 100 + (i + 1) // 2) for i in range(40)]
+    spark.createDataFrame([(s, p, 1.0, 0.0) for s, p in edges], "l_suppkey long, l_partkey long, l_quantity double, l_discount double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    own = {n: n for s, p in edges for n in (2 * s, 2 * p + 1)}
+
+    def find(n):
+        while own[n] != n:
+            n = own[n]
+        return n
+
+    for s, p in edges:
+        x, y = find(2 * s), find(2 * p + 1)
+        own[max(x, y)] = min(x, y)
+    got = {x.node: x.component for x in e.queries()["nu7_components_whole"](spark, str(tmp_path)).collect()}
+    assert got == {n: find(n) for n in own} and len(set(got.values())) > 3
