@@ -183,6 +183,11 @@ def snk17_plot_table(t):
     return t("orders").filter("o_orderkey % 50 = 0").select("o_orderkey", F.round("o_totalprice").cast("long").alias("price"), F.format_string("%.2f", "o_totalprice").alias("text"))
 
 
+@query("SELECT o_orderkey, CAST(round(o_totalprice) AS BIGINT) AS price, printf('%.2f', o_totalprice) AS text FROM orders")
+def snk17_plot_table_whole(t):
+    return t("orders").select("o_orderkey", F.round("o_totalprice").cast("long").alias("price"), F.format_string("%.2f", "o_totalprice").alias("text"))
+
+
 # -- the rest of the table functions --------------------------------------------------------------------------------
 
 

@@ -49,3 +49,9 @@ def test_components_over_all_edges(spark, tmp_path):
         own[max(x, y)] = min(x, y)
     got = {x.node: x.component for x in e.queries()["nu7_components_whole"](spark, str(tmp_path)).collect()}
     assert got == {n: find(n) for n in own} and len(set(got.values())) > 3
+
+
+def test_plot_table_has_all_rows(spark, tmp_path):
+    spark.createDataFrame([(k, k + 0.25) for k in range(1, 49)], "o_orderkey long, o_totalprice double").write.parquet(f"{tmp_path}/orders.parquet")
+    got = sorted(tuple(x) for x in e.queries()["snk17_plot_table_whole"](spark, str(tmp_path)).collect())
+    assert got == [(k, k, f"{k}.25") for k in range(1, 49)]
