@@ -117,13 +117,44 @@ def ids_and_texts(b: pa.RecordBatch, key: str = "doc_id", text: str = "text") ->
     return b.column(key).to_pylist(), [x or "" for x in b.column(text).to_pylist()]
 
 
+def place(df: DataFrame, name: str) -> int:
+    """Position of the column of that name: the one spelt so, else the first that differs in case only."""
+    names = df.columns
+    for i, c in enumerate(names):
+        if c == name:
+            return i
+    for i, c in enumerate(names):
+        if c.lower() == name.lower():
+            return i
+    raise ValueError(f"missing column: {name}")
+
+
+def _numbered(df: DataFrame) -> list[str]:
+    return [f"c{i}" for i in range(len(df.columns))]
+
+
 def only(df: DataFrame, *names: str) -> DataFrame:
-    """The named columns, the first of each name (clashing extra columns play no part)."""
-    seen = {c.lower() for c in df.columns}
-    missing = [n for n in names if n.lower() not in seen]
-    if missing:
-        raise ValueError(f"missing columns: {missing}")
-    return df.select(*names)
+    """The named columns, under these names; extra columns, clashing ones too, play no part."""
+    at = [place(df, n) for n in names]
+    if len({c.lower() for c in df.columns}) == len(df.columns):
+        return df.select(*(F.col(quoted(df.columns[i])).alias(n) for i, n in zip(at, names)))
+    return df.toDF(*_numbered(df)).select(*(F.col(f"c{i}").alias(n) for i, n in zip(at, names)))
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def rolled(df: DataFrame, **names: str) -> DataFrame:
+    """(row, and a column for each of names): row holds all columns of df by number, so that no name can clash."""
+    plain = df.toDF(*_numbered(df))
+    return plain.select(F.struct(*plain.columns).alias("row"), *(F.col(f"c{place(df, n)}").alias(k) for k, n in names.items()))
+
+
+def unrolled(rows: DataFrame, like: DataFrame, **changed: str) -> DataFrame:
+    """The columns of `like` from `row`; those of changed (column of like = column of rows) are replaced."""
+    new = {place(like, k): v for k, v in changed.items()}
+    return rows.select(*(F.col(new.get(i, f"row.c{i}")).alias(f"c{i}") for i in range(len(like.columns)))).toDF(*like.columns)
 
 
 # Arrays as bytes: byte planes (so that equal high bytes lie together), then zstd.

@@ -8,11 +8,13 @@ word within a band of diagonals as wide as the allowed edits; 1 - edits / longer
 
 Exact copies are merged first, by digest, so a group of copies is one text from there on. A bucket holds texts of one
 band value and similar length. A text is compared with the smallest of its buckets' leaders (smallest ids), then with
-those that are still of another class. Where classes of a bucket still differ, more of its texts become leaders, LEADERS in
-the first round and twice as many in each next one, until every two texts of the bucket are of one class or have been
-compared. So a group of like texts of any size costs a few comparisons for each text; unlike texts of a bucket cost a
-comparison for each pair. Classes are connected components, found by alternating large-star and small-star steps, each
-written to the shared folder.
+those that are still of another class. Where classes of a bucket still differ, the bucket is dealt into blocks, and
+every two texts of different classes meet in the first bucket they share: each block with itself and with each other one.
+No pairs are sent: a block is one packed row, what two blocks give is their links. A pair is aligned only if the words that
+each has and the other lacks, counted by a product of bit matrices, are few enough (an edit changes one word on each
+side, so no alike pair is lost), and only while its classes are still apart. So a group of like texts of any size costs a
+few comparisons for each text; unlike texts of a bucket cost one product of bit rows for each pair. Classes are
+connected components, found by alternating large-star and small-star steps, each written to the shared folder.
 
 Defined results: a null text counts as empty; texts without words are alike only if they are equal; rows with the same
 key are one document; a null key has a null class; texts of one to four words are one k-mer; an empty table gives an
@@ -21,19 +23,20 @@ empty table. The class id is the smallest key of the class.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_map, cut, ids_and_texts, mix, only, only_last, pack, small_batches, span_hashes, unpack, word_spans
+from .common import arrow_fold, arrow_map, bucket_count, cut, ids_and_texts, mix, only, only_last, pack, rolled, small_batches, span_hashes, unpack, unrolled, word_spans
 
 K, BANDS, TAKEN, SIMILARITY = 5, 20, 3, 0.8
-#: Further leaders of a bucket whose classes differ, in the first round.
-LEADERS = 4
+#: Texts of a block, and words of one at most (unless it is a single text); pairs of texts for each task that compares blocks.
+BLOCK, BLOCK_WORDS, TASK_PAIRS = 256, 1 << 22, 1 << 19
 _C = mix(np.arange(1, 400, dtype=np.uint64))
 _ODD = _C | np.uint64(1)
 _MAX = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -116,15 +119,42 @@ def edits_within(a: np.ndarray, b: np.ndarray, k: int) -> int | None:
     if max(bag[bag > 0].sum(), -bag[bag < 0].sum()) > k:
         return None
     k = max(1, min(k, len(a)))
-    where: dict[int, int] = {}
-    for i, w in enumerate(n_a[: len(a)].tolist()):
-        where[w] = where.get(w, 0) | 1 << (i + k)  # row i + 1 is bit k of column i + 1
+    x, y = n_a[: len(a)].tolist(), n_a[len(a) :].tolist()
+    for narrow in (k >> 6, k >> 3):  # long texts mostly have few edits
+        if narrow >= 256 and (found := _banded(x, y, narrow)) is not None:
+            return found
+    return _banded(x, y, k)
+
+
+def _banded(a: list[int], b: list[int], k: int) -> int | None:
+    """Edit distance of a and b (not longer) if at most k."""
+    if len(a) - len(b) > k:
+        return None
+    # where a word of a stands, as bits: row i + 1 is bit k of column i + 1
+    if len(a) <= 1 << 12:
+        bits: dict[int, int] = {}
+        for i, w in enumerate(a):
+            bits[w] = bits.get(w, 0) | 1 << (i + k)
+
+        def matches(w: int, j: int) -> int:
+            return bits.get(w, 0) >> j
+    else:  # the rows of the band only
+        places: dict[int, list[int]] = {}
+        for i, w in enumerate(a):
+            places.setdefault(w, []).append(i)
+
+        def matches(w: int, j: int) -> int:
+            at, out = places.get(w, ()), 0
+            for i in at[bisect.bisect_left(at, j - k) : bisect.bisect_right(at, j + k)]:
+                out |= 1 << (i + k - j)
+            return out
+
     mask, top, score = (1 << 2 * k + 1) - 1, 1 << 2 * k, 0
     plus = mask >> (k + 1) << (k + 1)
     minus = mask ^ plus
-    for j, w in enumerate(n_a[len(a) :].tolist()):
+    for j, w in enumerate(b):
         plus, minus = plus >> 1 | top, minus >> 1
-        match = where.get(w, 0) >> j & mask
+        match = matches(w, j) & mask
         flat = ((match & plus) + plus ^ plus | match | minus) & mask
         right = (minus | ~(flat | plus)) << 1 & mask | 1
         left = (flat & plus) << 1 & mask
@@ -180,7 +210,128 @@ def _verified(pairs: DataFrame, words: DataFrame) -> DataFrame:
         yield {"a": [x for x, o in zip(a, ok) if o], "b": [x for x, o in zip(b, ok) if o]}
 
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "wa", "wb")
-    return arrow_map(joined, run, T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())]))
+    return arrow_map(joined, run, _LINK)
+
+
+_L, _I, _B = T.LongType(), T.IntegerType(), T.BinaryType()
+_LINK = T.StructType([T.StructField("a", _L), T.StructField("b", _L)])
+_BLOCK = T.StructType([*_LINK, T.StructField("band", _I), T.StructField("value", _L), T.StructField("size", _L), T.StructField("blk", T.StringType()), T.StructField("whole", _L), *(T.StructField(x, _B) for x in ("ids", "cs", "ns", "bands", "words"))])
+
+
+def _cells(n: str | Column) -> Column:
+    """Length class of a text of n words: alike texts are of one class or of neighbouring ones."""
+    return F.floor(F.log(F.greatest(n, F.lit(1)).cast("double")) / -F.log(F.lit(SIMILARITY)))
+
+
+class Block:
+    """Texts of a bucket: ids, classes, numbers of words, band values and word hashes, one text after the other."""
+
+    def __init__(self, ids: np.ndarray, cs: np.ndarray, ns: np.ndarray, bands: np.ndarray, words: np.ndarray):
+        self.ids, self.cs, self.ns, self.bands, self.words = ids, cs, ns, bands.reshape(-1, BANDS), words
+        self.at = np.concatenate(([0], np.cumsum(ns)))
+
+    @classmethod
+    def read(cls, *packed: bytes) -> "Block":
+        return cls(*(unpack(x, k) for x, k in zip(packed, (np.int64, np.int64, np.int32, np.int64, np.uint32))))
+
+    def packed(self) -> list[bytes]:
+        return [pack(x) for x in (self.ids, self.cs, self.ns, self.bands, self.words)]
+
+    def text(self, i: int) -> np.ndarray:
+        return self.words[self.at[i] : self.at[i + 1]]
+
+    def bits(self, width: int) -> np.ndarray:
+        out = np.zeros((len(self.ids), width), np.float32)
+        out[np.repeat(np.arange(len(self.ids)), self.ns), self.words & np.uint32(width - 1)] = 1
+        return out
+
+
+def links_between(x: Block, y: Block, band: int, size: int) -> list[tuple[int, int]]:
+    """Links that connect the classes of two blocks (x may be y) of the bucket as far as their alike pairs do.
+
+    Pairs that share an earlier bucket have met there.
+    """
+    width = 1 << min(15, max(8, int(np.ceil(2 - size * np.log2(SIMILARITY)))))
+    p = x.bits(width)
+    q = p if y is x else y.bits(width)
+    kept = (1 - SIMILARITY) * np.maximum(x.ns[:, None], y.ns) + 1e-9  # edits at most
+    ok = (np.maximum(p.sum(1)[:, None], q.sum(1)) - p @ q.T <= kept) & (np.abs(x.ns[:, None] - y.ns) <= kept) & (x.cs[:, None] != y.cs)
+    i, j = np.nonzero(np.triu(ok, 1) if y is x else ok)
+    cell = [np.floor(np.log(np.maximum(b.ns, 1)) / -np.log(SIMILARITY)) for b in (x, y)]
+    here = (np.maximum(cell[0][i], cell[1][j]) >= size) & ~(x.bands[i, :band] == y.bands[j, :band]).any(1)
+    up: dict[int, int] = {}
+
+    def top(c: int) -> int:
+        while c in up:
+            c = up[c]
+        return c
+
+    out = []
+    for m, n in zip(i[here].tolist(), j[here].tolist()):
+        a, b = top(int(x.cs[m])), top(int(y.cs[n]))
+        if a != b and alike(x.text(m), y.text(n)):
+            up[max(a, b)] = min(a, b)
+            out.append((int(x.ids[m]), int(y.ids[n])))
+    return out
+
+
+def _met(entries: DataFrame, words: DataFrame) -> DataFrame:
+    """Links (a, b) between the classes of each bucket. entries: (id, n, band, value, size, c)."""
+    bucket = ["band", "value", "size"]
+    per_class = entries.groupBy(*bucket, "c").agg(F.count(F.lit(1)).alias("_c"))
+    mixed = cut(per_class.groupBy(*bucket).agg(F.count(F.lit(1)).alias("_k"), F.sum("_c").alias("_m")).filter("_k > 1"))
+    pairs = mixed.agg(F.sum(F.col("_m") * F.col("_m"))).first()[0]
+    if not pairs:
+        return entries.sparkSession.createDataFrame([], _LINK)
+    tasks = bucket_count(pairs, TASK_PAIRS)
+    block = F.greatest(F.lit(1.0), F.least(F.lit(float(BLOCK)), F.floor(F.lit(float(BLOCK_WORDS)) * F.pow(F.lit(SIMILARITY), "size"))))
+    big = F.col("_c") > F.col("_b")  # a class that fills blocks of its own: they needn't meet
+    part = F.pmod(F.xxhash64(F.when(big, F.col("id")).otherwise(F.col("c"))), F.ceil(F.when(big, F.col("_c")).otherwise(F.col("_m")) / F.col("_b")))
+    dealt = entries.join(per_class.join(mixed, bucket).withColumn("_b", block), [*bucket, "c"])
+    dealt = dealt.withColumns({"whole": F.when(big, F.col("c")), "blk": F.concat_ws("/", F.when(big, F.col("c")).cast("string"), part.cast("string")), "alone": F.col("_m") <= F.col("_b")})
+    dealt = dealt.select("id", "n", *bucket, "c", "whole", "blk", "alone").join(words, "id")
+    order = [*bucket, "blk"]
+    names = (*order, "whole", "alone", "id", "c", "n", "bands", "words")
+
+    def build(batches):
+        def close(at, whole, alone, rows):
+            ids, cs, ns, bands, texts = zip(*rows)
+            b = Block(np.array(ids, np.int64), np.array(cs, np.int64), np.array(ns, np.int32), np.array(bands, np.int64), np.concatenate([unpack(t, np.uint32) for t in texts]))
+            links = links_between(b, b, at[0], at[2]) if whole is None else []
+            none = dict.fromkeys(_BLOCK.names)
+            if links:
+                yield {k: [None] * len(links) for k in none} | {"a": [a for a, _ in links], "b": [b for _, b in links]}
+            if not alone:
+                yield {k: [v] for k, v in (none | dict(zip(_BLOCK.names[2:], (*at, whole, *b.packed())))).items()}
+
+        at, whole, alone, rows = None, None, True, []
+        for b in batches:
+            for *key, w, only_one, i, c, n, v, t in zip(*(b.column(x).to_pylist() for x in names)):
+                if key != at:
+                    if rows:
+                        yield from close(at, whole, alone, rows)
+                    at, whole, alone, rows = key, w, only_one, []
+                rows.append((i, c, n, v, t))
+        if rows:
+            yield from close(at, whole, alone, rows)
+
+    built = cut(arrow_fold(dealt.repartition(tasks, *order).sortWithinPartitions(*order).select(*names), build, _BLOCK))
+    blocks = built.filter("a IS NULL").drop("a", "b")
+    keys = blocks.select(*bucket, "blk", "whole")
+    two = keys.join(keys.select(*bucket, F.col("blk").alias("other"), F.col("whole").alias("_w")), bucket).filter("blk < other AND coalesce(whole <> _w, true)").select(*order, "other")
+    data = ["ids", "cs", "ns", "bands", "words"]
+    left = two.join(blocks.select(*order, *data), order)
+    both = left.join(blocks.select(*bucket, F.col("blk").alias("other"), *(F.col(x).alias("o_" + x) for x in data)), [*bucket, "other"])
+
+    def cross(batches):
+        for b in batches:
+            for band, size, *packed in zip(*(b.column(x).to_pylist() for x in ("band", "size", *data, *("o_" + x for x in data)))):
+                links = links_between(Block.read(*packed[: len(data)]), Block.read(*packed[len(data) :]), band, size)
+                if links:
+                    yield {"a": [a for a, _ in links], "b": [b for _, b in links]}
+
+    across = arrow_fold(both.repartition(tasks, *order, "other"), cross, _LINK)
+    return built.filter("a IS NOT NULL").select("a", "b").unionByName(across).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -226,12 +377,12 @@ def _classes(docs: DataFrame, key: str, text: str) -> DataFrame:
     # buckets are (band, value, length class): lengths that may be alike share a class, others mostly don't meet
     key_ = ["band", "value", "size"]
     several = bands.groupBy("band", "value").agg(F.count(F.lit(1)).alias("_c")).filter("_c > 1").select("band", "value")
-    cell = F.floor(F.log(F.greatest("n", F.lit(1)).cast("double")) / -F.log(F.lit(SIMILARITY)))
+    cell = _cells("n")
     cells = cut(bands.join(several, ["band", "value"]).withColumn("size", F.explode(F.array(cell, cell + 1))))
     leader = cells.groupBy(*key_).agg(F.min(F.struct("id", "n")).alias("leader"), F.count(F.lit(1)).alias("_c")).filter("_c > 1")
     shared = cut(cells.join(leader, key_).select("id", "n", *key_, F.col("leader.id").alias("l"), F.col("leader.n").alias("ln")))
     # a table of its own, so that the joins of pairs with it can be split where a leader has many texts
-    words = cut(sk.select("id", "words").join(member.filter("id = rep").select("id"), "id", "left_semi").dropDuplicates(["id"]))
+    words = cut(sk.select("id", "words", "bands").join(member.filter("id = rep").select("id"), "id", "left_semi").dropDuplicates(["id"]))
 
     def close(n: str, m: str) -> F.Column:
         return F.least(n, m) >= SIMILARITY * F.greatest(n, m) - 1e-9
@@ -255,24 +406,9 @@ def _classes(docs: DataFrame, key: str, text: str) -> DataFrame:
     first_links = _verified(led.groupBy("id").agg(F.min("l").alias("l")).select(F.col("id").alias("a"), F.col("l").alias("b")), words)
     found = cut(components(first_links.unionByName(twice)))
     found = merged(_verified(pairs(classed(classed(led.select("id", "l").distinct(), "id", "c"), "l", "d").filter("c <> d"), "id", "l"), words))
-    # in buckets in which classes differ, further leaders, until no two texts of different classes are left that have not met
-    rest, n_leaders = shared.filter("id <> l").select("id", "n", *key_), LEADERS
-    while True:
-        mine = cut(classed(rest, "id", "c"))
-        sizes = mine.groupBy(*key_, "c").agg(F.count(F.lit(1)).alias("_c"), F.min("id").alias("_h"))
-        mixed = sizes.groupBy(*key_).agg(F.count(F.lit(1)).alias("_k")).filter("_k > 1").select(*key_)
-        mine = cut(mine.join(sizes, [*key_, "c"]).join(mixed, key_, "left_semi"))
-        if mine.isEmpty():
-            break
-        # the first texts of the classes, then all texts, of rare classes first: a bucket is done when one class is left
-        turn = W.partitionBy(*key_).orderBy(F.col("id") != F.col("_h"), "_c", "c", "id")
-        lead = cut(mine.withColumn("_r", F.row_number().over(turn)).filter(F.col("_r") <= n_leaders).select(*key_, F.col("id").alias("l"), F.col("n").alias("ln"), F.col("c").alias("lc")))
-        spread = n_leaders // LEADERS  # parts of a bucket, so that a task has no more pairs for a text where leaders are many
-        dealt = lead.withColumn("_p", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
-        met = mine.withColumn("_p", F.pmod(F.xxhash64("id"), F.lit(spread)).cast("int")).join(dealt, [*key_, "_p"]).filter((F.col("c") != F.col("lc")) & close("n", "ln"))
-        found = merged(_verified(pairs(met, "id", "l"), words))
-        rest = mine.join(lead.select(*key_, F.col("l").alias("id")), [*key_, "id"], "left_anti").select("id", "n", *key_)
-        n_leaders *= 2
+    # in buckets in which classes still differ, every two texts of different classes (the leader has met all)
+    mine = cut(classed(shared.filter("id <> l").select("id", "n", *key_), "id", "c"))
+    found = merged(_met(mine, words))
     final = member.withColumnRenamed("id", "_id").withColumnRenamed("rep", "id").join(found, "id", "left").select(F.col("_id").alias("id"), F.coalesce("class_id", "id").alias("class_id")).distinct()
     out = docs.select(key).distinct().withColumn("id", F.col(key).cast("long")).join(final, "id", "left")
     out = out.select(key, "class_id")
@@ -280,8 +416,9 @@ def _classes(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def keep(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each class, with the columns of docs."""
-    gone = cut(classes(docs, key, text).filter("NOT kept").select(key))
-    once = W.partitionBy(key).orderBy(text)
-    stays = docs.join(gone, key, "left_anti").withColumn("_n", F.when(F.col(key).isNull(), 1).otherwise(F.row_number().over(once)))
-    return stays.filter("_n = 1").select(*docs.columns)
+    """One document of each class, with the columns of docs; of rows with one key the first text stays."""
+    row = rolled(docs, k=key, t=text)
+    gone = cut(classes(docs, key, text).filter("NOT kept").select(F.col(key).alias("k")))
+    once = F.row_number().over(W.partitionBy("k").orderBy("t"))
+    stays = row.join(gone, "k", "left_anti").withColumn("nth", F.when(F.col("k").isNull(), 1).otherwise(once))
+    return unrolled(stays.filter("nth = 1"), docs)

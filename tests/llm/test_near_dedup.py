@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -24,6 +25,20 @@ def test_banded_alignment(a, b, k):
     assert nd.edits_within(np.array(a, np.uint32), np.array(b, np.uint32), k) == (d if d <= k else None)
 
 
+def test_alignment_of_long_sequences():
+    r = random.Random(2)
+    a = [r.randrange(300) for _ in range(6000)]
+    b = list(a)
+    for _ in range(200):
+        i = r.randrange(len(b))
+        b[i : i + 1] = r.choice([[], [7], [8, 9]])
+    x, y = np.array(a, np.uint32), np.array(b, np.uint32)
+    d = nd._banded(a if len(a) >= len(b) else b, b if len(a) >= len(b) else a, 1200)
+    assert nd.edits_within(x, y, 30_000) == nd.edits_within(x, y, 1200) == d <= 400
+    assert nd.edits_within(x[:4000], y[:4000], 1200) == nd._banded(a[:4000], b[:4000], 900)
+    assert nd.edits_within(x, y, 20) is None
+
+
 def corpus():
     r = random.Random(5)
     words = ["".join(r.choices("abcdefghij", k=5)) for _ in range(3000)]
@@ -75,7 +90,9 @@ def crowded():
     return texts + behind
 
 
-def test_alike_texts_behind_many_unlike_leaders(spark):
+@pytest.mark.parametrize("block", [nd.BLOCK, 7])
+def test_alike_texts_behind_many_unlike_leaders(spark, monkeypatch, block):
+    monkeypatch.setattr(nd, "BLOCK", block)  # 7: buckets of several blocks, classes that fill blocks of their own
     texts = crowded()
     got = {r.doc_id: r.class_id for r in nd.classes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
     h, first = nd.hashed_words(texts)
@@ -86,7 +103,7 @@ def test_alike_texts_behind_many_unlike_leaders(spark):
             if (bands[i] == bands[j]).any() and nd.alike(h[first[i] : first[i + 1]], h[first[j] : first[j + 1]]):
                 want[i] = want[j]
     buckets = [np.unique(column, return_counts=True)[1].max() for column in bands.T]
-    assert max(buckets) > 3 * (nd.LEADERS + 1)
+    assert max(buckets) > 15
     assert sum(i != c for i, c in enumerate(want)) > 10
     assert got == dict(enumerate(want))
 
@@ -98,3 +115,36 @@ def test_repeated_rows_null_keys_and_no_rows(spark):
     assert sorted(r.doc_id or -1 for r in nd.keep(df).collect()) == [-1, 1, 2]
     assert nd.classes(df.limit(0)).count() == 0
     assert nd.keep(df.limit(0)).count() == 0
+
+
+def test_a_large_class_and_unlike_texts_in_one_bucket(spark, monkeypatch):
+    monkeypatch.setattr(nd, "BLOCK", 5)
+    r = random.Random(3)
+    common = [f"c{i}" for i in range(70)]
+    family = [f"f{i}" for i in range(30)]
+    texts = [" ".join(common + [f"t{d}x{i}" for i in range(30)]) for d in range(12)]
+    for d in range(40):
+        mine = list(family)
+        mine[d % 30] = f"g{d}"
+        texts.append(" ".join(common + mine))
+    order = list(range(len(texts)))
+    r.shuffle(order)
+    got = {x.doc_id: x.class_id for x in nd.classes(spark.createDataFrame([(i, texts[o]) for i, o in enumerate(order)], "doc_id long, text string")).collect()}
+    least = min(i for i, o in enumerate(order) if o >= 12)
+    assert got == {i: i if o < 12 else least for i, o in enumerate(order)}
+
+
+def test_clashing_names_come_back_as_they_are(spark):
+    df = spark.createDataFrame([(1, 7, "a b c d e f", 8), (2, 6, "a b c d e f", 9)], "doc_id long, DOC_ID2 long, text string, _n long").toDF("doc_id", "DOC_ID", "text", "_n")
+    out = nd.keep(df)
+    assert out.columns == ["doc_id", "DOC_ID", "text", "_n"] and [tuple(r) for r in out.collect()] == [(1, 7, "a b c d e f", 8)]
+    out = nd.keep(df.toDF("doc_id", "id", "text", "class_id"))
+    assert out.columns == ["doc_id", "id", "text", "class_id"] and [tuple(r) for r in out.collect()] == [(1, 7, "a b c d e f", 8)]
+
+
+def test_a_very_long_text(spark):
+    r = random.Random(8)
+    long = [f"w{r.randrange(5000)}" for _ in range(100_000)]
+    edited = [w if i % 50 else "x" for i, w in enumerate(long)]
+    got = nd.classes(spark.createDataFrame([(1, " ".join(long)), (2, " ".join(edited)), (3, " ".join(long[:50_000]))], "doc_id long, text string"))
+    assert sorted((x.doc_id, x.class_id) for x in got.collect()) == [(1, 1), (2, 1), (3, 3)]
