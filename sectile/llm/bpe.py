@@ -23,7 +23,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import arrow_map, ids_and_texts, only, small_batches
+from .common import arrow_map, ids_and_texts, only
 
 #: Pre-tokens whose ids a worker remembers at most.
 CACHE = 250_000
@@ -136,7 +136,6 @@ def _maker(spark, vocabulary: str, pattern: str):
 
 def encode(docs: DataFrame, vocabulary: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, ids): ids of each text as an array of ints."""
-    small_batches(docs.sparkSession)
     make = _maker(docs.sparkSession, vocabulary, pattern)
     docs = only(docs, key, text)
 
@@ -150,7 +149,6 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, key: str = "doc_id",
 
 def decode(coded: DataFrame, vocabulary: str, pattern: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
     """(key, content): the bytes that the ids stand for."""
-    small_batches(coded.sparkSession)
     make = _maker(coded.sparkSession, vocabulary, pattern)
     coded = only(coded, key, ids)
 
@@ -163,7 +161,6 @@ def decode(coded: DataFrame, vocabulary: str, pattern: str, key: str = "doc_id",
 
 def round_trip(docs: DataFrame, vocabulary: str, pattern: str, key: str = "doc_id", text: str = "text", also: Sequence[str] = ()) -> DataFrame:
     """Per row: n_tokens, ids_sha256, decoded_sha256 and the columns `also`. One pass, no shuffle; a text is encoded and its ids decoded again."""
-    small_batches(docs.sparkSession)
     make = _maker(docs.sparkSession, vocabulary, pattern)
     docs = only(docs, key, text, *also)
 

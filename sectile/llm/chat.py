@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_fold, only, small_batches
+from .common import arrow_fold, only
 
 START, END = "<|im_start|>", "<|im_end|>"
 LEARNT = "assistant"
@@ -87,7 +87,6 @@ _COLUMNS = ("conv_id", "turn", "seq", "kind", "role", "text")
 
 
 def _sorted(events: DataFrame) -> DataFrame:
-    small_batches(events.sparkSession)
     n = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return only(events, *_COLUMNS).repartition(n, "conv_id").sortWithinPartitions("conv_id", "turn", "seq", "role", "text")
 

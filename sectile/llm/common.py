@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import threading
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Rows per Arrow batch for tables of texts: a batch of long texts stays in the tens of MB.
+#: Rows that a function sees at once. Spark ends a batch at 64 MB (spark.sql.execution.arrow.maxBytesPerBatch), so no setting is needed.
 TEXT_BATCH = 512
 
 
@@ -22,34 +23,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXT_BATCH))
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: the one the cluster names, or a local one where none is set."""
+    """The folder that driver and executors share: the one the cluster names. Where none is set, a local one, in local mode only."""
     sc = spark.sparkContext
     found = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not found and sc.master.split("[")[0] != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     return found or "file:///tmp/sectile-checkpoints"
 
 
-def ensure_checkpoints(spark: SparkSession) -> None:
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-
-
-_WRITTEN: list[tuple[SparkSession, str]] = []
+#: Tables that go when the driver's Python ends; for each thread, those of the only_last() calls that are running.
+_WRITTEN: dict[str, SparkSession] = {}
+_OPEN = threading.local()
 
 
 def _remove(spark: SparkSession, path: str) -> None:
+    _WRITTEN.pop(path, None)
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def _remove_written() -> None:
-    """The tables of cut() go when the driver's Python ends, if its Spark is still there."""
-    for spark, path in _WRITTEN:
-        with contextlib.suppress(Exception):
+    for path, spark in list(_WRITTEN.items()):
+        with contextlib.suppress(Exception):  # its Spark may be gone
             _remove(spark, path)
 
 
@@ -58,12 +54,16 @@ atexit.register(_remove_written)
 
 def only_last(make: Callable[[], DataFrame]) -> DataFrame:
     """cut(make()), after which the tables that make() wrote on the way are removed."""
-    mark = len(_WRITTEN)
-    out = cut(make())
-    between = _WRITTEN[mark:-1]
-    del _WRITTEN[mark:-1]
-    for spark, path in between:
-        _remove(spark, path)
+    outer, _OPEN.paths = getattr(_OPEN, "paths", None), []
+    try:
+        out = cut(make())
+        *between, last = _OPEN.paths
+    finally:
+        _OPEN.paths = outer
+    if outer is not None:
+        outer.append(last)
+    for path in between:
+        _remove(out.sparkSession, path)
     return out
 
 
@@ -71,11 +71,19 @@ def cut(df: DataFrame) -> DataFrame:
     """Write df once to the shared folder and go on from there; survives the loss of any executor."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/sectile-{uuid.uuid4().hex}"
-    _WRITTEN.append((spark, path))
+    _WRITTEN[path] = spark
+    if getattr(_OPEN, "paths", None) is not None:
+        _OPEN.paths.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _pieces(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)
+
+
 def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[dict]], schema: T.StructType) -> DataFrame:
     """mapInArrow where fn turns one batch into dicts of columns."""
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -83,22 +91,21 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[dict]], sch
     arrow = to_arrow_schema(schema)
 
     def run(batches):
-        for b in batches:
-            if b.num_rows:
-                for cols in fn(b):
-                    yield to_batch(cols, arrow)
+        for b in _pieces(batches, TEXT_BATCH):
+            for cols in fn(b):
+                yield to_batch(cols, arrow)
 
     return df.mapInArrow(run, schema)
 
 
-def arrow_fold(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: T.StructType) -> DataFrame:
-    """mapInArrow where fn turns the batches of a partition into dicts of columns."""
+def arrow_fold(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: T.StructType, rows: int = TEXT_BATCH) -> DataFrame:
+    """mapInArrow where fn turns the batches of a partition, of `rows` rows at most, into dicts of columns."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
     arrow = to_arrow_schema(schema)
 
     def run(batches):
-        for cols in fn(b for b in batches if b.num_rows):
+        for cols in fn(_pieces(batches, rows)):
             yield to_batch(cols, arrow)
 
     return df.mapInArrow(run, schema)
@@ -244,10 +251,6 @@ def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return out
 
 
-def bucket_count(rows: float, per_bucket: float, least: int = 12, most: int = 1 << 20) -> int:
-    return int(min(most, max(least, -(-rows // per_bucket))))
-
-
-def input_bytes(df: DataFrame, col: str = "text") -> int:
-    """Bytes of a text column: one cheap scan."""
-    return int(df.agg(F.sum(F.octet_length(col))).first()[0] or 0)
+def bucket_count(rows: float, per_bucket: float, least: int = 12) -> int:
+    """Buckets of per_bucket each, however many."""
+    return int(max(least, -(-rows // per_bucket)))

@@ -32,7 +32,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_fold, arrow_map, bucket_count, cut, ids_and_texts, mix, only, only_last, pack, rolled, small_batches, span_hashes, unpack, unrolled, word_spans
+from .common import arrow_fold, arrow_map, bucket_count, cut, ids_and_texts, mix, only, only_last, pack, rolled, span_hashes, unpack, unrolled, word_spans
 
 K, BANDS, TAKEN, SIMILARITY = 5, 20, 3, 0.8
 #: Texts of a block, and words of one at most (unless it is a single text); pairs of texts for each task that compares blocks.
@@ -171,7 +171,6 @@ def alike(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> bool:
 
 
 def _sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
-    small_batches(docs.sparkSession)
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("digest", T.BinaryType()), T.StructField("n", T.IntegerType()), T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("words", T.BinaryType())])
 
     def run(b):

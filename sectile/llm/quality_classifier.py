@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import quality_rules
-from .common import arrow_map, cut, ids_and_texts, only, small_batches, span_hashes, word_spans
+from .common import arrow_map, cut, ids_and_texts, only, span_hashes, word_spans
 
 BUCKETS, TRAIN, STEPS = 1 << 16, 3000, 120
 _SIGNS = 16  # buckets at the end, for signs of repetition
@@ -65,7 +65,6 @@ def _fitted(rows: list) -> tuple[np.ndarray, float]:
 def classify(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: p_label (of the label model), score (of the linear model), kept (score of 0.5 or more)."""
     spark = docs.sparkSession
-    small_batches(spark)
     docs = only(docs, key, text)
     counted = cut(quality_rules.counts(docs, text).select(key, "counts.*"))
     voted = quality_rules.votes(counted)

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_fold, arrow_map, bucket_count, cut, int_lists, mix, only, only_last, pack, small_batches, squeeze, unpack, unsqueeze
+from .common import arrow_fold, arrow_map, bucket_count, cut, int_lists, mix, only, only_last, pack, squeeze, unpack, unsqueeze
 
 LENGTH, GRAM = 50, 16
 WINDOW = LENGTH - GRAM + 1
@@ -458,7 +458,6 @@ def _gathered(runs: DataFrame) -> DataFrame:
 
 def report(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: n_bytes, n_removed, n_spans, kept_sha256."""
-    small_batches(docs.sparkSession)
     docs = only(docs, key, text)
     rows = docs.filter(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     runs = _gathered(repeated_runs(rows))
@@ -479,7 +478,6 @@ def report(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
 
 def strip(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with the repeated passages cut out of text; a cut inside a character leaves out what is left of it."""
-    small_batches(docs.sparkSession)
     rows = docs.filter(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     runs = _gathered(repeated_runs(rows))
     schema = T.StructType([T.StructField("_row", docs.schema), T.StructField("text", T.StringType())])

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from .bpe import byte_letters
-from .common import arrow_map, ids_and_texts, only, small_batches
+from .common import arrow_map, ids_and_texts, only
 
 #: Characters of a chunk; states and words that a worker remembers at most.
 CHUNK, STATES, WORDS = 1 << 14, 300_000, 1_000_000
@@ -206,7 +206,6 @@ _READY: dict[str, Counter] = {}
 def token_counts(docs: DataFrame, tokenizer: str, limit: int = 2048, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_bytes, n_tokens, over_limit) for each row of docs; one pass, no shuffle."""
     spark = docs.sparkSession
-    small_batches(spark)
     docs = only(docs, key, text)
     data = Path(tokenizer).read_bytes()
     name = hashlib.sha256(data).hexdigest()

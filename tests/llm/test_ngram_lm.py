@@ -22,9 +22,11 @@ def test_elias_fano(values, queries, block):
         ef = lm.EliasFano(*head, data)
         assert [ef[i] for i in range(len(v))] == v.tolist()
         q = np.array(queries + values[:5], np.uint64)
-        at, equal = ef.successors(q)
-        assert at.tolist() == np.searchsorted(v, q, side="left").tolist()
-        assert equal.tolist() == np.isin(q, v).tolist()
+        n = len(v)
+        for lo, hi in ((np.zeros(len(q), int), np.full(len(q), n)), (np.arange(len(q)) % (n + 1), np.minimum(n, np.arange(len(q)) % (n + 1) + 7))):
+            at = ef.successors(q, lo, hi)
+            assert at.tolist() == [a + int(np.searchsorted(v[a:b], x, side="left")) for x, a, b in zip(q, lo, hi)]
+        assert ef.values(np.arange(n)[::-1]).tolist() == v[::-1].tolist()
     finally:
         lm.EliasFano.BLOCK = 1 << 12
 
@@ -32,10 +34,11 @@ def test_elias_fano(values, queries, block):
 def test_trie_finds_pairs_by_context():
     pairs = sorted({(c, w) for c in range(50) for w in np.random.default_rng(c).integers(0, 900, c)})
     c, w = map(np.array, zip(*pairs))
-    trie = lm.Trie.build(50, c, w, np.arange(len(c)).astype(np.uint16), 900)
+    trie = lm.Trie.build(50, c, w, np.arange(len(c)).astype(np.uint16))
     assert trie.find(c, w).tolist() == list(range(len(c)))
     assert (trie.find(c, (w + 1) % 900) >= 0).tolist() == [((x, (y + 1) % 900) in set(pairs)) for x, y in pairs]
     assert trie.children(7).tolist() == [y for x, y in pairs if x == 7]
+    assert trie.children(0).tolist() == [] and trie.find(np.array([0, 0]), np.array([0, 5])).tolist() == [-1, -1]
 
 
 def brute(rows):
@@ -67,7 +70,7 @@ def test_against_brute_force(spark, monkeypatch, chunk, hot):
     monkeypatch.setattr(lm, "HOT", hot)
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{D}/documents.parquet").limit(200).collect()]
     rows += [(5001, None), (5002, ""), (5003, "of the " * 4000), (5004, "Ä ä A a"), (5004, "Ä ä A a"), (None, "the")]
-    df = spark.createDataFrame([(i, t, 1.5) for i, t in rows], "doc_id long, text string, score double")
+    df = spark.createDataFrame([(i, t, 1.5, 7) for i, t in rows], "doc_id long, text string, score double, x long").toDF("doc_id", "text", "score", "TEXT")
     key = lambda r: (r[0] if r[0] is not None else -1, r[2])
     got, want = sorted(map(tuple, lm.score(df).collect()), key=key), sorted(brute(rows), key=key)
     assert [r[:5] for r in got] == [r[:5] for r in want]
