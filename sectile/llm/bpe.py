@@ -6,7 +6,8 @@ identity. Texts are split into pre-tokens by a pattern; each is encoded on its o
 the pieces back to bytes.
 
 Defined results: a null text counts as empty; an empty text has no ids and decodes to no bytes; repeated rows each
-give a row; other columns are ignored; an empty table gives an empty table.
+give a row; extra columns, clashing ones too, are ignored; a text of any length is coded whole; an empty table gives an empty
+table.
 """
 
 from __future__ import annotations
@@ -144,7 +145,7 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, key: str = "doc_id",
         keys, texts = ids_and_texts(b, key, text)
         yield {key: keys, "ids": [np.frombuffer(bpe.encode(t), "<u4").astype(np.int32) for t in texts]}
 
-    return arrow_map(docs, run, T.StructType([docs.schema[key], T.StructField("ids", T.ArrayType(T.IntegerType()))]))
+    return arrow_map(docs, run, T.StructType([T.StructField(key, docs.schema[key].dataType), T.StructField("ids", T.ArrayType(T.IntegerType()))]))
 
 
 def decode(coded: DataFrame, vocabulary: str, pattern: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:

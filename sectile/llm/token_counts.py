@@ -1,17 +1,25 @@
 """Token counts by a compiled finite-state transducer.
 
-The tokenizer (byte-level BPE with word ends) is compiled to a deterministic transducer over the characters of a
-word: a transition carries the change of the number of emitted tokens, and a second, closing transition stands for
-the last character of a word. It is built from one fact about BPE: a sequence of tokens is the encoding of its string
-exactly if every two neighbours are the encoding of their own two. So the last token after each character is the
-one token that ends there and agrees with the last token before it. States are made when first reached.
-
-A chunk of text is a map from the lexer's state before it to the state after it and a count. Between two points where
-the tokenizer starts afresh (a blank before a visible ASCII character) the count does not depend on what came before,
-so the map is held as (open head, count, open tail), composition joins the tail to the next head, and a scan by
-doubling composes all chunks of a text.
-
-Defined results: a null text counts as empty, with 0 tokens; rows repeat as given; other columns are ignored.
+The tokenizer (byte-level BPE with word ends) is compiled to a deterministic transducer over characters; each transition
+carries the number of tokens that it emits. It is built from one fact about BPE: a sequence of tokens is the encoding of
+its string exactly if every two neighbours are the encoding of their own two. So the last token after each character is
+the one token that ends there and agrees with the last token before it, and what can matter later of what has been
+read is little: the ends of it that begin some token, and for each of them the last token before it and how many tokens
+ago that was. That is the state. Its ends are no longer than the longest token, so there are finitely many states, and a
+word of any length walks among them. They are made when first reached and forgotten when there are too many; a
+state is a value, so it outlives the table. A second, closing transition stands for the last character of a word.
+
+The lexer that finds words is a part of the automaton: its states are between words, in letters, in symbols, and after an
+apostrophe that may begin an ending, with the state within the word and the character that waits to know if it is the last.
+
+A text is cut into chunks. A chunk maps the state before it to the state after it and a count. A blank leads to the
+state between words from wherever one comes, so the map of a chunk with a blank is a count, a state, and the head before
+its first blank, whose count alone depends on the state before; a chunk without one maps state by state. Maps compose by a
+scan by doubling, and each character is read once.
+
+Defined results: a null text counts as empty, with 0 tokens; rows repeat as given; extra columns, clashing ones too, are
+ignored; a text of any length, in words of any length, takes bounded memory besides itself; an empty table gives an empty
+table.
 """
 
 from __future__ import annotations
@@ -28,25 +36,47 @@ from pyspark.sql import types as T
 from .bpe import byte_letters
 from .common import arrow_map, ids_and_texts, only
 
-#: Characters of a chunk; states and words that a worker remembers at most.
-CHUNK, STATES, WORDS = 1 << 14, 300_000, 1_000_000
+#: Characters of a chunk; states, transitions, pairs of tokens and words that a worker remembers at most.
+CHUNK, STATES, EDGES, PAIRS, WORDS = 1 << 14, 100_000, 600_000, 400_000, 1_000_000
+#: The pattern of the words of this kind of vocabulary, and the endings it takes apart.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+ENDINGS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
+
+#: What matters of a word so far, the longest first: an end of it that begins a token, the last token before that end, and the
+#: tokens since then.
+Ends = tuple[tuple[str, str | None, int], ...]
+START: Ends = (("", None, 0),)
 
 
 class Transducer:
+    """Over the byte letters of a word. States are numbers here; ends() gives their value."""
+
     def __init__(self, vocab: dict[str, int], merges: list[tuple[str, str]], end: str):
         self.rank = {tuple(m): i for i, m in enumerate(merges)}
         self.vocab, self.end = vocab, end
-        self.longest = max((len(t.removesuffix(end)) for t in vocab), default=1)
+        bodies = {t.removesuffix(end) if len(t) > len(end) else t for t in vocab}
+        self.begins = {b[:i] for b in bodies for i in range(len(b))}
         self.agree: dict[tuple, bool] = {}
-        self.whole: dict[str, bool] = {}
         self.reset()
 
     def reset(self) -> None:
-        #: Transitions (state, character) -> (state, change), closing transitions -> change, under one number each.
+        self.values: list[Ends] = [START]
+        self.number: dict[Ends, int] = {START: 0}
+        #: (state, letter) under one number -> (state, tokens); for closing transitions the tokens alone.
         self.next: dict[int, tuple[int, int]] = {}
         self.close: dict[int, int] = {}
-        #: For each state: last token, tokens so far, state before, last character.
-        self.info: list[tuple] = [(None, 0, -1, "")]
+
+    def ends(self, state: int) -> Ends:
+        return self.values[state]
+
+    def state(self, ends: Ends) -> int:
+        found = self.number.get(ends)
+        if found is None:
+            if len(self.values) >= STATES:
+                self.reset()
+            found = self.number[ends] = len(self.values)
+            self.values.append(ends)
+        return found
 
     def merged(self, symbols: list[str]) -> list[str]:
         """Plain BPE, for short inputs at compile time."""
@@ -56,7 +86,7 @@ class Transducer:
             best, _ = min(ranked)
             if best == 1 << 60:
                 break
-            pair, out, i = None, [], 0
+            out, i = [], 0
             while i < len(symbols):
                 if i + 1 < len(symbols) and self.rank.get((symbols[i], symbols[i + 1]), -1) == best:
                     out.append(symbols[i] + symbols[i + 1])
@@ -77,52 +107,66 @@ class Transducer:
     def _fits(self, last: str | None, token: str) -> bool:
         known = self.agree.get((last, token))
         if known is None:
-            if last is None:
-                known = self.merged(self._symbols(token)) == [token]
-            else:
-                known = self.merged(self._symbols(last) + self._symbols(token)) == [last, token]
-            self.agree[last, token] = known
+            if len(self.agree) > PAIRS:
+                self.agree.clear()
+            before = [] if last is None else [last]
+            known = self.agree[last, token] = self.merged([s for t in (*before, token) for s in self._symbols(t)]) == [*before, token]
         return known
 
-    def _follow(self, state: int, char: str, closing: bool) -> tuple[str, int]:
-        """The last token after char and the tokens so far."""
-        found, suffix, at = None, char + self.end * closing, state
-        for _ in range(self.longest):
-            if suffix in self.vocab:
-                last, count, _, _ = self.info[at]
-                if self._fits(last, suffix):
-                    found = suffix, count + 1
-                    break
-            if at == 0:
-                break
-            _, _, before, c = self.info[at]
-            suffix, at = c + suffix, before
+    def _last(self, ends: Ends, letter: str, closing: bool) -> tuple[str, int]:
+        """The last token after the letter, and the tokens from the end that it continues to it."""
+        for end, last, since in ends:
+            token = end + letter + self.end * closing
+            if token in self.vocab and self._fits(last, token):
+                return token, since
+        raise ValueError(f"no token ends with {letter!r}")
+
+    def step(self, state: int, letter: str) -> tuple[int, int]:
+        """(state, tokens more than before, which may be fewer) after a letter that is not the last."""
+        edge = state << 10 | ord(letter)  # byte letters are below 512
+        found = self.next.get(edge)
         if found is None:
-            raise ValueError(f"no token ends with {char!r}")
+            ends = self.values[state]
+            token, since = self._last(ends, letter, False)
+            more = 1 - since
+            after = tuple((end + letter, last, n + more) for end, last, n in ends if end + letter in self.begins)
+            tables = self.next
+            found = self.state((*after, ("", token, 0))), more
+            if len(self.next) > EDGES:
+                self.next.clear()
+            if tables is self.next:  # else the state is of a table that is gone
+                tables[edge] = found
+        return found
+
+    def last(self, state: int, letter: str) -> int:
+        """Tokens more than before after the last letter of a word."""
+        edge = state << 10 | ord(letter)
+        found = self.close.get(edge)
+        if found is None:
+            if len(self.close) > EDGES:
+                self.close.clear()
+            found = self.close[edge] = 1 - self._last(self.values[state], letter, True)[1]
         return found
 
     def count(self, word: str) -> int:
         """Tokens of one word (byte letters, not empty): the sum of what its transitions carry."""
-        if len(self.info) > STATES:
-            self.reset()
-        if len(self.agree) > 4 * STATES:
-            self.agree.clear()
         state = total = 0
-        for char in word[:-1]:
-            edge = state << 10 | ord(char)  # byte letters are below 512
-            step = self.next.get(edge)
+        known = self.next
+        for letter in word[:-1]:
+            step = known.get(state << 10 | ord(letter))
             if step is None:
-                last, count = self._follow(state, char, False)
-                step = self.next[edge] = len(self.info), count - self.info[state][1]
-                self.info.append((last, count, state, char))
-            state, change = step
-            total += change
-        char = word[-1]
-        edge = state << 10 | ord(char)
-        change = self.close.get(edge)
-        if change is None:
-            change = self.close[edge] = self._follow(state, char, True)[1] - self.info[state][1]
-        return total + change
+                step = self.step(state, letter)
+                known = self.next
+            state, more = step
+            total += more
+        return total + self.last(state, word[-1])
+
+
+#: State of the automaton over characters: the lexer's mode, the ends of the word before the waiting character(s), and these.
+State = tuple[str, Ends, str]
+BETWEEN: State = ("", START, "")
+#: (heads before the first blank, count from there on or None without a blank, state after it)
+Map = tuple[tuple[str, ...], int | None, State]
 
 
 class Counter:
@@ -130,74 +174,127 @@ class Counter:
 
     def __init__(self, spec: dict):
         model = spec["model"]
-        if model["type"] != "BPE" or not model["end_of_word_suffix"]:
-            raise ValueError("a BPE model with word ends is asked for")
+        if model["type"] != "BPE" or not model["end_of_word_suffix"] or spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] != PATTERN:
+            raise ValueError("a BPE model with word ends and the pattern of this module is asked for")
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.fst = Transducer(model["vocab"], merges, model["end_of_word_suffix"])
-        self.words = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
+        self.words = regex.compile(PATTERN).findall
         self.special = regex.compile("|".join(regex.escape(t["content"]) for t in spec["added_tokens"]) or r"(?!)")
         self.mark = [t["content"][:2] for t in spec["added_tokens"]]
         self.letters = dict(enumerate(byte_letters()))
         self.known: dict[str, int] = {}
-        #: Fresh starts: a blank before a visible ASCII character, which no normalisation joins to it.
-        self.fresh = regex.compile(r"[ \n](?=[!-~])")
+        self.kinds: dict[str, str] = {}
 
-    def _plain(self, text: str) -> int:
-        """Tokens of text without special tokens."""
-        if not unicodedata.is_normalized("NFC", text):
-            text = unicodedata.normalize("NFC", text)
-        words = self.words(text.replace("Σ", "σ").lower())  # letter by letter: no final sigma
-        known, total = self.known, 0
-        if len(known) > WORDS:
-            known.clear()
-        for n, w in zip(map(known.get, words), words):
-            if n is None:
-                n = self.fst.count(w.encode().decode("latin-1").translate(self.letters))
-                if len(w) <= 64:
-                    known[w] = n
-            total += n
-        return total
+    def _spelt(self, text: str) -> str:
+        return text.encode().decode("latin-1").translate(self.letters)
 
-    def segment(self, text: str) -> int:
-        if any(m in text for m in self.mark):
-            parts = self.special.split(text)
-            return len(parts) - 1 + sum(map(self._plain, parts))
-        return self._plain(text)
+    def word(self, word: str) -> int:
+        n = self.known.get(word)
+        if n is None:
+            n = self.fst.count(self._spelt(word))
+            if len(self.known) > WORDS:
+                self.known.clear()
+            if len(word) <= 64:
+                self.known[word] = n
+        return n
 
-    def chunk_map(self, chunk: str) -> tuple:
-        """(head, None, ...) without a fresh start, else (head, count, tail)."""
-        first = self.fresh.search(chunk)
-        if first is None:
-            return chunk, None, ""
-        last = first
-        at = max(chunk.rfind(" "), chunk.rfind("\n"))
-        while at > first.start():
-            if found := self.fresh.match(chunk, at):
-                last = found
-                break
-            at = max(chunk.rfind(" ", 0, at), chunk.rfind("\n", 0, at))
-        return chunk[: first.end()], self.segment(chunk[first.end() : last.end()]), chunk[last.end() :]
+    def between_words(self, text: str) -> int:
+        """Tokens of text that starts and ends between words: the transitions of a known word are remembered as one."""
+        words = self.words(text)
+        found = list(map(self.known.get, words))
+        return sum(found) if None not in found else sum(self.word(w) if n is None else n for n, w in zip(found, words))
+
+    def _kind(self, char: str) -> str:
+        kind = self.kinds.get(char)
+        if kind is None:
+            kind = self.kinds[char] = "S" if regex.match(r"\s", char) else "L" if regex.match(r"\p{L}", char) else "N" if regex.match(r"\p{N}", char) else "O"
+        return kind
+
+    def run(self, state: State, text: str) -> tuple[State, int]:
+        """The automaton: the state after text and the tokens that it emits (what waits in a state is counted later)."""
+        mode, ends, held = state
+        at, total = self.fst.state(ends), 0
+        for char in text:
+            kind = self._kind(char)
+            if mode == "'":  # held: an apostrophe that begins a word, perhaps a letter after it
+                if held + char in ENDINGS:
+                    total += self.word(held + char)
+                    mode, held = "", ""
+                    continue
+                if len(held) == 1 and any(e.startswith(held + char) for e in ENDINGS):
+                    held += char
+                    continue
+                if len(held) == 1 and kind == "O":
+                    mode = "O"
+                else:  # the apostrophe stands alone
+                    total += self.word("'")
+                    mode, held = ("L", held[1]) if len(held) > 1 else ("", "")
+            if mode and mode == kind:
+                for letter in self._spelt(held):
+                    at, more = self.fst.step(at, letter)
+                    total += more
+                held = char
+                continue
+            if mode:
+                total += self._closed(at, held)
+            at, mode, held = 0, "", ""
+            if kind == "N":
+                total += self.word(char)
+            elif kind != "S":
+                mode, held = "'" if char == "'" else kind, char
+        return (mode, self.fst.ends(at), held), total
 
-    def compose(self, a: tuple, b: tuple) -> tuple:
-        if a[1] is None and b[1] is None:
-            return self.chunk_map(a[0] + b[0])  # a fresh start may lie on the border
+    def _closed(self, at: int, held: str) -> int:
+        *letters, last = self._spelt(held)
+        total = 0
+        for letter in letters:
+            at, more = self.fst.step(at, letter)
+            total += more
+        return total + self.fst.last(at, last)
+
+    def closed(self, state: State) -> int:
+        """Tokens that the end of the text emits."""
+        mode, ends, held = state
+        if mode == "'":
+            return self.word("'") + (self.word(held[1]) if len(held) > 1 else 0)
+        return self._closed(self.fst.state(ends), held) if mode else 0
+
+    def chunk_map(self, chunk: str, first: bool = False) -> Map:
+        """first: the chunk starts between words."""
+        a, b = 0 if first else chunk.find(" ") + 1, chunk.rfind(" ") + 1
+        if not a and not first:
+            return (chunk,), None, BETWEEN
+        after, n = self.run(BETWEEN, chunk[max(a, b) :])
+        return ((chunk[:a],) if a else ()), self.between_words(chunk[a:b]) + n, after
+
+    def compose(self, a: Map, b: Map) -> Map:
         if a[1] is None:
             return a[0] + b[0], b[1], b[2]
-        if b[1] is None:
-            return a[0], a[1], a[2] + b[0]
-        return a[0], a[1] + self.segment(a[2] + b[0]) + b[1], b[2]
+        state, n = self.walk(a[2], b[0])
+        return a[0], a[1] + n + (b[1] or 0), state if b[1] is None else b[2]
 
-    def close(self, a: tuple) -> int:
-        head, count, tail = a
-        return self.segment(head) if count is None else self.segment(head) + count + self.segment(tail)
+    def walk(self, state: State, heads: tuple[str, ...]) -> tuple[State, int]:
+        total = 0
+        for head in heads:
+            state, n = self.run(state, head)
+            total += n
+        return state, total
 
-    def count(self, text: str) -> int:
-        if len(text) <= CHUNK:
-            return self.segment(text)
-        maps = [self.chunk_map(text[i : i + CHUNK]) for i in range(0, len(text), CHUNK)]
+    def _plain(self, text: str) -> int:
+        """Tokens of text without special tokens."""
+        if not unicodedata.is_normalized("NFC", text):
+            text = unicodedata.normalize("NFC", text)
+        text = text.replace("Σ", "σ").lower()  # letter by letter: no final sigma
+        maps = [self.chunk_map(text[i : i + CHUNK], i == 0) for i in range(0, len(text), CHUNK)]
         while len(maps) > 1:  # a scan by doubling; only its last value is needed
             maps = [self.compose(*maps[i : i + 2]) if i + 1 < len(maps) else maps[i] for i in range(0, len(maps), 2)]
-        return self.close(maps[0])
+        return maps[0][1] + self.closed(maps[0][2]) if maps else 0  # the first chunk's map has a count
+
+    def count(self, text: str) -> int:
+        if any(m in text for m in self.mark):
+            parts = self.special.split(text)
+            return len(parts) - 1 + sum(map(self._plain, parts))
+        return self._plain(text)
 
 
 _READY: dict[str, Counter] = {}
@@ -220,5 +317,5 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = 2048, key: str =
         n = [counter.count(t) for t in texts]
         yield {key: keys, "n_bytes": [len(t.encode()) for t in texts], "n_tokens": n, "over_limit": [x > limit for x in n]}
 
-    schema = T.StructType([docs.schema[key], T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("over_limit", T.BooleanType())])
+    schema = T.StructType([T.StructField(key, docs.schema[key].dataType), T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("over_limit", T.BooleanType())])
     return arrow_map(docs, run, schema)

@@ -1,4 +1,6 @@
 import hashlib
+import json
+import random
 
 import numpy as np
 import public_tokenizers as P
@@ -59,3 +61,36 @@ def test_empty_table(spark):
     none = frame(spark).limit(0)
     assert bpe.round_trip(none, P.path("byte_bpe_50k.tiktoken"), P.PATTERN).count() == 0
     assert token_counts.token_counts(none, P.path("word_bpe_49k.json")).count() == 0
+
+
+def counter():
+    return token_counts.Counter(json.loads(open(P.path("word_bpe_49k.json")).read()))
+
+
+@pytest.mark.parametrize("chunk", [1, 3, 7, 1 << 14])
+def test_chunk_maps_compose_to_the_library_counts(monkeypatch, chunk):
+    monkeypatch.setattr(token_counts, "CHUNK", chunk)
+    lib, mine, r = Tokenizer.from_file(P.path("word_bpe_49k.json")), counter(), random.Random(chunk)
+    for _ in range(1500):
+        text = "".join(r.choices("abcdeorsvltm''''  !?.-129 éßΣ日🙂\n\t́ŀ", k=r.randint(0, 40)))
+        assert mine.count(text) == len(lib.encode(text, add_special_tokens=False).ids), text
+
+
+def test_states_are_few_and_tables_bounded_in_one_long_word(monkeypatch):
+    lib, mine, r = Tokenizer.from_file(P.path("word_bpe_49k.json")), counter(), random.Random(4)
+    word = "acgt" * 500_000
+    mine.count(word)
+    assert len(mine.fst.values) < 100
+    monkeypatch.setattr(token_counts, "STATES", 500)
+    monkeypatch.setattr(token_counts, "EDGES", 700)
+    word = "".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=60_000))
+    assert mine.count(word) == len(lib.encode(word, add_special_tokens=False).ids)
+    assert len(mine.fst.values) <= 500 and len(mine.fst.next) <= 702
+
+
+def test_clashing_names_play_no_part(spark):
+    df = spark.createDataFrame([(1, 5, "two words", "x", 9)], "a long, b long, c string, d string, e long").toDF("doc_id", "DOC_ID", "text", "TEXT", "n_tokens")
+    lib = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    want = len(lib.encode("two words", add_special_tokens=False).ids)
+    assert [(r.doc_id, r.n_tokens) for r in token_counts.token_counts(df, P.path("word_bpe_49k.json")).collect()] == [(1, want)]
+    assert [r.doc_id for r in bpe.round_trip(df, P.path("byte_bpe_50k.tiktoken"), P.PATTERN).collect()] == [1]
