@@ -37,7 +37,7 @@ from .bpe import byte_letters
 from .common import arrow_map, ids_and_texts, only
 
 #: Characters of a chunk; states, transitions, pairs of tokens and words that a worker remembers at most.
-CHUNK, STATES, EDGES, PAIRS, WORDS = 1 << 14, 100_000, 600_000, 400_000, 1_000_000
+CHUNK, STATES, EDGES, PAIRS, WORDS = 1 << 14, 250_000, 600_000, 400_000, 1_000_000
 #: The pattern of the words of this kind of vocabulary, and the endings it takes apart.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 ENDINGS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
@@ -53,6 +53,10 @@ class Transducer:
 
     def __init__(self, vocab: dict[str, int], merges: list[tuple[str, str]], end: str):
         self.rank = {tuple(m): i for i, m in enumerate(merges)}
+        #: For each token that a merge makes: its two parts and the merge's rank.
+        self.made = {a + b: (a, b, i) for (a, b), i in self.rank.items()}
+        if len(self.made) < len(self.rank):
+            raise ValueError("two merges make one token")
         self.vocab, self.end = vocab, end
         bodies = {t.removesuffix(end) if len(t) > len(end) else t for t in vocab}
         self.begins = {b[:i] for b in bodies for i in range(len(b))}
@@ -78,58 +82,67 @@ class Transducer:
             self.values.append(ends)
         return found
 
-    def merged(self, symbols: list[str]) -> list[str]:
-        """Plain BPE, for short inputs at compile time."""
-        symbols = list(symbols)
-        while len(symbols) > 1:
-            ranked = [(self.rank.get(p, 1 << 60), i) for i, p in enumerate(zip(symbols, symbols[1:]))]
-            best, _ = min(ranked)
-            if best == 1 << 60:
-                break
-            out, i = [], 0
-            while i < len(symbols):
-                if i + 1 < len(symbols) and self.rank.get((symbols[i], symbols[i + 1]), -1) == best:
-                    out.append(symbols[i] + symbols[i + 1])
-                    i += 2
-                else:
-                    out.append(symbols[i])
-                    i += 1
-            symbols = out
-        return symbols
-
-    def _symbols(self, token: str) -> list[str]:
-        body = token.removesuffix(self.end) if len(token) > len(self.end) else token
-        out = list(body)
-        if len(body) < len(token):
-            out[-1] += self.end
-        return out
+    def _apart(self, left: str, right: str) -> bool:
+        """Two tokens side by side: does no merge run across their border before the pieces there go into larger ones?
+
+        Told from the end: of the two pieces at the border the one made last is taken apart, and the pair that stood
+        there before must not merge sooner than it was made. Of equal ranks the leftmost merge comes first.
+        """
+        last, at_once = 1 << 60, False
+        while True:
+            rank = self.rank.get((left, right), 1 << 60)
+            if rank < last or (at_once and rank == last):
+                return False
+            a, b = self.made.get(left), self.made.get(right)
+            if a is None and b is None:
+                return True
+            if b is None or (a is not None and a[2] > b[2]):
+                left, last, at_once = a[1], a[2], False
+            else:
+                right, last, at_once = b[0], b[2], True
+
+    def _whole(self, token: str) -> bool:
+        """Is the token the encoding of its own string?"""
+        known = self.agree.get((None, token))
+        if known is None:
+            a, b, rank = self.made.get(token, (None, None, 0))
+            if a is None:
+                known = True
+            else:  # its parts must stand side by side up to the merge that makes it
+                known = self._whole(a) and self._whole(b)
+                if known:
+                    first = self.rank.pop((a, b))
+                    known = self._apart(a, b)
+                    self.rank[a, b] = first
+            self.agree[None, token] = known
+        return known
 
     def _fits(self, last: str | None, token: str) -> bool:
+        if last is None:
+            return self._whole(token)
         known = self.agree.get((last, token))
         if known is None:
             if len(self.agree) > PAIRS:
                 self.agree.clear()
-            before = [] if last is None else [last]
-            known = self.agree[last, token] = self.merged([s for t in (*before, token) for s in self._symbols(t)]) == [*before, token]
+            known = self.agree[last, token] = self._whole(token) and self._apart(last, token)
         return known
 
-    def _last(self, ends: Ends, letter: str, closing: bool) -> tuple[str, int]:
-        """The last token after the letter, and the tokens from the end that it continues to it."""
-        for end, last, since in ends:
-            token = end + letter + self.end * closing
-            if token in self.vocab and self._fits(last, token):
-                return token, since
-        raise ValueError(f"no token ends with {letter!r}")
-
     def step(self, state: int, letter: str) -> tuple[int, int]:
         """(state, tokens more than before, which may be fewer) after a letter that is not the last."""
         edge = state << 10 | ord(letter)  # byte letters are below 512
         found = self.next.get(edge)
         if found is None:
-            ends = self.values[state]
-            token, since = self._last(ends, letter, False)
+            token, after = None, []
+            for end, last, n in self.values[state]:
+                longer = end + letter
+                if token is None and longer in self.vocab and self._fits(last, longer):
+                    token, since = longer, n
+                if longer in self.begins:
+                    after.append((longer, last, n))
+            if token is None:
+                raise ValueError(f"no token ends with {letter!r}")
             more = 1 - since
-            after = tuple((end + letter, last, n + more) for end, last, n in ends if end + letter in self.begins)
+            after = [(end, last, n + more) for end, last, n in after] if more else after
             tables = self.next
             found = self.state((*after, ("", token, 0))), more
             if len(self.next) > EDGES:
@@ -145,7 +158,13 @@ class Transducer:
         if found is None:
             if len(self.close) > EDGES:
                 self.close.clear()
-            found = self.close[edge] = 1 - self._last(self.values[state], letter, True)[1]
+            for end, last, n in self.values[state]:
+                token = end + letter + self.end
+                if token in self.vocab and self._fits(last, token):
+                    found = self.close[edge] = 1 - n
+                    break
+            else:
+                raise ValueError(f"no token ends with {letter!r}")
         return found
 
     def count(self, word: str) -> int:

@@ -94,3 +94,32 @@ def test_clashing_names_play_no_part(spark):
     want = len(lib.encode("two words", add_special_tokens=False).ids)
     assert [(r.doc_id, r.n_tokens) for r in token_counts.token_counts(df, P.path("word_bpe_49k.json")).collect()] == [(1, want)]
     assert [r.doc_id for r in bpe.round_trip(df, P.path("byte_bpe_50k.tiktoken"), P.PATTERN).collect()] == [1]
+
+
+def test_pairs_of_tokens_against_plain_merging():
+    fst = counter().fst
+
+    def merged(symbols):
+        while True:
+            ranked = [(fst.rank[p], i) for i, p in enumerate(zip(symbols, symbols[1:])) if p in fst.rank]
+            if not ranked:
+                return symbols
+            _, i = min(ranked)
+            symbols = [*symbols[:i], symbols[i] + symbols[i + 1], *symbols[i + 2 :]]
+
+    def symbols(token):
+        body = token.removesuffix(fst.end) if len(token) > len(fst.end) else token
+        return [*body[:-1], body[-1] + token[len(body) :]]
+
+    r = random.Random(6)
+    tokens = [t for t in fst.vocab if not t.startswith("<|")]
+    inner = [t for t in tokens if not t.endswith(fst.end)]
+    short = [t for t in inner if len(t) < 4]
+    whole = 0
+    for _ in range(6000):
+        a, b = r.choice(r.choice([inner, short])), r.choice(r.choice([tokens, short]))
+        assert fst._fits(None, b) == (merged(symbols(b)) == [b])
+        if fst._fits(None, a):
+            whole += 1
+            assert fst._fits(a, b) == (merged(symbols(a) + symbols(b)) == [a, b]), (a, b)
+    assert whole > 1000
