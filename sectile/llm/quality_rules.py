@@ -7,7 +7,7 @@ replaces a filter that asks all rules to pass. The iterations are a fold over on
 
 Windows of eight words are compared by their 64-bit hashes. Defined results: a null text has no words; texts without
 words, and texts of fewer than 20 words, fail the base rule; repeated rows each get a row; extra columns pass through
-keep() and are ignored by score(); an empty table gives an empty table.
+keep() under whatever names and are ignored by score(); very long texts are counted whole, in one row; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, only
+from .common import cut, only, rolled, unrolled
 
 SPACE = r"[\\x20\\x09-\\x0D]"
 WINDOW = 8
@@ -122,5 +122,5 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
 
 def keep(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows of docs that are kept, with the columns of docs."""
-    counted = cut(docs.withColumn("_row", F.struct(*docs.columns)).transform(counts, text).select("_row", "counts"))
-    return _judged(counted).filter("kept").select("_row.*")
+    counted = cut(counts(rolled(docs, t=text), "t").select("row", "counts"))
+    return unrolled(_judged(counted).filter("kept"), docs)

@@ -46,3 +46,11 @@ def test_clean_documents_stay_and_junk_goes(spark):
     junk = [r for r in got if r.quality == 0]
     assert sum(r.kept for r in clean) >= 0.99 * len(clean)
     assert sum(not r.kept for r in junk) >= 0.9 * len(junk)
+
+
+def test_clashing_names_come_back_as_they_are(spark):
+    text = " ".join(f"word{i}" for i in range(80)) + "."
+    df = spark.createDataFrame([(1, text, "x", 7)], "doc_id long, text string, c string, d int").toDF("doc_id", "text", "TEXT", "counts")
+    out = q.keep(df)
+    assert out.columns == df.columns and [tuple(r) for r in out.collect()] == [(1, text, "x", 7)]
+    assert q.score(df).count() == 1
