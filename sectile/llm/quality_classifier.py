@@ -3,24 +3,28 @@
 Overlapping heuristic labellers (the rules of quality_rules) vote good, bad or abstain on every document. A label model
 estimates by expectation-maximisation how accurate each is, over the vote patterns of all documents, and gives every
 document a posterior label. A linear model over hashed byte trigrams (2**16 buckets) and a few hashed signs of
-repetition is then fitted to the posteriors of a sample (TRAIN documents at most, those of smallest digest) and scores
-all documents. Its weights are one array of 256 KB.
-
-Defined results: a null text counts as empty; an empty text scores 0 and is not kept; repeated rows each get a row; an
-empty table gives an empty table. No labels are read; labelled rows only test the result.
+repetition is then fitted to the posteriors of a bounded sample and scores all documents. Its weights are one array of
+256 KB. The sample, in the order of the digests of the ids: `train` different rows at most, and of these as many
+as have `train_features` features together (a very long text has 2**16 at most), which bounds what the driver holds.
+
+Defined results: a null text counts as empty; an empty text scores 0 and is not kept; repeated rows each get a row and
+are one row of the sample; rows with a null id are scored but not learnt from; extra columns, clashing ones too, play no
+part; very long texts are scored whole; an empty table gives an empty table. No labels are read; labelled rows only test
+the result.
 """
 
 from __future__ import annotations
 
 import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import quality_rules
 from .common import arrow_map, cut, ids_and_texts, only, span_hashes, word_spans
 
-BUCKETS, TRAIN, STEPS = 1 << 16, 3000, 120
+BUCKETS, TRAIN, TRAIN_FEATURES, STEPS = 1 << 16, 4000, 4_000_000, 150
 _SIGNS = 16  # buckets at the end, for signs of repetition
 
 
@@ -39,7 +43,7 @@ def _hashed(text: bytes) -> np.ndarray:
     return np.concatenate((tri % np.uint32(BUCKETS - _SIGNS), signs)).astype(np.int64)
 
 
-def _fitted(rows: list) -> tuple[np.ndarray, float]:
+def _fitted(rows: list, steps: int = STEPS) -> tuple[np.ndarray, float]:
     """Weights and bias of a logistic regression on soft labels, by gradient steps with a step size for each bucket."""
     doc = np.concatenate([np.full(len(r[1]), i, np.int32) for i, r in enumerate(rows)])
     at = np.concatenate([np.asarray(r[1], np.int32) for r in rows])
@@ -51,7 +55,7 @@ def _fitted(rows: list) -> tuple[np.ndarray, float]:
     del share
     weight = np.where(y >= 0.5, 0.5 / max(1.0, (y >= 0.5).sum()), 0.5 / max(1.0, (y < 0.5).sum()))
     w, bias, grown, grown_b = np.zeros(BUCKETS), 0.0, np.full(BUCKETS, 1e-8), 1e-8
-    for _ in range(STEPS):
+    for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(np.bincount(doc, x * w[at], len(rows)) + bias, -30, 30)))
         e = (p - y) * weight
         g = np.bincount(at, x * e[doc], BUCKETS) + 1e-5 * w
@@ -62,30 +66,36 @@ def _fitted(rows: list) -> tuple[np.ndarray, float]:
     return (w * scale).astype(np.float32), float(bias)
 
 
-def classify(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: p_label (of the label model), score (of the linear model), kept (score of 0.5 or more)."""
+def classify(docs: DataFrame, key: str = "doc_id", text: str = "text", train: int = TRAIN, train_features: int = TRAIN_FEATURES, steps: int = STEPS) -> DataFrame:
+    """Per row: score (of the linear model), kept (score of 0.5 or more)."""
     spark = docs.sparkSession
     docs = only(docs, key, text)
-    counted = cut(quality_rules.counts(docs, text).select(key, "counts.*"))
+    digest = F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_h")
+    counted = cut(quality_rules.counts(docs, text).select(key, digest, "counts.*"))
     voted = quality_rules.votes(counted)
     posterior = quality_rules.posterior(quality_rules.fit(voted))
-    voted = voted.select(key, posterior.alias("p_label"))
-    chosen = voted.filter(F.col(key).isNotNull()).orderBy(F.md5(F.col(key).cast("string")), key).limit(TRAIN).select(key, "p_label")
-    sample = docs.join(F.broadcast(chosen.dropDuplicates([key])), key)  # TRAIN rows at most
+    named = voted.select(key, "_h", posterior.alias("p_label")).filter(F.col(key).isNotNull()).withColumn("_o", F.md5(F.col(key).cast("string")))
+    chosen = named.dropDuplicates([key, "_h"]).orderBy("_o", key, "_h").limit(train)
+    sample = docs.withColumn("_h", digest).join(F.broadcast(chosen), [key, "_h"]).dropDuplicates([key, "_h"])  # train rows at most
 
     def features(b):
-        out = {"y": [], "at": [], "share": []}
-        for p, t in zip(b.column("p_label").to_pylist(), b.column(text).to_pylist()):
+        out = {"order": [], "y": [], "n": [], "at": [], "share": []}
+        for o, h, p, t in zip(*(b.column(c).to_pylist() for c in ("_o", "_h", "p_label", text))):
             at, n = np.unique(_hashed((t or "").encode()), return_counts=True)
             if len(at):
+                out["order"].append(f"{o}{h}")
                 out["y"].append(p)
+                out["n"].append(len(at))
                 out["at"].append(at.astype(np.int32))
                 out["share"].append((n / n.sum()).astype(np.float32))
         yield out
 
-    schema = T.StructType([T.StructField("y", T.DoubleType()), T.StructField("at", T.ArrayType(T.IntegerType())), T.StructField("share", T.ArrayType(T.FloatType()))])
-    got = arrow_map(sample, features, schema).toPandas()
-    w, bias = _fitted(list(got.itertuples(index=False))) if len(got) else (np.zeros(BUCKETS, np.float32), 0.0)
+    schema = T.StructType([T.StructField("order", T.StringType()), T.StructField("y", T.DoubleType()), T.StructField("n", T.LongType()), T.StructField("at", T.ArrayType(T.IntegerType())), T.StructField("share", T.ArrayType(T.FloatType()))])
+    found = cut(arrow_map(sample, features, schema))
+    first = W.orderBy("order")  # over train rows at most
+    fits = found.select("order", F.sum("n").over(first).alias("_n"), F.row_number().over(first).alias("_r")).filter((F.col("_n") <= train_features) | (F.col("_r") == 1)).select("order")
+    got = found.join(fits, "order", "left_semi").select("order", "y", "at", "share").toPandas().sort_values("order")
+    w, bias = _fitted(list(got[["y", "at", "share"]].itertuples(index=False)), steps) if len(got) else (np.zeros(BUCKETS, np.float32), 0.0)
     model = spark.sparkContext.broadcast((w, bias))  # BUCKETS weights
 
     def run(b):
@@ -97,5 +107,5 @@ def classify(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
             score.append(float(1 / (1 + np.exp(-np.clip(w[at].mean(dtype=np.float64) + bias, -30, 30)))) if len(at) else 0.0)
         yield {key: keys, "score": score}
 
-    scored = arrow_map(docs, run, T.StructType([docs.schema[key], T.StructField("score", T.DoubleType())]))
+    scored = arrow_map(docs, run, T.StructType([T.StructField(key, docs.schema[key].dataType), T.StructField("score", T.DoubleType())]))
     return scored.withColumn("kept", F.col("score") >= 0.5)
