@@ -11,8 +11,13 @@ Every row is kept. Running bytes within a source are summed in two levels (4,096
 so a source that holds most rows is spread over many tasks.
 
 Defined results: a null or empty source is the source ''; a null text has no bytes; each row counts one byte more than
-its text, so that rows of empty texts have places too; repeated rows each have a place; an empty table gives an empty
-table.
+its text, so that rows of empty texts have places too; repeated rows each have a place (rows of one key are ordered by
+size and by the hash of their text, equal rows are interchangeable); a row is never cut, so a very long text fills its
+block and stands for several; a target of 0 or no target still gives a source one slot of a period, as no row is
+dropped; extra columns, clashing ones too, come back as they are; an empty table gives an empty table.
+
+A period has at least 32 slots for each source and is scheduled in one row, in a time that grows with the square of the
+number of sources: meant for tens or hundreds of sources.
 """
 
 from __future__ import annotations
@@ -21,8 +26,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .common import only, rolled, unrolled
+
 #: Bytes of a block; slots of a period at least, and for each source.
 BLOCK_BYTES, PERIOD, PERIOD_PER_SOURCE = 1 << 16, 1000, 32
+#: Text bytes of a partition of the mixed table.
+PARTITION_BYTES = 128 << 20
 _RANGE_DIGITS = 3  # hexadecimal digits of the digest: 4,096 ranges
 
 
@@ -55,47 +64,53 @@ def schedule(shared: DataFrame) -> DataFrame:
     return slots.join(F.broadcast(shared.select("source", "share")), "source")
 
 
-def placed(docs: DataFrame, targets: dict[str, float] | None = None, block_bytes: int = BLOCK_BYTES, key: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
-    """docs with _source, _bytes, _start (byte within the source), _block, _release, _due, _slot, _share, _period."""
-    rows = docs.withColumns(
-        {"_source": F.coalesce(F.col(source).cast("string"), F.lit("")), "_bytes": F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1, "_order": F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")))}
-    ).withColumn("_range", F.substring("_order", 1, _RANGE_DIGITS))
-    light = rows.select("_source", "_range", "_bytes")
-    ranges = light.groupBy("_source", "_range").agg(F.sum("_bytes").alias("b"))  # 4,096 rows for each source at most
-    before = ranges.withColumn("_before", F.sum("b").over(W.partitionBy("_source").orderBy("_range").rowsBetween(W.unboundedPreceding, -1))).select("_source", "_range", F.coalesce("_before", F.lit(0)).alias("_before"))
-    shared = shares(ranges.groupBy(F.col("_source").alias("source")).agg(F.sum("b").alias("bytes")), targets)
-    table = schedule(shared).select(F.col("source").alias("_source"), F.col("share").alias("_share"), F.col("period").alias("_period"), F.col("k").alias("_k"), F.col("slot").alias("_at"))
-    within = W.partitionBy("_source", "_range").orderBy("_order", key).rowsBetween(W.unboundedPreceding, -1)
-    out = rows.withColumn("_in", F.coalesce(F.sum("_bytes").over(within), F.lit(0))).join(before, ["_source", "_range"])
-    out = out.withColumn("_start", F.col("_before") + F.col("_in")).withColumn("_block", F.floor(F.col("_start") / F.lit(block_bytes)))
-    few = F.broadcast(shared.select(F.col("source").alias("_source"), F.col("share").alias("_share"), F.col("period").alias("_period")))  # a row for each source
-    out = out.join(few, "_source").withColumn("_k", F.col("_block") % F.col("_share"))
-    slots = F.broadcast(table.select("_source", "_k", "_at"))  # a row for each slot of one period
-    out = out.join(slots, ["_source", "_k"])
-    return out.withColumns(
-        {"_slot": F.expr("(_block div _share) * _period + _at"), "_release": F.expr("_block * _period div _share"), "_due": F.expr("((_block + 1) * _period + _share - 1) div _share")}
-    )
+def _rows(docs: DataFrame, key: str, source: str, text: str) -> DataFrame:
+    """row (all columns of docs), and of each row: source, size, and what fixes its order within the source."""
+    rows = rolled(docs, key=key, source=source, text=text)
+    return rows.select("row", "key", F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"), _size("text").alias("n_bytes"), F.md5(F.coalesce(F.col("key").cast("string"), F.lit(""))).alias("digest"), F.xxhash64("text").alias("of_text"))
+
+
+def _size(text: str) -> Column:
+    return F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1
+
+
+def _placed(rows: DataFrame, targets: dict[str, float] | None, block_bytes: int) -> DataFrame:
+    """rows with start_byte (within the source), block, release, due, slot, share, period."""
+    rows = rows.withColumn("part", F.substring("digest", 1, _RANGE_DIGITS))
+    ranges = rows.groupBy("source", "part").agg(F.sum("n_bytes").alias("b"))  # 4,096 rows for each source at most
+    earlier = W.partitionBy("source").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    before = ranges.select("source", "part", F.coalesce(F.sum("b").over(earlier), F.lit(0)).alias("before"))
+    shared = shares(ranges.groupBy("source").agg(F.sum("b").alias("bytes")), targets)
+    table = schedule(shared).select("source", "k", F.col("slot").alias("at"))
+    within = W.partitionBy("source", "part").orderBy("digest", "key", "n_bytes", "of_text").rowsBetween(W.unboundedPreceding, -1)
+    out = rows.withColumn("inside", F.coalesce(F.sum("n_bytes").over(within), F.lit(0))).join(before, ["source", "part"])
+    out = out.withColumn("start_byte", F.col("before") + F.col("inside")).withColumn("block", F.floor(F.col("start_byte") / F.lit(block_bytes)))
+    out = out.join(F.broadcast(shared.select("source", "share", "period")), "source").withColumn("k", F.col("block") % F.col("share"))  # a row for each source
+    out = out.join(F.broadcast(table), ["source", "k"])  # a row for each slot of one period
+    return out.withColumns({"slot": F.expr("(block div share) * period + at"), "release": F.expr("block * period div share"), "due": F.expr("((block + 1) * period + share - 1) div share")})
 
 
 def positions(docs: DataFrame, targets: dict[str, float] | None = None, block_bytes: int = BLOCK_BYTES, key: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
     """A row for each row of docs: its block and slot. (slot, start_byte) is its place in the mixture."""
-    out = placed(docs.select(key, source, text), targets, block_bytes, key, source, text)
-    return out.select(key, F.col("_source").alias("source"), F.col("_bytes").alias("n_bytes"), F.col("_start").alias("start_byte"), F.col("_block").alias("block"), F.col("_release").alias("release"), F.col("_due").alias("due"), F.col("_slot").alias("slot"), F.col("_share").alias("share"), F.col("_period").alias("period"))
+    out = _placed(_rows(only(docs, key, source, text), key, source, text).drop("row"), targets, block_bytes)
+    return out.select(F.col("key").alias(key), "source", "n_bytes", "start_byte", "block", "release", "due", "slot", "share", "period")
 
 
 def mixed(docs: DataFrame, targets: dict[str, float] | None = None, block_bytes: int = BLOCK_BYTES, key: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
     """The rows of docs in the order of the mixture: partitions by ranges of slots, rows in order within."""
-    n = docs.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    out = placed(docs, targets, block_bytes, key, source, text)
-    return out.repartitionByRange(int(n), "_slot", "_start").sortWithinPartitions("_slot", "_start").select(*docs.columns)
+    size = only(docs, text).agg(F.sum(F.octet_length(text))).first()[0] or 0
+    n = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // PARTITION_BYTES))
+    out = _placed(_rows(docs, key, source, text), targets, block_bytes)
+    return unrolled(out.repartitionByRange(n, "slot", "start_byte").sortWithinPartitions("slot", "start_byte"), docs)
 
 
 def with_places(docs: DataFrame, places: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
-    """docs with slot and start_byte of their positions(). Rows of one key, source and size take their places in turn."""
-    same = [key, "_source", "_bytes"]
-    have = {"_source": F.coalesce(F.col(source).cast("string"), F.lit("")), "_bytes": F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1}
-    rows = docs.drop("slot", "start_byte").withColumns(have).withColumn("_turn", F.row_number().over(W.partitionBy(*same).orderBy(text)))
+    """docs with slot and start_byte of their positions(), in place of columns of these names. Rows of one key, source and
+    size take their places in turn."""
+    docs = docs.drop("slot", "start_byte")
+    rows = _rows(docs, key, source, text).withColumn("turn", F.row_number().over(W.partitionBy("key", "source", "n_bytes").orderBy("of_text")))
     turn = F.row_number().over(W.partitionBy("_k", "_s", "_b").orderBy("start_byte"))
     at = places.select(F.col(key).alias("_k"), F.col("source").alias("_s"), F.col("n_bytes").alias("_b"), "slot", "start_byte").withColumn("_t", turn)
-    met = F.col(key).eqNullSafe(F.col("_k")) & (F.col("_source") == F.col("_s")) & (F.col("_bytes") == F.col("_b")) & (F.col("_turn") == F.col("_t"))
-    return rows.join(at, met, "left").drop("_source", "_bytes", "_turn", "_k", "_s", "_b", "_t")
+    met = F.col("key").eqNullSafe(F.col("_k")) & (F.col("source") == F.col("_s")) & (F.col("n_bytes") == F.col("_b")) & (F.col("turn") == F.col("_t"))
+    found = rows.join(at, met, "left")
+    return found.select(*(F.col(f"row.c{i}").alias(f"c{i}") for i in range(len(docs.columns))), "slot", "start_byte").toDF(*docs.columns, "slot", "start_byte")

@@ -49,3 +49,16 @@ def test_targets_odd_rows_and_order(spark):
     out = mixing.mixed(df, {"a": 3.0, "b": 1.0})
     assert out.columns == df.columns and sorted(map(str, out.collect())) == sorted(map(str, df.collect()))
     assert mixing.positions(df.limit(0)).count() == 0
+
+
+def test_clashing_names_ties_and_very_long_texts(spark):
+    long = "z" * 500_000
+    rows = [(1, 7, "a", "xx", 5, "p"), (1, 8, "a", "yy", 6, "q"), (2, 9, "a", long, 7, "r")]
+    df = spark.createDataFrame(rows, "a long, b long, c string, d string, e long, f string").toDF("doc_id", "DOC_ID", "source", "text", "_bytes", "_share")
+    out = mixing.mixed(df, block_bytes=64)
+    assert out.columns == df.columns and sorted(map(tuple, out.collect())) == rows
+    placed = [mixing.positions(df.select("*").repartition(n), block_bytes=64).select("doc_id", "n_bytes", "start_byte", "slot").collect() for n in (1, 3)]
+    assert sorted(map(tuple, placed[0])) == sorted(map(tuple, placed[1]))
+    back = mixing.with_places(out, mixing.positions(df, block_bytes=64))
+    assert back.columns == [*df.columns, "slot", "start_byte"] and back.filter("slot IS NULL").count() == 0
+    assert sorted(tuple(r)[:6] for r in back.collect()) == rows
