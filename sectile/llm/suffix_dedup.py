@@ -7,10 +7,11 @@ have equal anchors, so no match is lost. The steps:
 
 1. Anchors are gathered by hash (48 bits, packed arrays); an anchor goes on only if two texts have it. What a task
    finds twice in its own texts it sends once.
-2. Each remaining anchor's suffix, with the bytes around it, goes to the bucket of its leading bytes; the splitters
-   are quantiles of a sample of suffixes (2,000 documents at most; it shapes the balance, not the result). A task first
-   sorts what it has and sends a string only from its smallest document, so a string that many documents hold reaches
-   a bucket once for each task.
+2. Each remaining anchor's suffix, with the bytes around it, goes to the bucket of its 16 leading bytes (all that equal
+   strings are sure to share); the splitters are quantiles of the different leads among the remaining anchors of a sample
+   (about 2,000 documents; it shapes the balance, not the result). A task sorts what it has and sends a string only from
+   its smallest document. Strings of leads that many sampled documents have are held back while the task goes on, so a
+   string that a third of all documents hold reaches its bucket once for each task.
 3. A bucket sorts its strings by multikey quicksort with 8-byte characters: within a run of strings that agree so
    far, only runs with different next characters are sorted again. The smallest document of a run of equal strings keeps
    it. Equal strings have equal leading bytes, so runs never cross the boundary of two buckets; runs that cross the
@@ -19,7 +20,9 @@ have equal anchors, so no match is lost. The steps:
 Exact copies are merged by digest before step 2: a copy of a smaller document goes wholly, from 50 bytes on.
 
 Defined results: a null text counts as empty; a document with a null id is left alone and takes nothing from others;
-repeated rows (same id) take nothing from each other; an empty table gives an empty table.
+repeated rows (same id) take nothing from each other; two texts under one id are told apart by 64 bits of a digest; a
+very long text is cut into slabs that overlap; extra columns, clashing ones too, come back as they are; an empty table
+gives an empty table.
 """
 
 from __future__ import annotations
@@ -32,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_fold, arrow_map, bucket_count, cut, int_lists, mix, only, only_last, pack, squeeze, unpack, unsqueeze
+from .common import arrow_fold, arrow_map, bucket_count, cut, int_lists, mix, only, only_last, pack, place, rolled, squeeze, unpack, unrolled, unsqueeze
 
 LENGTH, GRAM = 50, 16
 WINDOW = LENGTH - GRAM + 1
@@ -41,7 +44,8 @@ SLAB, HELD_ANCHORS, HELD_SUFFIXES, BUCKET = 1 << 20, 800_000, 30_000, 10 << 20
 #: Bytes kept around an anchor: before it, and from it on.
 BEFORE = LENGTH - GRAM
 WIDTH = BEFORE + LENGTH
-SAMPLE = 2000
+#: Documents of the sample for the splitters, about, and leads of one of them at most; documents of it that make a lead hot.
+SAMPLE, SAMPLE_LEADS, HOT = 2000, 64, 40
 _MANY = np.iinfo(np.int64).min
 _BYTE = (mix(np.arange(1, 257, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
 _MULT = 0x9E3779B1
@@ -173,7 +177,7 @@ class Suffixes:
         return Suffixes(*(getattr(self, n)[i] for n in ("around", "doc", "mark", "p", "lo", "hi")))
 
     def lead(self) -> np.ndarray:
-        return _words_at(self.around.reshape(-1), np.arange(len(self.p)) * WIDTH + BEFORE)
+        return _leads(self.around.reshape(-1), np.arange(len(self.p)) * WIDTH + BEFORE)
 
     def judged(self) -> tuple[np.ndarray, tuple]:
         """Rows with a string that no smaller document here has; documents, marks, first and last starts of the strings that go."""
@@ -227,8 +231,13 @@ def _dealt(buckets: int, doc: np.ndarray, *columns: np.ndarray) -> tuple[list[in
 
 
 def _mark(text: bytes) -> int:
-    """Tells different texts under one id apart (16 bits)."""
-    return int.from_bytes(hashlib.blake2b(text, digest_size=2).digest(), "little")
+    """Tells different texts under one id apart."""
+    return int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "little", signed=True)
+
+
+def _leads(buf: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The GRAM bytes from each position, ordered as bytes."""
+    return buf[at[:, None] + np.arange(GRAM)].view(f"S{GRAM}").reshape(-1)
 
 
 def _rows(b: pa.RecordBatch) -> tuple[list[int], list[bytes]]:
@@ -330,21 +339,24 @@ def _shared_anchors(rows: DataFrame, buckets: int) -> DataFrame:
     return arrow_fold(matched.repartition(buckets, "to"), lists, _FOUND)
 
 
-def _splitters(rows: DataFrame, n_docs: int, buckets: int) -> np.ndarray:
-    """Quantiles of the leading 8 bytes of sampled suffixes."""
+def _splitters(rows: DataFrame, found: DataFrame, n_docs: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Quantiles of the different leads of suffixes that travel, and the leads of which a hot part of the sample has one."""
+    out_of = 1 << 20
+    chosen = F.pmod(F.xxhash64("id"), F.lit(out_of)) < max(1, min(out_of, out_of * SAMPLE // max(1, n_docs)))
+    texts = rows.filter(chosen).select("id", F.col("text").alias("t")).dropDuplicates(["id"])
+    pos = found.filter(chosen).groupBy("id").agg(F.flatten(F.collect_list("pos")).alias("pos"))
 
     def lead(b):
-        _, texts = _rows(b)
-        for t in texts:
-            _, p, _, _ = anchors([t])
-            p = p[: -(-len(p) // 64) * 64 : max(1, len(p) // 64)]
-            if len(p):
-                yield {"w": _words_at(np.frombuffer(t, np.uint8), p).view(np.int64)}
+        for t, pos in zip(b.column("t").to_pylist(), b.column("pos").to_pylist()):
+            buf = np.frombuffer((t or "").encode(), np.uint8)
+            at = np.array(pos[:: -(-len(pos) // SAMPLE_LEADS)], np.int64)
+            at = at[at + GRAM <= len(buf)]  # another text of the id may be longer
+            if len(at):
+                yield {"lead": np.unique(_leads(buf, at)).tolist()}
 
-    share = min(1.0, SAMPLE / max(1, n_docs))
-    found = arrow_map(rows.sample(share, seed=7), lead, T.StructType([T.StructField("w", _L)])).toPandas()["w"].to_numpy(np.int64)
-    w = np.sort(found.view(np.uint64))
-    return np.unique(w[np.arange(1, buckets) * len(w) // buckets]) if len(w) else w
+    got = arrow_map(texts.join(pos, "id").select("t", "pos"), lead, T.StructType([T.StructField("lead", _B)])).toPandas()
+    w, times = np.unique(np.array([bytes(x) for x in got["lead"]], f"S{GRAM}"), return_counts=True)
+    return np.unique(w[np.arange(1, buckets) * len(w) // buckets]) if len(w) else w, w[times >= HOT]
 
 
 def repeated_runs(rows: DataFrame) -> DataFrame:
@@ -356,7 +368,7 @@ def _repeated_runs(rows: DataFrame) -> DataFrame:
     size = rows.agg(F.sum(F.octet_length("text")), F.count(F.lit(1))).first()
     buckets = bucket_count(size[0] or 0, BUCKET)
     found = cut(_shared_anchors(rows, buckets))
-    splitters = _splitters(rows, size[1], buckets)
+    splitters, hot = _splitters(rows, found, size[1], buckets)
     texts = _squeezed(rows)
     marks = cut(arrow_map(rows, lambda b: iter([{"id": (r := _rows(b))[0], "digest": [hashlib.blake2b(t, digest_size=16).digest() for t in r[1]], "mark": [_mark(t) for t in r[1]], "n": [len(t) for t in r[1]]}]), T.StructType([T.StructField("id", _L), T.StructField("digest", _B), T.StructField("mark", _L), T.StructField("n", _I)])))
     least = cut(marks.groupBy("digest").agg(F.min("id").alias("least")))  # on its own, so that the join can be split where copies are many
@@ -366,12 +378,19 @@ def _repeated_runs(rows: DataFrame) -> DataFrame:
     wanted = found.groupBy("id").agg(F.flatten(F.collect_list("pos")).alias("pos")).join(first, "id")
     near = wanted.join(texts.dropDuplicates(["id", "mark"]), ["id", "mark"]).select("id", "mark", "z", "pos")
 
-    def sent(parts):
+    def sent(parts, back):
+        """Sends what of parts stands; what has a hot lead goes to the list `back` instead, if there is one."""
         all_ = Suffixes.joined(parts)
         stays, runs = all_.judged()
         empty = {"bucket": [], "n": [], "around": [], "doc": [], "mark": [], "p": [], "lo": [], "hi": []}
         s = all_.take(stays)
         lead = s.lead()
+        if back is not None and len(hot) and len(lead):
+            at = np.minimum(np.searchsorted(hot, lead), len(hot) - 1)
+            held = hot[at] == lead
+            if 0 < held.sum() <= HELD_SUFFIXES // 2:
+                back.append(s.take(np.flatnonzero(held)))
+                s, lead = s.take(np.flatnonzero(~held)), lead[~held]
         s, to = s.take(o := np.argsort(lead)), np.searchsorted(splitters, lead[o], side="right")
         edge = np.searchsorted(to, np.arange(len(splitters) + 2))
         for i in np.flatnonzero(np.diff(edge)):
@@ -400,10 +419,11 @@ def _repeated_runs(rows: DataFrame) -> DataFrame:
                     held.append(Suffixes(around(text, p, lo, hi), np.full(len(p), i), np.full(len(p), m), p.astype(np.int32), lo.astype(np.int32), hi.astype(np.int32)))
                     n += len(p)
                 if n >= HELD_SUFFIXES:
-                    yield from sent(held)
-                    held, n = [], 0
+                    back = []
+                    yield from sent(held, back)
+                    held, n = back, sum(len(x.p) for x in back)
         if n:
-            yield from sent(held)
+            yield from sent(held, None)
 
     def bucket(batches):
         held = []
@@ -476,20 +496,28 @@ def report(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     return arrow_map(texts.join(runs, ["id", "mark"], "left").select("id", "z", "lo", "hi"), run, schema)
 
 
-def strip(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs with the repeated passages cut out of text; a cut inside a character leaves out what is left of it."""
-    rows = docs.filter(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
+def strip(docs: DataFrame, key: str = "doc_id", text: str = "text", n_chars: str | None = None) -> DataFrame:
+    """docs with the repeated passages cut out of text; a cut inside a character leaves out what is left of it. A column
+    n_chars, if named, gets the new lengths of texts that are not null."""
+    rows = only(docs, key, text).toDF("id", "text").filter("id IS NOT NULL").select(F.col("id").cast("long"), "text")
     runs = _gathered(repeated_runs(rows))
-    schema = T.StructType([T.StructField("_row", docs.schema), T.StructField("text", T.StringType())])
-    marked = arrow_map(docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"), F.struct(*docs.columns).alias("_row")), lambda b: iter([{"_row": b.column(2), "id": b.column(0), "mark": [_mark(t) for t in _rows(b)[1]]}]), T.StructType([T.StructField("_row", docs.schema), T.StructField("id", _L), T.StructField("mark", _L)]))
+    whole = rolled(docs, id=key, t=text)
+    shape = whole.schema["row"].dataType
+    marked = arrow_map(whole.select(F.col("id").cast("long").alias("id"), "t", "row"), lambda b: iter([{"row": b.column(2), "id": b.column(0), "mark": [_mark(t) for t in _rows(b)[1]]}]), T.StructType([T.StructField("row", shape), T.StructField("id", _L), T.StructField("mark", _L)]))
+    at = place(docs, text)
 
     def run(b):
-        row = b.column("_row")
-        texts = row.field(text).to_pylist()
+        row = b.column("row")
+        texts = row.field(at).to_pylist()
         for i, (lo, hi) in enumerate(zip(b.column("lo").to_pylist(), b.column("hi").to_pylist())):
             if lo:
                 texts[i] = without((texts[i] or "").encode(), *spans_of(lo, hi)).decode(errors="ignore")
-        yield {"_row": row, "text": texts}
-
-    out = arrow_map(marked.join(runs, ["id", "mark"], "left").select("_row", "lo", "hi"), run, schema)
-    return out.select(*(F.col("text").alias(text) if c == text else F.col(f"_row.{c}") for c in docs.columns))
+        yield {"row": row, "text": texts}
+
+    out = arrow_map(marked.join(runs, ["id", "mark"], "left").select("row", "lo", "hi"), run, T.StructType([T.StructField("row", shape), T.StructField("text", T.StringType())]))
+    new = {text: "text"}
+    if n_chars is not None:
+        i = place(docs, n_chars)
+        out = out.withColumn("n", F.coalesce(F.length("text").cast(docs.schema[i].dataType), F.col(f"row.c{i}")))
+        new[n_chars] = "n"
+    return unrolled(out, docs, **new)
