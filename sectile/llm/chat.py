@@ -14,7 +14,9 @@ original comes back exactly; line ends and backslashes in roles are written as `
 the texts of assistant turns, without the marks around them.
 
 Defined results: rows of one conversation with equal turn and sequence are told apart by role, then text, and each
-repeated message is a turn; a null conv_id is a conversation of its own; null turns come first.
+repeated message is a turn; a null conv_id is a conversation of its own; null turns come first; extra columns, clashing
+ones too, play no part; a very long text is one message, held in memory while it is folded; an empty log has no
+conversations.
 """
 
 from __future__ import annotations
@@ -87,8 +89,7 @@ _COLUMNS = ("conv_id", "turn", "seq", "kind", "role", "text")
 
 
 def _sorted(events: DataFrame) -> DataFrame:
-    n = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return only(events, *_COLUMNS).repartition(n, "conv_id").sortWithinPartitions("conv_id", "turn", "seq", "role", "text")
+    return only(events, *_COLUMNS).repartition("conv_id").sortWithinPartitions("conv_id", "turn", "seq", "role", "text")
 
 
 def _stream(batches):
@@ -171,6 +172,6 @@ def digests(rendered: DataFrame) -> DataFrame:
 
 def from_turns(rows: DataFrame) -> DataFrame:
     """A table of finished turns (conv_id, turn, role, text) as an event log."""
-    return rows.select("conv_id", "turn", F.col("turn").cast("long").alias("seq"), F.lit("message").alias("kind"), "role", "text")
+    return only(rows, "conv_id", "turn", "role", "text").select("conv_id", "turn", F.col("turn").cast("long").alias("seq"), F.lit("message").alias("kind"), "role", "text")
 
 
