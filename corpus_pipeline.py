@@ -3,6 +3,9 @@
 Each stage takes (spark, docs, sf_dir) and returns a table; all but the last return the columns of documents. run()
 writes each stage's rows to the shared folder and goes on from there, so a lost executor costs one stage at most.
 
+Defined results: nulls, empty texts, repeated rows and ties as each stage's operator states them; very long texts pass
+whole; extra columns, clashing ones too, reach the last stage as they are; an empty table passes all stages.
+
 The order of rows does not outlive a table, so the mixture stage also writes the places of its rows, and the last stage
 adds them: (slot, start_byte) of a row of the result is its place in the mixture.
 """
@@ -11,7 +14,6 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from sectile.llm import bpe, mixing, near_dedup, quality_rules, suffix_dedup
 from sectile.llm.common import cut, table
@@ -21,25 +23,29 @@ _PLACES: dict[tuple[str, str], DataFrame] = {}
 
 
 def by_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows whose text fails the base rule or is more likely bad than good go; a null text has no words and goes."""
     return quality_rules.keep(docs)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The smallest id of each class stays, of rows with one id the first text; rows with a null id stay."""
     return near_dedup.keep(docs)
 
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = suffix_dedup.strip(docs)
-    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
+    """Texts lose the passages of 50 bytes and more that a document of smaller id has; n_chars follows. No row goes."""
+    return suffix_dedup.strip(docs, n_chars="n_chars" if "n_chars" in [c.lower() for c in docs.columns] else None)
 
 
 def in_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All rows, in the order of the mixture; their places go to a table of their own."""
     places = mixing.positions(docs).select("doc_id", "source", "n_bytes", "slot", "start_byte")
     _PLACES[spark.sparkContext.applicationId, sf_dir] = cut(places)
     return mixing.mixed(docs)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row of digests for each row, with its place in the mixture; a null text counts as empty."""
     places = _PLACES.get((spark.sparkContext.applicationId, sf_dir))
     if places is None:
         raise ValueError("the mixture stage has not run on this folder")
