@@ -2,12 +2,35 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import uuid
+
 from pyspark.sql import DataFrame
 
+_MADE: dict[str, DataFrame] = {}
+
+
+def shared_folder(spark) -> str:
+    """The folder that driver and executors share; a local one only in local mode."""
+    named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not named and spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return named or "file:///tmp/sectile-checkpoints"
+
 
 def cut(df: DataFrame) -> DataFrame:
-    """df, written to the checkpoint folder that the cluster names (a local one where none is set)."""
+    """df as a table that is written once to the shared folder; what follows reads it and not df's plan."""
     spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "file:///tmp/sectile-checkpoints")
-    return df.checkpoint()
+    path = f"{shared_folder(spark).rstrip('/')}/sectile-cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    out = _MADE[path] = spark.read.schema(df.schema).parquet(path)
+    return out
+
+
+@atexit.register
+def _tidy() -> None:
+    for path, df in _MADE.items():
+        with contextlib.suppress(Exception):  # its Spark may be gone
+            at = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)

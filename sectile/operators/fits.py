@@ -29,23 +29,62 @@ def moved(t: np.ndarray, p: np.ndarray) -> np.ndarray:
     return p @ t[:, :2].T + t[:, 2]
 
 
-def consensus(model: str, p: np.ndarray, q: np.ndarray, threshold: float, rounds: int = 500, least: int = 6, seed: int = 0):
-    """Transform with the most points within the threshold, refitted to them, and the mask of those points; or None."""
-    k = MODELS[model]
-    if len(p) < max(k, least):
+#: Points of all hypotheses that are judged at once.
+_JUDGED = 4_000_000
+
+
+def _hypotheses(model: str, p: np.ndarray, q: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """[rounds, 2, 3]: the transform through the points of each row of indices; nan where they don't fix one."""
+    a, b = p[rows], q[rows]
+    if model == "affine":
+        one = np.concatenate((a, np.ones((*a.shape[:2], 1))), 2)
+        flat = np.abs(np.linalg.det(one)) < 1e-9
+        one[flat] = np.eye(3)
+        out = np.linalg.solve(one, b).transpose(0, 2, 1)
+        out[flat] = np.nan
+        return out
+    turn = np.ones(len(rows), complex)
+    if model != "translation":  # the plane as complex numbers: a turn and scale is a factor
+        z, w = (x[:, 1] - x[:, 0] for x in (a @ [1, 1j], b @ [1, 1j]))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            turn = w / z
+            turn = turn / np.abs(turn) if model == "rigid" else turn
+    linear = np.stack((turn.real, -turn.imag, turn.imag, turn.real), 1).reshape(-1, 2, 2)
+    shift = b.mean(1) - np.einsum("nij,nj->ni", linear, a.mean(1))
+    return np.concatenate((linear, shift[:, :, None]), 2)
+
+
+def _distances(t: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """[..., points] of transforms [..., 2, 3]."""
+    return np.linalg.norm(p @ np.swapaxes(t[..., :2], -1, -2) + t[..., None, :, 2] - q, axis=-1)
+
+
+def consensus(model: str, p: np.ndarray, q: np.ndarray, threshold: float, rounds: int = 1000, least: int = 10, seed: int = 0):
+    """Transform with the most points within the threshold, refitted to them, and the mask of those points; or None.
+
+    All hypotheses are drawn at once and judged in blocks; the winner is refitted and its points chosen anew, twice."""
+    k, n = MODELS[model], len(p)
+    least = max(least, k)
+    if n < least:
         return None
-    rng, best = np.random.default_rng(seed), np.zeros(len(p), bool)
-    for _ in range(rounds):
-        i = rng.choice(len(p), k, replace=False)
-        ok = np.hypot(*(moved(fit_points(model, p[i], q[i]), p) - q).T) < threshold
-        if ok.sum() > best.sum():
-            best = ok
-    for _ in range(2):
-        if best.sum() < max(k, least):
+    rng = np.random.default_rng(seed)
+    drawn = np.stack([rng.permutation(n)[:k] for _ in range(rounds)]) if n <= 4 * k else rng.integers(0, n, (rounds, k))
+    drawn = drawn[(np.diff(np.sort(drawn, 1), axis=1) > 0).all(1)]  # k different points
+    score, winner = -1, None
+    for t in np.array_split(_hypotheses(model, p, q, drawn), max(1, len(drawn) * n // _JUDGED)):
+        votes = (_distances(t, p, q) < threshold).sum(1)
+        if len(votes) and votes.max() > score:
+            score, winner = votes.max(), t[votes.argmax()]
+    if winner is None:
+        return None
+    mask = _distances(winner, p, q) < threshold
+    for again in (True, True, False):
+        if mask.sum() < least:
             return None
-        t = fit_points(model, p[best], q[best])
-        best = np.hypot(*(moved(t, p) - q).T) < threshold
-    return (fit_points(model, p[best], q[best]), best) if best.sum() >= max(k, least) else None
+        t = fit_points(model, p[mask], q[mask])
+        if again:
+            mask = _distances(t, p, q) < threshold
+    return t, mask
 
 
 def robust_transforms(matches: DataFrame, by: list[str], model: str, threshold: float, seed: int = 0) -> DataFrame:
@@ -120,25 +159,24 @@ def tile_gains(relations: DataFrame, by: list[str]) -> DataFrame:
     Log gains with a weak pull to 0 and mean 0, then offsets with sum 0; gains are scaled to mean 1."""
     kinds = ", ".join(f"{c} {dict(relations.dtypes)[c]}" for c in by)
 
+    def balanced(n, i, j, weight, diff, pull, tie):
+        """x that minimises sum weight (x_i - x_j - diff)^2 + pull |x|^2 + tie (sum x)^2, by its normal equations."""
+        m, y = pull * np.eye(n) + tie, np.zeros(n)
+        for a, b, sign in ((i, i, 1), (j, j, 1), (i, j, -1), (j, i, -1)):
+            np.add.at(m, (a, b), sign * weight)
+        np.add.at(y, i, weight * diff)
+        np.add.at(y, j, -weight * diff)
+        return np.linalg.solve(m, y)
+
     def run(key, pdf):
-        pdf = pdf.sort_values(["a", "b"])
-        tiles = sorted({*pdf["a"], *pdf["b"]})
-        at = {t: k for k, t in enumerate(tiles)}
-        i, j, n = pdf["a"].map(at).to_numpy(), pdf["b"].map(at).to_numpy(), len(tiles)
-        w = np.sqrt(pdf["n"].to_numpy(float))
-        wg = w * np.minimum(1, pdf["cnr"].to_numpy(float) / 10)
-        link = np.zeros((len(i), n))
-        link[np.arange(len(i)), i], link[np.arange(len(i)), j] = 1, -1
-        top = w.max()
-        m = np.vstack((link * wg[:, None], np.eye(n) * 0.05 * top, np.ones((1, n)) * 100 * top))
-        y = np.concatenate((-np.log(pdf["gain"].to_numpy(float)) * wg, np.zeros(n + 1)))
-        g = np.exp(np.linalg.lstsq(m, y, rcond=None)[0])
-        g /= g.mean()
-        mid = pdf["middle"].to_numpy(float)
-        want = g[j] * mid - g[i] * (pdf["gain"].to_numpy(float) * mid + pdf["offset"].to_numpy(float))
-        m = np.vstack((link * w[:, None], np.ones((1, n)) * 100 * top))
-        o = np.linalg.lstsq(m, np.append(want * w, 0), rcond=None)[0]
-        return pd.DataFrame([(*key, t, float(g[k]), float(o[k])) for t, k in at.items()])
+        tiles = np.unique(pdf[["a", "b"]].to_numpy().astype(str))
+        i, j = (np.searchsorted(tiles, pdf[c].to_numpy().astype(str)) for c in "ab")
+        gain, offset, middle, n_rows, cnr = (pdf[c].to_numpy(float) for c in ("gain", "offset", "middle", "n", "cnr"))
+        top = n_rows.max()
+        g = np.exp(balanced(len(tiles), i, j, n_rows * np.minimum(1, cnr / 10) ** 2, -np.log(gain), 0.05**2 * top, 100.0**2 * top))
+        g *= len(g) / g.sum()
+        o = balanced(len(tiles), i, j, n_rows, g[j] * middle - g[i] * (gain * middle + offset), 1e-12 * top, 100.0**2 * top)
+        return pd.DataFrame([(*key, t, float(x), float(y)) for t, x, y in zip(tiles, g, o)])
 
     return relations.groupBy(*by).applyInPandas(run, f"{kinds}, tile string, g double, o double")
 
@@ -225,51 +263,57 @@ def flat_fields(pixels: DataFrame, by: list[str], prior: float = 1e-3) -> DataFr
 
 
 class Trees:
-    """Gradient-boosted trees for 0/1 labels on binned features: fit on the driver's sample, predict in pandas functions."""
+    """Gradient-boosted trees for 0/1 labels on binned features: fit on the driver's sample, predict in pandas functions.
+
+    A level of a tree is one histogram of gradients over (node, feature, bin); trees are complete, a node that does not
+    split sends all rows left."""
+
+    def __init__(self, rounds: int = 40, depth: int = 3, rate: float = 0.2, bins: int = 32, least_rows: int = 4):
+        self.rounds, self.depth, self.rate, self.bins, self.least_rows = rounds, depth, rate, bins, least_rows
 
-    def __init__(self, rounds: int = 40, depth: int = 3, rate: float = 0.2, bins: int = 32):
-        self.rounds, self.depth, self.rate, self.bins = rounds, depth, rate, bins
+    def _binned(self, x: np.ndarray) -> np.ndarray:
+        return np.stack([np.searchsorted(e, c, side="right") for e, c in zip(self.edges, x.T)], 1)
 
     def fit(self, x: np.ndarray, y: np.ndarray, w: np.ndarray | None = None) -> "Trees":
         w = np.ones(len(y)) if w is None else w
-        self.edges = [np.unique(np.quantile(c, np.linspace(0, 1, self.bins + 1)[1:-1])) for c in x.T]
-        b = np.column_stack([np.searchsorted(e, c, side="right") for e, c in zip(self.edges, x.T)])
-        mean = np.clip(np.average(y, weights=w), 1e-6, 1 - 1e-6)
-        self.start = float(np.log(mean / (1 - mean)))
+        ranks = np.arange(1, self.bins) * len(x) // self.bins
+        self.edges = [np.unique(c[ranks]) for c in np.sort(x, 0).T]
+        b, n_features = self._binned(x), x.shape[1]
+        self.start = float(np.log((w @ y + 1e-6) / (w @ (1 - y) + 1e-6)))
+        cells = b + np.arange(n_features) * self.bins
         f, self.trees = np.full(len(y), self.start), []
         for _ in range(self.rounds):
             p = 1 / (1 + np.exp(-f))
-            tree, node = {}, np.ones(len(y), int)
-            g, h = w * (y - p), w * p * (1 - p)
-            for k in range(1, 1 << self.depth):
-                here = node == k
-                if here.sum() < 4:
-                    continue
-                best = (1e-9, None)
-                for c in range(b.shape[1]):
-                    n = len(self.edges[c]) + 1
-                    gs, hs = (np.bincount(b[here, c], v[here], n).cumsum() for v in (g, h))
-                    left, right = gs[:-1] ** 2 / (hs[:-1] + 1), (gs[-1] - gs[:-1]) ** 2 / (hs[-1] - hs[:-1] + 1)
-                    gain = left + right - gs[-1] ** 2 / (hs[-1] + 1)
-                    if len(gain) and gain.max() > best[0]:
-                        best = (gain.max(), (c, int(gain.argmax())))
-                if best[1]:
-                    tree[k] = best[1]
-                    node[here] = 2 * k + (b[here, best[1][0]] > best[1][1])
-            leaf = {int(k): float(self.rate * g[node == k].sum() / (h[node == k].sum() + 1)) for k in np.unique(node)}
-            f += np.array([leaf[k] for k in node])
-            self.trees.append((tree, leaf))
+            sums = np.stack((w * (y - p), w * p * (1 - p), np.ones(len(y))))
+            node, splits = np.zeros(len(y), int), []
+            for level in range(self.depth):
+                size = n_features * self.bins
+                flat = (node[:, None] * size + cells).reshape(-1)
+                hist = np.stack([np.bincount(flat, np.repeat(s, n_features), size << level) for s in sums]).reshape(3, 1 << level, n_features, self.bins)
+                left = hist.cumsum(3)
+                every = left[..., -1:]
+                gain = (left[0] ** 2 / (left[1] + 1) + (every[0] - left[0]) ** 2 / (every[1] - left[1] + 1) - every[0] ** 2 / (every[1] + 1))[..., :-1]
+                gain = gain.reshape(1 << level, -1)
+                best = gain.argmax(1)
+                feature, at = np.divmod(best, self.bins - 1)
+                worth = (gain[np.arange(len(best)), best] > 1e-9) & (every[2, :, 0, 0] >= self.least_rows)
+                at = np.where(worth, at, self.bins)
+                splits.append((feature, at))
+                node = 2 * node + (b[np.arange(len(y)), feature[node]] > at[node])
+            g, h = (np.bincount(node, s, 1 << self.depth) for s in sums[:2])
+            leaf = self.rate * g / (h + 1)
+            f += leaf[node]
+            self.trees.append((splits, leaf))
         return self
 
     def predict(self, x: np.ndarray) -> np.ndarray:
-        b = np.column_stack([np.searchsorted(e, c, side="right") for e, c in zip(self.edges, x.T)])
+        b, rows = self._binned(x), np.arange(len(x))
         f = np.full(len(x), self.start)
-        for tree, leaf in self.trees:
-            node = np.ones(len(x), int)
-            for k in sorted(tree):
-                here = node == k
-                node[here] = 2 * k + (b[here, tree[k][0]] > tree[k][1])
-            f += np.array([leaf.get(k, 0.0) for k in node])
+        for splits, leaf in self.trees:
+            node = np.zeros(len(x), int)
+            for feature, at in splits:
+                node = 2 * node + (b[rows, feature[node]] > at[node])
+            f += leaf[node]
         return 1 / (1 + np.exp(-f))
 
 

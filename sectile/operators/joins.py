@@ -29,12 +29,32 @@ def pairs_within(df: DataFrame, group: list[str], order: list[str], keep: list[s
     return a.join(b, group).filter(less)
 
 
-def overlapping(a: DataFrame, b: DataFrame, on: list[str], box_a: tuple, box_b: tuple, least: float = 0.0) -> DataFrame:
-    """Pairs whose boxes (x0, y0, x1, y1) meet in at least `least` of either axis, with the common box."""
-    j = a.join(b, on)
+def cells(lo: str | Column, hi: str | Column, size: float) -> Column:
+    """Numbers of the cells of a size that an interval meets."""
+    first, last = (F.floor((F.col(c) if isinstance(c, str) else c) / size) for c in (lo, hi))
+    return F.sequence(first, F.greatest(first, last))
+
+
+def overlapping(a: DataFrame, b: DataFrame, on: list[str], box_a: tuple, box_b: tuple, cell: tuple[float, float], least: float = 0.0) -> DataFrame:
+    """Pairs whose boxes (x0, y0, x1, y1) meet in at least `least` of either axis, with the common box.
+
+    Boxes meet in the cells of a grid that they cover (choose cells about as large as boxes); a pair comes from the cell that
+    holds the common box's corner, so it comes once."""
+    def dealt(df, box, x, y):
+        return df.withColumn(x, F.explode(cells(box[0], box[2], cell[0]))).withColumn(y, F.explode(cells(box[1], box[3], cell[1])))
+
+    j = dealt(a, box_a, "_cx", "_cy").join(dealt(b, box_b, "_cx", "_cy"), [*on, "_cx", "_cy"])
     lo = [F.greatest(box_a[i], box_b[i]) for i in (0, 1)]
     hi = [F.least(box_a[i], box_b[i]) for i in (2, 3)]
-    return j.withColumns({"ox0": lo[0], "oy0": lo[1], "ox1": hi[0], "oy1": hi[1]}).filter((F.col("ox1") - F.col("ox0") >= least) & (F.col("oy1") - F.col("oy0") >= least))
+    j = j.withColumns({"ox0": lo[0], "oy0": lo[1], "ox1": hi[0], "oy1": hi[1]}).filter((F.col("ox1") - F.col("ox0") >= least) & (F.col("oy1") - F.col("oy0") >= least))
+    return j.filter((F.floor(F.col("ox0") / cell[0]) == F.col("_cx")) & (F.floor(F.col("oy0") / cell[1]) == F.col("_cy"))).drop("_cx", "_cy")
+
+
+def inside(points: DataFrame, boxes: DataFrame, on: list[str], at: str, lo: str, hi: str, cell: float) -> DataFrame:
+    """Pairs of a point and a half-open interval lo <= at < hi of one key; both meet in cells of a size."""
+    p = points.withColumn("_cell", F.floor(F.col(at) / cell))
+    b = boxes.withColumn("_cell", F.explode(cells(lo, hi, cell)))
+    return p.join(b, [*on, "_cell"]).filter((F.col(at) >= F.col(lo)) & (F.col(at) < F.col(hi))).drop("_cell")
 
 
 def band(df: DataFrame, k: int, order, by: list[str], carry: list[str]) -> DataFrame:
@@ -97,16 +117,45 @@ def same_rows(new: DataFrame, old: DataFrame, columns: list[str], frame: str) ->
     return a.join(b, same).groupBy(F.col(f"a.{frame}").alias("frame")).agg(F.min(f"b.{frame}").alias("old_frame"))
 
 
-def nearest_two(a: DataFrame, b: DataFrame, id_: str, vector: str, ratio: float, blocks: int = 8) -> DataFrame:
+def nearest_two(a: DataFrame, b: DataFrame, id_: str, vector: str, ratio: float, block: int = 2048) -> DataFrame:
     """Exact two nearest neighbours of each row of a in b (L2), kept when the nearer is clearly nearer.
 
-    b is gathered into blocks of arrays, so a pair of row and block yields two rows at most."""
-    packed = b.select((F.pmod(F.xxhash64(id_), F.lit(blocks))).alias("_blk"), F.struct(F.col(id_).alias("id"), F.col(vector).alias("v")).alias("_x")).groupBy("_blk").agg(F.collect_list("_x").alias("_xs"))
-    asked = a.select(F.col(id_).alias("a"), F.col(vector).alias("_q")).withColumn("_blk", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
-    d2 = F.transform("_xs", lambda x: F.struct(F.aggregate(F.zip_with("_q", x["v"], lambda p, q: (p.cast("double") - q.cast("double")) * (p.cast("double") - q.cast("double"))), F.lit(0.0), lambda s, y: s + y).alias("d"), x["id"].alias("b")))
-    near = asked.join(packed, "_blk").select("a", F.explode(F.slice(F.sort_array(d2), 1, 2)).alias("n")).select("a", "n.*")
-    near = near.withColumn("k", F.row_number().over(W.partitionBy("a").orderBy("d", "b"))).filter("k <= 2")
-    both = near.groupBy("a").agg(F.min(F.when(F.col("k") == 1, F.col("b"))).alias("b"), F.min(F.when(F.col("k") == 1, F.sqrt("d"))).alias("d1"), F.min(F.when(F.col("k") == 2, F.sqrt("d"))).alias("d2"))
+    Both sides are packed into blocks by size; a pair of blocks yields two rows for each row of a at most, by one product
+    of matrices, and distances of the rows that can still be among the two are taken anew, term by term."""
+    import numpy as np
+    import pandas as pd
+
+    def packed(df, name):
+        n = max(1, -(-df.count() // block))
+        rows = df.select((F.pmod(F.xxhash64(id_), F.lit(n)).cast("int")).alias(name), F.col(id_).cast("long").alias("id"), F.transform(vector, lambda x: x.cast("double")).alias("v"))
+        return n, rows.repartition(n, name)
+
+    def to_block(name):
+        def run(pdf):
+            return pd.DataFrame({name: [pdf[name].iloc[0]], f"ids_{name}": [pdf["id"].to_numpy(np.int64).tobytes()], f"data_{name}": [np.stack(pdf["v"].to_numpy()).astype(np.float64).tobytes()]})
+
+        return run
+
+    _, rows_a = packed(a, "p")
+    n_b, rows_b = packed(b, "q")
+    blocks_a = rows_a.groupBy("p").applyInPandas(to_block("p"), "p int, ids_p binary, data_p binary").withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(n_b - 1))))
+    blocks_b = rows_b.groupBy("q").applyInPandas(to_block("q"), "q int, ids_q binary, data_q binary")
+
+    def near(batches):
+        for pdf in batches:
+            for ids_p, data_p, ids_q, data_q in zip(pdf["ids_p"], pdf["data_p"], pdf["ids_q"], pdf["data_q"]):
+                i, j = np.frombuffer(ids_p, np.int64), np.frombuffer(ids_q, np.int64)
+                x, y = np.frombuffer(data_p).reshape(len(i), -1), np.frombuffer(data_q).reshape(len(j), -1)
+                xx, yy = (x * x).sum(1), (y * y).sum(1)
+                d2 = xx[:, None] + yy - 2 * (x @ y.T)
+                slack = 1e-9 * (xx[:, None] + yy)
+                second = np.partition(d2 + slack, 1, axis=1)[:, 1:2] if len(j) > 1 else np.full((len(i), 1), np.inf)
+                r, c = np.nonzero(d2 - slack <= second)
+                yield pd.DataFrame({"a": i[r], "b": j[c], "d": ((x[r] - y[c]) ** 2).sum(1)})
+
+    met = blocks_a.join(blocks_b, "q").select("ids_p", "data_p", "ids_q", "data_q").mapInPandas(near, "a long, b long, d double")
+    near_two = met.withColumn("k", F.row_number().over(W.partitionBy("a").orderBy("d", "b"))).filter("k <= 2")
+    both = near_two.groupBy("a").agg(F.min(F.when(F.col("k") == 1, F.col("b"))).alias("b"), F.min(F.when(F.col("k") == 1, F.sqrt("d"))).alias("d1"), F.min(F.when(F.col("k") == 2, F.sqrt("d"))).alias("d2"))
     return both.filter(F.col("d1") < ratio * F.col("d2"))
 
 

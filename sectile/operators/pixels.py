@@ -81,7 +81,7 @@ def bilinear(df: DataFrame, grid: DataFrame, x: str, y: str, gx: str, gy: str, v
 
 
 def composited(df: DataFrame, by: list[str], depth: str, alpha: str, v: str) -> DataFrame:
-    """Layers seen from the front: each counts by its alpha times what the nearer ones let through."""
-    w = W.partitionBy(*by).orderBy(depth).rowsBetween(W.unboundedPreceding, -1)
-    seen = F.coalesce(F.exp(F.sum(F.log(1 - F.col(alpha))).over(w)), F.lit(1.0))
+    """Layers seen from the front: each counts by its alpha times what the nearer ones let through; an alpha of 1 hides the rest."""
+    nearer = W.partitionBy(*by).orderBy(depth).rowsBetween(W.unboundedPreceding, -1)
+    seen = F.coalesce(F.product(1 - F.col(alpha)).over(nearer), F.lit(1.0))
     return df.withColumn("_t", seen).groupBy(*by).agg(F.sum(F.col("_t") * F.col(alpha) * F.col(v)).alias(v), F.sum(F.col("_t") * F.col(alpha)).alias("cover"))

@@ -241,7 +241,7 @@ def mi22_last_record(t):
 @query("WITH b AS (SELECT s_suppkey AS k, s_nationkey AS g, s_acctbal AS lo, s_acctbal + 300 AS hi FROM supplier) SELECT c_custkey, k FROM customer JOIN b ON c_nationkey = g AND c_acctbal >= lo AND c_acctbal < hi")
 def mi25_cells_in_boxes(t):
     b = t("supplier").select(F.col("s_suppkey").alias("k"), F.col("s_nationkey").alias("c_nationkey"), F.col("s_acctbal").alias("lo"), (F.col("s_acctbal") + 300).alias("hi"))
-    return t("customer").join(b, "c_nationkey").filter("c_acctbal >= lo AND c_acctbal < hi").select("c_custkey", "k")
+    return j.inside(t("customer"), b, ["c_nationkey"], "c_acctbal", "lo", "hi", 300.0).select("c_custkey", "k")
 
 
 @query("SELECT page_id, CAST(u AS BIGINT) AS z, sha256(url) AS run FROM (SELECT page_id, url, unnest(list_distinct(regexp_extract_all(url, '[0-9]+'))) AS u FROM pages)")

@@ -49,7 +49,7 @@ def jn6_box_overlap(t):
     k = F.col("s_suppkey")
     box = t("supplier").select(k.alias("k"), F.col("s_nationkey").alias("g"), F.col("s_acctbal").alias("x0"), k.cast("double").alias("y0"), (F.col("s_acctbal") + 1500).alias("x1"), (k + 40).cast("double").alias("y1"))
     a, b = (box.select("g", *[F.col(c).alias(f"{c}{s}") for c in ("k", "x0", "y0", "x1", "y1")]) for s in "ab")
-    out = j.overlapping(a, b, ["g"], ("x0a", "y0a", "x1a", "y1a"), ("x0b", "y0b", "x1b", "y1b"), 10).filter("ka < kb")
+    out = j.overlapping(a, b, ["g"], ("x0a", "y0a", "x1a", "y1a"), ("x0b", "y0b", "x1b", "y1b"), (1500.0, 40.0), 10).filter("ka < kb")
     return out.select("ka", "kb", r("ox0", 4).alias("ox0"), r("ox1", 4).alias("ox1"), "oy0", "oy1")
 
 

@@ -266,7 +266,7 @@ def mi31_inside_every(t):
     return image(t).groupBy("x", F.floor(F.col("y") / 50).alias("g")).agg(F.bool_and(F.col("v") > 60).alias("every"), F.bool_or(F.col("v") > 190).alias("some"))
 
 
-@query(f"WITH l AS (SELECT y % 50 AS y, x, y // 50 AS k, v, 0.1::DOUBLE + v / 400.0 AS a FROM ({_IMG})), s AS (SELECT *, coalesce(exp(sum(ln(1 - a)) OVER (PARTITION BY y, x ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)), 1) AS t FROM l) SELECT y, x, round(sum(t * a * v), 5) AS v, round(sum(t * a), 6) AS cover FROM s GROUP BY 1, 2")
+@query(f"WITH l AS (SELECT y % 50 AS y, x, y // 50 AS k, v, CASE WHEN v > 200 THEN 1.0::DOUBLE ELSE 0.1::DOUBLE + v / 400.0 END AS a FROM ({_IMG})), s AS (SELECT *, coalesce(product(1 - a) OVER (PARTITION BY y, x ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 1) AS t FROM l) SELECT y, x, round(sum(t * a * v), 5) AS v, round(sum(t * a), 6) AS cover FROM s GROUP BY 1, 2")
 def im24_composite(t):
-    l = image(t).select((F.col("y") % 50).alias("y"), "x", F.floor(F.col("y") / 50).alias("k"), "v", (0.1 + F.col("v") / 400.0).alias("a"))
+    l = image(t).select((F.col("y") % 50).alias("y"), "x", F.floor(F.col("y") / 50).alias("k"), "v", F.when(F.col("v") > 200, 1.0).otherwise(0.1 + F.col("v") / 400.0).alias("a"))
     return p.composited(l, ["y", "x"], "k", "a", "v").select("y", "x", r("v", 5).alias("v"), r("cover").alias("cover"))
