@@ -50,3 +50,47 @@ def to_grey(v: Column, lo: Column, hi: Column) -> Column:
 def clipped_round(x: Column) -> Column:
     """To the nearest whole number, halves to even."""
     return F.bround(x)
+
+
+def outside_domain(df, domains: dict[str, tuple], keys: list[str]):
+    """(keys, setting, value, allowed) of values outside their domain; nulls are outside."""
+    from functools import reduce
+
+    wrong = [df.filter(~F.coalesce(F.col(c).isin(*allowed), F.lit(False))).select(*keys, F.lit(c).alias("setting"), F.col(c).cast("string").alias("value"), F.lit(", ".join(map(str, allowed))).alias("allowed")) for c, allowed in domains.items()]
+    return reduce(lambda a, b: a.unionByName(b), wrong)
+
+
+def percentile_name(percent, tissue: bool = False):
+    """0.5 -> p0_5; of tissue 5 -> t_p5."""
+    plain = F.regexp_replace(percent.cast("double").cast("string"), r"\.0$", "")
+    return F.concat(F.lit("t_p" if tissue else "p"), F.replace(plain, F.lit("."), F.lit("_")))
+
+
+def stale_parents(children, made, parent: str, changed: str, when: str):
+    """(parent, children, redo): parents that are not made, or were made before the newest change of what they come from."""
+    newest = children.groupBy(parent).agg(F.count(F.lit(1)).alias("children"), F.max(changed).alias("_newest"))
+    return newest.join(made, parent, "left").select(parent, "children", (F.col(when).isNull() | (F.col(when) <= F.col("_newest"))).alias("redo"))
+
+
+def seam_summary(df, z: str, a: str, b: str, values: list[str], cuts: list[int], large: float):
+    """Per band of z: seams of tiles ("row-column") in one row or column, the median size of each value's median over a
+    seam, and how many are over `large`."""
+    row, column = (F.split(a, "-")[i] == F.split(b, "-")[i] for i in (0, 1))
+    seams = df.filter(row | column).groupBy(z, a, b).agg(*[F.median(v).alias(v) for v in values])
+    band = F.lit(f"{cuts[-1]}-")
+    for lo, hi in reversed(list(zip([0, *cuts], cuts))):
+        band = F.when(F.col(z) < hi, f"{lo}-{hi}").otherwise(band)
+    out = [F.count(F.lit(1)).alias("seams")]
+    for v in values:
+        out += [F.median(F.abs(v)).alias(f"{v}_med"), F.count(F.when(F.abs(v) > large, 1)).alias(f"{v}_n{large:g}")]
+    return seams.groupBy(band.alias("band")).agg(*out)
+
+
+def mesh_camera(z, start, reveal, zoom, yaw_deg: float, tilt_deg: float, pull: float, focal: float):
+    """(lowest plane shown or null, yaw, tilt, distance, plane looked at) of a frame at the cut z while meshes from `start`
+    up to the cut are revealed (0 to 1)."""
+    top = z + 0.5
+    shown = start.isNotNull() & (top > start)
+    part = F.coalesce(reveal, F.lit(0.0))
+    look = top - F.when(shown, part * (top - start) / 2).otherwise(0.0)
+    return F.when(shown, start), F.radians(F.lit(yaw_deg)) * part, F.radians(F.lit(tilt_deg)) * part, focal * zoom * (1 + (pull - 1) * part), look

@@ -85,3 +85,18 @@ def composited(df: DataFrame, by: list[str], depth: str, alpha: str, v: str) ->
     nearer = W.partitionBy(*by).orderBy(depth).rowsBetween(W.unboundedPreceding, -1)
     seen = F.coalesce(F.product(1 - F.col(alpha)).over(nearer), F.lit(1.0))
     return df.withColumn("_t", seen).groupBy(*by).agg(F.sum(F.col("_t") * F.col(alpha) * F.col(v)).alias(v), F.sum(F.col("_t") * F.col(alpha)).alias("cover"))
+
+
+def field_at(df: DataFrame, field: DataFrame, by: list[str], x: str, y: str, gx: str, gy: str, value: str, size: tuple[int, int], nodes: tuple[int, int]) -> DataFrame:
+    """df with the field's value at each pixel: nodes stand in the middle of their share of the tile, edges are held.
+
+    Each pixel meets its four nodes by an equi join on (by, node)."""
+    def along(c, px, n):
+        at = F.least(F.greatest((F.col(c) + 0.5) * n / px - 0.5, F.lit(0.0)), F.lit(float(n - 1)))
+        return at, F.least(F.floor(at), F.lit(max(n - 2, 0)))
+
+    (fx, x0), (fy, y0) = along(x, size[0], nodes[0]), along(y, size[1], nodes[1])
+    near = [F.struct((x0 + i).alias("gx"), (y0 + j).alias("gy"), ((fx - x0 if i else 1 - fx + x0) * (fy - y0 if j else 1 - fy + y0)).alias("w")) for i in (0, 1) for j in (0, 1)]
+    d = df.withColumn("_n", F.explode(F.array(*near))).withColumns({"_gx": F.col("_n.gx"), "_gy": F.col("_n.gy"), "_w": F.col("_n.w")})
+    g = field.select(*by, F.col(gx).alias("_gx"), F.col(gy).alias("_gy"), F.col(value).alias("_v"))
+    return d.join(g, [*by, "_gx", "_gy"]).groupBy(*df.columns).agg(F.sum(F.col("_w") * F.col("_v")).alias(value))

@@ -178,13 +178,8 @@ def snk3_report_lines(t):
     return t("orders").groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("o_custkey").alias("c")).select(F.concat(F.col("o_orderstatus"), F.lit(": "), F.col("n"), F.lit(" rows, "), F.col("c"), F.lit(" customers")).alias("line"))
 
 
-@query("SELECT o_orderkey, CAST(round(o_totalprice) AS BIGINT) AS price, printf('%.2f', o_totalprice) AS text FROM orders WHERE o_orderkey % 50 = 0")
-def snk17_plot_table(t):
-    return t("orders").filter("o_orderkey % 50 = 0").select("o_orderkey", F.round("o_totalprice").cast("long").alias("price"), F.format_string("%.2f", "o_totalprice").alias("text"))
-
-
 @query("SELECT o_orderkey, CAST(round(o_totalprice) AS BIGINT) AS price, printf('%.2f', o_totalprice) AS text FROM orders")
-def snk17_plot_table_whole(t):
+def snk17_plot_table(t):
     return t("orders").select("o_orderkey", F.round("o_totalprice").cast("long").alias("price"), F.format_string("%.2f", "o_totalprice").alias("text"))
 
 
@@ -227,9 +222,9 @@ def mi14_reference_files(t):
     return p.join(ref, "page_id", "left").select("page_id", F.when(F.col("m").isNull(), "absent").when(F.col("n") != F.col("m"), "shape").otherwise("ok").alias("state"))
 
 
-@query("WITH g AS (SELECT l_suppkey AS k, min(l_partkey) AS lo, max(l_partkey) AS hi FROM lineitem WHERE l_quantity > 49 GROUP BY 1) SELECT k, lo, hi FROM g WHERE lo >= 50")
+@query("WITH g AS (SELECT l_suppkey AS k, min(l_partkey) AS lo, max(l_partkey) AS hi FROM lineitem GROUP BY 1) SELECT k, lo, hi FROM g WHERE lo >= 5")
 def mi15_new_spans(t):
-    return t("lineitem").filter("l_quantity > 49").groupBy(F.col("l_suppkey").alias("k")).agg(F.min("l_partkey").alias("lo"), F.max("l_partkey").alias("hi")).filter("lo >= 50")
+    return t("lineitem").groupBy(F.col("l_suppkey").alias("k")).agg(F.min("l_partkey").alias("lo"), F.max("l_partkey").alias("hi")).filter("lo >= 5")
 
 
 @query("WITH f AS (SELECT page_id, string_split(url, '/') AS f FROM pages WHERE len(string_split(url, '/')) = 5) SELECT f[4] AS scale, max_by(f[3], page_id) AS state, count(*) AS n FROM f GROUP BY 1")
@@ -249,9 +244,9 @@ def mi27_z_lists(t):
     return t("pages").select("page_id", "url", F.explode(F.array_distinct(F.regexp_extract_all("url", F.lit("([0-9]+)"), 1))).alias("u")).select("page_id", F.col("u").cast("long").alias("z"), F.sha2("url", 256).alias("run"))
 
 
-@query("SELECT DISTINCT l_suppkey AS z FROM lineitem WHERE l_tax IS NOT NULL AND l_quantity > 49.5")
+@query("SELECT DISTINCT l_suppkey AS z FROM lineitem WHERE l_tax IS NOT NULL")
 def mi30_distinct_z(t):
-    return t("lineitem").filter("l_tax IS NOT NULL AND l_quantity > 49.5").select(F.col("l_suppkey").alias("z")).distinct()
+    return t("lineitem").filter("l_tax IS NOT NULL").select(F.col("l_suppkey").alias("z")).distinct()
 
 
 @query("WITH i AS (SELECT o_orderkey AS z, o_orderstatus <> lag(o_orderstatus) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS ch, lag(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS b FROM orders) SELECT b AS z_before, z AS z_after, 'change' AS reason FROM i WHERE ch UNION SELECT b, z, 'config' FROM i WHERE z % 997 = 0 AND b IS NOT NULL AND NOT coalesce(ch, false)")
@@ -295,10 +290,10 @@ def nu29_reference_windows(t):
     return lv.reference_windows(d, "z", "m", "c", 140.0, 90000.0, 6, ["tile"]).select("z", "tile", r(F.col("W") + 1e-8, 5).alias("w"), r(F.col("L") + 1e-8, 5).alias("lo"))
 
 
-@query("SELECT l_orderkey, l_linenumber, l_partkey, s_acctbal AS tx, s_suppkey / 2.0::DOUBLE AS ty FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_quantity > 48")
+@query("SELECT l_orderkey, l_linenumber, l_partkey, s_acctbal AS tx, s_suppkey / 2.0::DOUBLE AS ty FROM lineitem JOIN supplier ON l_suppkey = s_suppkey")
 def src9_transform_lookup(t):
     k = t("supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_acctbal").alias("tx"), (F.col("s_suppkey") / 2.0).alias("ty"))
-    return t("lineitem").filter("l_quantity > 48").join(k, "l_suppkey").select("l_orderkey", "l_linenumber", "l_partkey", "tx", "ty")
+    return t("lineitem").join(k, "l_suppkey").select("l_orderkey", "l_linenumber", "l_partkey", "tx", "ty")
 
 
 @query("WITH m AS (SELECT l_suppkey AS z, l_linenumber AS tile, CAST(max(l_partkey) % 3 AS BIGINT) AS code FROM lineitem WHERE l_tax > 0.04 GROUP BY 1, 2) SELECT s_suppkey AS z, p_partkey % 7 + 1 AS tile, p_partkey, coalesce(code, 0) AS code FROM part JOIN supplier ON p_partkey % 100 = s_suppkey LEFT JOIN m ON m.z = s_suppkey AND m.tile = p_partkey % 7 + 1")

@@ -26,12 +26,12 @@ def jn3_three_way(t):
     return t("customer").join(n, "c_nationkey").join(t("region"), "r_regionkey").select("c_custkey", "n_name", "r_name")
 
 
-@query("SELECT o_orderkey, l_suppkey, a.n_name AS customer_nation, b.n_name AS supplier_nation, l_linenumber, l_partkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey JOIN nation a ON c_nationkey = a.n_nationkey JOIN nation b ON s_nationkey = b.n_nationkey WHERE l_quantity > 45")
+@query("SELECT o_orderkey, l_suppkey, a.n_name AS customer_nation, b.n_name AS supplier_nation, l_linenumber, l_partkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey JOIN nation a ON c_nationkey = a.n_nationkey JOIN nation b ON s_nationkey = b.n_nationkey")
 def jn4_double_role(t):
     n = t("nation")
     a = n.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("customer_nation"))
     b = n.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("supplier_nation"))
-    lines = t("lineitem").filter("l_quantity > 45").join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(t("customer"), F.col("o_custkey") == F.col("c_custkey")).join(t("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+    lines = t("lineitem").join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(t("customer"), F.col("o_custkey") == F.col("c_custkey")).join(t("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
     return lines.join(a, "c_nationkey").join(b, "s_nationkey").select("o_orderkey", "l_suppkey", "customer_nation", "supplier_nation", "l_linenumber", "l_partkey")
 
 
@@ -131,31 +131,15 @@ def jn17_patch_bins(t):
 _FRAMES = "SELECT l_orderkey * 10 + l_linenumber AS frame, l_quantity AS q, l_discount AS d, CASE WHEN l_tax > 0 THEN l_tax END AS x FROM lineitem"
 
 
-@query(f"WITH f AS ({_FRAMES}) SELECT a.frame, min(b.frame) AS old_frame FROM f a JOIN f b ON a.q IS NOT DISTINCT FROM b.q AND a.d IS NOT DISTINCT FROM b.d AND a.x IS NOT DISTINCT FROM b.x WHERE a.frame % 97 = 0 AND b.frame % 89 = 0 GROUP BY 1")
-def jn18_reusable_rows(t):
-    f = t("lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("frame"), F.col("l_quantity").alias("q"), F.col("l_discount").alias("d"), F.expr("CASE WHEN l_tax > 0 THEN l_tax END").alias("x"))
-    return j.same_rows(f.filter("frame % 97 = 0"), f.filter("frame % 89 = 0"), ["q", "d", "x"], "frame")
-
-
 @query("WITH f AS (SELECT l_orderkey * 10 + l_linenumber AS frame, l_quantity AS q, l_discount AS d, CASE WHEN l_tax > 0 THEN l_tax END AS x, l_linestatus AS s FROM lineitem), o AS (SELECT q, d, x, min(frame) AS old_frame FROM f WHERE s IS DISTINCT FROM 'O' GROUP BY ALL) SELECT f.frame, min(old_frame) AS old_frame FROM f JOIN o ON f.q IS NOT DISTINCT FROM o.q AND f.d IS NOT DISTINCT FROM o.d AND f.x IS NOT DISTINCT FROM o.x WHERE f.s = 'O' GROUP BY 1")
-def jn18_reusable_rows_whole(t):
+def jn18_reusable_rows(t):
     """Open rows are the new ones, all others the old ones."""
     f = t("lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("frame"), F.col("l_quantity").alias("q"), F.col("l_discount").alias("d"), F.expr("CASE WHEN l_tax > 0 THEN l_tax END").alias("x"), F.col("l_linestatus").eqNullSafe("O").alias("new"))
     return j.same_rows(f.filter("new"), f.filter("NOT new"), ["q", "d", "x"], "frame")
 
 
-_EDGES = "SELECT DISTINCT l_suppkey AS s, l_partkey AS p FROM lineitem WHERE l_quantity = 50 AND l_discount = 0.1"
-
-
-@query(f"""WITH RECURSIVE e AS ({_EDGES}), n AS (SELECT s AS u, 1000000 + p AS v FROM e UNION SELECT 1000000 + p, s FROM e), w AS (SELECT u AS node, u AS low FROM n UNION SELECT n.v, w.low FROM w JOIN n ON n.u = w.node) SELECT node, min(low) AS component FROM w GROUP BY 1""")
-def nu7_components(t):
-    e = t("lineitem").filter("l_quantity = 50 AND l_discount = 0.1").select(F.col("l_suppkey").alias("a"), (F.col("l_partkey") + 1000000).alias("b")).distinct()
-    nodes = e.select(F.col("a").alias("node")).unionByName(e.select(F.col("b").alias("node")))
-    return j.components(e, nodes, "a", "b", "node")
-
-
 @query()
-def nu7_components_whole(t):
+def nu7_components(t):
     """Over all edges; suppliers are even nodes and parts odd ones. No SQL: a walk by recursion doesn't bear all edges."""
     e = t("lineitem").filter("l_suppkey IS NOT NULL AND l_partkey IS NOT NULL").select((F.col("l_suppkey") * 2).alias("a"), (F.col("l_partkey") * 2 + 1).alias("b")).distinct()
     nodes = e.select(F.col("a").alias("node")).unionByName(e.select(F.col("b").alias("node")))

@@ -138,15 +138,15 @@ def im10_shifted_tile(t):
     return i.select(z.alias("z"), (F.col("y") % 25 + 3 * z).alias("y"), (F.col("x") + 7).alias("x"), r(p.normalised(F.col("v"), F.lit(90.0), F.lit(170.0)) * 255).alias("v"))
 
 
-# two overlapping tiles: columns 0 to 39 and 24 to 63
-_TILES = f"WITH i AS ({_IMG} WHERE vec_id < 100), t AS (SELECT y, x, v, 0 AS k, least(x, 39 - x) AS dc, least(y, 99 - y) AS dr FROM i WHERE x < 40 UNION ALL SELECT y, x, v + 10, 1, least(x - 24, 63 - x), least(y, 99 - y) FROM i WHERE x >= 24)"
+# slices of 100 rows, each of two overlapping tiles: columns 0 to 39 and 24 to 63
+_TILES = f"WITH i AS ({_IMG}), t AS (SELECT y, x, v, 0 AS k, least(x, 39 - x) AS dc, least(y % 100, 99 - y % 100) AS dr FROM i WHERE x < 40 UNION ALL SELECT y, x, v + 10, 1, least(x - 24, 63 - x), least(y % 100, 99 - y % 100) FROM i WHERE x >= 24)"
 
 
 def tiles(t):
-    i = image(t).filter("y < 100")
+    i = image(t)
     out = []
     for k, (lo, hi) in enumerate(((0, 40), (24, 64))):
-        dc, dr = p.edge_distance(F.col("x"), F.col("y"), F.lit(lo), F.lit(0), F.lit(hi), F.lit(100))
+        dc, dr = p.edge_distance(F.col("x"), F.col("y") % 100, F.lit(lo), F.lit(0), F.lit(hi), F.lit(100))
         out.append(i.filter(F.col("x").between(lo, hi - 1)).select("y", "x", (F.col("v") + 10 * k).alias("v"), F.lit(k).alias("k"), dc.alias("dc"), dr.alias("dr")))
     return out[0].unionByName(out[1])
 
@@ -211,14 +211,8 @@ def im26_label_map(t):
     return e.join(F.broadcast(ids), "label", "left").select("vec_id", F.coalesce("i", F.lit(0)).alias("i"))
 
 
-@query(f"WITH i AS (SELECT y, x, CASE WHEN v > 130 THEN 1 ELSE 0 END AS v FROM ({_IMG}) WHERE y < 80) SELECT a.y, a.x, round(avg(b.v), 6) AS fraction FROM i a JOIN i b ON b.y BETWEEN a.y - 2 AND a.y + 2 AND b.x BETWEEN a.x - 2 AND a.x + 2 GROUP BY 1, 2")
-def mi24_window_fraction(t):
-    i = image(t).filter("y < 80").withColumn("v", (F.col("v") > 130).cast("int"))
-    return p.window_fraction(i, [], "x", "y", "v", 2).select("y", "x", r("fraction").alias("fraction"))
-
-
 @query(f"WITH i AS (SELECT y, x, CASE WHEN v > 130 THEN 1 ELSE 0 END AS v FROM ({_IMG})), s AS (SELECT y, x, sum(v) OVER r AS s, count(*) OVER r AS n FROM i WINDOW r AS (PARTITION BY y ORDER BY x RANGE BETWEEN 2 PRECEDING AND 2 FOLLOWING)) SELECT y, x, round(sum(s) OVER c / sum(n) OVER c, 6) AS fraction FROM s WINDOW c AS (PARTITION BY x ORDER BY y RANGE BETWEEN 2 PRECEDING AND 2 FOLLOWING)")
-def mi24_window_fraction_whole(t):
+def mi24_window_fraction(t):
     i = image(t).withColumn("v", (F.col("v") > 130).cast("int"))
     return p.window_fraction(i, [], "x", "y", "v", 2).select("y", "x", r("fraction").alias("fraction"))
 

@@ -113,3 +113,36 @@ def test_slabs_grow(spark, tmp_path):
         q.stop()
     rows = {r.z: r.v for r in spark.read.parquet(out).collect()}
     assert rows == {z: 10 if z >= 10 else 0 for z in range(22)}
+
+
+def test_layers_options_resources_and_frozen_plans(tmp_path):
+    import pytest
+
+    a = {"x": {"p": 1, "q": {"r": 2}}, "y": 3, "e": {}}
+    assert o.nested(o.leaves(a)) == a
+    assert o.nested(o.layered(o.leaves(a), o.leaves({"x": {"q": 5, "p": {"k": 1}}, "y": {"z": 4}, "e": {}}))) == {"x": {"q": 5, "p": {"k": 1}}, "y": {"z": 4}, "e": {}}
+    assert o.nested(o.layered(o.leaves(a), o.leaves({"x": {}}))) == a
+    assert o.look_up(a, "x.q") == {"r": 2} and o.look_up(a, "x.q.r") == 2 and o.look_up(a, "x.no", 7) == 7
+    with pytest.raises(ValueError, match="model must be one of.*side must"):
+        o.check_options({"model": "z", "side": 1, "other": 2}, {"model": ("a", "b"), "side": ("l", "r"), "unset": (1,)})
+    o.check_options({"model": "a"}, {"model": ("a", "b")})
+    ok = {"median": 120, "contrast": 2, "per": "slice", "brightness": "tissue", "breaks": [9, 3, 9]}
+    assert o.reference_settings(ok)["breaks"] == [3, 9]
+    for wrong in ({"median": 255}, {"median": None}, {"contrast": 0}, {"per": "tile"}):
+        with pytest.raises(ValueError):
+            o.reference_settings(ok | wrong)
+    assert o.percentile_column(0.5, ["p0_5"]) == "p0_5" and o.percentile_column(5, ["t_p5"], tissue=True) == "t_p5"
+    with pytest.raises(ValueError):
+        o.percentile_column(0.7, ["p0_5"])
+    c = {"resources": {"align": {"cores": 8, "memory": "16g", "timeout": "600s"}, "render": {"timeout": 14400}, "check": {"nodes": 1}}}
+    jobs = ("align", "render", "check", "export")
+    assert o.resources(c, "align", jobs) == {"spark.executor.cores": "8", "spark.executor.memory": "16g", "spark.network.timeout": "600s"}
+    assert o.resources(c, "export", jobs) == {}
+    for job in ("render", "check", "none"):
+        with pytest.raises(ValueError):
+            o.resources(c, job, jobs)
+    at = str(tmp_path / "plan.json")
+    assert [o.frozen(at, {"a": 1}, "d"), o.frozen(at, {"a": 1}, "d")] == ["made", "kept"]
+    with pytest.raises(ValueError):
+        o.frozen(at, {"a": 2}, "d")
+    assert [o.frozen(at, {"a": 2}, "d", overwrite=True), o.frozen(at, {"a": 2}, "d")] == ["made", "kept"]

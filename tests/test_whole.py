@@ -17,7 +17,7 @@ def test_all_rows_are_asked_for_reuse(spark):
                 old[same] = min(frame, old.get(same, frame))
             elif new and r.l_linestatus == "O" and same in old:
                 want[frame] = min(old[same], want.get(frame, old[same]))
-    got = {r.frame: r.old_frame for r in e.queries()["jn18_reusable_rows_whole"](spark, D).collect()}
+    got = {r.frame: r.old_frame for r in e.queries()["jn18_reusable_rows"](spark, D).collect()}
     assert got == want and len(want) > 100
 
 
@@ -26,7 +26,7 @@ def test_window_fraction_of_the_whole_image(spark):
 
     d = D.replace("0.001", "0.01")
     v = {(r.y, r.x): r.v > 130 for r in image(lambda name: spark.read.parquet(f"{d}/{name}.parquet")).collect()}
-    got = {(r.y, r.x): r.fraction for r in e.queries()["mi24_window_fraction_whole"](spark, d).collect()}
+    got = {(r.y, r.x): r.fraction for r in e.queries()["mi24_window_fraction"](spark, d).collect()}
     assert got.keys() == v.keys() and max(y for y, _ in got) >= 80
     for y, x in v:
         near = [v[a, b] for a in range(y - 2, y + 3) for b in range(x - 2, x + 3) if (a, b) in v]
@@ -47,11 +47,11 @@ def test_components_over_all_edges(spark, tmp_path):
     for s, p in edges:
         x, y = find(2 * s), find(2 * p + 1)
         own[max(x, y)] = min(x, y)
-    got = {x.node: x.component for x in e.queries()["nu7_components_whole"](spark, str(tmp_path)).collect()}
+    got = {x.node: x.component for x in e.queries()["nu7_components"](spark, str(tmp_path)).collect()}
     assert got == {n: find(n) for n in own} and len(set(got.values())) > 3
 
 
 def test_plot_table_has_all_rows(spark, tmp_path):
     spark.createDataFrame([(k, k + 0.25) for k in range(1, 49)], "o_orderkey long, o_totalprice double").write.parquet(f"{tmp_path}/orders.parquet")
-    got = sorted(tuple(x) for x in e.queries()["snk17_plot_table_whole"](spark, str(tmp_path)).collect())
+    got = sorted(tuple(x) for x in e.queries()["snk17_plot_table"](spark, str(tmp_path)).collect())
     assert got == [(k, k, f"{k}.25") for k in range(1, 49)]
