@@ -67,6 +67,15 @@ def only_last(make: Callable[[], DataFrame]) -> DataFrame:
     return out
 
 
+def release(*tables: DataFrame) -> None:
+    """Remove tables that cut() wrote, once everything made from them is written itself."""
+    for t in tables:
+        path = t.sectile_path
+        if path in (getattr(_OPEN, "paths", None) or ()):
+            _OPEN.paths.remove(path)
+        _remove(t.sparkSession, path)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write df once to the shared folder and go on from there; survives the loss of any executor."""
     spark = df.sparkSession
@@ -75,7 +84,9 @@ def cut(df: DataFrame) -> DataFrame:
     if getattr(_OPEN, "paths", None) is not None:
         _OPEN.paths.append(path)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.sectile_path = path
+    return out
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:

@@ -32,7 +32,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_fold, arrow_map, bucket_count, cut, ids_and_texts, mix, only, only_last, pack, rolled, span_hashes, unpack, unrolled, word_spans
+from .common import arrow_fold, arrow_map, bucket_count, cut, ids_and_texts, mix, only, only_last, pack, release, rolled, span_hashes, unpack, unrolled, word_spans
 
 K, BANDS, TAKEN, SIMILARITY = 5, 20, 3, 0.8
 #: Texts of a block, and words of one at most (unless it is a single text); pairs of texts for each task that compares blocks.
@@ -373,6 +373,9 @@ def _classes(docs: DataFrame, key: str, text: str) -> DataFrame:
     member = cut(sk.select("id", "digest").join(first, "digest").select("id", "rep"))  # id -> the smallest id of its copies
     texts = sk.join(first.select(F.col("rep").alias("id"), "digest"), ["id", "digest"]).dropDuplicates(["id", "digest"])
     bands = cut(texts.select("id", "n", F.posexplode("bands").alias("band", "value")))
+    # a table of its own, so that the joins of pairs with it can be split where a leader has many texts
+    words = cut(sk.select("id", "words", "bands").join(member.filter("id = rep").select("id"), "id", "left_semi").dropDuplicates(["id"]))
+    release(sk, first)  # the large tables go as soon as nothing reads them
     # buckets are (band, value, length class): lengths that may be alike share a class, others mostly don't meet
     key_ = ["band", "value", "size"]
     several = bands.groupBy("band", "value").agg(F.count(F.lit(1)).alias("_c")).filter("_c > 1").select("band", "value")
@@ -380,8 +383,7 @@ def _classes(docs: DataFrame, key: str, text: str) -> DataFrame:
     cells = cut(bands.join(several, ["band", "value"]).withColumn("size", F.explode(F.array(cell, cell + 1))))
     leader = cells.groupBy(*key_).agg(F.min(F.struct("id", "n")).alias("leader"), F.count(F.lit(1)).alias("_c")).filter("_c > 1")
     shared = cut(cells.join(leader, key_).select("id", "n", *key_, F.col("leader.id").alias("l"), F.col("leader.n").alias("ln")))
-    # a table of its own, so that the joins of pairs with it can be split where a leader has many texts
-    words = cut(sk.select("id", "words", "bands").join(member.filter("id = rep").select("id"), "id", "left_semi").dropDuplicates(["id"]))
+    release(bands, cells)
 
     def close(n: str, m: str) -> F.Column:
         return F.least(n, m) >= SIMILARITY * F.greatest(n, m) - 1e-9
