@@ -94,3 +94,15 @@ def mesh_camera(z, start, reveal, zoom, yaw_deg: float, tilt_deg: float, pull: f
     part = F.coalesce(reveal, F.lit(0.0))
     look = top - F.when(shown, part * (top - start) / 2).otherwise(0.0)
     return F.when(shown, start), F.radians(F.lit(yaw_deg)) * part, F.radians(F.lit(tilt_deg)) * part, focal * zoom * (1 + (pull - 1) * part), look
+
+
+def widened(lo: Column, hi: Column, black: float, white: float) -> tuple[Column, Column]:
+    """The window under which the ends of lo to hi come out at the grey values black and white."""
+    span = (hi - lo) * 255.0 / (white - black)
+    start = lo - black / 255.0 * span
+    return start, start + span
+
+
+def turned(lo: Column, hi: Column, size: Column) -> tuple[Column, Column]:
+    """The range lo to hi (not included) of an axis turned by half a turn."""
+    return size - hi, size - lo

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -111,15 +113,20 @@ def trapezoid(df: DataFrame, value: str, at: str, order, by=(), out: str = "inte
     return df.withColumn("_s", F.coalesce(step, F.lit(0.0))).withColumn(out, F.sum("_s").over(w.rowsBetween(W.unboundedPreceding, 0))).drop("_s")
 
 
-def constrained(df: DataFrame, spacing: str, nominal: float, half: int, order, block: list[str], out: str = "held") -> DataFrame:
-    """Spacings over their running mean ratio, at least a quarter of nominal, scaled so that a block keeps its depth."""
-    w = _over(block, order).rowsBetween(-half, half)
-    ratio = F.avg(spacing).over(w) / nominal
-    df = df.withColumn("_s", F.greatest(F.col(spacing) / ratio, F.lit(0.25 * nominal)))
+def constrained(df: DataFrame, spacing: str, nominal: Column, half: int, order, by: list[str], breaks: Column | None = None, least: float = 0.25, out: str = "held") -> DataFrame:
+    """Spacings over the running mean of their ratio to nominal (half 0: as they are), at least a share of nominal, scaled so
+    that the rows between two breaks keep their depth. Rows at a break have the nominal spacing."""
+    brk = F.lit(False) if breaks is None else F.coalesce(breaks, F.lit(False))
+    df = df.withColumn("_n", nominal.cast("double")).withColumn("_b", brk)
+    df = df.withColumn("_k", F.sum(F.col("_b").cast("int")).over(_over(by, order).rowsBetween(W.unboundedPreceding, 0)))
+    block = [*by, "_k", "_b"]
+    near = _over(block, order).rowsBetween(-half, half)
+    held = F.col(spacing) / F.avg(F.col(spacing) / F.col("_n")).over(near) if half else F.col(spacing)
+    floor = least * F.col("_n")
+    df = df.withColumn("_s", F.greatest(held - floor, F.lit(0.0)))
     all_ = W.partitionBy(*block)
-    floor, n = 0.25 * nominal, F.count(F.lit(1)).over(all_)
-    over, want = F.sum(F.col("_s") - floor).over(all_), n * (nominal - floor)
-    return df.withColumn(out, F.when(over > 0, floor + (F.col("_s") - floor) * want / over).otherwise(F.lit(float(nominal)))).drop("_s")
+    over, room = F.sum("_s").over(all_), F.sum(F.col("_n") - floor).over(all_)
+    return df.withColumn(out, F.when(F.col("_b") | (over <= 0), F.col("_n")).otherwise(floor + F.col("_s") * room / over)).drop("_n", "_b", "_k", "_s")
 
 
 def coverage(intervals: DataFrame, lo: str, hi: str, by=(), out: str = "n") -> DataFrame:
@@ -140,6 +147,25 @@ def detrended(df: DataFrame, y: str, x: str, by=(), out: str = "level") -> DataF
     return df.withColumn(out, F.when(n > 0, F.col(y) - F.col("_my") - slope * (F.col(x) - F.col("_mx")))).drop("_mx", "_my")
 
 
+def without_drift(df: DataFrame, y: str, order, sigma: float, by=(), steps: Column | None = None, out: str = "level") -> DataFrame:
+    """Minus a Gaussian low-pass over positions, the ends repeated. Where `steps` holds, the step to the row is none of the
+    drift: the low-pass is of the rows with these steps taken out. y holds no nulls."""
+    at, reach = _over(by, order), int(4 * sigma + 0.5)
+    weights = [math.exp(-k * k / (2 * sigma * sigma)) for k in range(-reach, reach + 1)]
+    weights = [x / sum(weights) for x in weights]
+    missing = F.array(*[F.lit(sum(weights[:k])) for k in range(reach + 1)])  # weight of the first k places
+    step = F.coalesce(F.when(F.lit(False) if steps is None else steps, F.col(y) - F.lag(y).over(at)), F.lit(0.0))
+    df = df.withColumn("_d", step)
+    df = df.withColumn("_s", F.col(y) - F.sum("_d").over(at.rowsBetween(W.unboundedPreceding, 0)))
+    whole = at.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    before = F.row_number().over(at) - 1
+    df = df.withColumns({"_v": F.collect_list("_s").over(at.rowsBetween(-reach, reach)), "_f": F.first("_s").over(whole), "_l": F.last("_s").over(whole)})
+    df = df.withColumns({"_lo": reach - F.least(before, F.lit(reach)), "_hi": reach - F.least(F.count(F.lit(1)).over(W.partitionBy(*by)) - 1 - before, F.lit(reach)).cast("int")})
+    here = F.zip_with("_v", F.slice(F.array(*map(F.lit, weights)), F.col("_lo") + 1, F.size("_v")), lambda v, w: v * w)
+    drift = F.aggregate(here, F.lit(0.0), lambda t, x: t + x) + F.col("_f") * F.element_at(missing, F.col("_lo") + 1) + F.col("_l") * F.element_at(missing, F.col("_hi") + 1)
+    return df.withColumn(out, F.col(y) - drift).drop("_d", "_s", "_v", "_f", "_l", "_lo", "_hi")
+
+
 def gauged(df: DataFrame, col: str, order, by=(), how: str = "first", out: str = "shifted") -> DataFrame:
     """Shifted so that the first value (or the mean) is 0."""
     base = F.first(col).over(_over(by, order).rowsBetween(W.unboundedPreceding, W.unboundedFollowing)) if how == "first" else F.avg(col).over(W.partitionBy(*by))

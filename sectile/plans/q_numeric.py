@@ -189,3 +189,8 @@ def nu24_patch_gains(t):
 def nu17_window_affines(t):
     l = t("lineitem").select((F.col("l_suppkey") % 10).alias("z"), F.col("l_linenumber").cast("string").alias("a"), (F.col("l_linenumber") + 1).cast("string").alias("b"), F.col("l_quantity").alias("xa"), (F.col("l_partkey") % 97).cast("double").alias("ya"), (F.col("l_quantity") + F.col("l_tax")).alias("xb"), (F.col("l_partkey") % 97 - F.col("l_discount")).alias("yb"), F.lit(1.0).alias("w"))
     return fits.window_affines(l, ["z"])
+
+
+@query()
+def nu37_wavelet_noise(t):
+    return images.per_image(blocks(t), ["z"], "y", "x", "v", lambda p: pd.DataFrame({"noise": [images.wavelet_noise(p)]}), "z long, noise double")

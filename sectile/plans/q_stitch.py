@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions import motion
 from ..functions import scalars as s
 from ..operators import pixels as p
 from ..operators import stitching as st
@@ -136,3 +137,32 @@ def mi18_mesh_camera(t):
     f = t("events").select("event_id", F.col("value").alias("zoom"), F.col("user_id").cast("double").alias("z"), (F.col("event_id") % 11 / 10.0).alias("reveal"), F.when(F.col("event_id") % 5 != 0, (F.col("user_id") - F.col("event_id") % 40).cast("double")).alias("start"))
     lo, yaw, tilt, distance, look = s.mesh_camera(F.col("z"), F.col("start"), F.col("reveal"), F.col("zoom"), 30.0, 20.0, 1.5, 1000.0)
     return f.select("event_id", lo.alias("lo"), r(yaw).alias("yaw"), r(tilt).alias("tilt"), r(distance, 4).alias("distance"), r(look).alias("look"))
+
+
+_WAY = "CASE WHEN {l} <= 0 THEN CASE WHEN {t} >= {a} THEN 1.0 ELSE 0.0 END ELSE (CASE WHEN {s} < {e} THEN {s} / 2 - {e} / (2 * pi()) * sin(pi() * {s} / {e}) WHEN {s} > {l} - {e} THEN {l} - {e} - (({l} - {s}) / 2 - {e} / (2 * pi()) * sin(pi() * ({l} - {s}) / {e})) ELSE {s} - {e} / 2 END) / ({l} - {e}) END"
+
+
+@query("WITH f AS (SELECT event_id, value AS t, (user_id % 5) * 1.0::DOUBLE AS a, (event_id % 4) * 20.0::DOUBLE AS l, least((event_id % 7) * 3.0::DOUBLE, (event_id % 4) * 10.0::DOUBLE) AS e, value / 90 AS u FROM events), g AS (SELECT *, least(greatest(t - a, 0), l) AS s FROM f) SELECT event_id, round(" + _WAY.format(l="l", t="t", a="a", s="s", e="e") + ", 6) AS way, round(CASE WHEN u <= 0 THEN 1.0 WHEN u >= 1 THEN 0.0 ELSE 1 - exp(-(1 - u) / (8 * u)) END, 6) AS opacity FROM g")
+def mi21_progress(t):
+    """How far moves of several lengths and ramps are, and how opaque what fades on the way is."""
+    f = t("events").select("event_id", F.col("value").alias("t"), (F.col("user_id") % 5).cast("double").alias("a"), (F.col("event_id") % 4 * 20).cast("double").alias("l"), (F.col("event_id") % 7 * 3).cast("double").alias("e"))
+    way = motion.travelled(F.col("t"), F.col("a"), F.col("a") + F.col("l"), F.col("e"))
+    return f.select("event_id", r(way).alias("way"), r(motion.veil(F.col("t") / 90, F.lit(8.0))).alias("opacity"))
+
+
+@query("WITH f AS (SELECT c_nationkey AS g, (row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1) / 25.0::DOUBLE AS t FROM customer), d AS (SELECT *, max(t) OVER (PARTITION BY g) AS l0, least(0.5::DOUBLE, max(t) OVER (PARTITION BY g) / 2) AS a FROM f), h AS (SELECT *, l0 - a AS l, least(1.0::DOUBLE, (l0 - a) / 2) AS e, least(greatest(t - a, 0), l0 - a) AS s FROM d), b AS (SELECT *, 16 * least(greatest(t / greatest(a, 1e-9), 0), 1) + (800 - 16) * (" + _WAY.format(l="l", t="t", a="a", s="s", e="e") + ") AS depth FROM h), q AS (SELECT *, depth - lag(depth) OVER (PARTITION BY g ORDER BY t) AS ahead FROM b) SELECT g, round(coalesce(max(CASE WHEN ahead >= 4 THEN t END), max(l0)), 6) AS stop FROM q GROUP BY 1")
+def mi21_build_stop(t):
+    """Frames are the customers of a nation: when a build of 800 voxels visibly stops."""
+    w = W.partitionBy("g")
+    f = t("customer").select(F.col("c_nationkey").alias("g"), ((F.row_number().over(W.partitionBy("c_nationkey").orderBy("c_custkey")) - 1) / 25.0).alias("t")).withColumn("done", F.max("t").over(w))
+    f = f.withColumn("depth", motion.built(F.col("t"), F.col("done"), F.lit(800.0), F.lit(16.0), F.lit(0.5), F.lit(1.0)))
+    return motion.visible_end(f, ["g"], "t", "depth", "done", 2).select("g", r("stop").alias("stop"))
+
+
+@query("WITH w AS (SELECT p_partkey, p_retailprice / 10 AS lo, p_size * 255.0::DOUBLE / 225 AS span FROM part) SELECT p_partkey, round(lo - 12 / 255.0::DOUBLE * span, 6) AS lo, round(lo - 12 / 255.0::DOUBLE * span + span, 6) AS hi, CAST(2000 - p_partkey % 1000 - p_size AS BIGINT) AS row0, CAST(2000 - p_partkey % 1000 AS BIGINT) AS row1 FROM w JOIN (SELECT p_partkey, p_size FROM part) USING (p_partkey)")
+def mi16_crop_windows(t):
+    """Windows so wide that their former ends come out at 12 and 237, and rows of a crop of a turned canvas."""
+    at = F.col("p_partkey") % 1000
+    lo, hi = s.widened(F.col("p_retailprice") / 10, F.col("p_retailprice") / 10 + F.col("p_size"), 12.0, 237.0)
+    row0, row1 = s.turned(at, at + F.col("p_size"), F.lit(2000))
+    return t("part").select("p_partkey", r(lo).alias("lo"), r(hi).alias("hi"), row0.cast("long").alias("row0"), row1.cast("long").alias("row1"))

@@ -133,7 +133,7 @@ def wn16_positions(t):
 @query(f"""WITH c AS (SELECT *, value + 1 AS s FROM ({_CLOCK})), q AS (SELECT *, greatest(s / (avg(s) OVER (PARTITION BY user_id ORDER BY us ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) / 50.0), 12.5) AS x FROM c),
 o AS (SELECT *, sum(x - 12.5) OVER (PARTITION BY user_id) AS over_, count(*) OVER (PARTITION BY user_id) AS n FROM q) SELECT event_id, round(CASE WHEN over_ > 0 THEN 12.5 + (x - 12.5) * n * 37.5 / over_ ELSE 50.0 END, 5) AS held FROM o""")
 def wn17_constrained(t):
-    return w.constrained(clock(t).withColumn("s", F.col("value") + 1), "s", 50.0, 2, "us", ["user_id"]).select("event_id", r("held", 5).alias("held"))
+    return w.constrained(clock(t).withColumn("s", F.col("value") + 1), "s", F.lit(50.0), 2, "us", ["user_id"]).select("event_id", r("held", 5).alias("held"))
 
 
 @query("""WITH i AS (SELECT l_returnflag AS f, l_orderkey AS lo, l_orderkey + l_linenumber AS hi FROM lineitem), e AS (SELECT f, lo AS pos, 1 AS d FROM i UNION ALL SELECT f, hi, -1 FROM i), g AS (SELECT f, pos, sum(d) AS d FROM e GROUP BY 1, 2)
@@ -198,3 +198,24 @@ def flt8_even_pick(t):
 @query(_PICK.format("(0.05::DOUBLE + 0.9::DOUBLE * k / 11)"))
 def flt9_quantile_positions(t):
     return w.even_pick(t("orders").select("o_orderkey", "o_orderpriority", "o_orderdate"), 12, ["o_orderdate", "o_orderkey"], ["o_orderpriority"], 0.05, 0.95).select("o_orderkey", "o_orderpriority")
+
+
+_BLOCK = "OVER (PARTITION BY user_id, k, brk"
+
+
+@query(f"""WITH c AS (SELECT *, value + 1 AS s, 40.0::DOUBLE + user_id % 3 * 10 AS nom, event_id % 11 = 0 AS brk FROM ({_CLOCK})), b AS (SELECT *, sum(CASE WHEN brk THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY us ROWS UNBOUNDED PRECEDING) AS k FROM c),
+q AS (SELECT *, greatest(s / (avg(s / nom) {_BLOCK} ORDER BY us ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)) - 0.4 * nom, 0) AS x FROM b), o AS (SELECT *, sum(x) {_BLOCK}) AS over_, sum(nom - 0.4 * nom) {_BLOCK}) AS room FROM q)
+SELECT event_id, round(CASE WHEN brk OR over_ <= 0 THEN nom ELSE 0.4 * nom + x * room / over_ END, 5) AS held FROM o""")
+def wn17_between_breaks(t):
+    """Nominal spacings that differ, and breaks between which depths are kept."""
+    c = clock(t).withColumn("s", F.col("value") + 1)
+    out = w.constrained(c, "s", 40.0 + F.col("user_id") % 3 * 10, 2, "us", ["user_id"], F.col("event_id") % 11 == 0, 0.4)
+    return out.select("event_id", r("held", 5).alias("held"))
+
+
+@query(_DAILY + """, s AS (SELECT *, row_number() OVER w - 1 AS i, count(*) OVER (PARTITION BY p) AS n, CASE WHEN day % 97 = 0 THEN coalesce(v - lag(v) OVER w, 0) ELSE 0 END AS st FROM d WINDOW w AS (PARTITION BY p ORDER BY day)),
+c AS (SELECT *, v - sum(st) OVER (PARTITION BY p ORDER BY day ROWS UNBOUNDED PRECEDING) AS slow FROM s), g AS (SELECT k, exp(-k * k / 12.5::DOUBLE) AS w FROM range(-10, 11) y(k)),
+j AS (SELECT c.p, c.day, c.v, sum(b.slow * w) / sum(w) AS drift FROM c CROSS JOIN g JOIN c b ON b.p = c.p AND b.i = least(greatest(c.i + k, 0), c.n - 1) GROUP BY 1, 2, 3) SELECT p, CAST(day AS BIGINT) AS day, round(v - drift, 3) AS level FROM j""")
+def wn19_low_pass(t):
+    """Days without their slow drift; the steps to every 97th day are kept."""
+    return w.without_drift(daily(t), "v", "day", 2.5, ["p"], F.col("day") % 97 == 0).select("p", "day", r("level", 3).alias("level"))

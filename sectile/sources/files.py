@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import io
 import os
 import re
 import struct
 import tempfile
 import zlib
 from collections.abc import Callable
+from pathlib import Path
 
 import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 
 
 def atomic_write(path: str, write: Callable[[str], None]) -> None:
@@ -66,3 +70,51 @@ def precomputed_info(shape: tuple[int, int, int], voxel_nm: tuple[float, float,
         f = 2**s
         out.append({"key": "_".join(str(int(v * f)) for v in voxel_nm), "size": [-(-n // f) for n in shape], "resolution": [v * f for v in voxel_nm], "chunk_sizes": [[chunk] * 3], "encoding": "raw", "voxel_offset": [0, 0, 0]})
     return {"type": "image", "data_type": "uint8", "num_channels": 1, "scales": out}
+
+
+def local_files(root: str) -> dict[str, int]:
+    """Sizes of all files below root, by relative path."""
+    at = Path(root)
+    return {f.relative_to(at).as_posix(): f.stat().st_size for f in sorted(at.rglob("*")) if f.is_file()}
+
+
+def copy_ends(source: str, target: str) -> tuple[Path, Path]:
+    """Both folders resolved; refused if the source is none, or if one of them is or holds the other."""
+    a, b = Path(source).resolve(), Path(target).resolve()
+    if not a.is_dir():
+        raise ValueError(f"{source} is not a folder")
+    if a == b or a in b.parents or b in a.parents:
+        raise ValueError(f"{source} and {target} are one folder, or one lies in the other")
+    return a, b
+
+
+def write_chunks(df: DataFrame, folder: str, by: str, columns: list[str]) -> DataFrame:
+    """One npz file for each value of `by` (a chunk of bounded size) in a folder that all executors share, written when the
+    result (by, path, n) is read. A repeated task replaces its file; a null value of `by` is refused."""
+
+    def put(key, pdf):
+        if key[0] is None or key[0] != key[0]:
+            raise ValueError(f"a chunk needs a value of {by}")
+        path = f"{folder}/{key[0]}.npz"
+
+        def save(tmp):
+            with open(tmp, "wb") as f:
+                np.savez_compressed(f, **{c: np.stack(pdf[c]) if len(pdf) and isinstance(pdf[c].iloc[0], (list, np.ndarray)) else pdf[c].to_numpy() for c in columns})
+
+        atomic_write(path, save)
+        return pd.DataFrame({by: [key[0]], "path": [path], "n": [len(pdf)]})
+
+    return df.select(by, *(c for c in columns if c != by)).groupBy(by).applyInPandas(put, f"`{by}` {dict(df.dtypes)[by]}, path string, n long")
+
+
+def read_chunks(spark: SparkSession, folder: str, schema: str) -> DataFrame:
+    """The rows of all npz files of a folder; the columns of schema are their arrays."""
+    names = spark.createDataFrame([], schema).columns
+
+    def rows(frames):
+        for f in frames:
+            for content in f["content"]:
+                with np.load(io.BytesIO(content)) as z:
+                    yield pd.DataFrame({c: list(z[c]) if z[c].ndim > 1 else z[c] for c in names})
+
+    return spark.read.format("binaryFile").option("pathGlobFilter", "*.npz").load(folder).select("content").mapInPandas(rows, schema)

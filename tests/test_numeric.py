@@ -228,3 +228,46 @@ def test_patches_and_windows_recover(spark, rng):
     out = fits.window_affines(spark.createDataFrame(rows, "z long, a string, b string, xa double, ya double, xb double, yb double, w double"), ["z"], 1e-7).collect()
     for r in out:
         assert np.allclose([r.a, r.b, r.tx, r.c, r.d, r.ty], t[r.tile].reshape(-1), atol=0.02)
+
+
+def test_wavelet_noise():
+    r = np.random.default_rng(3)
+    y, x = np.mgrid[:90, :121] / 20.0
+    smooth = 50 + 3 * x + y**2 - x * y
+    inner = images.finest_diagonal(smooth)[4:-4, 4:-4]
+    assert images.finest_diagonal(smooth).shape == (48, 64) and np.abs(inner).max() < 1e-6
+    noise = r.normal(0, 2.5, (400, 400))  # mirrored edges damp the noise of the outermost places
+    assert 2.375 < images.wavelet_noise(noise) < 2.525 and abs(images.finest_diagonal(noise)[4:-4, 4:-4].std() - 2.5) < 0.05
+
+
+def test_progress_is_the_integral_of_the_speed(spark):
+    from pyspark.sql import functions as F
+
+    from sectile.functions import motion
+
+    def speed(t, a, b, e):
+        def up(u):
+            return (1 - np.cos(np.pi * np.clip(u, 0, 1))) / 2
+
+        return up((t - a) / e) * (1 - up((t - b + e) / e))
+
+    got = spark.range(121).select((F.col("id") / 10.0).alias("t")).select("t", *(motion.travelled(F.col("t"), F.lit(2.0), F.lit(b), F.lit(e)).alias(n) for n, b, e in (("p", 9.0, 2.0), ("step", 2.0, 2.0), ("even", 9.0, 0.0)))).toPandas()
+    fine = np.linspace(2, 9, 70001)
+    v = speed(fine, 2, 9, 2)
+    way = np.concatenate(([0], np.cumsum((v[1:] + v[:-1]) / 2)))
+    assert np.allclose(got.p, np.interp(got.t, fine, way / way[-1]), atol=1e-6)
+    assert np.allclose(got.step, got.t >= 2) and np.allclose(got.even, np.clip((got.t - 2) / 7, 0, 1))
+
+
+def test_low_pass_keeps_steps(spark):
+    from pyspark.sql import functions as F
+
+    from sectile.operators import windows
+
+    y = np.cumsum(np.random.default_rng(4).normal(0, 1, 40)) + 30.0 * (np.arange(40) >= 17)
+    df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(y)], "i long, y double")
+    got = windows.without_drift(df.withColumn("g", F.lit(1)), "y", "i", 3.0, ["g"], F.col("i") == 17).orderBy("i").toPandas()
+    step = np.where(np.arange(40) >= 17, y[17] - y[16], 0)
+    k = np.exp(-np.arange(-12, 13) ** 2 / 18.0)
+    want = y - np.convolve(np.pad(y - step, 12, mode="edge"), k / k.sum(), "valid")
+    assert np.allclose(got.level, want)

@@ -146,3 +146,29 @@ def test_layers_options_resources_and_frozen_plans(tmp_path):
     with pytest.raises(ValueError):
         o.frozen(at, {"a": 2}, "d")
     assert [o.frozen(at, {"a": 2}, "d", overwrite=True), o.frozen(at, {"a": 2}, "d")] == ["made", "kept"]
+
+
+def test_chunks_come_back(spark, tmp_path):
+    rows = [(k, i, [float(k), i / 2]) for k in range(3) for i in range(4)]
+    df = spark.createDataFrame(rows, "k long, i long, v array<double>")
+    done = files.write_chunks(df, str(tmp_path), "k", ["k", "i", "v"]).collect()
+    assert sorted((x.k, x.n) for x in done) == [(0, 4), (1, 4), (2, 4)]
+    assert sorted(files.local_files(str(tmp_path))) == ["0.npz", "1.npz", "2.npz"]
+    back = files.read_chunks(spark, str(tmp_path), "k long, i long, v array<double>")
+    assert sorted((x.k, x.i, list(x.v)) for x in back.collect()) == rows
+
+
+def test_copy_ends(tmp_path):
+    (tmp_path / "a/b").mkdir(parents=True)
+    a = str(tmp_path / "a")
+    assert files.copy_ends(a, str(tmp_path / "c"))[1] == tmp_path / "c"
+    for x, y in ((a, a), (a, f"{a}/b"), (f"{a}/b", a), (f"{a}/none", f"{a}/c")):
+        with pytest.raises(ValueError):
+            files.copy_ends(x, y)
+
+
+def test_single_plane_has_no_old_corrections():
+    old = {"canvas_size_xy": [101, 60], "settings": {"downsample": 1, "clahe": True}, "patchgrid": "x", "shading": "y", "z": 3}
+    new = o.single_plane(old, 4, {"shading": "n", "patchgrid": None}, clahe=False)
+    assert new == {"canvas_size_xy": [101, 60], "downsample": 4, "shape": [1, 15, 26], "settings": {"downsample": 4, "clahe": False}, "shading": "n", "z": 3}
+    assert old["settings"]["clahe"]
