@@ -7,6 +7,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .cuts import cut
+
 MODELS = {"translation": 1, "rigid": 2, "similarity": 2, "affine": 3}
 
 
@@ -240,14 +242,29 @@ def solve_banded(diag: np.ndarray, rhs: np.ndarray) -> np.ndarray:
     return x
 
 
-def flat_fields(pixels: DataFrame, by: list[str], prior: float = 1e-3) -> DataFrame:
-    """Second-order polynomial of the log brightness over the tile. pixels: x, y in -1 ... 1, v > 0, w.
+def _flat_terms() -> list:
+    x, y = F.col("x"), F.col("y")
+    return [F.lit(1.0), x, y, x * x, x * y, y * y]
+
+
+def flat_gain(most: float = 1.5):
+    """The gain of a field (c0 ... c5) at x, y, within 1 / most and most."""
+    log = sum((F.col(f"c{i}") * t for i, t in enumerate(_flat_terms())), F.lit(0.0))
+    return F.least(F.greatest(F.exp(log), F.lit(1 / most)), F.lit(most))
+
+
+def flat_fields(pixels: DataFrame, by: list[str], prior: float = 0.2, least: float = 5, most: float = 1.5) -> DataFrame:
+    """Second-order polynomial (c0 ... c5) of the log brightness over a tile, of mean gain 1 over the pixels it is fitted to.
 
-    Spark sums the 6 x 6 normal equations for each key; each is solved in one small task."""
-    terms = [F.lit(1.0), F.col("x"), F.col("y"), F.col("x") * F.col("x"), F.col("x") * F.col("y"), F.col("y") * F.col("y")]
-    log = F.log("v")
-    sums = [F.sum(F.col("w") * terms[i] * terms[j]).alias(f"m{i}{j}") for i in range(6) for j in range(i, 6)] + [F.sum(F.col("w") * terms[i] * log).alias(f"r{i}") for i in range(6)]
-    reduced = pixels.filter("v > 0 AND w > 0").groupBy(*by).agg(*sums)
+    pixels: a row for each pixel, x and y in -1 ... 1, v (mean relative brightness), w (slices behind it). Pixels of `least`
+    slices count, by their slices; each pixel also says "gain 1" with the weight `prior`, which rules where nothing was
+    measured. Fields of fewer than 60 such pixels are null. Spark sums the 6 x 6 equations of a key; one small task solves them."""
+    terms = _flat_terms()
+    used = F.coalesce((F.col("w") >= least) & (F.col("v") > 0), F.lit(False))
+    weight = F.when(used, F.col("w")).otherwise(0.0)
+    log = F.when(used, F.log(F.least(F.greatest("v", F.lit(1 / most)), F.lit(most)))).otherwise(0.0)
+    sums = [F.sum((weight + prior) * terms[i] * terms[j]).alias(f"m{i}{j}") for i in range(6) for j in range(i, 6)] + [F.sum(weight * terms[i] * log).alias(f"r{i}") for i in range(6)]
+    reduced = pixels.groupBy(*by).agg(*sums, F.count_if(used).alias("n"))
     kinds = ", ".join(f"{c} {dict(pixels.dtypes)[c]}" for c in by)
 
     def run(batches):
@@ -255,11 +272,14 @@ def flat_fields(pixels: DataFrame, by: list[str], prior: float = 1e-3) -> DataFr
             rows = []
             for r in pdf.to_dict("records"):
                 m = np.array([[r[f"m{min(i, j)}{max(i, j)}"] for j in range(6)] for i in range(6)])
-                m += np.diag([0.0] + [prior * m[0, 0]] * 5)
-                rows.append((*[r[c] for c in by], *np.linalg.solve(m, [r[f"r{i}"] for i in range(6)])))
+                fit = np.linalg.lstsq(m, [r[f"r{i}"] for i in range(6)], rcond=None)[0] if r["n"] >= 10 * len(m) else [None] * 6
+                rows.append((*[r[c] for c in by], *fit))
             yield pd.DataFrame(rows, columns=[*by, *[f"c{i}" for i in range(6)]])
 
-    return reduced.mapInPandas(run, f"{kinds}, " + ", ".join(f"c{i} double" for i in range(6)))
+    fit = cut(reduced.mapInPandas(run, f"{kinds}, " + ", ".join(f"c{i} double" for i in range(6))))
+    log_gain = sum((F.col(f"c{i}") * t for i, t in enumerate(terms)), F.lit(0.0))
+    mean = pixels.filter(used).join(fit, by).groupBy(*by).agg((F.sum(F.col("w") * F.exp(log_gain)) / F.sum("w")).alias("_m"))
+    return fit.join(mean, by, "left").withColumn("c0", F.col("c0") - F.log("_m")).drop("_m")
 
 
 class Trees:

@@ -68,8 +68,11 @@ def nu15_slice_shifts(t):
 
 @query()
 def nu22_flat_field(t):
-    l = t("lineitem").select("l_returnflag", ((F.col("l_quantity") - 25) / 25).alias("x"), ((F.col("l_discount") - 0.05) / 0.05).alias("y"), F.col("l_extendedprice").alias("v"), F.lit(1.0).alias("w"))
-    return fits.flat_fields(l, ["l_returnflag"])
+    """Pixels are the quantities and discounts of a return flag; the line items of one are its slices."""
+    pixel = [F.col("l_returnflag"), ((F.col("l_quantity") - 25) / 25).alias("x"), ((F.col("l_discount") - 0.05) / 0.05).alias("y")]
+    l = t("lineitem").select(*pixel, "l_extendedprice").groupBy("l_returnflag", "x", "y").agg(F.avg("l_extendedprice").alias("v"), F.count(F.lit(1)).cast("double").alias("w"))
+    whole = l.groupBy("l_returnflag").agg((F.sum(F.col("v") * F.col("w")) / F.sum("w")).alias("m"))
+    return fits.flat_fields(l.join(whole, "l_returnflag").withColumn("v", F.col("v") / F.col("m")).drop("m"), ["l_returnflag"])
 
 
 @query()
@@ -107,7 +110,7 @@ _PIXELS = "z long, y long, x long, v double"
 
 @query()
 def im3_background(t):
-    return images.per_image(blocks(t), ["z"], "y", "x", "v", lambda p: images.background(p, 8.0, 60.0, least=8).astype(float), _PIXELS)
+    return images.per_image(blocks(t), ["z"], "y", "x", "v", lambda p: images.background(p, 8.0, 60.0, least=8, least_dark=8, grow=1).astype(float), _PIXELS)
 
 
 @query()

@@ -83,8 +83,26 @@ def test_flat_field(spark, rng):
     x, y = rng.uniform(-1, 1, (2, 800))
     v = np.exp(c[0] + c[1] * x + c[2] * y + c[3] * x * x + c[4] * x * y + c[5] * y * y)
     df = spark.createDataFrame([(0, *map(float, r), 1.0) for r in zip(x, y, v)], "tile long, x double, y double, v double, w double")
-    r = fits.flat_fields(df, ["tile"], 1e-6).first()
-    assert np.allclose(list(r)[1:], c, atol=1e-3)
+    r = fits.flat_fields(df, ["tile"], 1e-6, least=1, most=1e6).first()
+    assert np.allclose(list(r)[2:], c[1:], atol=1e-3)
+    assert np.isclose(np.exp(r.c0 - c[0]) * v.mean(), 1, atol=1e-3)
+
+
+def test_flat_field_against_dense_least_squares(spark, rng):
+    y, x = (g.reshape(-1) for g in np.meshgrid(np.linspace(-1, 1, 12), np.linspace(-1, 1, 15), indexing="ij"))
+    n = np.where(x > 0.4, 2, rng.integers(5, 30, len(x))).astype(float)
+    v = np.exp(0.2 * x - 0.3 * y * y) * rng.uniform(0.8, 1.9, len(x))
+    rows = [(0, *map(float, q)) for q in zip(x, y, v, n)] + [(1, *map(float, q)) for q in zip(x[:50], y[:50], v[:50], n[:50])]
+    df = spark.createDataFrame(rows, "tile long, x double, y double, v double, w double")
+    got = {r.tile: r for r in fits.flat_fields(df, ["tile"]).collect()}
+    a, ok = np.stack([x**0, x, y, x * x, x * y, y * y], 1), n >= 5
+    w = np.sqrt(np.concatenate((n[ok], np.full(len(x), 0.2))))
+    right = np.concatenate((np.log(np.clip(v[ok], 1 / 1.5, 1.5)), np.zeros(len(x))))
+    c = np.linalg.lstsq(np.vstack((a[ok], a)) * w[:, None], right * w, rcond=None)[0]
+    c[0] -= np.log(np.average(np.exp(a[ok] @ c), weights=n[ok]))
+    assert np.allclose(list(got[0])[1:], c) and list(got[1])[1:] == [None] * 6
+    gain = df.filter("tile = 0").crossJoin(fits.flat_fields(df, ["tile"]).filter("tile = 0").drop("tile")).select("x", "y", fits.flat_gain().alias("g")).toPandas().sort_values(["y", "x"])
+    assert np.allclose(gain.g, np.clip(np.exp(a @ c), 1 / 1.5, 1.5))
 
 
 def test_trees_separate_a_ring(spark, rng):
@@ -118,7 +136,15 @@ def test_background_is_found(rng):
     a = np.full((80, 80), 50.0)
     a[:, 40:] = rng.normal(120, 20, (80, 40))
     m = images.background(a, 5.0, 10.0)
-    assert m[:, :34].mean() > 0.95 and m[:, 46:].mean() < 0.05
+    assert m[:, :28].mean() > 0.95 and m[:, 46:].mean() < 0.05
+
+
+def test_dark_areas_count_at_the_border_only(rng):
+    a = rng.normal(120, 20, (90, 90))
+    a[:20, :30] = a[40:60, 40:60] = 8.0
+    dark = images.dark_at_border(a, 60.0, 200)
+    assert dark[:17, :27].all() and not dark[30:].any()
+    assert not images.dark_at_border(a, 60.0, 2000).any()
 
 
 def test_shifts_templates_and_matches(rng):
