@@ -72,3 +72,38 @@ q AS (SELECT doc_id, i, sum(CASE WHEN p IS NULL OR i - p > 50 THEN 1 ELSE 0 END)
 sp AS (SELECT doc_id, k, min(i) AS a, max(i) + 50 AS b FROM q GROUP BY 1, 2), o AS (SELECT *, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS from_ FROM sp),
 k AS (SELECT doc_id, string_agg(substr(h, 2 * from_ + 1, 2 * (a - from_)), '' ORDER BY a) AS head, max(b) AS tail, CAST(sum(b - a) AS BIGINT) AS removed, count(*) AS spans FROM o JOIN d USING (doc_id) GROUP BY 1)
 SELECT doc_id, n AS n_bytes, coalesce(removed, 0) AS n_removed, coalesce(spans, 0) AS n_spans, sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(tail, 0) + 1))) AS kept_sha256 FROM d LEFT JOIN k USING (doc_id)"""
+
+#: The pages of the tables mark their article; there it is the text of its blocks.
+PAGES = r"""WITH a AS (SELECT page_id, url, regexp_split_to_array(regexp_extract(coalesce(html, ''), '<article>(.*)</article>', 1, 's'), '</?(?:p|h1)>') AS h, row_number() OVER () AS k FROM pages),
+b AS (SELECT k, unnest(h) AS t, generate_subscripts(h, 1) AS i FROM a),
+c AS (SELECT k, i, replace(replace(replace(regexp_replace(replace(t, '<br>', ' '), '<[^>]*>', '', 'g'), '&quot;', '"'), '&lt;', '<'), '&gt;', '>') AS t FROM b),
+d AS (SELECT k, i, trim(regexp_replace(regexp_replace(replace(t, '&#39;', chr(39)), '&amp;?', '&', 'g'), '\s+', ' ', 'g')) AS t FROM c),
+e AS (SELECT k, string_agg(t, chr(10) ORDER BY i) AS t FROM d WHERE t <> '' GROUP BY k)
+SELECT page_id, url, coalesce(t, '') AS text, CAST(length(coalesce(t, '')) AS BIGINT) AS n_chars FROM a LEFT JOIN e USING (k)"""
+
+_BYTES = "list_transform(range(strlen(k)), lambda i: ord(substr(k, i + 1, 1))::BIGINT)"  # digits, colon, space: a byte each
+_CRC = f"xor(list_reduce(list_prepend(4294967295::BIGINT, {_BYTES}), lambda c, b: list_reduce(list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295::BIGINT)"
+
+_INSERTED = ", ".join("{'q': CASE WHEN q = 2 THEN %s ELSE %s END, 'n': %d}" % (b, a, n) for n, a, b in ((1, 2, 3), (2, 3, 2), (3, 2, 3)))
+_FINAL = "CASE WHEN q IN (0, 3) THEN 0 WHEN q = 2 THEN 1 ELSE 2 END"
+#: Cheapest edits row by row: of each state of the roles (0 none, 1 s, 2 ends with u, 3 ends with a) the least (cost, letters), with up to three inserts before a row.
+REPAIR = rf"""WITH RECURSIVE o AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+dm AS (SELECT *, {_CRC} % 20 AS d FROM o), ids AS (SELECT DISTINCT conv_id FROM o),
+rw AS (SELECT conv_id, turn, CASE WHEN d = 4 THEN 'user' ELSE role END AS role, CASE WHEN d = 1 THEN '' WHEN d = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(CASE WHEN d = 3 THEN [1, 2] ELSE [1] END) AS copy FROM dm WHERE d <> 0),
+nu AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS i FROM rw),
+ft AS (SELECT *, left(role, 1) AS r1, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 1 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 2
+ WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 3 ELSE 0 END AS f, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS r0 FROM nu),
+st AS (SELECT conv_id, CASE WHEN count(turn) = 0 THEN 0 ELSE max(turn) - min(turn) + 1 - count(DISTINCT turn) END AS gaps, count(*) FILTER (WHERE f = 1) AS blank, count(*) FILTER (WHERE f = 2) AS duplicate, count(*) FILTER (WHERE f = 3) AS truncated,
+ count(*) FILTER (WHERE r0 || r1 NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n FROM ft GROUP BY 1),
+dp AS (SELECT conv_id, 0::BIGINT AS i, 0 AS q, 0::BIGINT AS cost, '' AS audit, ''::VARCHAR AS said FROM st UNION ALL
+ SELECT conv_id, i, q, cost, audit, said FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, q ORDER BY cost, audit) AS best FROM
+  (SELECT conv_id, i, m.q AS q, cost + m.c AS cost, audit || m.l AS audit, said || CASE WHEN m.l = 'D' THEN '' ELSE chr(10) || (CASE WHEN m.l = 'K' THEN role WHEN m.q = 2 THEN 'user' ELSE 'assistant' END) || ':' || text END AS said FROM
+   (SELECT x.*, ft.i AS i, ft.role, ft.text, unnest([{{'l': 'D', 'q': x.q, 'c': 2}}, {{'l': 'R', 'q': CASE WHEN f IN (1, 2) THEN NULL WHEN x.q = 2 THEN 3 ELSE 2 END, 'c': 1 + CASE WHEN f = 3 THEN 5 ELSE 0 END}},
+    {{'l': 'K', 'q': CASE WHEN f IN (1, 2) THEN NULL WHEN r1 = 's' AND x.q = 0 THEN 1 WHEN r1 = 'u' AND x.q <> 2 THEN 2 WHEN r1 = 'a' AND x.q = 2 THEN 3 END, 'c': CASE WHEN f = 3 THEN 5 ELSE 0 END}}]) AS m FROM
+    (SELECT conv_id, pos, p.q AS q, cost + 5 * p.n AS cost, audit || repeat('I', p.n) AS audit, said || CASE WHEN p.n = 0 THEN '' WHEN q = 2 THEN left(chr(10) || 'assistant:' || chr(10) || 'user:' || chr(10) || 'assistant:', [11, 17, 28][p.n]) ELSE left(chr(10) || 'user:' || chr(10) || 'assistant:' || chr(10) || 'user:', [6, 17, 23][p.n]) END AS said FROM
+     (SELECT conv_id, i AS pos, q, cost, audit, said, unnest([{{'q': q, 'n': 0}}, {_INSERTED}]) AS p FROM dp)) x
+    JOIN ft ON ft.conv_id IS NOT DISTINCT FROM x.conv_id AND ft.i = x.pos + 1) WHERE m.q IS NOT NULL)) WHERE best = 1),
+en AS (SELECT dp.conv_id AS conv_id, cost + 5 * {_FINAL} AS cost, audit || repeat('I', {_FINAL}) AS audit, said || CASE WHEN q = 1 THEN chr(10) || 'user:' || chr(10) || 'assistant:' WHEN q = 2 THEN chr(10) || 'assistant:' ELSE '' END AS said FROM dp JOIN st ON st.conv_id IS NOT DISTINCT FROM dp.conv_id AND dp.i = st.n),
+bs AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY cost, audit) AS best FROM en) WHERE best = 1)
+SELECT ids.conv_id AS conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(cost, 0) AS BIGINT) AS cost, coalesce(audit, '') AS audit, sha256(substr(coalesce(said, ''), 2)) AS repaired_sha256
+FROM ids LEFT JOIN st ON st.conv_id IS NOT DISTINCT FROM ids.conv_id LEFT JOIN bs ON bs.conv_id IS NOT DISTINCT FROM ids.conv_id"""

@@ -54,7 +54,7 @@ def _repeat_words() -> str:
 def counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs and the struct `counts`."""
     t = f"coalesce(`{text}`, '')"
-    trimmed = rf"regexp_replace({t}, '^{SPACE}+|{SPACE}+$', '')"
+    trimmed = rf"regexp_replace({t}, '^{SPACE}+|{SPACE}+\\z', '')"
     words = _let(trimmed, "x", f"CASE WHEN x = '' THEN cast(array() AS array<string>) ELSE split(x, '{SPACE}+') END")
     lines = rf"filter(split({t}, '\\n'), l -> l rlike '[^\\x20\\x09-\\x0D]')"
     by_words = f"struct(cast(size(w) AS bigint) AS n_words, cast(length(array_join(w, '')) AS bigint) AS word_chars, {_repeat_words()} AS n_repeat_words)"

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, mixing, near_dedup, ngram_lm, oracles, quality_classifier, quality_rules, suffix_dedup, token_counts, topk
+from . import bpe, chat, chat_repair, html_text, mixing, near_dedup, ngram_lm, oracles, quality_classifier, quality_rules, suffix_dedup, token_counts, topk
 from .common import table
 
 
@@ -53,6 +53,14 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.render(chat.messages(events)))
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_exact_topk, op3_quality_classifier, op4_ngram_lm, op5_minhash_near_dedup, op6_pfair_mixing, op7_suffix_dedup, op8_quality_rules, op9_token_counts, op10_chat_formatting)}
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_repair.repair(chat_repair.damage(table(spark, sf_dir, "conversations")))
 
-ORACLE_SQL: dict[str, str] = {"op2_exact_topk": oracles.TOPK, "op6_pfair_mixing": oracles.MIXING, "op7_suffix_dedup": oracles.SUFFIXES, "op8_quality_rules": oracles.QUALITY, "op10_chat_formatting": oracles.CHAT}
+
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_exact_topk, op3_quality_classifier, op4_ngram_lm, op5_minhash_near_dedup, op6_pfair_mixing, op7_suffix_dedup, op8_quality_rules, op9_token_counts, op10_chat_formatting, op11_conversation_repair, op12_html_extraction)}
+
+ORACLE_SQL: dict[str, str] = {"op2_exact_topk": oracles.TOPK, "op6_pfair_mixing": oracles.MIXING, "op7_suffix_dedup": oracles.SUFFIXES, "op8_quality_rules": oracles.QUALITY, "op10_chat_formatting": oracles.CHAT, "op11_conversation_repair": oracles.REPAIR, "op12_html_extraction": oracles.PAGES}

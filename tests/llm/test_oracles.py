@@ -6,7 +6,7 @@ import pytest
 from sectile.llm import queries
 
 D = "/root/testdata/sf0.001"
-TABLES = "documents embeddings conversations".split()
+TABLES = "documents embeddings pages conversations".split()
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))

@@ -4,7 +4,7 @@ from collections import Counter
 from sectile.llm import quality_rules as q
 
 D = "/root/testdata/sf0.001"
-ODD = [None, "", "   \n\t", "a b c d e f g h " * 30, "x\n\nx\nx\n", "é" * 3000, "word " * 5000, "same text here", "same text here"]
+ODD = [None, "", "   \n\t", "a b c d e f g h " * 30, "x\n\nx\nx\n", "é" * 3000, "word " * 5000, "same text here", "same text here", *(f"abc {c}" for c in "\u0085\u2028\u2029"), "a b \u2028\n", " \u2029 ", "x\u0085 \u2028y \r\n"]
 
 
 def brute(t):
