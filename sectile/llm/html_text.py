@@ -27,20 +27,24 @@ table gives an empty table.
 from __future__ import annotations
 
 import html as references
+import json
 import re
 from collections import Counter
 from itertools import groupby
 
 import numpy as np
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_fold, cut, only
+from .common import arrow_fold, arrow_map, cut, only
 
 #: A subtree on so many different pages of a host is template.
 TEMPLATE_PAGES = 3
+#: Level of zstd at which the texts of a page travel.
+PACKED = 9
 #: Elements nest so deep; those further in lie side by side in the deepest, with all their text (browsers have such a bound too).
 DEPTH = 512
 
@@ -319,27 +323,31 @@ def extract(pages: DataFrame, least: int = TEMPLATE_PAGES) -> DataFrame:
     recurs = templates(found, least).select(F.col("host").alias("t_host"), F.col("subtree").alias("t_subtree"))
     gone = found.join(recurs, (F.col("host") == F.col("t_host")) & (F.col("subtree") == F.col("t_subtree"))).groupBy(F.col("page").alias("g_page")).agg(F.collect_set("subtree").alias("gone"))
     keyed = _keyed(pages)
-    block = T.StructType([T.StructField("text", T.StringType()), T.StructField("furniture", T.BooleanType()), T.StructField("subtree", T.LongType())])
-    schema = T.StructType([keyed.schema["page_id"], keyed.schema["url"], T.StructField("page", T.LongType()), T.StructField("blocks", T.ArrayType(block))])
-
-    def run(batches):
-        for b in batches:
-            ids, urls, htmls, keys = (b.column(i).to_pylist() for i in range(4))
-            blocks = []
-            for text in htmls:  # neighbours that share their fate travel as one
-                runs = groupby(pieces(text or ""), key=lambda x: x[1:])
-                blocks.append([{"text": "\n".join(x[0] for x in mine), "furniture": f, "subtree": h} for (f, h), mine in runs])
-            yield {"page_id": ids, "url": urls, "page": keys, "blocks": blocks}
-
-    told = arrow_fold(keyed.select("page_id", "url", "html", "page"), run, schema).join(gone, F.col("page") == F.col("g_page"), "left")
-    recurring = F.coalesce("gone", F.array().cast("array<bigint>"))
-
-    def template(x):
-        return F.coalesce(F.array_contains(recurring, x["subtree"]), F.lit(False))
-
-    stays = F.filter("blocks", lambda x: ~template(x) & ~x["furniture"])
-    out = told.select(
-        "page_id", "url", F.array_join(F.transform(stays, lambda x: x["text"]), "\n").alias("text"),
-        F.size(F.filter("blocks", template)).cast("long").alias("n_template"), F.size(F.filter("blocks", lambda x: x["furniture"] & ~template(x))).cast("long").alias("n_furniture"),
-    )
-    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_template", "n_furniture")
+    long = T.LongType()
+    block = T.StructType([T.StructField("furniture", T.BooleanType()), T.StructField("subtree", long)])
+    names = [keyed.schema["page_id"], keyed.schema["url"]]
+    schema = T.StructType([*names, T.StructField("page", long), T.StructField("blocks", T.ArrayType(block)), T.StructField("texts", T.BinaryType())])
+
+    def told(b):
+        pack = zstandard.ZstdCompressor(level=PACKED)
+        ids, urls, htmls, keys = (b.column(i).to_pylist() for i in range(4))
+        blocks, texts = [], []
+        for text in htmls:  # neighbours that share their fate travel as one; furniture without its text
+            runs = [(f, h, "\n".join(x[0] for x in mine)) for (f, h), mine in groupby(pieces(text or ""), key=lambda x: x[1:])]
+            blocks.append([{"furniture": f, "subtree": h} for f, h, _ in runs])
+            texts.append(pack.compress(json.dumps(["" if f else t for f, _, t in runs], ensure_ascii=False).encode()))
+        yield {"page_id": ids, "url": urls, "page": keys, "blocks": blocks, "texts": texts}
+
+    def kept(b):
+        unpack = zstandard.ZstdDecompressor()
+        out = ([], [], [])
+        for blocks, texts, deleted in zip(*(b.column(i).to_pylist() for i in (2, 3, 4))):
+            recurring = [x["subtree"] in (deleted or ()) for x in blocks]
+            stays = [t for t, x, r in zip(json.loads(unpack.decompress(texts)), blocks, recurring) if not r and not x["furniture"]]
+            out[0].append("\n".join(stays))
+            out[1].append(sum(recurring))
+            out[2].append(sum(x["furniture"] and not r for x, r in zip(blocks, recurring)))
+        yield {"page_id": b.column(0), "url": b.column(1), "text": out[0], "n_chars": [len(t) for t in out[0]], "n_template": out[1], "n_furniture": out[2]}
+
+    joined = arrow_map(keyed.select("page_id", "url", "html", "page"), told, schema).join(gone, F.col("page") == F.col("g_page"), "left").select("page_id", "url", "blocks", "texts", "gone")
+    return arrow_map(joined, kept, T.StructType([*names, T.StructField("text", T.StringType()), *(T.StructField(c, long) for c in ("n_chars", "n_template", "n_furniture"))]))
