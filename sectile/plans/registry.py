@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import base, q_aggregates, q_core, q_joins, q_numeric, q_scalars, q_stitch, q_windows
+from . import base, q_aggregates, q_align, q_core, q_joins, q_numeric, q_scalars, q_stitch, q_windows
 
 QUERIES = base.QUERIES
 ORACLE_SQL = base.ORACLE_SQL
