@@ -1,6 +1,6 @@
 """Tile transforms from point matches: joint solves, filtering, loop closure, and searches that refine where it pays.
 
-A solve sees the matches of one slice (a bounded number for each pair of tiles); slices are spread by Spark.
+Spark reduces matches to second moments of each two tiles; a solve sees a row for each two tiles of one slice.
 """
 
 from __future__ import annotations
@@ -31,133 +31,198 @@ BASES = {
 _PULLS = ((np.array([[1.0, 0, 0], [0, -1, 0]]), 0.0), (np.array([[0.0, 1, 0], [1, 0, 0]]), 0.0), (np.array([[1.0, 0, 0], [0, 1, 0]]), 2.0))
 
 
-class Matches:
-    """Matched points of a slice: point p of tile a meets point q of tile b. Tiles are numbers below n."""
-
-    def __init__(self, n: int, a: np.ndarray, b: np.ndarray, p: np.ndarray, q: np.ndarray):
-        self.n, self.a, self.b, self.p, self.q = n, a, b, p, q
-        self.link = a * n + b
-
-    def where(self, keep: np.ndarray) -> "Matches":
-        return Matches(self.n, self.a[keep], self.b[keep], self.p[keep], self.q[keep])
-
-    def reach(self, start: int) -> set[int]:
-        """Tiles that are linked to start."""
-        near = np.eye(self.n, dtype=bool)
-        near[self.a, self.b] = near[self.b, self.a] = True
-        seen = near[start]
-        while (more := near[seen].any(0)).sum() > seen.sum():
-            seen = more
-        return set(np.flatnonzero(seen).tolist())
-
-    def errors(self, t: np.ndarray) -> np.ndarray:
-        """Distance of each match's two points in the montage."""
-        one = np.ones((len(self.p), 1))
-        at = (np.einsum("nij,nj->ni", t[tile], np.hstack((x, one))) for tile, x in ((self.a, self.p), (self.b, self.q)))
-        return np.linalg.norm(next(at) - next(at), axis=1)
-
-    def rms(self, t: np.ndarray) -> dict[int, float]:
-        """For each linked pair of tiles."""
-        e2 = self.errors(t) ** 2
-        return {int(k): float(np.sqrt(e2[self.link == k].mean())) for k in np.unique(self.link)}
-
-
-def joint(m: Matches, reference: int, model: str, pull: float = 0.1) -> np.ndarray:
-    """[tiles, 2, 3]: transforms that bring all matches together by least squares, the reference at identity.
-
-    The matches enter as second moments of (x, y, 1) for each two tiles only, whatever their number."""
-    size = max(1.0, float(np.abs(np.vstack((m.p, m.q))).max())) if len(m.p) else 1.0
-    one = np.ones((len(m.p), 1))
-    p, q = (np.hstack((x / size, one)) for x in (m.p, m.q))
-    moments = np.zeros((m.n, m.n, 3, 3))
-    for (s, x), (t, y), sign in (((m.a, p), (m.a, p), 1), ((m.b, q), (m.b, q), 1), ((m.a, p), (m.b, q), -1), ((m.b, q), (m.a, p), -1)):
-        np.add.at(moments, (s, t), sign * x[:, :, None] * y[:, None, :])
-    fixed, basis = BASES[model]
-    start = np.broadcast_to(fixed, (m.n, 2, 3)).copy()
-    start[reference] = _I
-    free = [t for t in range(m.n) if t != reference]
-    left = np.einsum("kra,stab,lrb->sktl", basis, moments, basis)[free][:, :, free]
-    right = -np.einsum("kra,stab,trb->sk", basis, moments, start)[free]
-    if model == "affine_rigid":
-        for i, t in enumerate(free):
-            mine = np.vstack((m.p[m.a == t], m.q[m.b == t])) / size
-            weight = pull / max(1 - pull, 1e-9) * ((mine - mine.mean(0)) ** 2).sum() if len(mine) else 0.0
+_Z = ("xa", "ya", None, "xb", "yb", None)  # a match as (xa, ya, 1, xb, yb, 1)
+_MOMENTS = [(i, j) for i in range(6) for j in range(i, 6)]
+
+
+def pair_moments(points: DataFrame, by: list[str]) -> DataFrame:
+    """by, a, b, n and the sums m0 ... m20 of products of (xa, ya, 1, xb, yb, 1): all that a solve needs of the matches of
+    two tiles, however many they are."""
+    z = [F.lit(1.0) if c is None else F.col(c).cast("double") for c in _Z]
+    return points.groupBy(*by, "a", "b").agg(F.count(F.lit(1)).alias("n"), *(F.sum(z[i] * z[j]).alias(f"m{k}") for k, (i, j) in enumerate(_MOMENTS)))
+
+
+class Pairs:
+    """The linked pairs of tiles of a slice as quadratic forms of the unknowns: with x, pair l has the squared errors
+    x' A[l] x - 2 r[l]' x + c[l]. Sets of pairs are rows of a boolean array, and are solved together."""
+
+    def __init__(self, tiles: int, a: np.ndarray, b: np.ndarray, n: np.ndarray, moments: np.ndarray, model: str, pull: float = 0.1):
+        self.tiles, self.a, self.b, self.n, self.model = tiles, a, b, n, model
+        self.fixed, self.basis = BASES[model]
+        k, links = len(self.basis), len(a)
+        self.size = max(1.0, float(np.sqrt(np.max(moments[:, (0, 1, 3, 4), (0, 1, 3, 4)] / n[:, None])))) if links else 1.0
+        scale = np.array([1 / self.size, 1 / self.size, 1.0] * 2)
+        m = moments * scale[:, None] * scale
+        at = np.zeros((links, tiles, k, 2, 6))  # what an unknown of a tile does to the difference of the two points
+        rows = np.arange(links)
+        at[rows, a, :, :, :3] += self.basis
+        at[rows, b, :, :, 3:] -= self.basis
+        at = at[:, 1:].reshape(links, (tiles - 1) * k, 2, 6)  # tile 0 stays
+        fixed = np.broadcast_to(self.fixed, (tiles, 2, 3)).copy()
+        fixed[0] = _I
+        still = np.concatenate((fixed[a], -fixed[b]), 2)
+        self.A = np.einsum("luri,lij,lvrj->luv", at, m, at)
+        self.r = -np.einsum("luri,lij,lrj->lu", at, m, still)
+        self.c = np.einsum("lri,lij,lrj->l", still, m, still)
+        self.A0, self.r0 = self._prior(m, pull, k)
+
+    def _prior(self, m, pull, k):
+        size = (self.tiles - 1) * k
+        left, right = np.zeros((size, size)), np.zeros(size)
+        if self.model == "affine_rigid":
+            own = np.zeros((self.tiles, 3, 3))
+            np.add.at(own, self.a, m[:, :3, :3])
+            np.add.at(own, self.b, m[:, 3:, 3:])
+            spread = own[:, 0, 0] + own[:, 1, 1] - (own[:, 0, 2] ** 2 + own[:, 1, 2] ** 2) / np.maximum(own[:, 2, 2], 1)
             for row, target in _PULLS:
-                r = np.einsum("kra,ra->k", basis, row)
-                left[i, :, i] += weight * np.outer(r, r)
-                right[i] += weight * target * r
-    n = left.shape[0] * left.shape[1]
-    x = np.linalg.lstsq(left.reshape(n, n), right.reshape(n), rcond=None)[0].reshape(-1, len(basis)) if n else np.zeros((0, len(basis)))
-    out = start
-    out[free] = fixed + np.einsum("sk,kra->sra", x, basis)
-    if model == "rigid":
-        for i, t in enumerate(free):
-            c, s = np.cos(x[i, 0]), np.sin(x[i, 0])
-            out[t, :, :2] = [[c, -s], [s, c]]
-    out[:, :, 2] *= size
-    return out
+                r = np.einsum("kij,ij->k", self.basis, row)
+                for t in range(1, self.tiles):
+                    mine = slice((t - 1) * k, t * k)
+                    left[mine, mine] += pull / max(1 - pull, 1e-9) * spread[t] * np.outer(r, r)
+                    right[mine] += pull / max(1 - pull, 1e-9) * spread[t] * target * r
+        return left, right
+
+    def solve(self, sets: np.ndarray) -> np.ndarray:
+        """Unknowns of each set of pairs by least squares."""
+        left = self.A0 + np.einsum("sl,luv->suv", sets, self.A)
+        return np.einsum("suv,sv->su", np.linalg.pinv(left, rcond=1e-12, hermitian=True), self.r0 + sets @ self.r)
+
+    def rms(self, x: np.ndarray) -> np.ndarray:
+        """Of each pair under each row of unknowns."""
+        e2 = np.einsum("su,luv,sv->sl", x, self.A, x) - 2 * x @ self.r.T + self.c
+        return np.sqrt(np.maximum(e2, 0) / self.n) * self.size
+
+    def linked(self, sets: np.ndarray) -> np.ndarray:
+        """[sets, tiles]: whether the pairs link the tile to tile 0."""
+        near = np.zeros((len(sets), self.tiles, self.tiles), bool)
+        near[:, range(self.tiles), range(self.tiles)] = True
+        for s, l in zip(*np.nonzero(sets)):
+            near[s, self.a[l], self.b[l]] = near[s, self.b[l], self.a[l]] = True
+        for _ in range(self.tiles.bit_length()):
+            near = near @ near
+        return near[:, 0]
+
+    def left_out(self, sets: np.ndarray) -> np.ndarray:
+        """Loop error of each set: the largest rms of a pair under the solve of the others, of pairs that can be missed."""
+        out = np.zeros(len(sets))
+        s, l = np.nonzero(sets)
+        rest = sets[s]
+        rest[np.arange(len(l)), l] = False
+        spare = self.linked(rest).all(1)
+        if spare.any():
+            s, l, rest = s[spare], l[spare], rest[spare]
+            np.maximum.at(out, s, self.rms(self.solve(rest))[np.arange(len(l)), l])
+        return out
+
+    def transforms(self, x: np.ndarray) -> np.ndarray:
+        """[tiles, 2, 3] of one row of unknowns."""
+        u = x.reshape(-1, len(self.basis))
+        out = np.concatenate((_I[None], self.fixed + np.einsum("tk,kij->tij", u, self.basis)))
+        if self.model == "rigid":
+            turn = np.exp(1j * u[:, 0])
+            out[1:, :, :2] = np.stack((turn.real, -turn.imag, turn.imag, turn.real), 1).reshape(-1, 2, 2)
+        out[:, :, 2] *= self.size
+        return out
+
+
+def closing(p: Pairs, most: float) -> tuple[np.ndarray | None, str]:
+    """(the pairs to use, why none): all, or what is left after the pairs without which loops close best. Where two choices
+    close the loops equally well, no pair can be blamed."""
+    use = np.ones((1, len(p.a)), bool)
+    while (error := p.left_out(use)[0]) > most:
+        without = np.repeat(use, len(p.a), 0) & ~np.eye(len(p.a), dtype=bool)
+        without = without[use[0]]
+        without = without[p.linked(without).all(1)]
+        if not len(without):
+            return None, f"loops are open by {error:.1f} px"
+        errors = p.left_out(without)
+        if (errors <= most).sum() > 1:
+            return None, f"loops are open by {error:.1f} px and no single pair is at fault"
+        use = without[[errors.argmin()]]
+    return use[0], ""
+
+
+def _slices(moments: DataFrame, by: list[str], columns: str, make) -> DataFrame:
+    """make(names of tiles, a, b, n, moments) -> rows, for each slice; a row of moments for each two tiles of it."""
+
+    def run(key, pdf):
+        pdf = pdf.sort_values(["a", "b"])
+        tiles = np.unique(pdf[["a", "b"]].to_numpy().astype(str))
+        i, j = (np.searchsorted(tiles, pdf[c].to_numpy().astype(str)) for c in "ab")
+        m = np.zeros((len(pdf), 6, 6))
+        for k, (r, c) in enumerate(_MOMENTS):
+            m[:, r, c] = m[:, c, r] = pdf[f"m{k}"]
+        return pd.DataFrame([(*key, *row) for row in make(tiles, i, j, pdf["n"].to_numpy(), m)])
+
+    kinds = ", ".join(f"`{c}` {dict(moments.dtypes)[c]}" for c in by)
+    return moments.groupBy(*by).applyInPandas(run, f"{kinds}, {columns}")
+
+
+def _transforms(moments: DataFrame, by: list[str], model: str, pull: float) -> DataFrame:
+    """by, tile, linked (all tiles of the slice), a, b, tx, c, d, ty."""
 
+    def make(tiles, i, j, n, m):
+        p = Pairs(len(tiles), i, j, n, m, model, pull)
+        every = np.ones((1, len(i)), bool)
+        t, all_linked = p.transforms(p.solve(every)[0]), bool(p.linked(every).all())
+        return [(tile, all_linked, *map(float, x.reshape(-1))) for tile, x in zip(tiles, t)]
 
-def filtered(m: Matches, reference: int, model: str, most: float, pull: float = 0.1, factor: float = 3.0, rounds: int = 10, least: int = 3):
-    """(transforms or None, the matches used, why not): matches farther than factor times the mean distance go, and pairs
-    of tiles with fewer than `least` then, as long as all tiles stay linked. Refused if a pair's rms is over `most`."""
+    return _slices(moments, by, "tile string, linked boolean, a double, b double, tx double, c double, d double, ty double", make)
+
+
+def near_points(points: DataFrame, by: list[str], model: str, pull: float = 0.1, factor: float = 3.0, rounds: int = 10, least: int = 3) -> DataFrame:
+    """Matches that stay: those farther apart than factor times the mean of their slice go, and pairs of tiles with fewer
+    than `least` then, again and again until a slice loses none or would fall apart. Errors are joined and counted by Spark."""
+    names = ["a", "b", "tx", "c", "d", "ty"]
+    here, settled = cut(points.select(*by, "a", "b", "xa", "ya", "xb", "yb")), []
     for _ in range(rounds):
-        e = m.errors(joint(m, reference, model, pull))
-        keep = e <= factor * e.mean()
-        links, n = np.unique(m.link[keep], return_counts=True)
-        keep &= np.isin(m.link, links[n >= least])
-        less = m.where(keep)
-        if keep.all() or len(less.reach(reference)) < m.n:
+        t = cut(_transforms(pair_moments(here, by), by, model, pull))
+        e = here
+        for side in "ab":
+            e = e.join(t.select(*by, F.col("tile").alias(side), *(F.col(n).alias(f"{side}_{n}") for n in names)), [*by, side])
+        at = [[F.col(f"{s}_{n}") for n in names] + [F.col(f"x{s}"), F.col(f"y{s}")] for s in "ab"]
+        (ax, ay), (bx, by_) = ((a * x + b * y + tx, c * x + d * y + ty) for a, b, tx, c, d, ty, x, y in at)
+        e = e.withColumn("_e", F.hypot(ax - bx, ay - by_))
+        limit = e.groupBy(*by).agg((F.avg("_e") * factor).alias("_limit"), F.count(F.lit(1)).alias("_n"))
+        near = e.join(limit, by).filter("_e <= _limit")
+        enough = near.groupBy(*by, "a", "b").agg(F.count(F.lit(1)).alias("_k")).filter(F.col("_k") >= least).select(*by, "a", "b")
+        less = cut(near.join(enough, [*by, "a", "b"], "left_semi").select(*here.columns))
+        tiles = t.groupBy(*by).agg(F.count(F.lit(1)).alias("_tiles"))
+        still = _transforms(pair_moments(less, by), by, model, pull).groupBy(*by).agg(F.count(F.lit(1)).alias("_t"), F.bool_and("linked").alias("_linked"))
+        fewer = less.groupBy(*by).agg(F.count(F.lit(1)).alias("_m")).join(limit, by).filter("_m < _n").join(tiles, by).join(still, by).filter("_linked AND _t = _tiles").select(*by)
+        fewer = cut(fewer)
+        if fewer.isEmpty():
             break
-        m = less
-    t = joint(m, reference, model, pull)
-    worst = max(m.rms(t).values(), default=0.0)
-    return (t, m, "") if worst <= most else (None, m, f"a pair is left with {worst:.1f} px rms")
-
-
-def loop_error(m: Matches, reference: int, model: str, pull: float = 0.1) -> float:
-    """The worst rms of a pair under the solve of the other pairs, over the pairs that the tiles can do without."""
-    worst = 0.0
-    for link in np.unique(m.link):
-        rest = m.where(m.link != link)
-        if len(rest.reach(reference)) == m.n:
-            worst = max(worst, m.where(m.link == link).rms(joint(rest, reference, model, pull))[int(link)])
-    return worst
-
-
-def closed(m: Matches, reference: int, model: str, most: float, pull: float = 0.1):
-    """(transforms or None, the matches used, why not): pairs go, each time the one without which loops close best, until
-    they close within `most`. Refused where leaving out either of two would do."""
-    error = loop_error(m, reference, model, pull)
-    while error > most:
-        without = {int(k): m.where(m.link != k) for k in np.unique(m.link)}
-        trials = sorted((loop_error(r, reference, model, pull), k) for k, r in without.items() if len(r.reach(reference)) == m.n)
-        if sum(e <= most for e, _ in trials) > 1:
-            return None, m, f"loops are open by {error:.1f} px and no single pair is at fault"
-        if not trials:
-            return None, m, f"loops are open by {error:.1f} px"
-        error, m = trials[0][0], without[trials[0][1]]
-    return joint(m, reference, model, pull), m, ""
+        settled.append(here.join(fewer, by, "left_anti"))
+        here = cut(less.join(fewer, by, "left_semi"))
+    for x in settled:
+        here = here.unionByName(x)
+    return here
 
 
 def solved_tiles(points: DataFrame, by: list[str], model: str, most: float, loops: bool = False, pull: float = 0.1) -> DataFrame:
     """points: by, a, b, xa, ya, xb, yb (a match for each row) -> by, tile, ok, reason, a, b, tx, c, d, ty, matches.
 
-    The first tile is the reference. Tiles that no match links to it fail the slice."""
-    kinds = ", ".join(f"`{c}` {dict(points.dtypes)[c]}" for c in by)
-
-    def run(key, pdf):
-        pdf = pdf.sort_values(["a", "b", "xa", "ya", "xb", "yb"])
-        tiles = np.unique(pdf[["a", "b"]].to_numpy().astype(str))
-        m = Matches(len(tiles), *(np.searchsorted(tiles, pdf[c].to_numpy().astype(str)) for c in "ab"), pdf[["xa", "ya"]].to_numpy(float), pdf[["xb", "yb"]].to_numpy(float))
-        if lost := sorted(set(range(m.n)) - m.reach(0)):
-            t, reason = None, f"not linked to {tiles[0]}: {', '.join(tiles[lost])}"
-        else:
-            t, m, reason = closed(m, 0, model, most, pull) if loops else filtered(m, 0, model, most, pull)
-        none = [None] * 6
-        return pd.DataFrame([(*key, tile, t is not None, reason, *(none if t is None else t[i].reshape(-1).tolist()), len(m.p)) for i, tile in enumerate(tiles)])
-
-    return points.groupBy(*by).applyInPandas(run, f"{kinds}, tile string, ok boolean, reason string, a double, b double, tx double, c double, d double, ty double, matches long")
+    The first tile is the reference. Tiles that no match links to it fail the slice. With `loops`, pairs go until loops
+    close within `most`; else far matches go, and a pair that is left with more than `most` rms fails the slice."""
+    moments = pair_moments(points if loops else near_points(points, by, model, pull), by)
+
+    def make(tiles, i, j, n, m):
+        p = Pairs(len(tiles), i, j, n, m, model, pull)
+        use, why = np.ones(len(i), bool), ""
+        lost = ~p.linked(use[None])[0]
+        if lost.any():
+            use, why = None, f"not linked to {tiles[0]}: {', '.join(tiles[lost])}"
+        elif loops:
+            use, why = closing(p, most)
+        elif (worst := p.rms(p.solve(use[None])).max(initial=0.0)) > most:
+            use, why = None, f"a pair is left with {worst:.1f} px rms"
+        if use is None:
+            return [(tile, False, why, *[None] * 6, int(n.sum())) for tile in tiles]
+        t = p.transforms(p.solve(use[None])[0])
+        return [(tile, True, "", *map(float, x.reshape(-1)), int(n[use].sum())) for tile, x in zip(tiles, t)]
+
+    return _slices(moments, by, "tile string, ok boolean, reason string, a double, b double, tx double, c double, d double, ty double, matches long", make)
 
 
 def bisected(positions: DataFrame, start: Column, measure: Callable[[DataFrame], DataFrame], moved: Callable[[str, str], Column], by: list[str], rank: str, value: str, limit: float) -> DataFrame:
