@@ -4,7 +4,10 @@ A text's words (runs outside ASCII white space, A-Z in lower case) give k-mers o
 occurrence within the text. For each hash function the sketch takes the three labelled k-mers of smallest hash and keeps
 them in text order, so texts must agree in order as well as in content: the sketch follows edit similarity, not
 overlap of sets. Texts that share the value of a function (a band) are candidates. Candidates are aligned word by
-word within a band of diagonals as wide as the allowed edits; 1 - edits / longer length must reach 0.8.
+word within a band of diagonals as wide as the allowed edits. Alike are texts whose edit similarity, 1 - edits / longer
+length, reaches 0.93, and texts whose edit similarity reaches 0.8 and that share 0.8 of their runs of five words (Jaccard):
+edits in one place leave most runs whole. Both are found by nine pairs of ten and more; pairs with many scattered edits
+share few runs, so no sketch of runs finds them, and they are not counted as alike.
 
 Exact copies are merged first, by digest, so a group of copies is one text from there on. A bucket holds texts of one
 band value and similar length. A text is compared with the smallest of its buckets' leaders (smallest ids), then with
@@ -16,6 +19,9 @@ side, so no alike pair is lost), and only while its classes are still apart. So
 few comparisons for each text; unlike texts of a bucket cost one product of bit rows for each pair. Classes are
 connected components, found by alternating large-star and small-star steps, each written to the shared folder.
 
+Words are compared by 32 bits of their hashes once they travel: two different words pass for one in 4 of 10^9 cases, which
+can hide an edit but not make texts alike that differ in many words.
+
 Defined results: a null text counts as empty; texts without words are alike only if they are equal; rows with the same
 key are one document; a null key has a null class; texts of one to four words are one k-mer; an empty table gives an
 empty table. The class id is the smallest key of the class.
@@ -35,6 +41,8 @@ from pyspark.sql import types as T
 from .common import arrow_fold, arrow_map, bucket_count, cut, ids_and_texts, mix, only, only_last, pack, release, rolled, span_hashes, unpack, unrolled, word_spans
 
 K, BANDS, TAKEN, SIMILARITY = 5, 20, 3, 0.8
+#: Edit similarity that is enough by itself.
+CLOSE = 0.93
 #: Texts of a block, and words of one at most (unless it is a single text); pairs of texts for each task that compares blocks.
 BLOCK, BLOCK_WORDS, TASK_PAIRS = 256, 1 << 22, 1 << 19
 _C = mix(np.arange(1, 400, dtype=np.uint64))
@@ -165,9 +173,25 @@ def _banded(a: list[int], b: list[int], k: int) -> int | None:
     return score if score <= k else None
 
 
-def alike(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> bool:
+def runs(words: np.ndarray) -> np.ndarray:
+    """Hashes of the different runs of K words; a shorter text is one run."""
+    n = max(1, len(words) - K + 1)
+    out = np.zeros(n, np.uint64)
+    for i in range(min(K, len(words))):
+        out = mix(out ^ words[i : i + n].astype(np.uint64) + _ODD[i])
+    return np.unique(out)
+
+
+def alike(a: np.ndarray, b: np.ndarray) -> bool:
     longer = max(len(a), len(b))
-    return longer > 0 and edits_within(a, b, int((1 - similarity) * longer + 1e-9)) is not None
+    edits = edits_within(a, b, int((1 - SIMILARITY) * longer + 1e-9)) if longer else None
+    if edits is None:
+        return False
+    if edits <= (1 - CLOSE) * longer + 1e-9:
+        return True
+    x, y = runs(a), runs(b)
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both >= SIMILARITY * (len(x) + len(y) - both) - 1e-9
 
 
 def _sketches(docs: DataFrame, key: str, text: str) -> DataFrame:

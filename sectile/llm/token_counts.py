@@ -48,6 +48,10 @@ Ends = tuple[tuple[str, str | None, int], ...]
 START: Ends = (("", None, 0),)
 
 
+# Capital letters of Unicode 16, which Python's tables may lack, with their small letters; the last is a range.
+_NEWER = {0x1C89: 0x1C8A, 0xA7CB: 0x0264, 0xA7CC: 0xA7CD, 0xA7DA: 0xA7DB, 0xA7DC: 0x019B} | {c: c + 0x20 for c in range(0x10D50, 0x10D66)}
+
+
 class Transducer:
     """Over the byte letters of a word. States are numbers here; ends() gives their value."""
 
@@ -303,7 +307,7 @@ class Counter:
         """Tokens of text without special tokens."""
         if not unicodedata.is_normalized("NFC", text):
             text = unicodedata.normalize("NFC", text)
-        text = text.replace("Σ", "σ").lower()  # letter by letter: no final sigma
+        text = text.translate(_NEWER).replace("Σ", "σ").lower()  # letter by letter: no final sigma
         maps = [self.chunk_map(text[i : i + CHUNK], i == 0) for i in range(0, len(text), CHUNK)]
         while len(maps) > 1:  # a scan by doubling; only its last value is needed
             maps = [self.compose(*maps[i : i + 2]) if i + 1 < len(maps) else maps[i] for i in range(0, len(maps), 2)]

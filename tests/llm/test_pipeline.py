@@ -22,6 +22,12 @@ def distance(a, b):
     return row[-1]
 
 
+def near(a, b):
+    n, d = max(len(a), len(b)), distance(a, b)
+    x, y = ({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (a, b))
+    return d <= 0.07 * n + 1e-9 or (d <= 0.2 * n + 1e-9 and len(x & y) >= 0.8 * len(x | y) - 1e-9)
+
+
 def brute(docs):
     """Rows of the pipeline by the definitions: the SQL of the quality rules, all pairs, all strings of 50 bytes, tiktoken."""
     c = duckdb.connect()
@@ -41,7 +47,7 @@ def brute(docs):
         for j in kept:
             a, b = words[i], words[j]
             n = max(len(a), len(b))
-            if j < i and root(i) != root(j) and min(len(a), len(b)) >= 0.8 * n and len(set(a) & set(b)) > 0.4 * min(len(set(a)), len(set(b))) and distance(a, b) <= 0.2 * n + 1e-9:
+            if j < i and root(i) != root(j) and min(len(a), len(b)) >= 0.8 * n and len(set(a) & set(b)) > 0.4 * min(len(set(a)), len(set(b))) and near(a, b):
                 x, y = root(i), root(j)
                 own[max(x, y)] = min(x, y)
     ranks = bpe.load_ranks(open(P.path("byte_bpe_50k.tiktoken"), "rb").read())

@@ -123,3 +123,13 @@ def test_pairs_of_tokens_against_plain_merging():
             whole += 1
             assert fst._fits(a, b) == (merged(symbols(a) + symbols(b)) == [a, b]), (a, b)
     assert whole > 1000
+
+
+def test_every_cased_letter_counts_as_in_the_library():
+    """All letters that have case in the newest tables, alone and after another letter."""
+    lib, mine = Tokenizer.from_file(P.path("word_bpe_49k.json")), counter()
+    cased = [chr(c) for c in range(0x80, 0x1F000) if not 0xD800 <= c < 0xE000 and (chr(c).lower() != chr(c) or c in token_counts._NEWER)]
+    assert len(cased) > 1300
+    for c in cased:
+        for text in (c, "a" + c + c.lower()):
+            assert mine.count(text) == len(lib.encode(text, add_special_tokens=False).ids), hex(ord(c))
