@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..operators import align
+from ..operators import align, matching
 from .base import query, r
 
 
@@ -54,3 +54,41 @@ def nu14_frame_chain(t):
     ref = ch.groupBy("g").agg(F.count(F.lit(1)).alias("n")).select("g", (1 + F.floor(F.col("n") / 3)).cast("long").alias("run"))
     out = align.chained(ch, ["g"], "run", ref)
     return out.select("g", "run", "linked", *(r(c, 6).alias(c) for c in "abcd"), r("tx", 4).alias("tx"), r("ty", 4).alias("ty"))
+
+
+def word_keypoints(t):
+    """Parts as keypoints of two tiles of a supplier's slice: every part at the finest of three levels, fewer at the coarse
+    ones. In every fifth slice the coarsest level of tile 1 is 35 px off, in every seventh it shows almost nothing."""
+    l = t("lineitem").select(F.col("l_suppkey").alias("z"), F.col("l_partkey").alias("word")).distinct()
+    level = F.explode(F.expr("filter(array(4, 2, 1), v -> word % v = 0)")).alias("level")
+    p = l.select("z", "word", (F.hash("word") % 900).cast("double").alias("x"), (F.hash(F.col("word") + 1) % 700).cast("double").alias("y"), level)
+    p = p.withColumn("tile", F.explode(F.array(F.lit(0), F.lit(1))))
+    second = F.col("tile") == 1
+    wrong = F.when(second & (F.col("level") == 4) & (F.col("z") % 5 == 0), 35.0).otherwise(0.0)
+    p = p.filter(~(second & (F.col("level") == 4) & (F.col("z") % 7 == 0) & (F.col("word") % 1280 > 0)))
+    return p.select("z", "tile", "level", "word", (F.col("x") - F.when(second, 500 + F.col("z") % 3).otherwise(0)).alias("x"), (F.col("y") - F.when(second, 12.0).otherwise(0.0) + wrong).alias("y"))
+
+
+@query()
+def mi5_pair_search(t):
+    """Displacements of two tiles in all slices; pairs that a level gets wrong or can't find go on to the next."""
+    k = word_keypoints(t)
+    pairs = k.select("z").distinct().select("z", F.lit(0).alias("a"), F.lit(1).alias("b"), F.lit(500.0).alias("ex"), F.lit(0.0).alias("ey"))
+    out, _ = matching.search_pairs(k, pairs, "z", [4, 2, 1], 60.0, 4.0)
+    return out.select("z", "a", "b", r("dx", 4).alias("dx"), r("dy", 4).alias("dy"), "n", "level", "ok", "reason")
+
+
+_NEAR = """p AS (SELECT vec_id AS id, label AS g, embedding[1]::DOUBLE AS u, embedding[2]::DOUBLE AS v, list_transform(embedding[3:10], lambda x: x::DOUBLE) AS d FROM embeddings),
+a AS (SELECT * FROM p WHERE id % 2 = 0), b AS (SELECT * FROM p WHERE id % 2 = 1),
+m AS (SELECT a.g, a.id AS ia, b.id AS ib, list_sum(list_transform(list_zip(a.d, b.d), lambda x: (x[1] - x[2]) * (x[1] - x[2]))) AS e FROM a JOIN b ON a.g = b.g AND (a.u + 0.01 - b.u) * (a.u + 0.01 - b.u) + (a.v - b.v) * (a.v - b.v) <= 0.05::DOUBLE * 0.05),
+o AS (SELECT *, row_number() OVER (PARTITION BY g, ia ORDER BY e, ib) AS k FROM m), q AS (SELECT *, row_number() OVER (PARTITION BY g, ib ORDER BY e, ia) AS h FROM o WHERE k = 1)"""
+
+
+@query(f"WITH {_NEAR} SELECT g, ia, ib, round(e, 6) AS e FROM q WHERE h = 1")
+def nu19_near_prediction(t):
+    """One round of matching around a predicted place: even and odd vectors of a label, the first two numbers as places."""
+    e = F.col("embedding")
+    p = t("embeddings").select(F.col("label").alias("g"), F.col("vec_id").alias("id"), e[0].cast("double").alias("x"), e[1].cast("double").alias("y"), F.slice(e.cast("array<double>"), 3, 8).alias("d"))
+    a = p.filter("id % 2 = 0").select("g", "id", (F.col("x") + 0.01).alias("px"), F.col("y").alias("py"), "d")
+    out = matching.near_prediction(a, p.filter("id % 2 = 1"), ["g"], 0.05)
+    return out.select("g", "ia", "ib", r("e").alias("e"))
