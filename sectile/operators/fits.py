@@ -216,8 +216,8 @@ def slice_shifts(points: DataFrame, neighbours: int, prior: float = 1e-3, reject
         a = out.select(F.col("z").alias("z_a"), F.col("tx").alias("ax"), F.col("ty").alias("ay"))
         b = out.select(F.col("z").alias("z_b"), F.col("tx").alias("bx"), F.col("ty").alias("by"))
         e = points.join(a, "z_a").join(b, "z_b").withColumn("e", F.hypot(F.col("xa") + F.col("ax") - F.col("xb") - F.col("bx"), F.col("ya") + F.col("ay") - F.col("yb") - F.col("by")))
-        limit = max(1e-6, reject * 1.4826 * (e.agg(F.median("e")).first()[0] or 0))
-        keep = e.filter(F.col("e") <= limit).select(*points.columns)
+        limit = max(1e-6, reject * 1.4826 * (e.agg(F.percentile_approx("e", 0.5, 10_000)).first()[0] or 0))
+        keep = cut(e.filter(F.col("e") <= limit).select(*points.columns))
     return out
 
 

@@ -160,17 +160,26 @@ def nearest_two(a: DataFrame, b: DataFrame, id_: str, vector: str, ratio: float,
 
 
 def components(edges: DataFrame, nodes: DataFrame, a: str, b: str, node: str) -> DataFrame:
-    """(node, component): the smallest node connected to each. Labels hop to the neighbours' and then to the label's own
-    label, so the rounds grow with the logarithm of the diameter; each is checkpointed."""
-    both = edges.select(F.col(a).alias("_u"), F.col(b).alias("_v")).unionByName(edges.select(F.col(b).alias("_u"), F.col(a).alias("_v"))).distinct()
-    both, labels = cut(both), cut(nodes.select(F.col(node).alias("_v"), F.col(node).alias("_l")).distinct())
-    while True:
-        near = both.join(labels, "_v").groupBy(F.col("_u").alias("_v")).agg(F.min("_l").alias("_m"))
-        step = labels.join(near, "_v", "left").select("_v", F.least("_l", F.coalesce("_m", "_l")).alias("_n"), "_l")
-        jump = step.select(F.col("_v").alias("_n"), F.col("_n").alias("_nn"))
-        new = step.join(jump, "_n", "left").select("_v", F.coalesce("_nn", "_n").alias("_x"), "_l")
-        new = cut(new)
-        changed = new.filter("_x <> _l").limit(1).count()
-        labels = new.select("_v", F.col("_x").alias("_l"))
-        if not changed:
-            return labels.select(F.col("_v").alias(node), F.col("_l").alias("component"))
+    """(node, component): the smallest node connected to each.
+
+    The graph shrinks as it goes: in each round every node hooks onto its smallest neighbour, hooks are followed to their
+    ends, and edges between the ends are all that is left. Each round at least halves the nodes that have edges."""
+    ends = cut(edges.select(F.greatest(a, b).alias("_u"), F.least(a, b).alias("_v")).filter("_u <> _v").distinct())
+    levels = []
+    while not ends.isEmpty():
+        both = ends.unionByName(ends.select(F.col("_v").alias("_u"), F.col("_u").alias("_v")))
+        hook = cut(both.groupBy("_u").agg(F.least(F.col("_u"), F.min("_v")).alias("_h")))  # never upwards, so hooks make no rings
+        while True:
+            onward = hook.select(F.col("_u").alias("_h"), F.col("_h").alias("_hh"))
+            new = cut(hook.join(onward, "_h").select("_u", F.col("_hh").alias("_h"), (F.col("_hh") != F.col("_h")).alias("_moved")))
+            hook = new.drop("_moved")
+            if new.filter("_moved").isEmpty():
+                break
+        levels.append(hook)
+        to = hook.select(F.col("_u").alias("_v"), F.col("_h").alias("_y"))
+        left = ends.join(hook.withColumnRenamed("_h", "_x"), "_u").join(to, "_v").filter("_x <> _y")
+        ends = cut(left.select(F.greatest("_x", "_y").alias("_u"), F.least("_x", "_y").alias("_v")).distinct())
+    out = nodes.select(F.col(node).alias("_n"), F.col(node).alias("_c")).distinct()
+    for hook in levels:
+        out = out.join(hook.select(F.col("_u").alias("_c"), "_h"), "_c", "left").select("_n", F.coalesce("_h", "_c").alias("_c"))
+    return out.select(F.col("_n").alias(node), F.col("_c").alias("component"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..operators import align, matching
+from ..operators import align, grids, matching
 from .base import query, r
 
 
@@ -92,3 +92,36 @@ def nu19_near_prediction(t):
     a = p.filter("id % 2 = 0").select("g", "id", (F.col("x") + 0.01).alias("px"), F.col("y").alias("py"), "d")
     out = matching.near_prediction(a, p.filter("id % 2 = 1"), ["g"], 0.05)
     return out.select("g", "ia", "ib", r("e").alias("e"))
+
+
+def warp_points(t):
+    """Line items as points of the tiles of a slice, each tile bent within itself."""
+    l = t("lineitem").select((F.col("l_suppkey") % 10).alias("z"), F.col("l_linenumber").alias("tile"), (F.hash("l_orderkey") % 500 + 500).cast("double").alias("x"), (F.hash("l_partkey", "l_orderkey") % 400 + 400).cast("double").alias("y"), "l_tax")
+    bend = F.sin(F.col("x") / 250) * (4 + F.col("tile"))
+    return l.select("z", "tile", "x", "y", (F.col("x") + bend + F.col("l_tax")).alias("u"), (F.col("y") + F.cos(F.col("y") / 200) * 3 - F.col("l_tax")).alias("v"), F.lit(1.0).alias("w"))
+
+
+@query()
+def nu18_warp_grids(t):
+    """Warp of each tile on 9 x 11 nodes."""
+    out = grids.warp_grids(warp_points(t), ["z", "tile"], (1000.0, 800.0), (9, 11), 0.002)
+    return out.select("z", "tile", "gy", "gx", r("dx").alias("dx"), r("dy").alias("dy"))
+
+
+def patch_relations(t):
+    """Relations of patches of neighbouring tiles, made from the gain and offset of each patch."""
+    l = t("lineitem").select((F.col("l_suppkey") % 10).alias("z"), ((F.col("l_linenumber") - 1) % 5).alias("a"), (F.col("l_partkey") % 9).alias("pa"), (F.col("l_orderkey") % 9).alias("pb"), (F.col("l_quantity") + 50).alias("middle"), (F.col("l_discount") * 10 + 0.1).alias("contrast"))
+    l = l.withColumn("b", F.col("a") + 1)
+
+    def own(tile, patch):
+        return 1 + F.col(tile) / 50 + F.col(patch) / 200, F.col(tile) - F.col(patch) / 4
+
+    (ga, oa), (gb, ob) = own("a", "pa"), own("b", "pb")
+    return l.select("z", F.col("a").cast("string").alias("a"), "pa", F.col("b").cast("string").alias("b"), "pb", (gb / ga).alias("gain"), ((ob - oa) / ga).alias("offset"), "middle", "contrast", F.lit(1.0).alias("w"))
+
+
+@query()
+def nu24_patch_balance(t):
+    """Gains and offsets of nine patches of a tile, from relations of which those of little contrast tell of offsets only."""
+    out = grids.patch_balance(patch_relations(t), ["z"], 3, 0.01, 1e-3, 0.2)
+    return out.select("z", "tile", "patch", r("gain").alias("gain"), r("offset").alias("offset"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.cuts import cut
+
 
 def sessions(events: DataFrame, ts: str, by: list[str], gap: str, late: str) -> DataFrame:
     """Runs of the clock without a gap: start, end and number of slices for each key. Rows later than `late` are dropped."""
@@ -42,7 +44,7 @@ def append_slabs(stream: DataFrame, path: str, slab: int, z: str = "z", checkpoi
         if old is not None:
             touched = old.join(F.broadcast(new.select("slab").distinct()), "slab", "left_semi")
             new = new.unionByName(touched.join(new.select(z).distinct(), z, "left_anti")).select(*old.columns)
-        new = new.checkpoint()  # it reads what it overwrites
+        new = cut(new)  # it reads what it overwrites
         new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("slab").parquet(path)
 
     w = stream.writeStream.foreachBatch(put)
