@@ -184,14 +184,13 @@ def runs(words: np.ndarray) -> np.ndarray:
 
 def alike(a: np.ndarray, b: np.ndarray) -> bool:
     longer = max(len(a), len(b))
-    edits = edits_within(a, b, int((1 - SIMILARITY) * longer + 1e-9)) if longer else None
-    if edits is None:
+    if not longer:
         return False
-    if edits <= (1 - CLOSE) * longer + 1e-9:
+    if edits_within(a, b, int((1 - CLOSE) * longer + 1e-9)) is not None:
         return True
     x, y = runs(a), runs(b)
     both = len(np.intersect1d(x, y, assume_unique=True))
-    return both >= SIMILARITY * (len(x) + len(y) - both) - 1e-9
+    return both >= SIMILARITY * (len(x) + len(y) - both) - 1e-9 and edits_within(a, b, int((1 - SIMILARITY) * longer + 1e-9)) is not None
 
 
 def _sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -268,6 +267,14 @@ class Block:
         out[np.repeat(np.arange(len(self.ids)), self.ns), self.words & np.uint32(width - 1)] = 1
         return out
 
+    def run_bits(self, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """Bits of the runs of each text, and how many different runs it has."""
+        each = [runs(self.text(i)) for i in range(len(self.ids))]
+        n = np.array([len(r) for r in each])
+        out = np.zeros((len(self.ids), width), np.float32)
+        out[np.repeat(np.arange(len(self.ids)), n), np.concatenate(each) & np.uint64(width - 1)] = 1
+        return out, n
+
 
 def links_between(x: Block, y: Block, band: int, size: int) -> list[tuple[int, int]]:
     """Links that connect the classes of two blocks (x may be y) of the bucket as far as their alike pairs do.
@@ -277,8 +284,15 @@ def links_between(x: Block, y: Block, band: int, size: int) -> list[tuple[int, i
     width = 1 << min(15, max(8, int(np.ceil(2 - size * np.log2(SIMILARITY)))))
     p = x.bits(width)
     q = p if y is x else y.bits(width)
-    kept = (1 - SIMILARITY) * np.maximum(x.ns[:, None], y.ns) + 1e-9  # edits at most
-    ok = (np.maximum(p.sum(1)[:, None], q.sum(1)) - p @ q.T <= kept) & (np.abs(x.ns[:, None] - y.ns) <= kept) & (x.cs[:, None] != y.cs)
+    longer = np.maximum(x.ns[:, None], y.ns)
+    edits = np.maximum(p.sum(1)[:, None], q.sum(1)) - p @ q.T  # at least
+    ok = (np.maximum(edits, np.abs(x.ns[:, None] - y.ns)) <= (1 - SIMILARITY) * longer + 1e-9) & (x.cs[:, None] != y.cs)
+    far = ok & (edits > (1 - CLOSE) * longer + 1e-9)
+    if far.any():  # these must share runs; a bit that the other lacks is a run that it lacks
+        (p, n), (q, m) = (u := x.run_bits(width)), (u if y is x else y.run_bits(width))
+        meet = p @ q.T
+        both = np.minimum(n[:, None] - p.sum(1)[:, None] + meet, m - q.sum(1) + meet)  # at most
+        ok &= ~far | (both >= SIMILARITY * (n[:, None] + m - both) - 1e-9)
     i, j = np.nonzero(np.triu(ok, 1) if y is x else ok)
     cell = [np.floor(np.log(np.maximum(b.ns, 1)) / -np.log(SIMILARITY)) for b in (x, y)]
     here = (np.maximum(cell[0][i], cell[1][j]) >= size) & ~(x.bands[i, :band] == y.bands[j, :band]).any(1)
