@@ -103,9 +103,9 @@ def src7_fingerprint(t):
     return t("pages").select("page_id", fingerprint("html", 40).alias("hashes"))
 
 
-@query("SELECT o_orderkey, lower(o_orderstatus) IN ('o', 'f') AS seam, CAST(o_orderkey % 7 AS VARCHAR) || '-' || CAST(o_custkey % 3 AS VARCHAR) AS tile FROM orders WHERE o_orderstatus <> 'P' AND o_orderkey BETWEEN 10 AND 14000")
+@query("SELECT o_orderkey, lower(o_orderstatus) IN ('o', 'f') AS seam, CAST(o_orderkey % 7 AS VARCHAR) || '-' || CAST(o_custkey % 3 AS VARCHAR) AS tile FROM orders WHERE o_orderstatus <> 'P'")
 def src8_slice_list(t):
-    o = t("orders").filter("o_orderstatus <> 'P' AND o_orderkey BETWEEN 10 AND 14000")
+    o = t("orders").filter("o_orderstatus <> 'P'")
     return o.select("o_orderkey", F.lower("o_orderstatus").isin("o", "f").alias("seam"), F.concat_ws("-", F.col("o_orderkey") % 7, F.col("o_custkey") % 3).alias("tile"))
 
 
@@ -115,11 +115,11 @@ def or6_plan_digest(t):
     return t("supplier").groupBy(F.col("s_nationkey").alias("n")).agg(F.count(F.lit(1)).alias("rows"), F.md5(F.concat_ws(",", keys)).alias("digest"))
 
 
-@query("SELECT l_orderkey, l_linenumber, l_partkey, n_name FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey WHERE l_orderkey BETWEEN 1000 AND 3000")
+@query("SELECT l_orderkey // 2000 AS chunk, l_orderkey, l_linenumber, l_partkey, n_name FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey")
 def src10_chunk_range(t):
-    l = t("lineitem").filter(F.col("l_orderkey").between(1000, 3000))
+    l = t("lineitem").withColumn("chunk", F.floor(F.col("l_orderkey") / 2000))
     m = t("supplier").join(F.broadcast(t("nation")), F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("s_suppkey").alias("l_suppkey"), "n_name")
-    return l.join(m, "l_suppkey").select("l_orderkey", "l_linenumber", "l_partkey", "n_name")
+    return l.join(m, "l_suppkey").select("chunk", "l_orderkey", "l_linenumber", "l_partkey", "n_name")
 
 
 @query("WITH i AS (SELECT o_orderkey, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) - 1 AS i FROM orders) SELECT o_orderkey, i % 20 AS task, i // 50 AS chunk FROM i")

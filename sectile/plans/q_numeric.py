@@ -110,7 +110,7 @@ _PIXELS = "z long, y long, x long, v double"
 
 @query()
 def im3_background(t):
-    return images.per_image(blocks(t), ["z"], "y", "x", "v", lambda p: images.background(p, 8.0, 60.0, least=8, least_dark=8, grow=1).astype(float), _PIXELS)
+    return images.per_image(blocks(t), ["z"], "y", "x", "v", lambda p: images.background(p, 15.0, 60.0, least=8, least_dark=8, grow=1).astype(float), _PIXELS)
 
 
 @query()

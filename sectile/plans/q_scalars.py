@@ -99,6 +99,11 @@ def image(t):
     return t("embeddings").select(F.col("vec_id").alias("y"), F.posexplode("embedding").alias("x", "e")).select("y", F.col("x").cast("long").alias("x"), F.floor((F.col("e").cast("double") + 1) * 128).alias("v"))
 
 
+def height(t) -> int:
+    """Rows of the image."""
+    return (t("embeddings").agg(F.max("vec_id")).first()[0] or 0) + 1
+
+
 @query(f"SELECT CAST(floor(y / 5) AS BIGINT) AS y, CAST(floor(x / 4) AS BIGINT) AS x, round(avg(v), 6) AS v FROM ({_IMG}) GROUP BY 1, 2")
 def im1_downsample(t):
     return p.downsampled(image(t), [], "x", "y", "v", 4, 5).withColumn("v", r("v"))
@@ -106,7 +111,7 @@ def im1_downsample(t):
 
 @query(f"SELECT CAST(floor(y / 2) AS BIGINT) AS y, CAST(floor(x / 2) AS BIGINT) AS x, CAST(floor((sum(v) + 2) / 4) AS BIGINT) AS v FROM ({_IMG}) GROUP BY 1, 2")
 def im2_pool2(t):
-    return p.pooled(image(t), "v", {"y": 500, "x": 64})
+    return p.pooled(image(t), "v", {"y": height(t), "x": 64})
 
 
 _VOL = f"SELECT y // 25 AS z, y % 25 AS y, x, v FROM ({_IMG})"
@@ -115,7 +120,7 @@ _VOL = f"SELECT y // 25 AS z, y % 25 AS y, x, v FROM ({_IMG})"
 @query(f"WITH v AS ({_VOL}), w AS (SELECT z, y, x, v * CASE WHEN y = 24 THEN 2 ELSE 1 END AS v FROM v) SELECT z // 2 AS z, y // 2 AS y, x // 2 AS x, CAST(floor((sum(v) + 4) / 8) AS BIGINT) AS v FROM w GROUP BY 1, 2, 3")
 def im2_pool3_odd(t):
     v = image(t).select(F.floor(F.col("y") / 25).alias("z"), (F.col("y") % 25).alias("y"), "x", "v")
-    return p.pooled(v, "v", {"z": 20, "y": 25, "x": 64})
+    return p.pooled(v, "v", {"z": -(-height(t) // 25), "y": 25, "x": 64})
 
 
 @query(f"WITH i AS ({_IMG}) SELECT a.y, count(*) AS n, CAST(sum(a.v * b.v) AS BIGINT) AS s FROM i a JOIN i b ON a.y = b.y - 1 AND a.x = b.x + 3 GROUP BY 1")
@@ -223,11 +228,12 @@ def nu37_laplacian_noise(t):
     return p.laplacian_noise(i, ["z"], "x", "y", "v").select("z", r("noise").alias("noise"))
 
 
-@query(f"WITH n AS (SELECT x AS gx, y AS gy, v FROM ({_IMG}) WHERE x < 8 AND y < 8), q AS (SELECT s_suppkey AS k, least(greatest(s_acctbal / 1200, 0), 7) AS fx, least(greatest(s_nationkey / 3.0::DOUBLE, 0), 7) AS fy FROM supplier), c AS (SELECT *, CAST(least(floor(fx), 6) AS BIGINT) AS x0, CAST(least(floor(fy), 6) AS BIGINT) AS y0 FROM q) SELECT k, round(sum(n.v * (CASE WHEN gx = x0 THEN 1 - fx + x0 ELSE fx - x0 END) * (CASE WHEN gy = y0 THEN 1 - fy + y0 ELSE fy - y0 END)), 6) AS v FROM c JOIN n ON gx BETWEEN x0 AND x0 + 1 AND gy BETWEEN y0 AND y0 + 1 GROUP BY 1")
+@query(f"WITH n AS (SELECT x AS gx, y AS gy, v FROM ({_IMG})), h AS (SELECT max(vec_id) AS top FROM embeddings), q AS (SELECT s_suppkey AS k, least(greatest(s_acctbal / 150, 0), 63) AS fx, least(greatest(s_nationkey / 24.0::DOUBLE * top, 0), top) AS fy, top FROM supplier, h), c AS (SELECT *, CAST(least(floor(fx), 62) AS BIGINT) AS x0, CAST(least(floor(fy), top - 1) AS BIGINT) AS y0 FROM q) SELECT k, round(sum(n.v * (CASE WHEN gx = x0 THEN 1 - fx + x0 ELSE fx - x0 END) * (CASE WHEN gy = y0 THEN 1 - fy + y0 ELSE fy - y0 END)), 6) AS v FROM c JOIN n ON gx BETWEEN x0 AND x0 + 1 AND gy BETWEEN y0 AND y0 + 1 GROUP BY 1")
 def nu26_bilinear(t):
-    n = image(t).filter("x < 8 AND y < 8").select(F.col("x").alias("gx"), F.col("y").alias("gy"), "v")
-    q = t("supplier").select(F.col("s_suppkey").alias("k"), (F.col("s_acctbal") / 1200).alias("fx"), (F.col("s_nationkey") / 3.0).alias("fy"))
-    return p.bilinear(q, n, "fx", "fy", "gx", "gy", "v", 8, 8).select("k", r("v").alias("v"))
+    n = image(t).select(F.col("x").alias("gx"), F.col("y").alias("gy"), "v")
+    rows = height(t)
+    q = t("supplier").select(F.col("s_suppkey").alias("k"), (F.col("s_acctbal") / 150).alias("fx"), (F.col("s_nationkey") / F.lit(24.0) * (rows - 1)).alias("fy"))
+    return p.bilinear(q, n, "fx", "fy", "gx", "gy", "v", 64, rows).select("k", r("v").alias("v"))
 
 
 @query("WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings), c AS (SELECT vec_id, e, list_sum(e) / 64 AS m FROM e), k AS (SELECT vec_id, list_transform(e, lambda x: x - m) AS d FROM c) SELECT a.vec_id, round(list_sum(list_transform(range(1, 65), lambda i: a.d[i] * b.d[i])) / sqrt(list_sum(list_transform(a.d, lambda x: x * x)) * list_sum(list_transform(b.d, lambda x: x * x))), 6) AS ncc FROM k a JOIN k b ON b.vec_id = a.vec_id + 1")
@@ -240,13 +246,13 @@ def nu32_ncc(t):
     return k.join(b, "vec_id").select("vec_id", r(total(F.zip_with("d", "f", lambda x, y: x * y)) / F.sqrt(square("d") * square("f"))).alias("ncc"))
 
 
-@query("WITH b AS (SELECT user_id AS g, event_id AS i, value AS x, row_number() OVER (PARTITION BY user_id ORDER BY ts) AS n FROM events) SELECT a.g, median((b.x - a.x) / (b.n - a.n)) AS slope FROM b a JOIN b ON a.g = b.g AND b.n > a.n GROUP BY 1")
+@query("WITH b AS (SELECT user_id AS g, value AS x, row_number() OVER (PARTITION BY user_id ORDER BY ts) - 1 AS n FROM events), w AS (SELECT *, n // 50 AS block FROM b) SELECT a.g, a.block, median((b.x - a.x) / (b.n - a.n)) AS slope FROM w a JOIN w b ON a.g = b.g AND a.block = b.block AND b.n > a.n GROUP BY 1, 2")
 def nu36_theil_sen(t):
-    o = t("events").select(F.col("user_id").alias("g"), F.col("value").alias("x"), F.row_number().over(W.partitionBy("user_id").orderBy("ts")).alias("n"))
-    # the points of a window are gathered (few), and slopes leave only their median
-    w = o.groupBy("g").agg(F.sort_array(F.collect_list(F.struct("n", "x"))).alias("p"))
+    """Slope of each block of 50 events of a user; the points of a block are gathered, slopes leave only their median."""
+    o = t("events").select(F.col("user_id").alias("g"), F.col("value").alias("x"), (F.row_number().over(W.partitionBy("user_id").orderBy("ts")) - 1).cast("long").alias("n"))
+    w = o.groupBy("g", F.floor(F.col("n") / 50).alias("block")).agg(F.sort_array(F.collect_list(F.struct("n", "x"))).alias("p"))
     slopes = F.flatten(F.transform("p", lambda a, i: F.transform(F.slice("p", i + 2, F.size("p")), lambda b: (b["x"] - a["x"]) / (b["n"] - a["n"]))))
-    return w.select("g", F.explode(slopes).alias("s")).groupBy("g").agg(F.median("s").alias("slope"))
+    return w.select("g", "block", F.explode(slopes).alias("s")).groupBy("g", "block").agg(F.median("s").alias("slope"))
 
 
 @query(f"SELECT y, max(CASE WHEN v > 160 THEN x END) AS hi, min(CASE WHEN v > 160 THEN x END) AS lo FROM ({_IMG}) GROUP BY 1")

@@ -55,3 +55,10 @@ def test_plot_table_has_all_rows(spark, tmp_path):
     spark.createDataFrame([(k, k + 0.25) for k in range(1, 49)], "o_orderkey long, o_totalprice double").write.parquet(f"{tmp_path}/orders.parquet")
     got = sorted(tuple(x) for x in e.queries()["snk17_plot_table"](spark, str(tmp_path)).collect())
     assert got == [(k, k, f"{k}.25") for k in range(1, 49)]
+
+
+def test_background_query_finds_some_and_not_all(spark):
+    from pyspark.sql import functions as F
+
+    r = e.queries()["im3_background"](spark, "/root/testdata/sf0.01").agg(F.count("*").alias("n"), F.sum("v").alias("s")).first()
+    assert r.n == 32_000 and 0.02 * r.n < r.s < 0.98 * r.n
