@@ -6,8 +6,8 @@ writes each stage's rows to the shared folder and goes on from there, so a lost
 Defined results: nulls, empty texts, repeated rows and ties as each stage's operator states them; very long texts pass
 whole; extra columns, clashing ones too, reach the last stage as they are; an empty table passes all stages.
 
-The order of rows does not outlive a table, so the mixture stage also writes the places of its rows, and the last stage
-adds them: (slot, start_byte) of a row of the result is its place in the mixture.
+The order of rows does not outlive a table, so the last stage adds their places, which follow from the rows alone: (slot,
+start_byte) of a row of the result is its place in the mixture. No stage knows anything but its own input.
 """
 
 from __future__ import annotations
@@ -18,9 +18,6 @@ from pyspark.sql import DataFrame, SparkSession
 from sectile.llm import bpe, mixing, near_dedup, quality_rules, suffix_dedup
 from sectile.llm.common import cut, table
 
-#: Places that the mixture stage wrote, for the stage after it.
-_PLACES: dict[tuple[str, str], DataFrame] = {}
-
 
 def by_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose text fails the base rule or is more likely bad than good go; a null text has no words and goes."""
@@ -38,18 +35,14 @@ def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def in_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All rows, in the order of the mixture; their places go to a table of their own."""
-    places = mixing.positions(docs).select("doc_id", "source", "n_bytes", "slot", "start_byte")
-    _PLACES[spark.sparkContext.applicationId, sf_dir] = cut(places)
+    """All rows, in the order of the mixture."""
     return mixing.mixed(docs)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row of digests for each row, with its place in the mixture; a null text counts as empty."""
-    places = _PLACES.get((spark.sparkContext.applicationId, sf_dir))
-    if places is None:
-        raise ValueError("the mixture stage has not run on this folder")
-    return bpe.round_trip(mixing.with_places(docs, places), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, also=["slot", "start_byte"])
+    placed = mixing.with_places(docs, mixing.positions(docs))
+    return bpe.round_trip(placed, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, also=["slot", "start_byte"])
 
 
 STAGES = [
