@@ -132,3 +132,17 @@ def test_registered(spark):
     import __spark_entry__ as e
 
     assert "pipeline" in e.queries() and "pipeline" not in e.oracle_sql()
+
+
+def test_odd_rows_pass_all_stages(spark, tmp_path):
+    """Null and empty texts, null ids, repeated rows, clashing columns and a very long text in one run."""
+    good = " ".join(f"word{i}" for i in range(90)) + "."
+    rows = [(1, good, "en", "a", 1), (2, good, "en", "b", 1), (3, None, "en", "a", 0), (4, "", "en", "a", 0), (None, good.replace("word1", "other1"), "en", "a", 1), (5, good.replace("word", "term"), None, None, None), (5, good.replace("word", "term"), None, None, None)]
+    rows.append((6, " ".join(f"word{i}" + "." * (i % 10 == 9) for i in range(100, 120_100)), "en", "a", 2))
+    df = spark.createDataFrame([(*r, 7, "x", "y") for r in rows], "doc_id long, text string, lang string, source string, n_chars long, slot int, k string, start_byte string")
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    out = cp.run(spark, str(tmp_path)).collect()
+    assert sorted(r.doc_id or 0 for r in out) == [0, 1, 5, 6]  # no words: out; the copy and the repeated row: out
+    assert all(r.slot is not None and int(r.start_byte) >= 0 for r in out) and max(r.n_tokens for r in out) > 120_000
+    one = {r.doc_id: r.ids_sha256 for r in out}
+    assert {r.doc_id: r.ids_sha256 for r in cp.run(spark, str(tmp_path)).collect()} == one
