@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -202,5 +203,6 @@ def even_pick(df: DataFrame, k: int, order, by=(), lo: float = 0.0, hi: float =
     """k rows at evenly spaced positions between the shares lo and hi (half to even, repeats once)."""
     w = _over(by, order)
     df = df.withColumn("_i", F.row_number().over(w) - 1).withColumn("_c", F.count(F.lit(1)).over(W.partitionBy(*by)))
-    spots = F.array_distinct(F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.bround((F.col("_c") - 1) * (lo + (hi - lo) * i / max(1, k - 1))).cast("int")))
+    span = float(Decimal(str(hi)) - Decimal(str(lo)))  # 0.95 - 0.05 is 0.9: where a position is a half, the last bit counts
+    spots = F.array_distinct(F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.bround((F.col("_c") - 1) * (lo + span * i / max(1, k - 1))).cast("int")))
     return df.filter(F.array_contains(spots, F.col("_i"))).drop("_i", "_c")
