@@ -32,13 +32,13 @@ def morton(x: Column, y: Column, z: Column, bits: int) -> Column:
     return out
 
 
-def size_text(n: Column) -> Column:
-    """Bytes in words, tenths cut off."""
+def size_text(n: Column, top: str = "GB") -> Column:
+    """Bytes in words, tenths cut off; `top` (MB or GB) is the largest unit."""
 
     def tenths(unit: int) -> Column:
         return F.floor(n / float(unit) * 10) / 10.0
 
-    big = F.when(n >= 1 << 30, F.format_string("%.1f GB", tenths(1 << 30))).when(n >= 1 << 20, F.format_string("%.1f MB", tenths(1 << 20)))
+    big = F.when((n >= 1 << 30) & F.lit(top == "GB"), F.format_string("%.1f GB", tenths(1 << 30))).when(n >= 1 << 20, F.format_string("%.1f MB", tenths(1 << 20)))
     return big.when(n >= 1 << 10, F.format_string("%.1f kB", tenths(1 << 10))).otherwise(F.format_string("%d B", n.cast("long")))
 
 
