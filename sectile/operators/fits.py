@@ -492,3 +492,101 @@ def window_affines(matches: DataFrame, by: list[str], prior: float = 1e-3) -> Da
         return pd.DataFrame([(*key, t, *(float(c) for c in (x[at[t], 0] / scale, x[at[t] + 1, 0] / scale, x[at[t] + 2, 0], x[at[t], 1] / scale, x[at[t] + 1, 1] / scale, x[at[t] + 2, 1]))) for t in tiles])
 
     return matches.groupBy(*by).applyInPandas(run, f"{kinds}, tile string, a double, b double, tx double, c double, d double, ty double")
+
+
+#: Pairs of points whose slopes are held at once.
+_SLOPES = 4_000_000
+
+
+def _inversions(p: np.ndarray):
+    """The pairs k < l of a permutation with p[k] > p[l], as (first and last of the larger values, in a list of places; the
+    smaller values), bit by bit: among places that share the higher bits, zeros that come after ones."""
+    for b in range(max(1, int(len(p) - 1).bit_length()) - 1, -1, -1):
+        one = (p >> b & 1).astype(np.int64)
+        before = np.cumsum(one) - one
+        start = p >> (b + 1) << (b + 1)  # the places that share the higher bits lie together from here on
+        ones = before - before[start]
+        ones_from = start + np.minimum(1 << b, len(p) - start)
+        at = np.where(one == 1, ones_from + ones, np.arange(len(p)) - ones)
+        new = np.empty_like(p)
+        new[at] = p
+        zero = (one == 0) & (ones > 0)
+        yield new, ones_from[zero], ones[zero], p[zero]
+        p = new
+
+
+def median_slope(n: np.ndarray, x: np.ndarray, sample: int = 100_000) -> float | None:
+    """Median of (x_j - x_i) / (n_j - n_i) over all pairs of points, n ascending; memory grows with the points.
+
+    Of many points, slopes of a sample of pairs give two bounds. The order of x - s n tells how many slopes are at most s: its
+    inversions. Halving brings the bounds nearer, then the two orders differ in few pairs, which are looked at one by one."""
+    total = len(x) * (len(x) - 1) // 2
+    if not total:
+        return None
+    if total <= _SLOPES:
+        i, j = np.triu_indices(len(x), 1)
+        s = np.sort((x[j] - x[i]) / (n[j] - n[i]))
+        return float(0.5 * s[(total - 1) // 2] + 0.5 * s[total // 2])
+    rng = np.random.default_rng(0)
+    i, j = np.sort(rng.integers(0, len(x), (max(sample, len(x)), 2)), 1).T
+    i, j = i[i < j], j[i < j]
+    drawn = np.sort((x[j] - x[i]) / (n[j] - n[i]))
+    place = np.arange(len(x))
+    n, width = n.astype(float), 4 / np.sqrt(len(drawn))
+
+    def ordered(s):
+        return place if s == -np.inf else place[::-1] if s == np.inf else np.lexsort((-place, x - s * n))
+
+    def counted(order):
+        return sum(int(c.sum()) for _, _, c, _ in _inversions(order))
+
+    while True:
+        ends = [(0.5 - width) * len(drawn), (0.5 + width) * len(drawn)] if np.isfinite(x).all() else [-1, len(drawn)]
+        bounds = [-np.inf if k < 0 else np.inf if k >= len(drawn) else drawn[int(k)] for k in ends]
+        orders = [ordered(s) for s in bounds]
+        below, upto = (counted(o) for o in orders)
+        width *= 2
+        if below > (total - 1) // 2 or total // 2 >= upto:
+            continue
+        while upto - below > _SLOPES and np.isfinite(bounds).all() and bounds[1] - bounds[0] > 1e-9 * max(map(abs, bounds)):
+            s = (bounds[0] + bounds[1]) / 2
+            o = ordered(s)
+            if (k := counted(o)) > total // 2:
+                bounds[1], orders[1], upto = s, o, k
+            elif k <= (total - 1) // 2:
+                bounds[0], orders[0], below = s, o, k
+            else:
+                break
+        first, last = (total - 1) // 2 - below, total // 2 - below
+        rank = np.empty_like(place)
+        rank[orders[0]] = place
+        values, counts = np.zeros(0), np.zeros(0, np.int64)
+        for listed, start, many, small in _inversions(rank[orders[1]]):
+            cuts = np.flatnonzero(np.diff(np.cumsum(many) // _SLOPES, prepend=0))
+            for a, c, v in zip(*(np.split(y, cuts) for y in (start, many, small))):
+                large = listed[np.repeat(a - np.cumsum(c) + c, c) + np.arange(c.sum())]
+                k, l = orders[0][np.repeat(v, c)], orders[0][large]  # noqa: E741
+                s, m = np.unique((x[l] - x[k]) / (n[l] - n[k]), return_counts=True)
+                values, at = np.unique(np.concatenate((values, s)), return_inverse=True)
+                counts = np.bincount(at.reshape(-1), np.concatenate((counts, m)), len(values)).astype(np.int64)
+        upper = np.cumsum(counts)
+        lo, hi = (values[np.searchsorted(upper, r, side="right")] for r in (first, last))
+        # the orders are those of rounded numbers: a slope next to a bound may be on its wrong side
+        slack = [1e-15 * (np.abs(x).max() + abs(s) * (abs(n[0]) + abs(n[-1]))) * 4 if np.isfinite(s) else 0.0 for s in bounds]
+        if (np.isinf(bounds[0]) or lo > bounds[0] + slack[0]) and (np.isinf(bounds[1]) or hi < bounds[1] - slack[1]):
+            return float(0.5 * lo + 0.5 * hi)
+
+
+def median_slopes(df: DataFrame, by: list[str], n: str, x: str) -> DataFrame:
+    """by, slope: the median slope of all pairs of points (n, x) of a key; null where no pair has values, no row for one point.
+
+    A task holds the points of one key, never their pairs."""
+    kinds = ", ".join(f"{c} {dict(df.dtypes)[c]}" for c in by)
+
+    def run(key, pdf):
+        if len(pdf) < 2:
+            return pd.DataFrame()
+        pdf = pdf.dropna().sort_values(n)
+        return pd.DataFrame({**{c: [k] for c, k in zip(by, key)}, "slope": pd.Series([median_slope(pdf[n].to_numpy(), pdf[x].to_numpy(float))], dtype=float)})
+
+    return df.select(*by, n, x).groupBy(*by).applyInPandas(run, f"{kinds}, slope double")
