@@ -468,20 +468,28 @@ def patch_gains(bins: DataFrame, by: list[str], grid: int, smooth: float = 0.3,
 def window_affines(matches: DataFrame, by: list[str], prior: float = 1e-3) -> DataFrame:
     """Affine transforms of the tiles of a window that bring matched points (a, b, xa, ya, xb, yb, w) together.
 
-    All tiles are pulled a little towards the identity, the first one strongly."""
+    All tiles are pulled a little towards the identity, the first one strongly. Spark sums the products of the points of each
+    two tiles; a solve sees a row for each two tiles of a window. Matches with a null don't count."""
     kinds = ", ".join(f"{c} {dict(matches.dtypes)[c]}" for c in by)
+    z = ["xa", "ya", None, "xb", "yb", None]
+    v = [F.lit(1.0) if c is None else F.col(c).cast("double") for c in z]
+    at_ = [(i, j) for i in range(6) for j in range(i, 6)]
+    sums = [F.sum(F.col("w") * v[i] * v[j]).alias(f"m{k}") for k, (i, j) in enumerate(at_)]
+    rows = matches.dropna(subset=["a", "b", "xa", "ya", "xb", "yb", "w"]).groupBy(*by, "a", "b").agg(F.sum("w").alias("w"), F.max(F.greatest(*(F.abs(v[k]) for k in (0, 1, 3, 4)))).alias("top"), *sums)
 
     def run(key, pdf):
-        pdf = pdf.sort_values(["a", "b", "xa", "ya"])
+        pdf = pdf.sort_values(["a", "b"])
         tiles = sorted({*pdf["a"], *pdf["b"]})
         at = {t: 3 * i for i, t in enumerate(tiles)}
         n = 3 * len(tiles)
-        scale = max(1.0, float(np.abs(pdf[["xa", "ya", "xb", "yb"]].to_numpy()).max()))
+        scale = max(1.0, float(pdf["top"].max()))
+        unit = np.array([1 / scale, 1 / scale, 1, -1 / scale, -1 / scale, -1])
         m, rhs = np.zeros((n, n)), np.zeros((n, 2))
-        for a, b, xa, ya, xb, yb, w in zip(*(pdf[c] for c in ("a", "b", "xa", "ya", "xb", "yb", "w"))):
-            i = np.r_[at[a] : at[a] + 3, at[b] : at[b] + 3]
-            v = np.array([xa / scale, ya / scale, 1, -xb / scale, -yb / scale, -1])
-            m[np.ix_(i, i)] += w * np.outer(v, v)
+        for a, b, row in zip(pdf["a"], pdf["b"], pdf[[f"m{k}" for k in range(len(at_))]].to_numpy(float)):
+            i, own = np.r_[at[a] : at[a] + 3, at[b] : at[b] + 3], np.zeros((6, 6))
+            for k, (p, q) in enumerate(at_):
+                own[p, q] = own[q, p] = row[k]
+            np.add.at(m, np.ix_(i, i), own * np.outer(unit, unit))
         weight = prior * max(float(pdf["w"].sum()) / len(tiles), 1e-9)
         for t in tiles:
             k = weight * (1e6 if t == tiles[0] else 1)
@@ -491,7 +499,7 @@ def window_affines(matches: DataFrame, by: list[str], prior: float = 1e-3) -> Da
         x = np.linalg.solve(m, rhs)
         return pd.DataFrame([(*key, t, *(float(c) for c in (x[at[t], 0] / scale, x[at[t] + 1, 0] / scale, x[at[t] + 2, 0], x[at[t], 1] / scale, x[at[t] + 1, 1] / scale, x[at[t] + 2, 1]))) for t in tiles])
 
-    return matches.groupBy(*by).applyInPandas(run, f"{kinds}, tile string, a double, b double, tx double, c double, d double, ty double")
+    return rows.groupBy(*by).applyInPandas(run, f"{kinds}, tile string, a double, b double, tx double, c double, d double, ty double")
 
 
 #: Pairs of points whose slopes are held at once.
