@@ -40,22 +40,31 @@ def fitted_grids(points: DataFrame, by: list[str], x: str, y: str, values: list[
     and a slight pull to 0, both in shares of the mean weight of a node. size: width and height that the grid spans."""
     n, m = nodes
     corners = _corners(F.col(x), F.col(y), size, nodes)
-    terms = [F.struct(a.cast("int").alias("i"), b.cast("int").alias("j"), (s * t).alias("g"), *((F.lit(0.0) if k != l else s * F.col(v)).alias(v) for v in values)) for k, (a, s) in enumerate(corners) for l, (b, t) in enumerate(corners)]  # noqa: E741
-    # the right side of a node rides on its own (i, i) term
-    rows = points.select(*by, F.col(weight).alias("_w"), F.explode(F.array(*terms)).alias("_t"))
-    sums = rows.groupBy(*by, F.col("_t.i").alias("_i"), F.col("_t.j").alias("_j")).agg(F.sum(F.col("_w") * F.col("_t.g")).alias("_g"), *(F.sum(F.col("_w") * F.col(f"_t.{v}")).alias(v) for v in values))
+    both = [(k, l) for k in range(4) for l in range(k, 4)]
+    # points of a cell have the same four nodes, so a point adds to one row of sums
+    rows = points.select(*by, corners[0][0].cast("int").alias("_i"), F.col(weight).alias("_w"), *(s.alias(f"_s{k}") for k, (_, s) in enumerate(corners)), *(F.col(v).alias(f"_v{i}") for i, v in enumerate(values)))
+    rows = rows.groupBy(*by, "_i").agg(
+        *(F.sum(F.col("_w") * (F.col(f"_s{k}") * F.col(f"_s{l}"))).alias(f"_g{k}{l}") for k, l in both),
+        *(F.sum(F.col("_w") * (F.col(f"_s{k}") * F.col(f"_v{i}"))).alias(f"_r{k}{i}") for k in range(4) for i in range(len(values))),
+    )
     smooth = _membrane(n, m)
 
     def run(key, pdf):
         left, right = np.zeros((n * m, n * m)), np.zeros((n * m, len(values)))
-        np.add.at(left, (pdf["_i"], pdf["_j"]), pdf["_g"])
-        np.add.at(right, pdf["_i"].to_numpy(), pdf[values].to_numpy())
+        pdf = pdf.sort_values("_i").fillna(0.0)  # a sum of nulls only
+        at = pdf["_i"].to_numpy()[:, None] + np.array([0, 1, m, m + 1])
+        for k, l in both:  # noqa: E741
+            np.add.at(left, (at[:, k], at[:, l]), pdf[f"_g{k}{l}"])
+            if k != l:
+                np.add.at(left, (at[:, l], at[:, k]), pdf[f"_g{k}{l}"])
+        for k in range(4):
+            np.add.at(right, at[:, k], pdf[[f"_r{k}{i}" for i in range(len(values))]].to_numpy())
         typical = max(left.sum() / (n * m), 1e-12)
         f = np.linalg.solve(left + typical * (stiffness * smooth + pull * np.eye(n * m)), right)
         return pd.DataFrame([(*key, k // m, k % m, *map(float, f[k])) for k in range(n * m)])
 
     kinds = ", ".join(f"`{c}` {dict(points.dtypes)[c]}" for c in by)
-    return sums.groupBy(*by).applyInPandas(run, f"{kinds}, gy long, gx long, " + ", ".join(f"`{v}` double" for v in values))
+    return rows.groupBy(*by).applyInPandas(run, f"{kinds}, gy long, gx long, " + ", ".join(f"`{v}` double" for v in values))
 
 
 def warp_grids(matches: DataFrame, by: list[str], size: tuple[float, float], nodes: tuple[int, int], stiffness: float = 0.05) -> DataFrame:
