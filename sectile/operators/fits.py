@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -364,20 +366,26 @@ def placed_boxes(df: DataFrame, by: list[str], width: str, height: str, size: in
     """k random boxes of one size that do not overlap, inside each width x height; the seed and the key fix them."""
     kinds = ", ".join(f"{c} {dict(df.dtypes)[c]}" for c in by)
 
-    def run(key, pdf):
-        import zlib
-
+    def boxes(key, w, h):
         rng = np.random.default_rng([seed, zlib.crc32(repr(key).encode())])
-        w, h, out = int(pdf[width].iloc[0]), int(pdf[height].iloc[0]), []
+        out = []
         for _ in range(200 * k):
             if len(out) == k or w < size or h < size:
                 break
             x, y = int(rng.integers(0, w - size + 1)), int(rng.integers(0, h - size + 1))
             if all(abs(x - a) >= size or abs(y - b) >= size for a, b in out):
                 out.append((x, y))
-        return pd.DataFrame([(*key, i, *p) for i, p in enumerate(out)])
+        return out
+
+    def run(batches):  # a key needs nothing of other rows
+        for pdf in batches:
+            keys = zip(*(list(pdf[c].array) for c in by))  # scalars of NumPy, as they came as keys of groups
+            rows = [(*key, i, *p) for key, w, h in zip(keys, pdf[width], pdf[height]) for i, p in enumerate(boxes(key, int(w), int(h)))]
+            if rows:
+                yield pd.DataFrame(rows, columns=[*by, "i", "x", "y"])
 
-    return df.groupBy(*by).applyInPandas(run, f"{kinds}, i long, x long, y long")
+    rows = df.groupBy(*by).agg(F.first(F.struct(width, height)).alias("_s")).select(*by, F.col(f"_s.{width}").alias(width), F.col(f"_s.{height}").alias(height))
+    return rows.mapInPandas(run, f"{kinds}, i long, x long, y long")
 
 
 def spacings(pairs: DataFrame, prior: float = 0.05):
