@@ -96,33 +96,96 @@ def auc(df: DataFrame, by: list[str], score: str, label: Column) -> DataFrame:
     return out.select(*by, ((F.col("_s") - F.col("_pos") * (F.col("_pos") + 1) / 2) / (F.col("_pos") * (F.col("_all") - F.col("_pos")))).alias("auc"))
 
 
+#: Bins of a histogram of a group, and values of a bin that are sorted as they are.
+_BINS, _FEW = 4096, 250_000
+
+
+def quantiles(df: DataFrame, by: list[str], v: Column, shares: list[float], lo: Column, hi: Column, out: str) -> DataFrame:
+    """(by, out): the exact quantiles of v, as F.percentile gives them, of groups of any size.
+
+    A histogram between lo and hi (bounds of the group; loose ones cost time only) tells for each rank the bin that holds
+    it, and its least and largest value. Bins with many values are divided again; of the others the values are counted.
+    So no task holds more of a group than its bins, and a pass over df sends a row for each bin."""
+    group, keys = F.struct(*by).alias("_g"), ["_g", "_lo", "_hi"]  # as one key, nulls are a group too
+    d = df.select(*by, v.alias("_v"), lo.alias("_lo"), hi.alias("_hi")).filter("_v IS NOT NULL")
+
+    def binned(x, keys):
+        at = (F.col("_v") / 2 - F.col("_lo") / 2) / F.nullif(F.col("_hi") / 2 - F.col("_lo") / 2, F.lit(0.0))
+        bin_ = F.when(at <= 0, 0).when(at < 1, (at * _BINS).cast("int")).otherwise(_BINS)  # what is not a number comes last
+        h = x.groupBy(*keys, bin_.alias("_bin")).agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_least"), F.max("_v").alias("_most"))
+        w = W.partitionBy(*keys)
+        before = F.coalesce(F.sum("_c").over(w.orderBy("_bin").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+        return h.select(*keys, "_c", "_least", "_most", before.alias("_before"), F.sum("_c").over(w).alias("_all"))
+
+    def within(asked):
+        return d.select(group, "_v").join(asked.select(*keys).distinct(), "_g").filter(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+
+    def told(asked, rows):  # of each rank that is asked for in a range, the row of `rows` that holds it
+        return asked.drop("_many").join(rows, keys).filter((F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_c"))).drop("_lo", "_hi")
+
+    at = [x for p in shares for x in (F.floor(p * (F.col("_all") - 1)), F.ceil(p * (F.col("_all") - 1)))]
+    held = F.filter(F.array(*(F.struct(F.lit(k).alias("k"), x.alias("at")) for k, x in enumerate(at))), lambda t: (t["at"] >= F.col("_before")) & (t["at"] < F.col("_before") + F.col("_c")))
+    first = binned(d, by).withColumn("_t", F.explode(held)).select(group, F.col("_t.k").alias("_k"), F.col("_all").alias("_n"), F.col("_t.at").alias("_rank"), "_before", "_c", "_least", "_most")
+    narrowed = lambda x: cut(x.select("_g", "_k", "_n", (F.col("_rank") - F.col("_before")).alias("_rank"), F.col("_c").alias("_many"), F.col("_least").alias("_lo"), F.col("_most").alias("_hi")))
+    asked, many = narrowed(first), (F.col("_many") > _FEW) & (F.col("_lo") < F.col("_hi"))
+    for _ in range(4):
+        if asked.filter(many).isEmpty():
+            break
+        asked = narrowed(told(asked.filter(many), binned(within(asked.filter(many)), keys))).unionByName(asked.filter(~many))
+    left = asked.filter("_lo < _hi")
+    counted = within(left).groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    before = F.sum("_c").over(W.partitionBy(*keys).orderBy("_v")) - F.col("_c")
+    counted = counted.select(*keys, "_c", F.col("_v").alias("_least"), F.col("_v").alias("_most"), before.alias("_before"))
+    values = told(left, counted).select("_g", "_k", "_n", F.col("_least").alias("_x")).unionByName(asked.filter("NOT _lo < _hi").select("_g", "_k", "_n", F.col("_lo").alias("_x")))
+    whole = values.groupBy("_g").agg(F.max("_n").alias("_n"), *(F.max(F.when(F.col("_k") == k, F.col("_x"))).alias(f"_{k}") for k in range(len(at))))
+
+    def between(i, p):
+        low, high, place = F.col(f"_{2 * i}"), F.col(f"_{2 * i + 1}"), p * (F.col("_n") - 1)
+        return F.when(low == high, low).otherwise((F.ceil(place) - place) * low + (place - F.floor(place)) * high)
+
+    return cut(whole.select(*(F.col("_g")[c].alias(c) for c in by), F.array(*(between(i, p) for i, p in enumerate(shares))).alias(out)))
+
+
+def _quartiles(df: DataFrame, by: list[str], a: str, b: str) -> DataFrame:
+    """by, _n, ends of a and b (_a0, _a1, _b0, _b1) and their quartiles _a, _b. df is read several times."""
+    ends = cut(df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), *(f(c).cast("double").alias(f"{n}{k}") for c, n in ((a, "_a"), (b, "_b")) for k, f in enumerate((F.min, F.max)))))
+    group = F.struct(*by).alias("_g")
+    d, out = df.withColumn("_g", group).join(ends.withColumn("_g", group).drop(*by), "_g"), ends.withColumn("_g", group)
+    for c, n in ((a, "_a"), (b, "_b")):
+        q = quantiles(d, by, F.col(c).cast("double"), [0.25, 0.5, 0.75], F.col(f"{n}0"), F.col(f"{n}1"), n)
+        out = out.join(q.select(group, n), "_g", "left")
+    return out.drop("_g")
+
+
 def robust_line(df: DataFrame, by: list[str], a: str, b: str, least: int = 20, reject: float = 3.0, rounds: int = 4) -> DataFrame:
     """a = gain b + offset by reduced major axis: median and MAD of the residuals pick the pairs of each round.
 
-    Group aggregates only: a group of any size is spread, and a round costs two shuffles of small rows."""
-    q = df.filter(F.col(a).isNotNull() & F.col(b).isNotNull())
-    pa, pb = F.percentile(a, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))), F.percentile(b, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    line = q.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), pa.alias("_a"), pb.alias("_b"))
+    The medians come from histograms (quantiles()): a group of any size is spread, and a round is five passes over the pairs."""
+    q = cut(df.filter(F.col(a).isNotNull() & F.col(b).isNotNull()).select(*by, a, b))
+    line = _quartiles(q, by, a, b)
     line = line.filter((F.col("_n") >= least) & (F.col("_a")[2] > F.col("_a")[0]) & (F.col("_b")[2] > F.col("_b")[0]))
     line = line.withColumn("gain", (F.col("_a")[2] - F.col("_a")[0]) / (F.col("_b")[2] - F.col("_b")[0]))
-    q = cut(q.select(*by, a, b))
-    line = cut(line.select(*by, "gain", (F.col("_a")[1] - F.col("gain") * F.col("_b")[1]).alias("offset")))
+    ends = [f"_{c}{k}" for c in "ab" for k in (0, 1)]
+    line = cut(line.select(*by, *ends, "gain", (F.col("_a")[1] - F.col("gain") * F.col("_b")[1]).alias("offset")))
     for _ in range(rounds):
-        r = q.join(line, by).withColumn("_r", F.col(a) - (F.col("gain") * F.col(b) + F.col("offset")))
-        r = r.join(cut(r.groupBy(*by).agg(F.median("_r").alias("_mid"))), by)
-        mad = cut(r.groupBy(*by).agg((F.median(F.abs(F.col("_r") - F.col("_mid"))) * 1.4826).alias("_sigma")))
-        kept = r.join(mad, by).filter(F.abs(F.col("_r") - F.col("_mid")) <= reject * F.greatest("_sigma", F.lit(1e-6)))
-        line = kept.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(a).alias("_sa"), F.stddev_pop(b).alias("_sb"), F.avg(a).alias("_ma"), F.avg(b).alias("_mb")).filter((F.col("n") >= least) & (F.col("_sa") > 0) & (F.col("_sb") > 0))
-        line = line.withColumn("gain", F.col("_sa") / F.col("_sb")).select(*by, "gain", (F.col("_ma") - F.col("gain") * F.col("_mb")).alias("offset"), "n")
-        counted = cut(line)
+        residual = lambda x, y: x - (F.col("gain") * y + F.col("offset"))
+        low, high = (residual(F.col(f"_a{k}"), F.col(f"_b{1 - k}")) for k in (0, 1))
+        mid = quantiles(q.join(line, by), by, residual(F.col(a), F.col(b)), [0.5], low, high, "_m")
+        line = line.join(mid, by).withColumn("_mid", F.col("_m")[0]).drop("_m")
+        off = F.abs(residual(F.col(a), F.col(b)) - F.col("_mid"))
+        mad = quantiles(q.join(line, by), by, off, [0.5], F.lit(0.0), F.greatest(F.abs(low - F.col("_mid")), F.abs(high - F.col("_mid"))), "_m")
+        line = line.join(mad.select(*by, (F.col("_m")[0] * 1.4826).alias("_sigma")), by)
+        kept = q.join(line, by).filter(off <= reject * F.greatest("_sigma", F.lit(1e-6)))
+        new = kept.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(a).alias("_sa"), F.stddev_pop(b).alias("_sb"), F.avg(a).alias("_ma"), F.avg(b).alias("_mb")).filter((F.col("n") >= least) & (F.col("_sa") > 0) & (F.col("_sb") > 0))
+        new = new.withColumn("gain", F.col("_sa") / F.col("_sb")).select(*by, "gain", (F.col("_ma") - F.col("gain") * F.col("_mb")).alias("offset"), "n")
+        counted = cut(line.select(*by, *ends).join(new, by))
         line = counted.drop("n")
-    return counted
+    return counted.select(*by, "gain", "offset", "n")
 
 
 def iqr_line(df: DataFrame, by: list[str], a: str, b: str) -> DataFrame:
     """Gain and offset from the quartiles of both."""
-    ps = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-    g = df.groupBy(*by).agg(F.percentile(a, ps).alias("_a"), F.percentile(b, ps).alias("_b")).withColumn("gain", (F.col("_a")[2] - F.col("_a")[0]) / (F.col("_b")[2] - F.col("_b")[0]))
+    g = _quartiles(cut(df.select(*by, a, b)), by, a, b).withColumn("gain", (F.col("_a")[2] - F.col("_a")[0]) / (F.col("_b")[2] - F.col("_b")[0]))
     return g.select(*by, "gain", (F.col("_a")[1] - F.col("gain") * F.col("_b")[1]).alias("offset"))
 
 
