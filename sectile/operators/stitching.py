@@ -170,34 +170,39 @@ def _transforms(moments: DataFrame, by: list[str], model: str, pull: float) -> D
     return _slices(moments, by, "tile string, linked boolean, a double, b double, tx double, c double, d double, ty double", make)
 
 
-def near_points(points: DataFrame, by: list[str], model: str, pull: float = 0.1, factor: float = 3.0, rounds: int = 10, least: int = 3) -> DataFrame:
-    """Matches that stay: those farther apart than factor times the mean of their slice go, and pairs of tiles with fewer
-    than `least` then, again and again until a slice loses none or would fall apart. Errors are joined and counted by Spark."""
-    names = ["a", "b", "tx", "c", "d", "ty"]
-    here, settled = cut(points.select(*by, "a", "b", "xa", "ya", "xb", "yb")), []
-    for _ in range(rounds):
-        t = cut(_transforms(pair_moments(here, by), by, model, pull))
+def near_moments(points: DataFrame, by: list[str], model: str, pull: float = 0.1, factor: float = 3.0, rounds: int = 10, least: int = 3, moments: DataFrame | None = None) -> DataFrame:
+    """pair_moments of the matches that stay: those farther apart than factor times the mean of their slice go, and pairs of
+    tiles with fewer than `least` then, again and again until a slice loses none or would fall apart. Errors are joined and
+    counted by Spark; a slice that is settled leaves its moments, and its matches are not read again.
+
+    points are read several times; moments: those of all points, where they are known."""
+    names, columns = ["a", "b", "tx", "c", "d", "ty"], [*by, "a", "b", "xa", "ya", "xb", "yb"]
+    here, settled = points.select(*columns), []
+    now = cut(pair_moments(here, by)) if moments is None else moments
+    for k in range(rounds):
+        t = cut(_transforms(now, by, model, pull))
         e = here
         for side in "ab":
             e = e.join(t.select(*by, F.col("tile").alias(side), *(F.col(n).alias(f"{side}_{n}") for n in names)), [*by, side])
         at = [[F.col(f"{s}_{n}") for n in names] + [F.col(f"x{s}"), F.col(f"y{s}")] for s in "ab"]
         (ax, ay), (bx, by_) = ((a * x + b * y + tx, c * x + d * y + ty) for a, b, tx, c, d, ty, x, y in at)
         e = e.withColumn("_e", F.hypot(ax - bx, ay - by_))
-        limit = e.groupBy(*by).agg((F.avg("_e") * factor).alias("_limit"), F.count(F.lit(1)).alias("_n"))
-        near = e.join(limit, by).filter("_e <= _limit")
-        enough = near.groupBy(*by, "a", "b").agg(F.count(F.lit(1)).alias("_k")).filter(F.col("_k") >= least).select(*by, "a", "b")
-        less = cut(near.join(enough, [*by, "a", "b"], "left_semi").select(*here.columns))
+        limit = cut(e.groupBy(*by).agg((F.avg("_e") * factor).alias("_limit"), F.count(F.lit(1)).alias("_n")))
+        near = e.join(limit.drop("_n"), by).filter("_e <= _limit")
+        less = cut(pair_moments(near, by).filter(F.col("n") >= least))
         tiles = t.groupBy(*by).agg(F.count(F.lit(1)).alias("_tiles"))
-        still = _transforms(pair_moments(less, by), by, model, pull).groupBy(*by).agg(F.count(F.lit(1)).alias("_t"), F.bool_and("linked").alias("_linked"))
-        fewer = less.groupBy(*by).agg(F.count(F.lit(1)).alias("_m")).join(limit, by).filter("_m < _n").join(tiles, by).join(still, by).filter("_linked AND _t = _tiles").select(*by)
+        still = _transforms(less, by, model, pull).groupBy(*by).agg(F.count(F.lit(1)).alias("_t"), F.bool_and("linked").alias("_linked"))
+        fewer = less.groupBy(*by).agg(F.sum("n").alias("_m")).join(limit, by).filter("_m < _n").join(tiles, by).join(still, by).filter("_linked AND _t = _tiles").select(*by)
         fewer = cut(fewer)
         if fewer.isEmpty():
             break
-        settled.append(here.join(fewer, by, "left_anti"))
-        here = cut(less.join(fewer, by, "left_semi"))
+        settled.append(now.join(fewer, by, "left_anti"))
+        now = cut(less.join(fewer, by, "left_semi"))
+        if k + 1 < rounds:
+            here = cut(near.join(now.select(*by, "a", "b"), [*by, "a", "b"], "left_semi").select(*columns))
     for x in settled:
-        here = here.unionByName(x)
-    return here
+        now = now.unionByName(x)
+    return now
 
 
 def solved_tiles(points: DataFrame, by: list[str], model: str, most: float, loops: bool = False, pull: float = 0.1) -> DataFrame:
@@ -205,8 +210,22 @@ def solved_tiles(points: DataFrame, by: list[str], model: str, most: float, loop
 
     The first tile is the reference. Tiles that no match links to it fail the slice. With `loops`, pairs go until loops
     close within `most`; else far matches go, and a pair that is left with more than `most` rms fails the slice."""
-    moments = pair_moments(points if loops else near_points(points, by, model, pull), by)
+    if loops:
+        return _solved(pair_moments(points, by), by, model, most, True, pull)
+    return solved_models(points, by, [model], most, pull).drop("model")
+
+
+def solved_models(points: DataFrame, by: list[str], models: list[str], most: float, pull: float = 0.1) -> DataFrame:
+    """solved_tiles (without loops) for several models, with the column `model`; the matches are made once for all."""
+    here, out = cut(points.select(*by, "a", "b", "xa", "ya", "xb", "yb")), None
+    every = cut(pair_moments(here, by))
+    for model in models:
+        one = _solved(near_moments(here, by, model, pull, moments=every), by, model, most, False, pull).withColumn("model", F.lit(model))
+        out = one if out is None else out.unionByName(one)
+    return out
+
 
+def _solved(moments: DataFrame, by: list[str], model: str, most: float, loops: bool, pull: float) -> DataFrame:
     def make(tiles, i, j, n, m):
         p = Pairs(len(tiles), i, j, n, m, model, pull)
         use, why = np.ones(len(i), bool), ""

@@ -24,9 +24,7 @@ def _matches(t):
 @query()
 def nu8_models(t):
     """All five models of a tile on the same matches."""
-    m = _matches(t)
-    out = [st.solved_tiles(m, ["z"], model, 5.0).withColumn("model", F.lit(model)) for model in st.BASES]
-    return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3]).unionByName(out[4])
+    return st.solved_models(_matches(t), ["z"], list(st.BASES), 5.0)
 
 
 @query()
