@@ -28,6 +28,16 @@ def cut(df: DataFrame) -> DataFrame:
     return out
 
 
+#: Rows of a part where dealt() deals a table out.
+PART = 250_000
+
+
+def dealt(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """df dealt out by the keys to as many parts as `rows` need. Otherwise the number of parts is a setting, and small packed
+    rows are put together until a part has many millions, all of which a task's tables and sorts hold unpacked."""
+    return df.repartition(max(8, -(-rows // PART)), *keys)
+
+
 @atexit.register
 def _tidy() -> None:
     for path, df in _MADE.items():

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .cuts import cut
+from .cuts import cut, dealt
 
 
 def required_left(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
@@ -163,23 +163,31 @@ def components(edges: DataFrame, nodes: DataFrame, a: str, b: str, node: str) ->
     """(node, component): the smallest node connected to each.
 
     The graph shrinks as it goes: in each round every node hooks onto its smallest neighbour, hooks are followed to their
-    ends, and edges between the ends are all that is left. Each round at least halves the nodes that have edges."""
-    ends = cut(edges.select(F.greatest(a, b).alias("_u"), F.least(a, b).alias("_v")).filter("_u <> _v").distinct())
-    levels = []
-    while not ends.isEmpty():
+    ends, and edges between the ends are all that is left. Each round at least halves the nodes that have edges. All tables
+    are dealt out by their rows, so what a task holds does not grow."""
+    given = cut(edges.select(F.greatest(a, b).alias("_u"), F.least(a, b).alias("_v")).filter("_u <> _v"))
+    ends, levels = cut(dealt(given, given.count(), "_u", "_v").distinct()), []
+    while rows := ends.count():
         both = ends.unionByName(ends.select(F.col("_v").alias("_u"), F.col("_u").alias("_v")))
-        hook = cut(both.groupBy("_u").agg(F.least(F.col("_u"), F.min("_v")).alias("_h")))  # never upwards, so hooks make no rings
+        hook = cut(dealt(both, 2 * rows, "_u").groupBy("_u").agg(F.least(F.col("_u"), F.min("_v")).alias("_h")))  # never upwards, so hooks make no rings
+        hooks = hook.count()
         while True:
-            onward = hook.select(F.col("_u").alias("_h"), F.col("_h").alias("_hh"))
-            new = cut(hook.join(onward, "_h").select("_u", F.col("_hh").alias("_h"), (F.col("_hh") != F.col("_h")).alias("_moved")))
+            onward = dealt(hook.select(F.col("_u").alias("_h"), F.col("_h").alias("_hh")), hooks, "_h")
+            new = cut(dealt(hook, hooks, "_h").join(onward, "_h").select("_u", F.col("_hh").alias("_h"), (F.col("_hh") != F.col("_h")).alias("_moved")))
             hook = new.drop("_moved")
             if new.filter("_moved").isEmpty():
                 break
-        levels.append(hook)
+        levels.append((hook, hooks))
         to = hook.select(F.col("_u").alias("_v"), F.col("_h").alias("_y"))
-        left = ends.join(hook.withColumnRenamed("_h", "_x"), "_u").join(to, "_v").filter("_x <> _y")
-        ends = cut(left.select(F.greatest("_x", "_y").alias("_u"), F.least("_x", "_y").alias("_v")).distinct())
-    out = nodes.select(F.col(node).alias("_n"), F.col(node).alias("_c")).distinct()
-    for hook in levels:
-        out = out.join(hook.select(F.col("_u").alias("_c"), "_h"), "_c", "left").select("_n", F.coalesce("_h", "_c").alias("_c"))
+        most = max(rows, hooks)
+        left = dealt(ends, most, "_u").join(dealt(hook.withColumnRenamed("_h", "_x"), most, "_u"), "_u")
+        left = dealt(left, most, "_v").join(dealt(to, most, "_v"), "_v").filter("_x <> _y")
+        ends = cut(dealt(left.select(F.greatest("_x", "_y").alias("_u"), F.least("_x", "_y").alias("_v")), rows, "_u", "_v").distinct())
+    out = nodes.select(F.col(node).alias("_n"))
+    out = cut(dealt(out, out.count(), "_n").distinct().withColumn("_c", F.col("_n")))
+    rows = out.count()
+    for hook, hooks in levels:
+        most = max(rows, hooks)
+        told = dealt(hook.select(F.col("_u").alias("_c"), "_h"), most, "_c")
+        out = dealt(out, most, "_c").join(told, "_c", "left").select("_n", F.coalesce("_h", "_c").alias("_c"))
     return out.select(F.col("_n").alias(node), F.col("_c").alias("component"))
