@@ -1,7 +1,7 @@
 """Matches of keypoints between images: a search from coarse to fine for pairs, and matching again around a prediction.
 
 Keypoints are rows of one table; images are never read here. All gates are joins and group aggregates, so pairs and
-slices of any number are spread.
+slices of any number are spread. Keypoints are dealt out by image, then by pair, to as many tasks as their number needs.
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .cuts import cut
+from .cuts import cut, dealt
 
 #: How stiff the plane of a few matches is, in squares of a cell.
 STIFF = 0.3
@@ -21,15 +21,17 @@ def unique_words(keypoints: DataFrame, image: list[str]) -> DataFrame:
     return once.select(*image, "word", "x", "y")
 
 
-def voted_offsets(words: DataFrame, pairs: DataFrame, by: list[str], bin_: float) -> DataFrame:
+def voted_offsets(words: DataFrame, pairs: DataFrame, by: list[str], bin_: float, rows: int | None = None) -> DataFrame:
     """by, a, b, dx, dy, n: for each pair of tiles the displacement that most common words agree on.
 
-    words: unique_words of (by, tile); pairs: by, a, b. Words vote for a bin of displacements; the bin and its eight
-    neighbours with most votes win (ties to the smaller bin), and the mean of their displacements is the offset."""
-    a = words.select(*by, F.col("tile").alias("a"), "word", F.col("x").alias("xa"), F.col("y").alias("ya"))
-    b = words.select(*by, F.col("tile").alias("b"), "word", F.col("x").alias("xb"), F.col("y").alias("yb"))
-    met = pairs.select(*by, "a", "b").join(a, [*by, "a"]).join(b, [*by, "b", "word"])  # a word meets one word at most
-    met = met.select(*by, "a", "b", (F.col("xa") - F.col("xb")).alias("dx"), (F.col("ya") - F.col("yb")).alias("dy"))
+    words: unique_words of (by, tile); pairs: by, a, b; rows: of the words that the pairs see, about. Words vote for a bin of
+    displacements; the bin and its eight neighbours with most votes win (ties to the smaller bin), and the mean of their
+    displacements is the offset."""
+    sides = pairs.select(*by, "a", "b").distinct().select(*by, "a", "b", F.explode(F.array(*[F.struct(F.col(c).alias("tile"), F.lit(k).alias("side")) for k, c in enumerate("ab")])).alias("_s")).select(*by, "a", "b", "_s.*")
+    seen = words.filter("word IS NOT NULL").join(sides, [*by, "tile"]).select(*by, "a", "b", "word", "side", "x", "y")
+    seen = seen if rows is None else dealt(seen, rows, *by, "a", "b")  # votes and winners need no other shuffle
+    at = lambda c, k: F.max(F.when(F.col("side") == k, F.col(c)))
+    met = seen.groupBy(*by, "a", "b", "word").agg((at("x", 0) - at("x", 1)).alias("dx"), (at("y", 0) - at("y", 1)).alias("dy"), F.min("side").alias("_l"), F.max("side").alias("_h")).filter("_l < _h")  # a word meets one word at most
     own = met.withColumns({"i": F.floor(F.col("dx") / bin_), "j": F.floor(F.col("dy") / bin_)}).groupBy(*by, "a", "b", "i", "j").agg(F.count(F.lit(1)).alias("n"), F.sum("dx").alias("sx"), F.sum("dy").alias("sy"))
     around = F.explode(F.array(*[F.struct(F.lit(p).alias("p"), F.lit(q).alias("q")) for p in (-1, 0, 1) for q in (-1, 0, 1)]))
     spread = own.withColumn("_o", around).withColumns({"i": F.col("i") + F.col("_o.p"), "j": F.col("j") + F.col("_o.q")}).groupBy(*by, "a", "b", "i", "j").agg(*(F.sum(c).alias(c) for c in ("n", "sx", "sy")))
@@ -54,12 +56,15 @@ def search_pairs(keypoints: DataFrame, pairs: DataFrame, z: str, levels: list[in
     displacement is within `reach` of the nominal one (plausible), and it agrees with the finds of the same pair in the
     slices around it, those settled before and those of this level. The others go on to the next level."""
     frontier, settled, sizes, last = cut(pairs.select(z, "a", "b", "ex", "ey")), None, [], None
+    rows = {r["level"]: r["count"] for r in keypoints.groupBy("level").count().collect()}  # a row for each level
     for level in levels:
         sizes.append(frontier.count())
         if not sizes[-1]:
             break
-        words = unique_words(keypoints.filter(F.col("level") == level), [z, "tile"])
-        found = voted_offsets(words, frontier, [z], tolerance * level).join(frontier, [z, "a", "b"], "right").withColumn("level", F.lit(level))
+        points = dealt(keypoints.filter(F.col("level") == level), rows.get(level, 0), z, "tile")
+        tiles = frontier.select(z, F.explode(F.array("a", "b")).alias("tile")).groupBy(z, "tile").count().agg(F.avg("count")).first()[0] or 1.0
+        found = voted_offsets(unique_words(points, [z, "tile"]), frontier, [z], tolerance * level, round(rows.get(level, 0) * tiles))
+        found = found.join(frontier, [z, "a", "b"], "right").withColumn("level", F.lit(level))
         few = F.coalesce(F.col("n") < least, F.lit(True))
         off = F.greatest(F.abs(F.col("dx") - F.col("ex")), F.abs(F.col("dy") - F.col("ey"))) > reach
         found = cut(found.withColumn("reason", F.when(few, "few matches").when(off, "not plausible")))

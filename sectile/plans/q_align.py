@@ -6,6 +6,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..operators import align, grids, matching
+from ..operators.cuts import dealt
 from .base import query, r
 
 
@@ -59,7 +60,8 @@ def nu14_frame_chain(t):
 def word_keypoints(t):
     """Parts as keypoints of two tiles of a supplier's slice: every part at the finest of three levels, fewer at the coarse
     ones. In every fifth slice the coarsest level of tile 1 is 35 px off, in every seventh it shows almost nothing."""
-    l = t("lineitem").select(F.col("l_suppkey").alias("z"), F.col("l_partkey").alias("word")).distinct()
+    l = t("lineitem").select(F.col("l_suppkey").alias("z"), F.col("l_partkey").alias("word"))
+    l = dealt(l, t("lineitem").count(), "z", "word").distinct()
     level = F.explode(F.expr("filter(array(4, 2, 1), v -> word % v = 0)")).alias("level")
     p = l.select("z", "word", (F.hash("word") % 900).cast("double").alias("x"), (F.hash(F.col("word") + 1) % 700).cast("double").alias("y"), level)
     p = p.withColumn("tile", F.explode(F.array(F.lit(0), F.lit(1))))
