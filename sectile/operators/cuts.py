@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import DataFrame
 
 _MADE: dict[str, DataFrame] = {}
+_FILED: dict[str, DataFrame] = {}
 
 
 def shared_folder(spark) -> str:
@@ -38,8 +39,21 @@ def dealt(df: DataFrame, rows: int, *keys: str) -> DataFrame:
     return df.repartition(max(8, -(-rows // PART)), *keys)
 
 
+def filed(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """df as a table that is written once, dealt out by the keys and bucketed: joins and groups by all keys read it without a
+    shuffle, as often as they like."""
+    spark, name = df.sparkSession, f"sectile_cut_{uuid.uuid4().hex}"
+    path, parts = f"{shared_folder(spark).rstrip('/')}/sectile-cut-{name}", min(max(8, -(-rows // PART)), 100_000)
+    df.repartition(parts, *keys).write.format("parquet").option("path", path).bucketBy(parts, *keys).saveAsTable(name)
+    out = _MADE[path] = _FILED[name] = spark.table(name)
+    return out
+
+
 @atexit.register
 def _tidy() -> None:
+    for name, df in _FILED.items():
+        with contextlib.suppress(Exception):
+            df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")  # its files go below
     for path, df in _MADE.items():
         with contextlib.suppress(Exception):  # its Spark may be gone
             at = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
